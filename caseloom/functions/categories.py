@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .text import BLANK, NO, UNKNOWN, YES, clean_str
 
 
-def _clean_constant(s: str) -> str:
+def clean_constant(s: str) -> str:
     """The driver-side twin of ``clean_str`` for a value given by the caller."""
     s = "".join(" " if unicodedata.category(ch).startswith("P") else ch for ch in s)
     return " ".join(w.capitalize() for w in s.split())
@@ -25,12 +25,12 @@ def clean_categorical(
     bad_value: str = "",
 ) -> Column:
     c = clean_str(x)
-    good = [_clean_constant(v) for v in good_vals]
-    blank_to = _clean_constant(bad_value_replace)
+    good = [clean_constant(v) for v in good_vals]
+    blank_to = clean_constant(bad_value_replace)
     return (
-        F.when(c == _clean_constant(bad_value), F.lit(blank_to))
+        F.when(c == clean_constant(bad_value), F.lit(blank_to))
         .when(c.isin([*good, blank_to]), c)
-        .otherwise(F.lit(_clean_constant(other_replace)))
+        .otherwise(F.lit(clean_constant(other_replace)))
     )
 
 

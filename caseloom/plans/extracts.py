@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_col
-from ..functions.text import clean_names, clean_str
+from ..functions.categories import clean_constant
+from ..functions.text import NA_TEXT, clean_names, clean_str
 from ..operators import clean, quality, reports, summary
 from ..sources.sinks import SAVERS, Saver, save_csv
 from ..sources.tables import SqlExtracts
@@ -69,8 +70,7 @@ def due(config: DataFrame, asof: object, *, name: str = "nm") -> DataFrame:
 
 def is_due(extract: Extract, asof: dt.date) -> bool:
     """The same test for one configured extract, on the driver: no data is involved."""
-    flag = extract.days.get(WEEKDAYS[asof.weekday()]) or ""
-    return any(ch.isalnum() for ch in flag) or any(ch in "$+=~<>^|`" for ch in flag)
+    return clean_constant(extract.days.get(WEEKDAYS[asof.weekday()]) or "") not in ("", NA_TEXT)
 
 
 def write_twice(df: DataFrame, save: Saver, path: str, copy_path: str | None) -> None:

@@ -14,7 +14,8 @@ def save_csv(df: DataFrame, path: str) -> None:
     """CSV parts with a header; missing values and blanks are written as nothing."""
     (
         df.write.mode("overwrite").option("header", True).option("nullValue", "")
-        .option("emptyValue", "").option("escape", '"').csv(path)
+        .option("emptyValue", "").option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
 
 

@@ -86,5 +86,6 @@ def read_csv(spark: SparkSession, path: str, schema: str, *, encoding: str = "UT
     return (
         spark.read.option("header", True).option("nullValue", "").option("emptyValue", "")
         .option("escape", '"').option("multiLine", True).option("encoding", encoding)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .schema(schema).csv(path)
     )

@@ -10,10 +10,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_DOC = Path(__file__).resolve().parent.parent / "FIXTURES.md"
-_BLOCKS = re.findall(r"```sql\n(.*?)```", _DOC.read_text(), flags=re.S)
+_TEXTS = Path(__file__).resolve().parent / "sql_text"
 
-CASES_SQL, SYMPTOMS_SQL, SECOND_SQL = (b.strip() for b in _BLOCKS[:3])
+CASES_SQL, SYMPTOMS_SQL, SECOND_SQL = (
+    (_TEXTS / f"{name}.sql").read_text().strip() for name in ("cases", "symptoms", "second_source")
+)
 
 ASOF = "2001-06-30"
 MIN_DATE = "1996-01-01"
