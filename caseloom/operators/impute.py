@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small, materialise
+from ..plans.sizing import hinted, is_small, materialise
 
 # The dates that are imputed and the dates used for it.
 TARGETS = ["onsetdate", "episodedate", "reporteddate"]
@@ -89,6 +89,8 @@ class _Model:
             .agg(F.count(F.lit(1)).alias("n"))
         )
         self.hist = materialise(hist)
+        # tables with a row per region or pair have no more rows than the histogram
+        self.small = is_small(self.hist)
         known = F.col("gap").isNotNull()
         is_pair = F.col("target") != F.col("source")
         self.bounds = (
@@ -121,6 +123,7 @@ class _Model:
         self.ranges = materialise(
             ranges.select(*_PAIR, "gap", "lo", "hi", F.explode(F.sequence(first, last)).alias("slot"))
         )
+        self.small_ranges = is_small(self.ranges)
 
     def donors_by_group(self) -> DataFrame:
         """One row per region, a donor count per usable pair."""
@@ -132,7 +135,7 @@ class _Model:
 
     def draw_missing(self, rows: DataFrame, seed: int) -> DataFrame:
         """Draw for every missing gap of every usable pair: ``id, grp, target, source, gap``."""
-        side = broadcast_if_small(materialise(self.donors_by_group()))
+        side = hinted(self.donors_by_group(), self.small)
         wanted = [
             F.when(
                 F.datediff(s, t).isNull() & F.col(f"d_{t}_{s}").isNotNull(),
@@ -150,9 +153,8 @@ class _Model:
                     _position(F.col("key"), F.col("e.donors"), seed).alias("at"))
             .withColumn("slot", _slot(F.col("at"), F.col("donors")))
         )
-        ranges = broadcast_if_small(self.ranges)
         return (
-            asked.join(ranges, [*_PAIR, "slot"])
+            asked.join(hinted(self.ranges, self.small_ranges), [*_PAIR, "slot"])
             .where((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi")))
             .select(id_col, *_PAIR, "gap")
         )
@@ -179,7 +181,7 @@ def date_deltas(
     gaps = F.array(
         *[F.struct(F.lit(s).alias("source"), F.datediff(s, target).alias("gap")) for _, s in model.pairs]
     )
-    usable = broadcast_if_small(materialise(model.usable.select("grp", "source")))
+    usable = hinted(model.usable.select("grp", "source"), model.small)
     known = (
         rows.select(id_col, "grp", F.explode(gaps).alias("e"))
         .select(id_col, "grp", "e.source", "e.gap")
@@ -215,7 +217,7 @@ def impute_dates(
     """
     rows = _prepared(df, [*targets, *sources], group, id_col, key)
     model = _Model(rows, targets, sources, min_frac)
-    ranked = materialise(model.ranks(rows, seed))
+    ranked = model.ranks(rows, seed)
 
     cells = []
     for t, s in model.pairs:
@@ -236,7 +238,7 @@ def impute_dates(
         .join(ranked.groupBy("grp").agg(*cells), "grp", "left")
         .withColumnRenamed("grp", "__grp")
     )
-    per_group = broadcast_if_small(materialise(per_group))
+    per_group = hinted(materialise(per_group), model.small)
     ranges = model.ranges.withColumnsRenamed(
         {"grp": "__rgrp", "source": "__rsource", "slot": "__rslot", "gap": "__gap"}
     )
@@ -273,7 +275,7 @@ def impute_dates(
                 ),
             }
         )
-        side = broadcast_if_small(materialise(ranges.where(F.col("target") == t).drop("target")))
+        side = hinted(ranges.where(F.col("target") == t).drop("target"), model.small_ranges)
         hit = (
             (F.col("__grp") == F.col("__rgrp"))
             & (F.col("__source") == F.col("__rsource"))

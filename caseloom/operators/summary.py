@@ -52,8 +52,8 @@ def count_summary(
 ) -> DataFrame:
     """Value counts of every low-cardinality column by strata.
 
-    Date columns are replaced by their month, week and weekday. Dates are counted per day
-    and split afterwards, so each row is expanded once per date and not three times.
+    Date columns are replaced by their month, week and weekday, which have few values: the
+    partial counts of a task stay small however many days or cases it sees.
     """
     strats = list(strats)
     dated = matching(df.columns, "date")
@@ -66,40 +66,30 @@ def count_summary(
     plain = few_valued(df, plain, max_unique)
     types = {f.name: f.dataType for f in df.schema.fields}
 
+    # (name, text, number): names travel as their position, numbers as numbers
+    parts: list[tuple[str, Column, Column]] = []
+    for c in plain:
+        parts.append((c, F.col(c).cast("string"), F.lit(None).cast("int")))
+    for c in dates:
+        day = to_date(F.col(c), types[c])
+        for suffix, part in (
+            ("month", F.month(day)), ("week", week_of_year(day)), ("dow", F.dayofweek(day)),
+        ):
+            parts.append((f"{c}_{suffix}", F.lit(None).cast("string"), part))
     entries = [
-        F.struct(F.lit(c).alias("name"), F.lit(False).alias("dated"), F.col(c).cast("string").alias("raw"))
-        for c in plain
-    ] + [
-        F.struct(
-            F.lit(c).alias("name"),
-            F.lit(True).alias("dated"),
-            F.unix_date(to_date(F.col(c), types[c])).cast("string").alias("raw"),
-        )
-        for c in dates
+        F.struct(F.lit(i).alias("at"), raw.alias("raw"), part.alias("part"))
+        for i, (_, raw, part) in enumerate(parts)
     ]
     counted = (
         df.select(*strats, F.explode(F.array(*entries)).alias("e"))
-        .groupBy(*strats, "e.name", "e.dated", "e.raw")
+        .groupBy(*strats, "e.at", "e.raw", "e.part")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-
-    day = F.date_from_unix_date(F.col("raw").cast("int"))
-    parts = F.when(
-        F.col("dated"),
-        F.array(
-            *[
-                F.struct(F.concat("name", F.lit(suffix)).alias("name"), part.cast("string").alias("raw"))
-                for suffix, part in (
-                    ("_month", F.month(day)), ("_week", week_of_year(day)), ("_dow", F.dayofweek(day)),
-                )
-            ]
-        ),
-    ).otherwise(F.array(F.struct(F.col("name"), F.col("raw"))))
+    names = F.array(*[F.lit(name) for name, _, _ in parts])
+    shown = F.coalesce(F.col("raw"), F.col("part").cast("string"))
     cells = (
-        counted.select(*strats, "n", F.explode(parts).alias("p"))
-        .groupBy(*strats, "p.name", "p.raw")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("value", clean_str("raw", na_replace=MISSING_LABEL, blank_replace=MISSING_LABEL))
+        counted.withColumn("name", names[F.col("at")])
+        .withColumn("value", clean_str(shown, na_replace=MISSING_LABEL, blank_replace=MISSING_LABEL))
         .groupBy("name", "value", *strats)
         .agg(F.sum("n").alias("n"))
     )

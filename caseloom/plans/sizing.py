@@ -31,13 +31,22 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a materialised table, only after counting it.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a materialised table has few enough rows to be sent to every executor."""
+    return df.count() <= max_rows
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast hint for a table whose size was checked, or whose rows are bounded by one that was.
 
-    Above the bound the table is returned as it is, and the join becomes a shuffle join
+    Otherwise the table is returned as it is, and the join becomes a shuffle join
     that adaptive execution may split on skewed keys.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if small else df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    return hinted(df, is_small(df, max_rows))
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dates import flat_dates
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of few, unsplittable file parts over the cores.
+
+    A scan that already has as many partitions as there are cores is left alone, so large
+    tables are never shuffled for it. Call it on narrow columns, before wide projections.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """Tables by name under one folder, kept as lazy DataFrames and temp views.
 

@@ -10,6 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseloom.sources.tables import spread
+
 _TEXTS = Path(__file__).resolve().parent / "sql_text"
 
 CASES_SQL, SYMPTOMS_SQL, SECOND_SQL = (
@@ -31,8 +33,9 @@ def _run(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFra
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["orders", "customer", "nation", "region"]
-    return _run(spark, CASES_SQL, {n: table(spark, sf_dir, n) for n in names})
+    names = ["customer", "nation", "region"]
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    return _run(spark, CASES_SQL, {"orders": orders, **{n: table(spark, sf_dir, n) for n in names}})
 
 
 def symptoms(spark: SparkSession, sf_dir: str) -> DataFrame:
