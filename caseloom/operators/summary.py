@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.dates import NOT_DATES, as_col, to_date, week_of_year
 from ..functions.text import clean_str, matching, thousands
 from ..plans.sizing import broadcast_if_small, materialise
-from .derive import EPISODE_DATES, episode_date, episode_type
+from .derive import EPISODE_DATES, EPISODE_LABELS, episode_date, episode_type
 
 # Fixed value: how the summary prints a missing value.
 MISSING_LABEL = "NULL or BLANK STRING"
@@ -179,7 +179,7 @@ TRAVEL_TAIL = ["exposure_cat", "classification"]
 
 def recent_travel_cases(
     df: DataFrame, *, asof, reported_days: int = 7, episode_days: int = 14, travel_days: int = 16,
-    episode_cols: list[str] = EPISODE_DATES,
+    episode_cols: list[str] = EPISODE_DATES, episode_labels: list[str] = EPISODE_LABELS,
 ) -> DataFrame:
     """International-travel cases reported lately, with the travel dates that are recent enough.
 
@@ -191,7 +191,9 @@ def recent_travel_cases(
         F.lower("classification").isin(_CONFIRMED_OR_PROBABLE)
         & report.between(F.date_sub(day, reported_days), F.date_sub(day, 1))
         & (F.col("exposure_cat") == "International travel")
-    ).withColumns({"episodedate": episode_date(episode_cols), "episodetype": episode_type(episode_cols)})
+    ).withColumns(
+        {"episodedate": episode_date(episode_cols), "episodetype": episode_type(episode_cols, episode_labels)}
+    )
     travel = [c for c in matching(df.columns, "^travel") if c.lower() != "travel"]
     dates = matching(travel, r"date\d$")
     oldest = F.date_sub(report, travel_days)
