@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_col
 from ..functions.text import UNKNOWN, clean_str
-from ..plans.sizing import materialise
+from ..plans.sizing import materialise, with_totals
 
 CLASSIFICATIONS = ("probable", "confirmed")
 OTHER = "Other"
@@ -75,10 +75,6 @@ def _daily(
     )
 
 
-def _sum_over(*keys: str) -> Column:
-    return F.sum("n").over(Window.partitionBy(*keys))
-
-
 def epi_curve_batch(
     df: DataFrame,
     pairs: list[tuple[str, str]],
@@ -95,13 +91,15 @@ def epi_curve_batch(
     counts = materialise(_daily(df, pairs, facet, classifications))
     lumped = lump_rare(counts, "facet", SERIES, min_share)
     cells = lumped.groupBy(*SERIES, "date", "facet", "color").agg(F.sum("n").alias("n"))
-    totals = cells.groupBy(*SERIES).agg(F.sum("n").alias("total"))
-    out = (
-        cells.join(totals, SERIES)
-        .withColumn("color_percent", 100 * _sum_over(*SERIES, "color") / F.col("total"))
-        .withColumn("facet_total", _sum_over(*SERIES, "facet"))
-        .withColumn("facet_max", F.max("n").over(Window.partitionBy(*SERIES, "facet")))
-        .withColumn("facet_percent", 100 * F.col("facet_total") / F.col("total"))
+    n = F.col("n")
+    out = with_totals(cells, SERIES, total=F.sum(n))
+    out = with_totals(out, [*SERIES, "color"], color_total=F.sum(n))
+    out = with_totals(out, [*SERIES, "facet"], facet_total=F.sum(n), facet_max=F.max(n))
+    out = out.withColumns(
+        {
+            "color_percent": 100 * F.col("color_total") / F.col("total"),
+            "facet_percent": 100 * F.col("facet_total") / F.col("total"),
+        }
     )
     if since is not None:
         out = out.where(F.col("date") >= as_col(since))
@@ -152,7 +150,8 @@ def rolling_mean(
 
 def percent_fill(counts: DataFrame) -> DataFrame:
     """Share of each colour in the counts of its day and facet."""
-    return counts.withColumn("share", F.col("n") / _sum_over("date", "facet"))
+    out = with_totals(counts, ["date", "facet"], day_total=F.sum("n"))
+    return out.withColumn("share", F.col("n") / F.col("day_total")).drop("day_total")
 
 
 def six_months_before(asof: object) -> Column:

@@ -73,7 +73,7 @@ def normalise_first(df: DataFrame) -> DataFrame:
 
 def missing_rows(df: DataFrame, other: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``; missing key parts match each other."""
-    a, b = df.select(*REPORT), other.select(*keys)
+    a, b = df.select(*REPORT), other.select(*keys).distinct()
     return a.join(b, null_safe(a, b, keys), "left_anti")
 
 
@@ -95,6 +95,11 @@ def columns_diff(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
+def repeated_keys(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Keys that occur more than once, with their number of rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def common_columns(first: DataFrame, second: DataFrame) -> list[str]:
     return sorted(set(first.columns) & set(second.columns))
 
@@ -103,7 +108,8 @@ def cell_diff(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> Da
     """Cells that both sources fill with different values, cleaned for display.
 
     One join on the key whatever the number of columns; the differing cells of a row are
-    picked from an array in place.
+    picked from an array in place. Keys are meant to be unique in each source: see
+    :func:`repeated_keys`, as a repeated key compares each pair of its rows.
     """
     skip = {"phacid", *keys}
     cols = [c for c in common_columns(first, second) if c not in skip]

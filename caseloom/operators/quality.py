@@ -31,6 +31,31 @@ class Rule:
     default: bool = True
 
 
+@dataclass(frozen=True)
+class Wording:
+    """Column, value and texts of the happy outcome, which the two source layouts name differently."""
+
+    date: str
+    value: str
+    listed: str
+    listed_typ: str
+    both: str
+    early: str
+    early_typ: str
+    blank_unit: bool
+
+
+# Texts of the report for either source layout.
+RECOVERY = Wording(
+    "recoverydate", "recovered", "Recovery date", "Recovery date listed but not recovered",
+    "recovery date", "Recovered before Onset", "Early Recovered", blank_unit=True,
+)
+RESOLUTION = Wording(
+    "resolutiondate", "resolved", "Resolution date", "Resolution date listed but not resolved",
+    "resolution date", "Resolved before Onset", "Early resolution", blank_unit=False,
+)
+
+
 def _lower_is(col: str, value: str) -> Column:
     return F.lower(F.col(col)) == value
 
@@ -107,13 +132,16 @@ def _before(early: str, late: str, opening: str):
     return hits
 
 
-def _dead_and_alive(df: DataFrame) -> list[Hit]:
-    d, r = F.col("deathdate"), F.col("recoverydate")
-    err = F.concat(
-        F.lit("Both Death date '"), d.cast("string"),
-        F.lit("' and recovery date '"), r.cast("string"), F.lit("' listed."),
-    )
-    return [(d.isNotNull() & r.isNotNull(), err)]
+def _dead_and_alive(words: Wording):
+    def hits(df: DataFrame) -> list[Hit]:
+        d, r = F.col("deathdate"), F.col(words.date)
+        err = F.concat(
+            F.lit("Both Death date '"), d.cast("string"),
+            F.lit(f"' and {words.both} '"), r.cast("string"), F.lit("' listed."),
+        )
+        return [(d.isNotNull() & r.isNotNull(), err)]
+
+    return hits
 
 
 def _testing_reason(df: DataFrame) -> list[Hit]:
@@ -121,7 +149,8 @@ def _testing_reason(df: DataFrame) -> list[Hit]:
     err = F.concat(
         F.lit("TestingReason '"), reason, F.lit("' disagrees with  CloseContactCase '"), contact, F.lit("'")
     )
-    return [((reason == "Contact of a case") & (contact != YES), err)]
+    cond = _lower_is("testingreason", "contact of a case") & (F.lower(contact) != "yes")
+    return [(cond, err)]
 
 
 def _death_disposition(df: DataFrame) -> list[Hit]:
@@ -150,12 +179,12 @@ def _each_date(test: Callable[[Column], Column], ending: str):
     return hits
 
 
-def _open_long(date: str, opening: str, asof: Column, days: int):
+def _open_long(date: str, opening: str, asof: Column, days: int, words: Wording):
     def hits(df: DataFrame) -> list[Hit]:
         d = F.col(date)
-        closed = F.coalesce(F.col("disposition").isin("Deceased", "Recovered"), F.lit(False))
+        closed = F.coalesce(F.lower("disposition").isin("deceased", words.value), F.lit(False))
         cond = (
-            F.col("classification").isin("Confirmed", "Probable")
+            F.lower("classification").isin("confirmed", "probable")
             & ~closed
             & (d <= F.date_sub(asof, days))
         )
@@ -173,9 +202,15 @@ def _age_range(df: DataFrame) -> list[Hit]:
     return [((age < 0) | (age > 113), F.concat(F.lit("Age  "), age.cast("string"), F.lit(" is  wrong")))]
 
 
-def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150) -> list[Rule]:
-    """The rule catalogue. Message and type texts are fixed values of the report."""
+def rules(
+    asof: object, min_date: object = "2020-01-01", *, open_days: int = 150, words: Wording = RECOVERY
+) -> list[Rule]:
+    """The rule catalogue. Message and type texts are fixed values of the report.
+
+    Status words are compared without regard to case, so either source layout works.
+    """
     today, earliest = as_col(asof), as_col(min_date)
+    unit = F.col("ageunit")
     known_age = F.col("age").isNotNull
     return [
         Rule(
@@ -190,7 +225,7 @@ def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150
             "residency_mismatch",
             "Residency is Canadian, yet ResidenceCountry is not.",
             _fixed(
-                lambda: (F.col("residency") == "Canadian resident")
+                lambda: _lower_is("residency", "canadian resident")
                 & (F.lower("residencecountry") != "canada"),
                 "Residency is Canadian, yet ResidenceCountry is not.",
             ),
@@ -208,7 +243,7 @@ def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150
             "age_unit_missing",
             "No Age units",
             _fixed(
-                lambda: known_age() & (F.col("ageunit") == ""),
+                lambda: known_age() & ((unit == "") if words.blank_unit else unit.isNull()),
                 "Exact Age is given but Age units are not.",
             ),
         ),
@@ -246,8 +281,8 @@ def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150
         ),
         Rule(
             "recovered_date",
-            "Recovery date listed but not recovered",
-            _outcome_date("disposition", "recovered", "recoverydate", "Recovery date"),
+            words.listed_typ,
+            _outcome_date("disposition", words.value, words.date, words.listed),
         ),
         Rule(
             "death_date",
@@ -261,12 +296,12 @@ def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150
             _details("closecontactcase", "CloseContactCase is not yes but "),
             default=False,
         ),
-        Rule("dead_and_alive", "Both Death date and recovery date listed.", _dead_and_alive),
+        Rule("dead_and_alive", f"Both Death date and {words.both} listed.", _dead_and_alive(words)),
         Rule("dead_before_onset", "Early Dead", _before("deathdate", "onsetdate", "Dead before Onset")),
         Rule(
             "recovered_before_onset",
-            "Early Recovered",
-            _before("recoverydate", "onsetdate", "Recovered before Onset"),
+            words.early_typ,
+            _before(words.date, "onsetdate", words.early),
         ),
         Rule("testing_reason", "Contact Testing Reason", _testing_reason),
         Rule("covid_death_disposition", "Covid Death but not Deceased", _death_disposition),
@@ -281,11 +316,15 @@ def rules(asof: object, min_date: object = "2020-01-01", *, open_days: int = 150
             f"Before {min_date} Date",
             _each_date(lambda d: d < earliest, f" is before {min_date}"),
         ),
-        Rule("sick_long_time", "Sick Long time", _open_long("onsetdate", "Onset Date", today, open_days)),
+        Rule(
+            "sick_long_time",
+            "Sick Long time",
+            _open_long("onsetdate", "Onset Date", today, open_days, words),
+        ),
         Rule(
             "reported_long_ago",
             "Reported Long time ago.",
-            _open_long("reporteddate", "ReportedDate", today, open_days),
+            _open_long("reporteddate", "ReportedDate", today, open_days, words),
         ),
         Rule("age_range", "age out of range", _age_range),
     ]
@@ -304,9 +343,11 @@ def with_errors(df: DataFrame, chosen: list[Rule], keep: list[str]) -> DataFrame
     return df.select(*keep, F.explode(found).alias("hit")).select(*keep, "hit.typ", "hit.err")
 
 
-def rule_errors(df: DataFrame, name: str, *, asof, min_date="2020-01-01", id_col: str = "phacid") -> DataFrame:
+def rule_errors(
+    df: DataFrame, name: str, *, asof, min_date="2020-01-01", id_col: str = "phacid", words: Wording = RECOVERY
+) -> DataFrame:
     """Errors of a single rule: ``(id, err, typ)``."""
-    rule = next(r for r in rules(asof, min_date) if r.name == name)
+    rule = next(r for r in rules(asof, min_date, words=words) if r.name == name)
     hits = rule.hits(df)
     if len(hits) == 1:
         cond, err = hits[0]
@@ -319,10 +360,12 @@ REPORT_COLUMNS = ["phacid", "pt", "ptcaseid", "classification", "phacreporteddat
 
 
 def error_report(
-    df: DataFrame, *, asof, min_date="2020-01-01", ordered: bool = True, names: list[str] | None = None
+    df: DataFrame, *, asof, min_date="2020-01-01", ordered: bool = True, names: list[str] | None = None,
+    words: Wording = RECOVERY,
 ) -> DataFrame:
-    """All errors of the default rules, newest reports first."""
-    chosen = [r for r in rules(asof, min_date) if (r.default if names is None else r.name in names)]
+    """All errors of the default rules, or of the named ones, newest reports first."""
+    catalogue = rules(asof, min_date, words=words)
+    chosen = [r for r in catalogue if (r.default if names is None else r.name in names)]
     out = with_errors(df, chosen, REPORT_COLUMNS).select(
         "phacid", "pt", "ptcaseid", "typ", "classification", "phacreporteddate", "err"
     )

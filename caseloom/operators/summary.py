@@ -29,18 +29,18 @@ def _occupancy(x: Column) -> Column:
     return F.bitmap_count(F.bitmap_construct_agg(F.pmod(F.xxhash64(x), F.lit(_BITS))))
 
 
-def few_valued(df: DataFrame, cols: list[str], max_unique: int, *, cheap_limit: int = 4096) -> list[str]:
+def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
     """Columns that may have at most ``max_unique`` cleaned values.
 
     Occupied hash slots are a lower bound of the distinct count, so a column dropped here
     surely has too many values; survivors are counted exactly later. Each check is one
     global aggregate of fixed-size buffers that returns a single row, so a column of
-    free text never reaches a shuffle.
+    free text never reaches a shuffle. Only columns with many raw values are cleaned.
     """
     if not cols:
         return []
     raw = df.agg(*[_occupancy(F.col(c)).alias(c) for c in cols]).first()
-    wide = [c for c in cols if raw[c] > max(cheap_limit, max_unique)]
+    wide = [c for c in cols if raw[c] > max_unique]
     if not wide:
         return cols
     cleaned = df.agg(*[_occupancy(clean_str(c)).alias(c) for c in wide]).first()
@@ -93,11 +93,16 @@ def count_summary(
         .groupBy("name", "value", *strats)
         .agg(F.sum("n").alias("n"))
     )
-
-    order = F.dense_rank().over(Window.partitionBy("name").orderBy("value"))
-    cells = cells.withColumn("__rank", order)
-    cells = cells.withColumn("__values", F.max("__rank").over(Window.partitionBy("name")))
-    cells = cells.where(F.col("__values") <= max_unique).drop("__rank", "__values")
+    # small and read several times from here on: the cases are not scanned again
+    cells = materialise(cells)
+
+    # at most one row per reported column, so this side is bounded by the schema
+    few = (
+        cells.select("name", "value").distinct()
+        .groupBy("name").agg(F.count(F.lit(1)).alias("values"))
+        .where(F.col("values") <= max_unique).select("name")
+    )
+    cells = cells.join(F.broadcast(few), "name")
 
     def total(*keys: str) -> Column:
         return F.sum("n").over(Window.partitionBy(*keys))

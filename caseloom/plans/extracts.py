@@ -15,6 +15,7 @@ from ..functions.text import NA_TEXT, clean_names, clean_str
 from ..operators import clean, quality, reports, summary
 from ..sources.sinks import SAVERS, Saver, save_csv
 from ..sources.tables import SqlExtracts
+from .sizing import scratch_path
 
 Adjust = Callable[[DataFrame], DataFrame]
 
@@ -76,17 +77,15 @@ def is_due(extract: Extract, asof: dt.date) -> bool:
 def write_twice(df: DataFrame, save: Saver, path: str, copy_path: str | None) -> None:
     """Write the result, and a copy in a second place if one is configured.
 
-    With a copy the result is persisted first, so the extract is computed once.
+    With a copy the result goes to the shared scratch folder first: it is computed once,
+    both copies are equal, and a lost executor costs no recomputation.
     """
-    if copy_path is None:
-        save(df, path)
-        return
-    df = df.persist()
-    try:
-        save(df, path)
+    if copy_path is not None:
+        scratch = scratch_path(df.sparkSession, "extract")
+        df.write.parquet(scratch)
+        df = df.sparkSession.read.schema(df.schema).parquet(scratch)
         save(df, copy_path)
-    finally:
-        df.unpersist()
+    save(df, path)
 
 
 def run_extract(extracts: SqlExtracts, extract: Extract) -> DataFrame:

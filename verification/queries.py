@@ -676,6 +676,11 @@ add(
     + " FROM symptoms GROUP BY phacid",
 )
 _REPORT = "phacid, pt, ptcaseid, phacreporteddate, classification"
+add(
+    "repeated_keys",
+    lambda spark, sf: diff.repeated_keys(fx.symptoms(spark, sf), ["phacid", "symptomid"]),
+    f"{S.WITH_SYMPTOMS} SELECT phacid, symptomid, count(*) AS n FROM symptoms GROUP BY ALL HAVING count(*) > 1",
+)
 add(
     "rows_missing_right",
     lambda spark, sf: diff.missing_rows(fx.first_source(spark, sf), fx.second_source(spark, sf)),
@@ -811,6 +816,41 @@ def dq_report(spark, sf):
 
 add("dq_report", dq_report, f"{S.WITH_RULES}\n{_ALL_ERRORS}")
 
+
+def _resolution_report(spark, sf):
+    """The other source layout: lower-case values, resolution instead of recovery."""
+    df = fx.cases(spark, sf).withColumnRenamed("recoverydate", "resolutiondate")
+    df = df.withColumns(
+        {
+            "disposition": F.expr("CASE WHEN disposition = 'Recovered' THEN 'resolved' ELSE lower(disposition) END"),
+            "ageunit": F.expr("nullif(ageunit, '')"),
+            "classification": F.lower("classification"),
+        }
+    )
+    return quality.error_report(df, asof=ASOF, min_date=MIN_DATE, words=quality.RESOLUTION)
+
+
+_RESOLUTION_SQL = _ALL_ERRORS
+for _old, _new in (
+    ("Recovery date listed but not recovered", "Resolution date listed but not resolved"),
+    ("'Recovery date of", "'Resolution date of"), ("and recovery date", "and resolution date"),
+    ("Recovered before Onset", "Resolved before Onset"), ("Early Recovered", "Early resolution"),
+    ("recoverydate", "resolutiondate"),
+    ("<> 'recovered'", "<> 'resolved'"), ("('Deceased', 'Recovered')", "('deceased', 'resolved')"),
+    ("('Confirmed', 'Probable')", "('confirmed', 'probable')"), ("ageunit = ''", "ageunit IS NULL"),
+):
+    assert _old in _RESOLUTION_SQL, _old
+    _RESOLUTION_SQL = _RESOLUTION_SQL.replace(_old, _new)
+add(
+    "dq_report_resolution",
+    _resolution_report,
+    f"""{S.WITH_RULES}, r3 AS (SELECT * REPLACE (nullif(ageunit, '') AS ageunit, lower(classification) AS classification,
+  CASE WHEN disposition = 'Recovered' THEN 'resolved' ELSE lower(disposition) END AS disposition),
+  recoverydate AS resolutiondate FROM r)
+"""
+    + _RESOLUTION_SQL.replace("FROM r ", "FROM r3 "),
+)
+
 # ---- curves and rates -------------------------------------------------------------
 
 _LUMP = 0.195  # a share that some regions of the test tables miss
