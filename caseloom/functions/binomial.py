@@ -7,18 +7,21 @@ batch function over small aggregates.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+# executors need numpy and pandas but not this package: its functions travel with the task
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _ln_gamma(a: np.ndarray) -> np.ndarray:
-    return _lgamma(a).astype(float)
+    return np.array([math.lgamma(v) for v in a], dtype=float)
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:

@@ -12,10 +12,30 @@ from .text import BLANK, NO, UNKNOWN, YES, clean_str
 
 def clean_constant(s: str) -> str:
     """The driver-side twin of ``clean_str`` for a value given by the caller."""
+    if s.lower() == "na":
+        return ""
     s = "".join(" " if unicodedata.category(ch).startswith("P") else ch for ch in s)
     return " ".join(w.capitalize() for w in s.split())
 
 
+def lookup(x: Column | str, mapping: dict[str, str], default: str | None = None) -> Column:
+    """Map cleaned values to others.
+
+    Most cells hold a listed value as it stands but for case; they are matched without any
+    regular expression, and only the others are cleaned.
+    """
+    raw = (F.col(x) if isinstance(x, str) else x).cast("string")
+    low = F.lower(raw)
+    slow = F.create_map(*[F.lit(v) for kv in mapping.items() for v in kv])
+    rest = F.coalesce(F.try_element_at(slow, clean_str(raw)), F.lit(default).cast("string"))
+    plain = {k: v for k, v in mapping.items() if k != "Na"}
+    out = F.when(raw.isNull(), F.lit(mapping.get("", default)).cast("string"))
+    for value in dict.fromkeys(plain.values()):
+        keys = [k.lower() for k, v in plain.items() if v == value]
+        out = out.when(low.isin(keys), F.lit(value))
+    return out.otherwise(rest)
+
+
 def clean_categorical(
     x: Column | str,
     good_vals: list[str],
@@ -24,14 +44,9 @@ def clean_categorical(
     bad_value_replace: str = BLANK,
     bad_value: str = "",
 ) -> Column:
-    c = clean_str(x)
-    good = [clean_constant(v) for v in good_vals]
-    blank_to = clean_constant(bad_value_replace)
-    return (
-        F.when(c == clean_constant(bad_value), F.lit(blank_to))
-        .when(c.isin([*good, blank_to]), c)
-        .otherwise(F.lit(clean_constant(other_replace)))
-    )
+    blank_to, bad = clean_constant(bad_value_replace), clean_constant(bad_value)
+    mapping = {v: v for v in [*map(clean_constant, good_vals), blank_to]} | {bad: blank_to}
+    return lookup(x, mapping, clean_constant(other_replace))
 
 
 def clean_yes_no(x: Column | str, *, map_yn: bool = False, **kw) -> Column:
@@ -40,8 +55,7 @@ def clean_yes_no(x: Column | str, *, map_yn: bool = False, **kw) -> Column:
     ``y`` and ``n`` become Unknown unless ``map_yn`` is set.
     """
     if map_yn:
-        c = clean_str(x)
-        x = F.when(c == "Y", F.lit(YES)).when(c == "N", F.lit(NO)).otherwise(c)
+        x = lookup(x, {"Y": YES, "N": NO, YES: YES, NO: NO, "": ""}, UNKNOWN)
     return clean_categorical(x, [YES, NO], **kw)
 
 

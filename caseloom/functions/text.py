@@ -42,7 +42,7 @@ CASE_FUNCTIONS: dict[str, CaseFn] = {
 
 
 def squeeze(x: Column) -> Column:
-    return F.regexp_replace(x, "[ ]+", " ")
+    return F.regexp_replace(x, " {2,}", " ")
 
 
 def trim_ws(x: Column) -> Column:
@@ -50,11 +50,30 @@ def trim_ws(x: Column) -> Column:
     return F.btrim(x, F.lit(_EDGE_SPACE))
 
 
+# Case functions for which applying them twice, or trimming in between, changes nothing.
+_IDEMPOTENT = (F.initcap, F.lower, F.upper, same)
+
+PUNCTUATION = r"\p{P}"
+
+
+def _without_punctuation(c: Column, pattern: str, replacement: str) -> Column:
+    if pattern == PUNCTUATION and replacement == " ":
+        return F.regexp_replace(c, r"[\p{P} ]+", " ")
+    return squeeze(F.regexp_replace(c, pattern, replacement))
+
+
+def _is_na_text(x: Column, case: CaseFn) -> Column:
+    """Whether the case function turns the text into ``Na``."""
+    if case in (F.lower, F.upper):
+        return F.lit(False)
+    return (F.lower(x) == "na") if case is F.initcap else case(x) == NA_TEXT
+
+
 def clean_str(
     x: Column | str,
     *,
     strip_punct: bool = True,
-    pattern: str = r"\p{P}",
+    pattern: str = PUNCTUATION,
     replacement: str = " ",
     na_replace: str = "",
     blank_replace: str = "",
@@ -63,18 +82,21 @@ def clean_str(
 ) -> Column:
     """Standardise free text; never null.
 
-    The literal text ``Na`` is matched before trimming, and the case function runs
-    once more at the end, so a replacement value is itself re-cased.
+    The literal text ``Na`` is matched before trimming, and a replacement value is itself
+    re-cased at the end. The usual settings cost one regular expression and one case change.
     """
-    c = _col(x).cast("string")
-    if strip_punct:
-        c = F.regexp_replace(c, pattern, replacement)
-    c = F.coalesce(case(squeeze(c)), F.lit(na_replace))
+    raw = _col(x).cast("string")
+    c = _without_punctuation(raw, pattern, replacement) if strip_punct else squeeze(raw)
+    if case not in _IDEMPOTENT:
+        c = case(c)
+    missing = raw.isNull()
     if replace_na_text:
-        c = F.when(c == NA_TEXT, F.lit(na_replace)).otherwise(c)
-    c = trim_ws(c)
+        # a replaced character stays visible in the result, so only raw "na" becomes "na"
+        visible = not strip_punct or (replacement and not any(ch.isalpha() for ch in replacement))
+        missing = missing | _is_na_text(raw if visible else c, case)
+    c = trim_ws(F.when(missing, F.lit(na_replace)).otherwise(c))
     if blank_replace != "":
-        c = F.when(c == "", F.lit(blank_replace)).otherwise(c)
+        c = F.coalesce(F.nullif(c, F.lit("")), F.lit(blank_replace))
     return case(c)
 
 

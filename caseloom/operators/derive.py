@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.categories import clean_categorical, clean_yes_no
+from ..functions.categories import clean_categorical, clean_yes_no, lookup
 from ..functions.text import NO, NOT_STATED, UNKNOWN, YES, clean_str, matching, squeeze
 
 # The dates an episode is dated by, in order, and their labels.
@@ -145,11 +145,8 @@ def asymptomatic2(df: DataFrame) -> Column:
 
 
 def death_flag() -> Column:
-    return (
-        F.when(_yn("coviddeath") == YES, F.lit(YES))
-        .when(clean_str("disposition").isin("Deceased", "", UNKNOWN), F.lit(UNKNOWN))
-        .otherwise(F.lit(NO))
-    )
+    unclear = dict.fromkeys(["Deceased", "", UNKNOWN], UNKNOWN)
+    return F.when(_yn("coviddeath") == YES, F.lit(YES)).otherwise(lookup("disposition", unclear, NO))
 
 
 def sex2() -> Column:
@@ -192,12 +189,7 @@ DISPOSITION_MAP = {
 
 def disposition2() -> Column:
     """Nine fixed values need no lookup join; anything unmapped is null."""
-    own = clean_str("disposition")
-    out = F.lit(None).cast("string")
-    for value in dict.fromkeys(DISPOSITION_MAP.values()):
-        keys = [k for k, v in DISPOSITION_MAP.items() if v == value]
-        out = F.when(own.isin(keys), F.lit(value)).otherwise(out)
-    return out
+    return lookup("disposition", DISPOSITION_MAP)
 
 
 def recovery_date2() -> Column:
@@ -220,11 +212,9 @@ def exposure_country(
 
 
 def exposure_cat2() -> Column:
-    own = clean_str("exposure_cat")
-    return (
-        F.when(own == "", F.lit("Missing"))
-        .when(F.lower(own).contains("domestic"), F.lit("Domestic acquisition"))
-        .otherwise(own)
+    domestic = F.lower("exposure_cat").contains("domestic")
+    return F.when(domestic, F.lit("Domestic acquisition")).otherwise(
+        clean_str("exposure_cat", blank_replace="Missing")
     )
 
 

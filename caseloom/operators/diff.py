@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,24 +114,37 @@ def cell_diff(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> Da
     """
     skip = {"phacid", *keys}
     cols = [c for c in common_columns(first, second) if c not in skip]
+    a_types, b_types = dict(first.dtypes), dict(second.dtypes)
     a = first.select(*[F.col(k).alias(k) for k in keys], F.col("phacid").alias("phacid_orig"),
-                     *[F.col(c).cast("string").alias(f"{c}_orig") for c in cols])
+                     *[F.col(c).alias(f"{c}_orig") for c in cols])
     b = second.select(*[F.col(k).alias(f"{k}__b") for k in keys], F.col("phacid").alias("phacid_meta"),
-                      *[F.col(c).cast("string").alias(f"{c}_meta") for c in cols])
+                      *[F.col(c).alias(f"{c}_meta") for c in cols])
     on = [a[k].eqNullSafe(b[f"{k}__b"]) for k in keys]
     joined = a.join(b, on, "inner")
+
+    def differs(c: str):
+        x, y = F.col(f"{c}_orig"), F.col(f"{c}_meta")
+        # values of one type are compared as they are; text is made of the few that differ
+        native = a_types[c] == b_types[c] and a_types[c] not in ("float", "double")
+        return x != y if native else x.cast("string") != y.cast("string")
+
     cells = [
         F.when(
-            F.col(f"{c}_orig") != F.col(f"{c}_meta"),
+            differs(c),
             F.struct(
                 F.lit(c).alias("colname"),
-                F.col(f"{c}_orig").alias("orig"),
-                F.col(f"{c}_meta").alias("meta"),
+                F.col(f"{c}_orig").cast("string").alias("orig"),
+                F.col(f"{c}_meta").cast("string").alias("meta"),
             ),
         )
         for c in cols
     ]
     lead = ["phacid_orig", "phacid_meta", *keys]
+    if not cols:
+        return joined.select(F.lit("").alias("colname"), *lead, F.lit("").alias("value_orig"),
+                             F.lit("").alias("value_meta")).where(F.lit(False))
+    # equal rows, usually nearly all, are dropped inside the join
+    joined = joined.where(reduce(lambda x, y: x | y, [F.coalesce(differs(c), F.lit(False)) for c in cols]))
     return (
         joined.select(*lead, F.explode(F.array_compact(F.array(*cells))).alias("e"))
         .select(
