@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,18 @@ def flat_dates(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def parse_dates(df: DataFrame) -> DataFrame:
+    """Dates from the ISO text of columns named like dates, for sources that deliver text only."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        named = "date" in f.name.lower() and not re.search(NOT_DATES, f.name, re.IGNORECASE)
+        if named and isinstance(f.dataType, T.StringType):
+            c = to_date(c, f.dataType)
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
 def week_of_year(d: Column) -> Column:
     """Week counted in whole sevens from 1 January (not the ISO week)."""
     return (F.floor((F.dayofyear(d) - 1) / 7) + 1).cast("int")

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_str, lower_names
 from ..plans.sizing import null_safe
+from .derive import age_group10
 
 KEYS = ["pt", "ptcaseid"]
 REPORT = ["phacid", "pt", "ptcaseid", "phacreporteddate", "classification"]
@@ -156,29 +157,50 @@ def cell_diff(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> Da
 
 
 
-def case_view(cases: DataFrame, symptoms: DataFrame, *, symptom_ids: dict[str, int] | None = None) -> DataFrame:
-    """Flat view of the confirmed cases with their symptoms in columns and status values.
+# Travel locations that are not abroad.
+NOT_ABROAD = ["canada", "unclassifiable", "pei", "not collected"]
 
-    Symptoms are reduced to one row per case before the join, so neither side is
-    multiplied and a case with many symptom rows stays one row.
+
+def case_view(
+    cases: DataFrame, symptoms: DataFrame, severity: DataFrame, exposures: DataFrame, lab: DataFrame,
+    travel: DataFrame, *, symptom_ids: dict[str, int] | None = None,
+) -> DataFrame:
+    """Flat view of the confirmed cases from the normalised tables.
+
+    Tables with several rows per case are reduced to one before the join, so no side
+    multiplies another, and all joins are on the case id: each side is shuffled once.
     """
     ids = symptom_ids or {f"sym{v}": k for k, v in SYMPTOM_NAMES.items() if k > 1}
     value, number = F.col("symptomvalue"), F.col("symptomid")
+
+    def any_row(cond: Column) -> Column:
+        return F.max(F.when(cond, 1)) == 1
+
     wide = symptoms.groupBy("phacid").agg(
-        F.max(F.when((number > 1) & (number < 35) & (value == "yes"), 1)).alias("__any"),
-        F.max(F.when(number == 1, value)).alias("__own"),
-        F.max(F.when(number == 1, 1)).alias("__asked"),
+        any_row((number > 1) & (number < 35) & (value == "yes")).alias("s_any"),
+        any_row(number == 1).alias("s_asked"),
+        F.max(F.when(number == 1, value)).alias("s_own"),
         *[F.max(F.when(number == n, value)).alias(c) for c, n in ids.items()],
     )
+    tested = lab.groupBy("phacid").agg(
+        F.min("labspecimencollectiondate").alias("l_taken"), F.min("labtestresultdate").alias("l_result")
+    )
+    place = F.col("travel_international_loc")
+    travelled = travel.groupBy("phacid").agg(
+        any_row(~place.isin(NOT_ABROAD)).alias("t_abroad"), any_row(place == "canada").alias("t_home")
+    )
+    contact = exposures.select(
+        "phacid", F.col("closecontacttravel").alias("e_travel"), F.col("closecontactcase").alias("e_case")
+    )
 
-    def stated(c: str):
+    def stated(c: str) -> Column:
         x = F.col(c)
         return F.when(x.isNull() | (x == ""), F.lit("not stated")).otherwise(x)
 
     asymptomatic = (
-        F.when(F.col("__any") == 1, F.lit("no"))
-        .when(F.col("__asked").isNull(), F.lit("unknown"))
-        .otherwise(F.col("__own"))
+        F.when(F.col("s_any"), F.lit("no"))
+        .when(F.col("s_asked"), F.col("s_own"))
+        .otherwise(F.lit("unknown"))
     )
     icu = (
         (F.col("icu") == "yes") | F.col("icustartdate").isNotNull()
@@ -196,13 +218,22 @@ def case_view(cases: DataFrame, symptoms: DataFrame, *, symptom_ids: dict[str, i
         .when(d.isin("not reported", "other", "pending", ""), F.lit("unknown"))
         .otherwise(d)
     )
-    confirmed = cases.where(F.col("classification") == "confirmed").drop(*ids)
-    return confirmed.join(wide, "phacid", "left").select(
-        "phacid", "pt", "episodedate", "classification", stated("sex").alias("sex2"), "agegroup10", "age",
-        stated("occupationspec").alias("occupation2"),
-        stated("healthcare_worker").alias("healthcare_worker2"),
-        stated("ltc_resident").alias("ltc_resident2"),
-        asymptomatic.alias("asymptomatic2"), "onsetdate", *ids,
+    exposure = (
+        F.when(F.col("t_abroad") | (F.col("pt") == "repatriate"), F.lit("international travel"))
+        .when(F.col("e_travel") == "yes", F.lit("domestic acquisition"))
+        .when(F.col("e_case").isNotNull() | F.col("t_home"), F.lit("domestic acquisition"))
+        .when(F.col("pt") == "on", F.lit("information pending"))
+    )
+    joined = cases.where(F.col("classification") == "confirmed")
+    for side in (wide, severity, contact, tested, travelled):
+        joined = joined.join(side, "phacid", "left")
+    return joined.select(
+        "phacid", "pt", F.coalesce("onsetdate", "l_taken", "l_result").alias("episodedate"),
+        "classification", stated("sex").alias("sex2"),
+        age_group10("age", "agegrouping").alias("agegroup10"), "age",
+        stated("occupation").alias("occupation2"), stated("occupationhcw").alias("healthcare_worker2"),
+        stated("ltc_resident").alias("ltc_resident2"), asymptomatic.alias("asymptomatic2"), "onsetdate", *ids,
         hospital.alias("hospstatus"), outcome.alias("disposition2"),
         F.when(d == "recovered", F.col("recoverydate")).alias("recoverydate2"),
+        exposure.alias("exposure_cat2"),
     )

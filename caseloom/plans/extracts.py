@@ -30,6 +30,7 @@ def do_nothing(df: DataFrame) -> DataFrame:
 ADJUSTERS: dict[str, Adjust] = {
     "do_nothing": do_nothing,
     "clean_names": clean_names,
+    "do_something": clean_names,
     "make_data_hub": reports.data_hub,
     "remove_pt_cols": clean.drop_identifiers,
     "remove_retired_cols": clean.drop_retired,

@@ -41,9 +41,16 @@ def save_truncated(df: DataFrame, path: str) -> None:
     save_parquet(truncate_names(df), path)
 
 
+# Writers by the names that extract configurations use. An object-store target is a path like
+# any other, and single-machine formats are written as their columnar equivalent.
 SAVERS: dict[str, Saver] = {
     "save_csv": save_csv,
     "save_parquet": save_parquet,
+    "save_feather": save_parquet,
     "save_table": save_table,
+    "save_db": save_table,
     "save_truncated": save_truncated,
+    "save_sas7bdat": save_truncated,
+    "save_azure": save_csv,
+    "save_azure_modelling": save_csv,
 }

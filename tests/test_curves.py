@@ -100,3 +100,18 @@ def test_leading_age(spark):
     assert sorted(values(rates.value_counts_by_age(df, "v"), "age_group", "min_age"), key=str) == [
         ("0-19", 0), ("80+", 80), ("Unknown", None),
     ]
+
+
+def test_limits_travel_without_the_package(tmp_path):
+    """Executors have no copy of the package: the functions are pickled by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from caseloom.functions import binomial
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(binomial.exact_limits))
+    code = "import pickle, numpy as np; print(pickle.load(open('f.pkl', 'rb'))(np.array([0]), np.array([5]), 0.05)[0][0])"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "0.0", done.stderr

@@ -115,3 +115,13 @@ def test_serial_dates_and_weeks(spark):
     ]
     days = spark.createDataFrame([(D(2021, 1, 1),), (D(2020, 12, 31),), (D(2021, 1, 8),)], "d date")
     assert values(days.select(dates.week_of_year(F.col("d")).alias("w"))) == [1, 53, 2]
+
+
+def test_parse_dates(spark):
+    df = spark.createDataFrame(
+        [("2020-01-05", "2020-01-05 11:00:00", "2020-01-05", "yes"), ("x", None, "2020-01-05", "no")],
+        "onsetdate string, reporteddate string, earliestdatetype string, detectedatentry string",
+    )
+    assert values(dates.parse_dates(df)) == [
+        (D(2020, 1, 5), D(2020, 1, 5), "2020-01-05", "yes"), (None, None, "2020-01-05", "no"),
+    ]

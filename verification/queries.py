@@ -60,6 +60,25 @@ add(
 )
 
 
+def _text_dates(spark, sf):
+    text_only = fx.cases(spark, sf).select(
+        *[F.col(c).cast("string").alias(c) for c in ("phacid", "onsetdate", "deathdate")],
+        F.concat(F.col("reporteddate").cast("string"), F.lit(" 10:30:00")).alias("reporteddate"),
+        F.when(F.col("k") % 7 == 0, F.lit("not a date")).otherwise(F.col("recoverydate").cast("string")).alias(
+            "recoverydate"),
+        F.lit("2020-01-01").alias("earliestdatetype"),
+    )
+    return dates.parse_dates(text_only)
+
+
+add(
+    "parse_text_dates",
+    _text_dates,
+    f"{W} SELECT phacid, onsetdate, deathdate, reporteddate, CASE WHEN k % 7 <> 0 THEN recoverydate END AS recoverydate, "
+    "'2020-01-01' AS earliestdatetype FROM cases",
+)
+
+
 def _sql_extract(spark, sf):
     fx.cases(spark, sf).createOrReplaceTempView("caseloom_all_cases")
     found = tables.SqlExtracts(spark)
@@ -745,42 +764,76 @@ add(
 FROM a JOIN b USING (phacid)""",
 )
 
-_LOW = {c: f"lower({c})" for c in ("classification", "disposition", "hosp", "icu", "mechanicalvent", "sex")}
-_VIEW_SYM = ", ".join(
-    f"max(symptomvalue) FILTER (symptomid = {i}) AS sym{n}" for i, n in diff.SYMPTOM_NAMES.items() if i > 1
-)
+_VIEW_SYM = [(i, f"sym{n}") for i, n in diff.SYMPTOM_NAMES.items() if i > 1]
+# the normalised tables, cut from the wide fixture; the same text runs in both engines
+_NORMAL = {
+    "cases_n": "SELECT phacid, pt, lower(classification) AS classification, lower(sex) AS sex, age, "
+    "agegroup10 AS agegrouping, occupationspec AS occupation, healthcare_worker AS occupationhcw, ltc_resident, "
+    "onsetdate FROM {cases}",
+    "severity_n": "SELECT phacid, lower(hosp) AS hosp, hospstartdate, lower(icu) AS icu, icustartdate, mechanicalvent, "
+    "ventstartdate, lower(disposition) AS disposition, recoverydate FROM {cases} WHERE k % 97 <> 0",
+    "exposures_n": "SELECT phacid, CASE WHEN k % 5 = 0 THEN 'yes' END AS closecontacttravel, "
+    "lower(closecontactcase) AS closecontactcase FROM {cases} WHERE k % 3 <> 2",
+    "lab_n": "SELECT phacid, earliestlabcollectiondate AS labspecimencollectiondate, earliestlabtestresultdate AS "
+    "labtestresultdate FROM {cases} UNION ALL SELECT phacid, reporteddate, phacreporteddate FROM {cases} WHERE k % 2 = 0",
+    "travel_n": "SELECT phacid, lower(travelfromcountry1) AS travel_international_loc FROM {cases} WHERE "
+    "travelfromcountry1 IS NOT NULL UNION ALL SELECT phacid, lower(traveltocountry1) FROM {cases} WHERE "
+    "traveltocountry1 IS NOT NULL",
+}
 
 
 def _case_view(spark, sf):
-    cases = fx.cases(spark, sf).withColumns({c: F.lower(c) for c in _LOW})
-    return diff.case_view(cases, fx.symptoms(spark, sf))
+    cases = fx.cases(spark, sf)
+    t = {name: spark.sql(sql, cases=cases) for name, sql in _NORMAL.items()}
+    return diff.case_view(
+        t["cases_n"], fx.symptoms(spark, sf), t["severity_n"], t["exposures_n"], t["lab_n"], t["travel_n"]
+    )
 
 
 def _stated(c: str) -> str:
     return f"CASE WHEN {c} IS NULL OR {c} = '' THEN 'not stated' ELSE {c} END"
 
 
+_BANDS = " ".join(
+    f"WHEN age <= {n + 9} OR agegrouping = '{n}-{n + 9}' THEN '{n} to {n + 9}'" for n in range(20, 80, 10)
+)
 add(
     "case_view_sql",
     _case_view,
-    f"""{S.WITH_BOTH}, c AS (SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in _LOW.items())})
-  FROM cases WHERE lower(classification) = 'confirmed'),
-w AS (SELECT phacid, {_VIEW_SYM}, max(symptomvalue) FILTER (symptomid = 1) AS own FROM symptoms GROUP BY phacid)
-SELECT phacid, pt, episodedate, classification, {_stated('sex')} AS sex2, agegroup10, age,
-  {_stated('occupationspec')} AS occupation2, {_stated('healthcare_worker')} AS healthcare_worker2,
-  {_stated('ltc_resident')} AS ltc_resident2,
-  CASE WHEN phacid IN (SELECT phacid FROM symptoms WHERE symptomid > 1 AND symptomid < 35 AND symptomvalue = 'yes')
+    f"""{S.WITH_BOTH}, {', '.join(f'{n} AS ({q.format(cases="cases")})' for n, q in _NORMAL.items())}
+SELECT c.phacid, c.pt, CASE WHEN c.onsetdate IS NOT NULL THEN c.onsetdate
+    WHEN min(l.labspecimencollectiondate) IS NOT NULL THEN min(l.labspecimencollectiondate)
+    ELSE min(l.labtestresultdate) END AS episodedate,
+  c.classification, {_stated('c.sex')} AS sex2,
+  CASE WHEN age <= 19 OR agegrouping = '0-19' THEN '0 to 19' {_BANDS}
+    WHEN age >= 80 OR agegrouping = '80+' THEN '80 or plus' ELSE 'unknown' END AS agegroup10, c.age,
+  {_stated('c.occupation')} AS occupation2, {_stated('c.occupationhcw')} AS healthcare_worker2,
+  {_stated('c.ltc_resident')} AS ltc_resident2,
+  CASE WHEN c.phacid IN (SELECT phacid FROM symptoms WHERE symptomid > 1 AND symptomid < 35 AND symptomvalue = 'yes')
        THEN 'no'
-       WHEN phacid NOT IN (SELECT phacid FROM symptoms WHERE symptomid = 1) THEN 'unknown' ELSE w.own END AS asymptomatic2,
-  onsetdate, {', '.join('w.sym' + n for i, n in diff.SYMPTOM_NAMES.items() if i > 1)},
+       WHEN c.phacid NOT IN (SELECT phacid FROM symptoms WHERE symptomid = 1) THEN 'unknown'
+       ELSE (SELECT max(symptomvalue) FROM symptoms o WHERE symptomid = 1 AND o.phacid = c.phacid) END AS asymptomatic2,
+  c.onsetdate,
+  {', '.join(f'max(CASE WHEN s.symptomid = {i} THEN s.symptomvalue END) AS {n}' for i, n in _VIEW_SYM)},
   CASE WHEN icu = 'yes' OR icustartdate IS NOT NULL OR mechanicalvent = 'yes' OR ventstartdate IS NOT NULL
        THEN 'hospitalized - icu'
        WHEN hosp = 'yes' OR hospstartdate IS NOT NULL THEN 'hospitalized - non-icu'
        WHEN hosp = 'no' THEN 'not hospitalized' ELSE 'unknown' END AS hospstatus,
   CASE WHEN disposition IN ('ill', 'self isolation') THEN 'stable'
        WHEN disposition IN ('not reported', 'other', 'pending', '') THEN 'unknown' ELSE disposition END AS disposition2,
-  CASE WHEN disposition = 'recovered' THEN recoverydate END AS recoverydate2
-FROM c LEFT JOIN w USING (phacid)""",
+  CASE WHEN disposition = 'recovered' THEN recoverydate END AS recoverydate2,
+  CASE WHEN c.phacid IN (SELECT phacid FROM travel_n WHERE travel_international_loc NOT IN
+         ('canada', 'unclassifiable', 'pei', 'not collected')) OR c.pt = 'repatriate' THEN 'international travel'
+       WHEN e.closecontacttravel = 'yes' OR e.closecontactcase = 'yes' THEN 'domestic acquisition'
+       WHEN e.closecontactcase IS NOT NULL OR c.phacid IN
+         (SELECT phacid FROM travel_n WHERE travel_international_loc IN ('canada')) THEN 'domestic acquisition'
+       WHEN c.pt = 'on' THEN 'information pending' END AS exposure_cat2
+FROM cases_n c LEFT JOIN symptoms s ON s.phacid = c.phacid LEFT JOIN severity_n v ON v.phacid = c.phacid
+LEFT JOIN exposures_n e ON e.phacid = c.phacid LEFT JOIN lab_n l ON l.phacid = c.phacid
+WHERE c.classification = 'confirmed'
+GROUP BY c.phacid, c.pt, c.onsetdate, c.classification, c.sex, c.age, c.agegrouping, c.occupation, c.occupationhcw,
+  c.ltc_resident, hosp, hospstartdate, icu, icustartdate, mechanicalvent, ventstartdate, disposition, recoverydate,
+  e.closecontacttravel, e.closecontactcase""",
 )
 
 # ---- quality rules ----------------------------------------------------------------
