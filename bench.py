@@ -8,7 +8,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from caseloom.plans.session import SETTINGS
+from caseloom.plans.session import SETTINGS, START_SETTINGS
 from verification.queries import QUERIES
 
 HEADLINE = [
@@ -36,7 +36,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
-    for k, v in SETTINGS.items():
+    for k, v in (SETTINGS | START_SETTINGS).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

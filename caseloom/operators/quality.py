@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_col, date_columns
 from ..functions.text import YES, clean_str, matching, na_text
+from ..plans.session import small_methods
 from .derive import episode_date
 
 Hit = tuple[Column, Column]
@@ -339,8 +340,15 @@ def with_errors(df: DataFrame, chosen: list[Rule], keep: list[str]) -> DataFrame
     ]
     if not hits:
         return df.select(*keep, F.lit("").alias("typ"), F.lit("").alias("err")).where(F.lit(False))
-    found = F.array_compact(F.array(*hits))
-    return df.select(*keep, F.explode(found).alias("hit")).select(*keep, "hit.typ", "hit.err")
+    if not small_methods(df.sparkSession):
+        found = F.explode(F.array_compact(F.array(*hits)))
+        return df.select(*keep, found.alias("hit")).select(*keep, "hit.typ", "hit.err")
+    # a projection of its own compiles the rules; with very large methods that would be slower
+    listed = df.select(*keep, F.array(*hits).alias("hits"))
+    found = F.explode_outer(F.array_compact("hits"))
+    return (
+        listed.select(*keep, found.alias("hit")).where("hit is not null").select(*keep, "hit.typ", "hit.err")
+    )
 
 
 def rule_errors(

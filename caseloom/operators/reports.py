@@ -46,6 +46,19 @@ def all_cases(df: DataFrame) -> DataFrame:
     )
 
 
+def publish_views(cases: DataFrame, columns: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """Register the published views as projections of the derived case table.
+
+    A view that is not listed has every column. Views are lazy: each extract reads only its
+    columns.
+    """
+    views = {}
+    for name in dict.fromkeys(v for v, _ in REPORT_VIEWS.values()):
+        views[name] = cases.select(*columns[name]) if name in columns else cases
+        views[name].createOrReplaceTempView(name)
+    return views
+
+
 def report(views: dict[str, DataFrame], name: str) -> DataFrame:
     view, without = REPORT_VIEWS[name]
     return views[view].drop(*without)

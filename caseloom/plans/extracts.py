@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_col
 from ..functions.categories import clean_constant
-from ..functions.text import NA_TEXT, clean_names, clean_str
+from ..functions.text import NA_TEXT, clean_names, clean_str, snake_case
 from ..operators import clean, quality, reports, summary
 from ..sources.sinks import SAVERS, Saver, save_csv
 from ..sources.tables import SqlExtracts
@@ -95,6 +95,17 @@ def run_extract(extracts: SqlExtracts, extract: Extract) -> DataFrame:
     return adjusted
 
 
+def report_extracts(out: str, days: dict[str, dict[str, str]] | None = None) -> list[Extract]:
+    """One extract per named report over the published views, due every day unless told otherwise."""
+    made = []
+    for name, (view, without) in reports.REPORT_VIEWS.items():
+        cols = f"* EXCEPT ({', '.join(without)})" if without else "*"
+        extra = {"days": days[name]} if days and name in days else {}
+        folder = snake_case(name)
+        made.append(Extract(folder, f"SELECT {cols} FROM {view}", f"{out}/{folder}", **extra))
+    return made
+
+
 def run_due(spark: SparkSession, config: Iterable[Extract], asof: dt.date) -> list[Extract]:
     """Run every extract that is due; equal SQL texts share one DataFrame."""
     extracts = SqlExtracts(spark)

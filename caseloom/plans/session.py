@@ -13,8 +13,16 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Only settable when the session is made: without it every column call inspects the Python stack.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
     return spark
+
+
+def small_methods(spark: SparkSession) -> bool:
+    """Whether generated methods are limited to a size that the JVM compiles."""
+    return int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000

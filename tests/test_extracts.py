@@ -122,3 +122,14 @@ def test_rules_on_a_stream(spark, tmp_path):
 
     batch = error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE, ordered=False)
     assert spark.read.parquet(f"{tmp_path}/out").count() == batch.count()
+
+
+def test_named_reports(spark, tmp_path):
+    hub = spark.range(3).select(F.lit("x").alias("pt"), F.col("id").alias("n"))
+    reports.publish_views(hub, {"all_cases_web": ["n"]})
+    config = extracts.report_extracts(str(tmp_path), {"StatsCan": {"Tue": "x"}})
+    done = {e.nm: e for e in extracts.run_due(spark, config, MONDAY)}
+    assert "stats_can" not in done and len(done) == 6
+    assert spark.read.option("header", True).csv(done["hc_daily"].path).columns == ["n"]
+    assert spark.read.option("header", True).csv(done["data_hub"].path).columns == ["pt", "n"]
+    assert spark.read.option("header", True).csv(done["qry_allcases_web"].path).columns == ["n"]

@@ -100,3 +100,31 @@ def test_report_scans_once(cases):
 def test_unique_check(spark):
     with pytest.raises(ValueError, match="not unique"):
         assert_unique(spark.createDataFrame([("a",), ("a",)], "phacid string"), "phacid")
+
+
+def test_both_plan_forms_agree(spark, cases):
+    def report():
+        df = quality.error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE, ordered=False)
+        return sorted(values(df, "phacid", "typ", "err"))
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    first, old = report(), spark.conf.get(key)
+    spark.conf.set(key, 65535)
+    try:
+        assert report() == first
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_resolution_layout(spark, cases):
+    df = one(spark, cases, disposition="ill", recoverydate="2020-03-01", age=5).withColumnRenamed(
+        "recoverydate", "resolutiondate"
+    )
+    out = quality.error_report(df, asof="2021-01-01", words=quality.RESOLUTION)
+    assert sorted(values(out, "typ", "err")) == [
+        ("No Age units", "Exact Age is given but Age units are not."),
+        (
+            "Resolution date listed but not resolved",
+            "Resolution date of '2020-03-01' is listed but Disposition is 'ill'",
+        ),
+    ]

@@ -11,7 +11,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-from caseloom.plans.session import apply_settings
+from caseloom.plans.session import START_SETTINGS, apply_settings
 
 from .queries import ORACLES, QUERIES
 
@@ -21,7 +21,7 @@ def session(cores: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]").appName("caseloom-check")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.driver.memory", "8g").config(map=START_SETTINGS).getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return apply_settings(spark)

@@ -158,7 +158,13 @@ def _run_extract(spark, sf):
     cases.createOrReplaceTempView("caseloom_run_cases")
     out = scratch_path(spark, "extracts")
     sql = "select * from caseloom_run_cases"
+    reports.publish_views(
+        published(spark, sf),
+        {"all_cases": _CSV, "all_cases_web": clean.WEB_COLUMNS, "data_hub": HUB_COLS, "who": clean.TREND_COLUMNS,
+         "statscan": clean.WEEKLY_COLUMNS, "modelling_data": ["phacid", "hospstatus", "death", "comorbidity"]},
+    )
     config = [
+        *extracts.report_extracts(out, {"WHO": {"Mon": "x"}}),
         extracts.Extract("all", sql, f"{out}/all", saving_func="save_parquet", copy_path=f"{out}/copy"),
         extracts.Extract("no_ids", sql, f"{out}/no_ids", adjust_func="remove_pt_cols"),
         extracts.Extract("weekdays_only", sql, f"{out}/never", days={"Mon": "x", "Sat": " "}),
@@ -202,7 +208,9 @@ add(
     f"""{S.WITH_RULES}, errs AS ({_ALL_ERRORS}), ijn AS ({_TRAVEL_SQL.format(asof=ASOF, reported=7, episode=14)})
 SELECT 'daily_headline' AS nm, CAST(1 AS BIGINT) AS n_rows UNION ALL SELECT 'db_errs', count(*) FROM errs
 UNION ALL SELECT 'all', count(*) FROM cases UNION ALL SELECT 'no_ids', count(*) FROM cases
-UNION ALL SELECT 'ijn', count(*) FROM ijn UNION ALL SELECT 'copy', count(*) FROM cases""",
+UNION ALL SELECT 'ijn', count(*) FROM ijn UNION ALL SELECT 'copy', count(*) FROM cases
+UNION ALL SELECT unnest(['stats_can', 'data_hub', 'hc_daily', 'domestic_surveillance', 'qry_allcases_web',
+  'qry_allcases']), (SELECT count(*) FROM cases)""",
 )
 
 REPORT_CONFIG = [
@@ -1096,4 +1104,4 @@ FROM src JOIN lim USING (x, tot) JOIN rec USING (pt) JOIN overall USING (pt)
 WHERE (is_recorded_fraction >= 0.9 AND sample_size > 100) OR pt = 'CANADA'""",
 )
 
-__all__ = ["ORACLES", "QUERIES", "dq_report"]
+__all__ = ["ORACLES", "QUERIES"]

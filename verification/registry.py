@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caseloom.plans.session import apply_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -13,7 +15,12 @@ ORACLES: dict[str, str] = {}
 
 
 def add(name: str, run: Query, sql: str | None = None) -> None:
+    """Register a query; it runs with the library's session settings."""
     assert name not in QUERIES, name
-    QUERIES[name] = run
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(apply_settings(spark), sf_dir)
+
+    QUERIES[name] = query
     if sql is not None:
         ORACLES[name] = sql
