@@ -48,24 +48,38 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return h
 
 
+def _ln_density(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Log of x(1 - x) times the beta density."""
+    return _ln_gamma(a + b) - _ln_gamma(a) - _ln_gamma(b) + a * np.log(x) + b * np.log1p(-x)
+
+
 def beta_cdf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Regularised incomplete beta for 0 < x < 1, element by element."""
     swap = x > (a + 1.0) / (a + b + 2.0)
     aa, bb, xx = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1.0 - x, x)
-    front = np.exp(
-        _ln_gamma(aa + bb) - _ln_gamma(aa) - _ln_gamma(bb) + aa * np.log(xx) + bb * np.log1p(-xx)
-    )
-    p = front * _beta_fraction(aa, bb, xx) / aa
+    p = np.exp(_ln_density(aa, bb, xx)) * _beta_fraction(aa, bb, xx) / aa
     return np.where(swap, 1.0 - p, p)
 
 
 def beta_quantile(p: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Newton steps kept inside a shrinking bracket; a step that leaves it is a bisection."""
     lo, hi = np.zeros_like(a), np.ones_like(a)
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        below = beta_cdf(a, b, mid) < p
-        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
-    return (lo + hi) / 2
+    mean = a / (a + b)
+    spread = np.sqrt(mean * (1 - mean) / (a + b + 1))
+    x = np.clip(mean + (2 if p > 0.5 else -2) * spread, 1e-12, 1 - 1e-12)
+    for _ in range(200):
+        gap = beta_cdf(a, b, x) - p
+        lo, hi = np.where(gap < 0, x, lo), np.where(gap < 0, hi, x)
+        density = np.exp(_ln_density(a, b, x)) / (x * (1 - x))
+        with np.errstate(over="ignore"):
+            step = x - gap / np.where(density > 0, density, np.inf)
+        inside = (density > 0) & (step > lo) & (step < hi)
+        new = np.where(inside, step, (lo + hi) / 2)
+        done = np.all(np.abs(new - x) <= 1e-12 * np.maximum(x, 1e-3))
+        x = new
+        if done:
+            break
+    return x
 
 
 def exact_limits(x: np.ndarray, n: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:

@@ -68,11 +68,28 @@ def _prepared(df: DataFrame, names: list[str], group: str | None, id_col: str, k
     ).where(F.col("grp").isNotNull())
 
 
+def _with_group_columns(df: DataFrame, own: Column | None, side: DataFrame, small: bool) -> DataFrame:
+    """Add the columns of a table that has one row per region, named ``grp``.
+
+    Without regions that table is one row of parameters: its values become literals, as a join
+    would have no key.
+    """
+    if own is not None:
+        side = side.withColumnRenamed("grp", "__grp")
+        return df.join(hinted(side, small), own == F.col("__grp"), "left")
+    types = dict(side.dtypes)
+    row = side.first()
+    added = {c: F.lit(row[c] if row else None).cast(t) for c, t in types.items() if c != "grp"}
+    return df.withColumns({"__grp": F.lit(""), **added})
+
+
 class _Model:
     """Small tables learnt from the data: gap histogram, its ranges and the usable pairs."""
 
-    def __init__(self, rows: DataFrame, targets: list[str], sources: list[str], min_frac: float):
-        self.targets, self.sources = targets, sources
+    def __init__(
+        self, rows: DataFrame, targets: list[str], sources: list[str], min_frac: float, grouped: bool
+    ):
+        self.targets, self.sources, self.grouped = targets, sources, grouped
         self.pairs = _pairs(targets, sources)
         entries = [
             F.struct(F.lit(t).alias("target"), F.lit(s).alias("source"), F.datediff(s, t).alias("gap"))
@@ -89,8 +106,6 @@ class _Model:
             .agg(F.count(F.lit(1)).alias("n"))
         )
         self.hist = materialise(hist)
-        # tables with a row per region or pair have no more rows than the histogram
-        self.small = is_small(self.hist)
         known = F.col("gap").isNotNull()
         is_pair = F.col("target") != F.col("source")
         self.bounds = (
@@ -111,6 +126,8 @@ class _Model:
             .where((F.col("n_rows") - F.col("donors")) / F.lit(min_frac) < F.col("n_rows"))
             .select(*_PAIR, "donors")
         )
+        # tables with one row per region have no more rows than this one
+        self.small = is_small(self.usable)
         ordered = Window.partitionBy(*_PAIR).orderBy("gap")
         hi = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
         ranges = (
@@ -135,7 +152,8 @@ class _Model:
 
     def draw_missing(self, rows: DataFrame, seed: int) -> DataFrame:
         """Draw for every missing gap of every usable pair: ``id, grp, target, source, gap``."""
-        side = hinted(self.donors_by_group(), self.small)
+        own = F.col("grp") if self.grouped else None
+        asked = _with_group_columns(rows, own, self.donors_by_group(), self.small)
         wanted = [
             F.when(
                 F.datediff(s, t).isNull() & F.col(f"d_{t}_{s}").isNotNull(),
@@ -147,8 +165,7 @@ class _Model:
         ]
         id_col = rows.columns[0]
         asked = (
-            rows.join(side, "grp")
-            .select(id_col, "grp", "key", F.explode(F.array_compact(F.array(*wanted))).alias("e"))
+            asked.select(id_col, "grp", "key", F.explode(F.array_compact(F.array(*wanted))).alias("e"))
             .select(id_col, "grp", "e.target", "e.source", "e.donors",
                     _position(F.col("key"), F.col("e.donors"), seed).alias("at"))
             .withColumn("slot", _slot(F.col("at"), F.col("donors")))
@@ -177,7 +194,7 @@ def date_deltas(
 ) -> DataFrame:
     """Gaps of each usable source to the target, the missing ones filled by draws."""
     rows = _prepared(df, [target, *sources], group, id_col, key)
-    model = _Model(rows, [target], sources, min_frac)
+    model = _Model(rows, [target], sources, min_frac, group is not None)
     gaps = F.array(
         *[F.struct(F.lit(s).alias("source"), F.datediff(s, target).alias("gap")) for _, s in model.pairs]
     )
@@ -216,7 +233,7 @@ def impute_dates(
     pass their size check.
     """
     rows = _prepared(df, [*targets, *sources], group, id_col, key)
-    model = _Model(rows, targets, sources, min_frac)
+    model = _Model(rows, targets, sources, min_frac, group is not None)
     ranked = model.ranks(rows, seed)
 
     cells = []
@@ -236,16 +253,15 @@ def impute_dates(
     per_group = (
         model.bounds.groupBy("grp").agg(*limits)
         .join(ranked.groupBy("grp").agg(*cells), "grp", "left")
-        .withColumnRenamed("grp", "__grp")
     )
-    per_group = hinted(materialise(per_group), model.small)
+    per_group = materialise(per_group)
     ranges = model.ranges.withColumnsRenamed(
         {"grp": "__rgrp", "source": "__rsource", "slot": "__rslot", "gap": "__gap"}
     )
 
-    own_group = F.col(group) if group else F.lit("")
     k = (key if key is not None else row_key(id_col)).cast("long")
-    out = df.withColumn("__key", k).join(per_group, own_group == F.col("__grp"), "left")
+    own_group = F.col(group) if group else None
+    out = _with_group_columns(df.withColumn("__key", k), own_group, per_group, is_small(per_group))
     for t in targets:
         own = F.col(t).cast("date")
         options = [

@@ -32,7 +32,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a materialised table has few enough rows to be sent to every executor."""
+    """Whether a table has few enough rows to be sent to every executor; counts a small result."""
     return df.count() <= max_rows
 
 
