@@ -126,19 +126,21 @@ def with_labels(curve: DataFrame) -> DataFrame:
 
 def rolling_mean(
     counts: DataFrame, *, days: int = 7, normalise: bool = False, since: object | None = None,
-    facet: str = "facet",
+    by: list[str] = (),
 ) -> DataFrame:
     """Mean of the last ``days`` rows per facet, null until there are that many.
 
     With ``normalise`` counts and means are divided by their maximum in the facet. The
-    trimming by ``since`` comes last, so the first shown days have full windows.
+    trimming by ``since`` comes last, so the first shown days have full windows. ``by`` names the
+    series columns of a batch.
     """
-    daily = counts.groupBy(facet, "date").agg(F.sum("n").alias("n"))
-    back = Window.partitionBy(facet).orderBy("date").rowsBetween(1 - days, 0)
+    keys = [*by, "facet"]
+    daily = counts.groupBy(*keys, "date").agg(F.sum("n").alias("n"))
+    back = Window.partitionBy(*keys).orderBy("date").rowsBetween(1 - days, 0)
     mean = F.when(F.count("n").over(back) == days, F.avg("n").over(back))
     out = daily.withColumn("roll_mean", mean)
     if normalise:
-        whole = Window.partitionBy(facet)
+        whole = Window.partitionBy(*keys)
         out = out.withColumns(
             {
                 "roll_mean": F.col("roll_mean") / F.max("roll_mean").over(whole),
@@ -148,9 +150,9 @@ def rolling_mean(
     return out if since is None else out.where(F.col("date") >= as_col(since))
 
 
-def percent_fill(counts: DataFrame) -> DataFrame:
+def percent_fill(counts: DataFrame, *, by: list[str] = ()) -> DataFrame:
     """Share of each colour in the counts of its day and facet."""
-    out = with_totals(counts, ["date", "facet"], day_total=F.sum("n"))
+    out = with_totals(counts, [*by, "date", "facet"], day_total=F.sum("n"))
     return out.withColumn("share", F.col("n") / F.col("day_total")).drop("day_total")
 
 

@@ -106,12 +106,15 @@ def common_columns(first: DataFrame, second: DataFrame) -> list[str]:
     return sorted(set(first.columns) & set(second.columns))
 
 
-def cell_diff(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+def cell_diff(
+    first: DataFrame, second: DataFrame, keys: list[str] = KEYS, *, match_missing: bool = True
+) -> DataFrame:
     """Cells that both sources fill with different values, cleaned for display.
 
     One join on the key whatever the number of columns; the differing cells of a row are
     picked from an array in place. Keys are meant to be unique in each source: see
-    :func:`repeated_keys`, as a repeated key compares each pair of its rows.
+    :func:`repeated_keys`, as a repeated key compares each pair of its rows. Rows whose key has
+    a missing part are compared with each other unless ``match_missing`` is off.
     """
     skip = {"phacid", *keys}
     cols = [c for c in common_columns(first, second) if c not in skip]
@@ -120,7 +123,9 @@ def cell_diff(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> Da
                      *[F.col(c).alias(f"{c}_orig") for c in cols])
     b = second.select(*[F.col(k).alias(f"{k}__b") for k in keys], F.col("phacid").alias("phacid_meta"),
                       *[F.col(c).alias(f"{c}_meta") for c in cols])
-    on = [a[k].eqNullSafe(b[f"{k}__b"]) for k in keys]
+    on = [
+        a[k].eqNullSafe(b[f"{k}__b"]) if match_missing else a[k] == b[f"{k}__b"] for k in keys
+    ]
     joined = a.join(b, on, "inner")
 
     def differs(c: str):

@@ -20,22 +20,42 @@ def _ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
-def value_counts_by_age(
-    df: DataFrame, column: str, *, age_group: str = "agegroup20", region: str = "pt", na_replace: str = ""
+# The columns charted by age and region, with the value that stands for a missing one.
+CHARTED = [("coviddeath", "No"), ("asymptomatic", ""), ("hosp", ""), ("icu", "")]
+AGE_GROUPS = ["agegroup20", "agegroup10"]
+
+
+def _min_age(age_group: Column) -> Column:
+    return F.split(age_group, "[^0-9A-Za-z]+")[0].try_cast("int")
+
+
+def value_counts_batch(
+    df: DataFrame, series: list[tuple[str, str, str]], *, region: str = "pt"
 ) -> DataFrame:
-    """Counts by value, region and age group; ``min_age`` orders the groups."""
-    first = F.split(F.col("age_group"), "[^0-9A-Za-z]+")[0]
-    return (
-        df.groupBy(
-            F.col(region).alias("pt"),
-            F.col(age_group).alias("age_group"),
+    """Counts by value, region and age group of several (column, age group, missing value) in one scan."""
+    entries = [
+        F.struct(
+            F.lit(column).alias("column"), F.lit(age).alias("age_col"), F.col(age).alias("age_group"),
             F.coalesce(F.col(column), F.lit(na_replace)).alias("nm"),
         )
+        for column, age, na_replace in series
+    ]
+    return (
+        df.select(F.col(region).alias("pt"), F.explode(F.array(*entries)).alias("e"))
+        .groupBy("e.column", "e.age_col", "pt", "e.age_group", "e.nm")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("pt", "age_group", first.try_cast("int").alias("min_age"), "nm", "n")
+        .withColumn("min_age", _min_age(F.col("age_group")))
     )
 
 
+def value_counts_by_age(
+    df: DataFrame, column: str, *, age_group: str = "agegroup20", region: str = "pt", na_replace: str = ""
+) -> DataFrame:
+    """Counts by value, region and age group; ``min_age`` orders the groups."""
+    counts = value_counts_batch(df, [(column, age_group, na_replace)], region=region)
+    return counts.select("pt", "age_group", "min_age", "nm", "n")
+
+
 def recorded_by_region(
     counts: DataFrame, *, min_fraction: float = 0.9, min_sample: int = 100, include_canada: bool = True
 ) -> DataFrame:
@@ -52,15 +72,15 @@ def recorded_by_region(
     return out.where(enough | (F.col("pt") == NATIONAL) if include_canada else enough)
 
 
-def recorded_counts(df: DataFrame, column: str, **kw) -> DataFrame:
+def recorded_counts(df: DataFrame, series: list[tuple[str, str, str]], **kw) -> DataFrame:
     """Cleaned value counts with a flag for recorded values; one scan, then written out."""
-    counts = value_counts_by_age(df, column, **kw).withColumn("nm", clean_str(clean_up("nm")))
-    counts = counts.groupBy("pt", "age_group", "min_age", "nm").agg(F.sum("n").alias("n"))
+    counts = value_counts_batch(df, series, **kw).withColumn("nm", clean_str(clean_up("nm")))
+    counts = counts.groupBy("column", "age_col", "pt", "age_group", "min_age", "nm").agg(F.sum("n").alias("n"))
     return materialise(counts.withColumn("is_recorded", F.col("nm") != ""))
 
 
 def with_national(counts: DataFrame) -> DataFrame:
-    """Add the national rows, whose values are Yes for the positive value and No for the rest.
+    """Counts of one series with the national rows, whose values are Yes for the positive value and No for the rest.
 
     Yes is positive wherever it occurs, otherwise the most frequent recorded value is.
     """
@@ -79,7 +99,7 @@ def with_national(counts: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n"))
         .withColumn("pt", F.lit(NATIONAL))
     )
-    return national.unionByName(counts)
+    return national.unionByName(counts.select(*national.columns))
 
 
 def _yes_no(counts: DataFrame, *keys: str) -> DataFrame:
@@ -104,20 +124,9 @@ def exact_binomial_ci(df: DataFrame, x: str, n: str, *, alpha: float = 0.05, dig
     ).drop("__ci")
 
 
-def positivity_by_age(
-    df: DataFrame,
-    column: str,
-    *,
-    description: str | None = None,
-    age_group: str = "agegroup10",
-    na_replace: str = "",
-    min_fraction: float = 0.9,
-    min_sample: int = 100,
-    include_canada: bool = False,
-    alpha: float = 0.05,
+def _positivity(
+    counts: DataFrame, description: str, *, min_fraction: float, min_sample: int, include_canada: bool, alpha: float
 ) -> DataFrame:
-    """Share of positive values by region and age group, for regions that record the value."""
-    counts = recorded_counts(df, column, age_group=age_group, na_replace=na_replace)
     total = with_national(counts)
     kept = recorded_by_region(
         total, min_fraction=min_fraction, min_sample=min_sample, include_canada=include_canada
@@ -127,8 +136,7 @@ def positivity_by_age(
     )
     label = F.concat(
         F.col("pt"), F.lit(" recorded="), percent_label("is_recorded_fraction"),
-        F.lit(f"\n{description or column.upper()}="), percent_label("overall"),
-        F.lit("\nN="), thousands("sample_size"),
+        F.lit(f"\n{description}="), percent_label("overall"), F.lit("\nN="), thousands("sample_size"),
     )
     labels = kept.join(overall, "pt", "left").select("pt", label.alias("lbl"))
     by_age = (
@@ -145,3 +153,42 @@ def positivity_by_age(
         "pt", "age_group", "min_age", "nm_yes", "nm_no", "nm_total", "nm_frac_yes", "mean_ci", "lower_ci",
         "upper_ci", span.alias("nm_per_yes"), "lbl",
     )
+
+
+def positivity_batch(
+    df: DataFrame,
+    series: list[tuple[str, str, str]] | None = None,
+    *,
+    descriptions: dict[str, str] | None = None,
+    min_fraction: float = 0.9,
+    min_sample: int = 100,
+    include_canada: bool = False,
+    alpha: float = 0.05,
+) -> DataFrame:
+    """Share of positive values by region and age group for several columns and age groupings.
+
+    Regions that record a value too seldom are left out. The cases are read once for all series;
+    what follows is a loop over series on small counts.
+    """
+    series = series or [(c, age, na) for c, na in CHARTED for age in AGE_GROUPS]
+    names = descriptions or {}
+    counts = recorded_counts(df, series)
+    result = None
+    for column, age, _ in series:
+        own = counts.where((F.col("column") == column) & (F.col("age_col") == age)).drop("column", "age_col")
+        part = _positivity(
+            own, names.get(column, column.upper()), min_fraction=min_fraction, min_sample=min_sample,
+            include_canada=include_canada, alpha=alpha,
+        ).select(F.lit(column).alias("column"), F.lit(age).alias("age_col"), "*")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def positivity_by_age(
+    df: DataFrame, column: str, *, description: str | None = None, age_group: str = "agegroup10",
+    na_replace: str = "", **kw,
+) -> DataFrame:
+    """The same for one column and age grouping."""
+    names = {column: description} if description else None
+    out = positivity_batch(df, [(column, age_group, na_replace)], descriptions=names, **kw)
+    return out.drop("column", "age_col")

@@ -46,3 +46,12 @@ def test_long_to_wide_has_no_pivot_job(spark):
     wide = diff.symptoms_wide(fx.symptoms(spark, SF))
     assert wide.columns[:3] == ["phacid", "asymptomatic", "symcough"]
     assert "pivotfirst" not in wide._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_missing_keys_may_stay_apart(spark):
+    schema = "phacid string, pt string, ptcaseid string, v string"
+    a = spark.createDataFrame([("1", "x", None, "a"), ("2", "x", "2", "a")], schema)
+    b = spark.createDataFrame([("3", "x", None, "b"), ("4", "x", "2", "b")], schema)
+    assert diff.cell_diff(a, b).count() == 2
+    assert values(diff.cell_diff(a, b, match_missing=False), "phacid_orig") == ["2"]
+    assert values(diff.repeated_keys(a.union(a).where("ptcaseid = '2'")), "n") == [2]

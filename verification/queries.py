@@ -1005,6 +1005,30 @@ add(
 )
 
 
+_BATCH_CTE = W + ", " + ", ".join(
+    _curve_sql(d, c, _LUMP, f"c{i}") for i, (d, c) in enumerate(_BATCH)
+) + ", every AS (" + " UNION ALL ".join(
+    f"SELECT '{d}' AS date_col, '{c}' AS color_col, * FROM c{i}" for i, (d, c) in enumerate(_BATCH)
+) + ")"
+add(
+    "epi_batch_rolling",
+    lambda spark, sf: curves.rolling_mean(
+        curves.epi_curve_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
+    ),
+    f"""{_BATCH_CTE}, daily AS (SELECT date_col, color_col, facet, date, CAST(sum(n) AS BIGINT) AS n FROM every GROUP BY ALL)
+SELECT date_col, color_col, facet, date, n, CASE WHEN count(*) OVER w = 7 THEN avg(n) OVER w END AS roll_mean FROM daily
+WINDOW w AS (PARTITION BY date_col, color_col, facet ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+)
+add(
+    "epi_batch_percent",
+    lambda spark, sf: curves.percent_fill(
+        curves.epi_curve_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
+    ).select(*curves.SERIES, "date", "facet", "color", "share"),
+    f"{_BATCH_CTE} SELECT date_col, color_col, date, facet, color, "
+    "n / sum(n) OVER (PARTITION BY date_col, color_col, date, facet) AS share FROM every",
+)
+
+
 def _age_counts(col: str, age: str, na: str = "") -> str:
     return (
         f"counts AS (SELECT pt, {age} AS age_group, TRY_CAST(regexp_extract({age}, '^[0-9A-Za-z]*') AS INT) AS min_age, "
@@ -1036,7 +1060,8 @@ rec AS (SELECT pt, coalesce(sum(n) FILTER (is_recorded), 0) / sum(n) AS is_recor
 add(
     "recorded_by_region",
     lambda spark, sf: rates.recorded_by_region(
-        rates.with_national(rates.recorded_counts(fx.cases(spark, sf), "symcough")), min_fraction=0.67
+        rates.with_national(rates.recorded_counts(fx.cases(spark, sf), [("symcough", "agegroup20", "")])),
+        min_fraction=0.67,
     ),
     f"{_rates_sql('symcough', 'agegroup20')} SELECT * FROM rec "
     "WHERE (is_recorded_fraction >= 0.67 AND sample_size > 100) OR pt = 'CANADA'",
@@ -1085,12 +1110,11 @@ SELECT pt, agegroup10, classification, x AS deaths, tot AS n, x / tot AS mean_ci
 FROM src JOIN lim USING (x, tot)""",
 )
 _PCT = "CAST(CAST(round_even({0} * 100, 0) AS BIGINT) AS VARCHAR) || '%'"
-add(
-    "positivity_by_age",
-    lambda spark, sf: rates.positivity_by_age(
-        fx.cases(spark, sf), "icu", age_group="agegroup10", include_canada=True, min_fraction=0.9
-    ),
-    f"""{_rates_sql('icu', 'agegroup10').replace('WITH ', 'WITH RECURSIVE ', 1)},
+
+
+def _positivity_sql(col: str, age: str, na: str, canada: bool) -> str:
+    keep = " OR pt = 'CANADA'" if canada else ""
+    return f"""{_rates_sql(col, age, na).replace('WITH ', 'WITH RECURSIVE ', 1)},
 overall AS (SELECT pt, sum(n) FILTER (nm = 'Yes') / sum(n) FILTER (nm IN ('Yes', 'No')) AS o FROM every
   WHERE is_recorded GROUP BY pt),
 src AS (SELECT pt, age_group, min_age, CAST(coalesce(sum(n) FILTER (nm = 'Yes'), 0) AS BIGINT) AS x,
@@ -1098,10 +1122,27 @@ src AS (SELECT pt, age_group, min_age, CAST(coalesce(sum(n) FILTER (nm = 'Yes'),
   WHERE is_recorded AND age_group <> 'Unknown' GROUP BY ALL), {_limits_sql('src')}
 SELECT pt, age_group, min_age, x AS nm_yes, tot - x AS nm_no, tot AS nm_total, x / tot AS nm_frac_yes, x / tot AS mean_ci,
   lower_ci, upper_ci, ' (' || {_PCT.format('lower_ci')} || '-' || {_PCT.format('upper_ci')} || ')' AS nm_per_yes,
-  pt || ' recorded=' || {_PCT.format('is_recorded_fraction')} || chr(10) || 'ICU=' || {_PCT.format('o')} || chr(10) ||
-  'N=' || format('{{:,}}', CAST(sample_size AS BIGINT)) AS lbl
+  pt || ' recorded=' || {_PCT.format('is_recorded_fraction')} || chr(10) || '{col.upper()}=' || {_PCT.format('o')} ||
+  chr(10) || 'N=' || format('{{:,}}', CAST(sample_size AS BIGINT)) AS lbl
 FROM src JOIN lim USING (x, tot) JOIN rec USING (pt) JOIN overall USING (pt)
-WHERE (is_recorded_fraction >= 0.9 AND sample_size > 100) OR pt = 'CANADA'""",
+WHERE (is_recorded_fraction >= 0.9 AND sample_size > 100){keep}"""
+
+
+add(
+    "positivity_by_age",
+    lambda spark, sf: rates.positivity_by_age(
+        fx.cases(spark, sf), "icu", age_group="agegroup10", include_canada=True, min_fraction=0.9
+    ),
+    _positivity_sql("icu", "agegroup10", "", True),
+)
+add(
+    "positivity_batch",
+    lambda spark, sf: rates.positivity_batch(fx.cases(spark, sf)),
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", '{age}' AS age_col, * FROM ({_positivity_sql(c, age, na, False)})"
+        for c, na in rates.CHARTED
+        for age in rates.AGE_GROUPS
+    ),
 )
 
 __all__ = ["ORACLES", "QUERIES"]
