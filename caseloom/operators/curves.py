@@ -17,6 +17,9 @@ CLASSIFICATIONS = ("probable", "confirmed")
 OTHER = "Other"
 SERIES = ["date_col", "color_col"]
 
+# The columns that colour the usual charts, over the imputed onset date.
+CHART_COLORS = ["disposition", "exposure_cat", "asymptomatic2", "agegroup20", "hospstatus"]
+
 # Days until reports of a day are complete, by date column.
 REPORTING_LAG = {"phacreporteddate": 0, "reporteddate": 3}
 DEFAULT_LAG = 14
@@ -77,7 +80,7 @@ def _daily(
 
 def epi_curve_batch(
     df: DataFrame,
-    pairs: list[tuple[str, str]],
+    pairs: list[tuple[str, str]] | None = None,
     *,
     facet: str = "pt",
     classifications: tuple[str, ...] | None = CLASSIFICATIONS,
@@ -88,6 +91,7 @@ def epi_curve_batch(
 
     Shares and peaks are those of the whole period; ``since`` only trims the rows shown.
     """
+    pairs = pairs or [("onsetdate_imputed", c) for c in CHART_COLORS]
     counts = materialise(_daily(df, pairs, facet, classifications))
     lumped = lump_rare(counts, "facet", SERIES, min_share)
     cells = lumped.groupBy(*SERIES, "date", "facet", "color").agg(F.sum("n").alias("n"))

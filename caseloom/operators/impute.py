@@ -34,6 +34,7 @@ _MULTIPLIER = 2654435761
 _KEY_MOD = 2147483647
 
 SLOTS = 256
+_IDLE_SLOTS = 1 << 20
 
 _PAIR = ["grp", "target", "source"]
 
@@ -256,7 +257,7 @@ def impute_dates(
     )
     per_group = materialise(per_group)
     ranges = model.ranges.withColumnsRenamed(
-        {"grp": "__rgrp", "source": "__rsource", "slot": "__rslot", "gap": "__gap"}
+        {"grp": "__rgrp", "source": "__rsource", "slot": "__rslot", "gap": "__gap", "lo": "__lo", "hi": "__hi"}
     )
 
     k = (key if key is not None else row_key(id_col)).cast("long")
@@ -281,13 +282,13 @@ def impute_dates(
         best = F.array_min(F.array(*options)) if options else nothing
         out = out.withColumn("__best", best)
         out = out.withColumn("__at", _position(F.col("__key"), F.col("__best.donors"), seed))
-        # rows that need no draw get an unmatched source and any slot: they stay spread out
+        # rows that need no draw get one of many slots that match nothing: they stay spread out
         out = out.withColumns(
             {
                 "__source": F.coalesce(F.col("__best.source"), F.lit("")),
                 "__slot": F.coalesce(
                     _slot(F.col("__at"), F.col("__best.donors")),
-                    F.pmod(F.col("__key"), F.lit(SLOTS)).cast("int"),
+                    (-1 - F.pmod(F.col("__key"), F.lit(_IDLE_SLOTS))).cast("int"),
                 ),
             }
         )
@@ -296,8 +297,8 @@ def impute_dates(
             (F.col("__grp") == F.col("__rgrp"))
             & (F.col("__source") == F.col("__rsource"))
             & (F.col("__slot") == F.col("__rslot"))
-            & (F.col("__at") >= F.col("lo"))
-            & (F.col("__at") < F.col("hi"))
+            & (F.col("__at") >= F.col("__lo"))
+            & (F.col("__at") < F.col("__hi"))
         )
         out = out.join(side, hit, "left")
         value = F.coalesce(own, F.date_sub(F.col("__best.day"), F.col("__gap")))
@@ -305,7 +306,9 @@ def impute_dates(
             inside = value.between(F.col(f"lo_{t}"), F.col(f"hi_{t}"))
             value = F.when(inside, value)
         out = out.withColumn(f"{t}{suffix}", F.when(F.col("__grp").isNotNull(), value))
-        out = out.drop("__best", "__at", "__source", "__slot", "__gap", "lo", "hi", "__rgrp", "__rsource", "__rslot")
+        out = out.drop(
+            "__best", "__at", "__source", "__slot", "__gap", "__lo", "__hi", "__rgrp", "__rsource", "__rslot"
+        )
     return out.select(*df.columns, *[f"{t}{suffix}" for t in targets])
 
 

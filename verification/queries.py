@@ -1029,6 +1029,27 @@ add(
 )
 
 
+def _usual_charts(spark, sf):
+    """The chain of the daily charts: derive, impute the onset date, count."""
+    df = reports.all_cases(fx.cases(spark, sf))
+    return curves.epi_curve_batch(impute.impute_dates(df, ["onsetdate"], SOURCES, key=F.col("k")), min_share=_LUMP)
+
+
+_CHARTS = [("onsetdate_imputed", c) for c in curves.CHART_COLORS]
+add(
+    "epi_usual_charts",
+    _usual_charts,
+    S.impute_sql(
+        ["onsetdate"], SOURCES, cte=WITH_PUBLISHED, base="published",
+        final=", " + ", ".join(
+            _curve_sql(d, c, _LUMP, f"c{i}").replace("FROM cases", "FROM imputed") for i, (d, c) in enumerate(_CHARTS)
+        ) + " " + " UNION ALL ".join(
+            f"SELECT '{d}' AS date_col, '{c}' AS color_col, * FROM c{i}" for i, (d, c) in enumerate(_CHARTS)
+        ),
+    ),
+)
+
+
 def _age_counts(col: str, age: str, na: str = "") -> str:
     return (
         f"counts AS (SELECT pt, {age} AS age_group, TRY_CAST(regexp_extract({age}, '^[0-9A-Za-z]*') AS INT) AS min_age, "
