@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterable, Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.plans.session import apply_settings
+from caseloom.plans.sizing import materialise
 
 # functions that run in tasks travel with them: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -136,3 +138,47 @@ def marked(covered_from: np.ndarray, n: int, width: int) -> np.ndarray:
     np.add.at(steps, covered_from, 1)
     np.add.at(steps, np.minimum(covered_from + width, n), -1)
     return np.cumsum(steps[:-1]) > 0
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_chunks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in lists of bounded size; white space is that of bytes.split."""
+    at = 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + size) if len(data) - at > size else None
+        end = cut.start() if cut else len(data)
+        yield data[at:end].split()
+        at = end
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """Components of a graph: (node, root) for every node of ``edges`` (u, v of one orderable type).
+
+    The root is the smallest node of the component. Large and small stars in turn until no edge changes (Kiveris et
+    al., 2014); rounds grow with the logarithm of the nodes. Every step is cut by a checkpoint, and both sides of
+    every join pass an exchange, so adaptive execution can split the edges of a hub. Only one row per round reaches
+    the driver.
+    """
+    edges = materialise(
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    )
+
+    def state(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    before = None
+    while (now := state(edges)) != before:
+        before = now
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")))
+        edges = materialise(
+            both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        )
+        low = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k"))
+        hung = edges.join(low, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = materialise(hung.unionByName(low.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct())
+    # every edge now goes from a node to the root of its component
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
