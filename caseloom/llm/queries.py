@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, rules, simhash
+from . import mixing, rules, simhash, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,26 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = simhash.near_duplicates(docs)
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT doc_id, list(DISTINCT p) AS g FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM hit) GROUP BY doc_id),
+pos AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+bad AS (SELECT doc_id, unnest(g) AS p, true AS x FROM gone),
+kept AS (SELECT doc_id, count(*) AS k, string_agg(word, ' ' ORDER BY p) AS t
+         FROM pos LEFT JOIN bad USING (doc_id, p) WHERE x IS NULL GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(OP8_SQL)
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that a smaller document has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
