@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, rules, simhash, substrings
+from . import decontaminate, mixing, rules, simhash, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,35 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that a smaller document has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS win
+       FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+             FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT l FROM bw),
+dw AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS win
+       FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, lens)),
+m AS (SELECT doc_id, i, dw.l AS l, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.l = bw.l),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(it.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@query(OP7_SQL)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
