@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, rules, simhash, substrings
+from . import decontaminate, mixing, rules, simhash, substrings, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query()
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
