@@ -143,16 +143,21 @@ def marked(covered_from: np.ndarray, n: int, width: int) -> np.ndarray:
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def word_chunks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The words of a text in lists of bounded size; white space is that of bytes.split."""
+def slices(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in slices of about ``size`` bytes, cut at white space only."""
     at = 0
     while at < len(data):
         cut = _SPACE.search(data, at + size) if len(data) - at > size else None
         end = cut.start() if cut else len(data)
-        yield data[at:end].split()
+        yield data[at:end]
         at = end
 
 
+def word_chunks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in lists of bounded size; white space is that of bytes.split."""
+    return (part.split() for part in slices(data, size))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """Components of a graph: (node, root) for every node of ``edges`` (u, v of one orderable type).
 

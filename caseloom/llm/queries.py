@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, rules, simhash, substrings, tokens
-from .common import table
+from . import chat, decontaminate, language, mixing, rules, simhash, substrings, tokens, toxicity
+from .common import part_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,3 +147,21 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], chats.schema)
     windows = chat.format_windows(chats.unionByName(added), public_tokenizers.path("word_bpe_49k.json"))
     return chat.read_back(windows)
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", part_of("doc_id", 3) == 1)
+    model = toxicity.learn(docs.where("NOT held_out"), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.drop("lang"), model)
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from rows that are not held out."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", part_of("doc_id", 4) == 2)
+    model = language.learn(docs.where("NOT held_out"), public_tokenizers.path("piece_bpe_32k.model"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model, keep_text=False)
