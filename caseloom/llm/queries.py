@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mixing, rules, simhash, substrings, tokens, toxicity
+from . import chat, decontaminate, language, mixing, ppm, rules, simhash, substrings, tokens, toxicity
 from .common import part_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", part_of("doc_id", 4) == 2)
     model = language.learn(docs.where("NOT held_out"), public_tokenizers.path("piece_bpe_32k.model"))
     return language.identify(docs.select("doc_id", "held_out", "text"), model, keep_text=False)
+
+
+@query()
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", part_of("doc_id", 7) == 2)
+    return ppm.score(docs, ~F.col("held_out"))
