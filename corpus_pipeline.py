@@ -1,32 +1,91 @@
-"""The corpus pipeline: stages over ``documents``, each calling one operator of caseloom.llm."""
+"""The corpus pipeline: stages over ``documents``, each calling one operator of caseloom.llm.
 
-from __future__ import annotations
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet and reads it again as the
+next stage's documents. All but the last return the columns of documents.
+"""
 
-import uuid
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caseloom.llm import mixing
-from caseloom.llm.common import prepare, table
+from caseloom.llm import decontaminate, language, mixing, simhash, substrings
+from caseloom.llm.common import part_of, prepare, table
 from caseloom.plans.sizing import scratch_path
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts without a letter and null texts go.
+
+    The model learns from the given lang of rows whose id has crc32 modulo 4 other than 2; predictions read the text only.
+    """
+    prepare(spark)
+    model = language.learn(docs.where(part_of("doc_id", 4) != 2), public_tokenizers.path("piece_bpe_32k.model"))
+    told = language.identify(docs.select(*COLUMNS), model)
+    return told.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id; one row of each id.
+
+    Of rows without an id one stays in all, and only if some of them are near no row with an id.
+    """
+    prepare(spark)
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key().alias("_key")).distinct()
+    stay = docs.select(key().alias("_key"), *COLUMNS).join(first, "_key", "left_semi")
+    # rows that share an id are in one group or none; the smallest row stays, without another exchange
+    return stay.groupBy("_key").agg(F.min(F.struct("text", "doc_id", "lang", "source", "n_chars")).alias("row")).select("row.*").select(*COLUMNS)
+
+
+def key() -> Column:
+    """The id, or the smallest long for none."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that a document with a smaller id has; documents with nothing left go."""
+    prepare(spark)
+    cut = substrings.dedup(docs.select(*COLUMNS))
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    prepare(spark)
+    judged = decontaminate.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.select(*COLUMNS).join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed corpus: one row for every copy taken."""
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed corpus: one row for every copy taken, with copy, words and finish, in the order of the mix."""
     prepare(spark)
-    return mixing.mix(docs)
+    return mixing.mix(docs.select(*COLUMNS))
 
 
-STAGES = [("mixing", mix)]
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeats", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
+#: SQL cannot learn languages or follow fingerprints to their components; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written as Parquet and read again."""
+    """Apply the stages to ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}-{uuid.uuid4().hex}")
+        path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
