@@ -126,11 +126,11 @@ class Model:
 
 
 def fit(texts: list[np.ndarray], toxic: np.ndarray, langs: list[str | None], epochs: int = 6, seed: int = 5) -> Model:
-    """Train on four fifths of the labelled texts (packed features) and calibrate on the rest."""
+    """Train on three quarters of the labelled texts (packed features) and calibrate on the rest."""
     rng, model = np.random.default_rng(seed), Model()
     if not len(texts) or toxic.min() == toxic.max():
         return model
-    kept_out = np.arange(len(texts)) % 5 == 4
+    kept_out = np.arange(len(texts)) % 4 == 3
     train = np.flatnonzero(~kept_out)
     _begin(model, [texts[i] for i in train], toxic[train], rng)
     _train(model, [buckets(t) for t in texts], toxic.astype(np.float32), train, epochs, rng)
@@ -220,12 +220,12 @@ def _tell_languages(model: Model, texts: list[np.ndarray], langs: list[str | Non
         model.told[:, k] = np.log(n / n.sum())
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray, least: int = 20) -> None:
+def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray, least: int = 8) -> None:
     """Put each language's cut where it separates best; a language with few examples takes the common one."""
     model.tables = {}
     found = [model.logit([t]) for t in texts]
     z, lang = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-    spread = max(1e-3, float(np.std(z)))
+    spread = max(1e-3, float(np.std(z))) if len(z) else 1.0
     common = [best_cut(z, toxic), 2 / spread]
     cuts = []
     for k in range(len(model.languages)):
