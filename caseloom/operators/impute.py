@@ -8,18 +8,21 @@ A draw picks position ``i`` among the sorted known gaps. Gaps are whole days, so
 sorted list is fully described by a histogram: the drawn gap is the one whose
 cumulative range holds ``i``. Rows are therefore never sorted or numbered within a
 region; a region with a third of all cases costs no more than its few distinct gaps.
-Ranges are found by an equi-join on a slot of the position, and slots also spread a hot
-region over the cluster when the join has to shuffle.
+Every region has one row of sorted histograms, which is joined once and searched in place,
+so a draw moves no row.
 
-Draws depend on the row key and the seed only, so any partitioning, retry or
-lost executor gives the same result.
+Draws depend on the row key, the seed and the pair of dates, so any partitioning, retry or
+lost executor gives the same result, and the gaps drawn for one case are unrelated.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.expressions import first_above
 from ..plans.sizing import hinted, is_small, materialise
 
 # The dates that are imputed and the dates used for it.
@@ -29,12 +32,9 @@ SOURCES = [
     "earliestlabtestresultdate", "episodedate", "earliestdate",
 ]
 
-# Multiplier of the hashed row position, and the modulus that keeps it in 64 bits.
+# Multiplier of the row key, and the prime that keeps products in 64 bits.
 _MULTIPLIER = 2654435761
-_KEY_MOD = 2147483647
-
-SLOTS = 256
-_IDLE_SLOTS = 1 << 20
+_PRIME = 2147483647
 
 _PAIR = ["grp", "target", "source"]
 
@@ -48,49 +48,48 @@ def row_key(id_col: str) -> Column:
     return F.xxhash64(F.col(id_col))
 
 
-def _position(key: Column, n: Column, seed: int) -> Column:
-    return F.pmod(F.pmod(key, F.lit(_KEY_MOD)) * F.lit(_MULTIPLIER) + F.lit(seed), n)
+def pair_number(target: str, source: str) -> int:
+    """A fixed number that tells the draws of one pair of dates from those of another."""
+    return zlib.crc32(f"{target} from {source}".encode()) % _PRIME
 
 
-def _slot(position: Column, n: Column) -> Column:
-    return F.floor(position * SLOTS / n).cast("int")
+def _position(key: Column, n: Column, seed: int, pair: int) -> Column:
+    """A position below ``n``: two squarings modulo a prime break up the order of the keys."""
+    x = F.pmod(F.pmod(key, F.lit(_PRIME)) * F.lit(_MULTIPLIER) + F.lit(seed + pair), F.lit(_PRIME))
+    x = F.pmod(x * x + F.lit(pair), F.lit(_PRIME))
+    return F.pmod(F.pmod(x * x + F.lit(1), F.lit(_PRIME)), n)
 
 
 def _pairs(targets: list[str], sources: list[str]) -> list[tuple[str, str]]:
     return [(t, s) for t in targets for s in usable_sources(t, sources)]
 
 
+def _group(group: str | None, id_col: str) -> Column:
+    """The region; without regions a blank that the planner cannot fold, so the join keeps its key."""
+    return F.col(group) if group else F.coalesce(F.substring(F.col(id_col).cast("string"), 1, 0), F.lit(""))
+
+
 def _prepared(df: DataFrame, names: list[str], group: str | None, id_col: str, key: Column | None) -> DataFrame:
     return df.select(
         F.col(id_col),
-        (F.col(group) if group else F.lit("")).alias("grp"),
+        _group(group, id_col).alias("grp"),
         (key if key is not None else row_key(id_col)).cast("long").alias("key"),
         *[F.col(c).cast("date").alias(c) for c in dict.fromkeys(names)],
     ).where(F.col("grp").isNotNull())
 
 
-def _with_group_columns(df: DataFrame, own: Column | None, side: DataFrame, small: bool) -> DataFrame:
-    """Add the columns of a table that has one row per region, named ``grp``.
-
-    Without regions that table is one row of parameters: its values become literals, as a join
-    would have no key.
-    """
-    if own is not None:
-        side = side.withColumnRenamed("grp", "__grp")
-        return df.join(hinted(side, small), own == F.col("__grp"), "left")
-    types = dict(side.dtypes)
-    row = side.first()
-    added = {c: F.lit(row[c] if row else None).cast(t) for c, t in types.items() if c != "grp"}
-    return df.withColumns({"__grp": F.lit(""), **added})
+def _gap(key: Column, seed: int, target: str, source: str) -> Column:
+    """The gap drawn for a row from the histogram of its region."""
+    h = F.col(f"h_{target}_{source}")
+    at = _position(key, h["donors"], seed, pair_number(target, source))
+    return F.get(h["gaps"], first_above(h["ends"], at))
 
 
 class _Model:
-    """Small tables learnt from the data: gap histogram, its ranges and the usable pairs."""
+    """Small tables learnt from the data: gap histograms of the usable pairs by region."""
 
-    def __init__(
-        self, rows: DataFrame, targets: list[str], sources: list[str], min_frac: float, grouped: bool
-    ):
-        self.targets, self.sources, self.grouped = targets, sources, grouped
+    def __init__(self, rows: DataFrame, targets: list[str], sources: list[str], min_frac: float):
+        self.targets, self.sources = targets, sources
         self.pairs = _pairs(targets, sources)
         entries = [
             F.struct(F.lit(t).alias("target"), F.lit(s).alias("source"), F.datediff(s, t).alias("gap"))
@@ -109,107 +108,79 @@ class _Model:
         self.hist = materialise(hist)
         known = F.col("gap").isNotNull()
         is_pair = F.col("target") != F.col("source")
-        self.bounds = (
-            self.hist.where(~is_pair)
-            .groupBy("grp", "target")
-            .agg(
-                F.date_from_unix_date(F.min("gap")).alias("first_day"),
-                F.date_from_unix_date(F.max("gap")).alias("last_day"),
-            )
-        )
-        self.usable = (
-            self.hist.where(is_pair)
-            .groupBy(*_PAIR)
-            .agg(
-                F.sum("n").alias("n_rows"),
-                F.sum(F.when(known, F.col("n")).otherwise(0)).alias("donors"),
-            )
-            .where((F.col("n_rows") - F.col("donors")) / F.lit(min_frac) < F.col("n_rows"))
-            .select(*_PAIR, "donors")
-        )
-        # tables with one row per region have no more rows than this one
-        self.small = is_small(self.usable)
-        ordered = Window.partitionBy(*_PAIR).orderBy("gap")
-        hi = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-        ranges = (
-            self.hist.where(known & is_pair)
-            .join(self.usable, _PAIR)
-            .withColumn("hi", hi)
-            .withColumn("lo", F.col("hi") - F.col("n"))
-        )
-        first, last = _slot(F.col("lo"), F.col("donors")), _slot(F.col("hi") - 1, F.col("donors"))
-        self.ranges = materialise(
-            ranges.select(*_PAIR, "gap", "lo", "hi", F.explode(F.sequence(first, last)).alias("slot"))
-        )
-        self.small_ranges = is_small(self.ranges)
-
-    def donors_by_group(self) -> DataFrame:
-        """One row per region, a donor count per usable pair."""
+        of = Window.partitionBy(*_PAIR)
+        donors = F.sum(F.when(known, F.col("n")).otherwise(0)).over(of)
+        sized = self.hist.withColumns({"n_rows": F.sum("n").over(of), "donors": donors}).where(is_pair)
+        usable = sized.where((F.col("n_rows") - F.col("donors")) / F.lit(min_frac) < F.col("n_rows"))
+        ends = F.sum("n").over(of.orderBy("gap").rowsBetween(Window.unboundedPreceding, 0))
+        #: Known gaps of the usable pairs: count, cumulative count and donors.
+        self.known = usable.where(known).withColumn("end", ends)
+
+    def histograms(self) -> DataFrame:
+        """One row per region: days of each target, and donors, sorted gaps and their cumulative counts of each pair."""
+        listed = self.known.groupBy(*_PAIR, "donors").agg(F.sort_array(F.collect_list(F.struct("gap", "end"))).alias("x"))
+        whole = F.struct("donors", F.transform("x", lambda e: e["end"]).alias("ends"), F.transform("x", lambda e: e["gap"]).alias("gaps"))
+        listed = listed.select(*_PAIR, whole.alias("h"))
         picked = [
-            F.max(F.when((F.col("target") == t) & (F.col("source") == s), F.col("donors"))).alias(f"d_{t}_{s}")
+            F.any_value(F.when((F.col("target") == t) & (F.col("source") == s), F.col("h")), True).alias(f"h_{t}_{s}")
             for t, s in self.pairs
         ]
-        return self.usable.groupBy("grp").agg(*picked)
+        days = self.hist.where("target = source").groupBy("grp").agg(
+            *[
+                f(F.when(F.col("target") == t, F.date_from_unix_date("gap"))).alias(f"{name}_{t}")
+                for t in self.targets
+                for name, f in (("lo", F.min), ("hi", F.max))
+            ]
+        )
+        return days.join(listed.groupBy("grp").agg(*picked), "grp", "left")
 
-    def draw_missing(self, rows: DataFrame, seed: int) -> DataFrame:
-        """Draw for every missing gap of every usable pair: ``id, grp, target, source, gap``."""
-        own = F.col("grp") if self.grouped else None
-        asked = _with_group_columns(rows, own, self.donors_by_group(), self.small)
+    def drawn(self, rows: DataFrame, tables: DataFrame, small: bool, seed: int) -> DataFrame:
+        """Every gap of every usable pair, drawn where it is missing: ``id, grp, target, source, gap, drawn``."""
+        id_col = rows.columns[0]
+        own = F.datediff
         wanted = [
             F.when(
-                F.datediff(s, t).isNull() & F.col(f"d_{t}_{s}").isNotNull(),
+                F.col(f"h_{t}_{s}").isNotNull(),
                 F.struct(
-                    F.lit(t).alias("target"), F.lit(s).alias("source"), F.col(f"d_{t}_{s}").alias("donors")
+                    F.lit(t).alias("target"), F.lit(s).alias("source"),
+                    F.coalesce(own(s, t), _gap(F.col("key"), seed, t, s)).alias("gap"), own(s, t).isNull().alias("drawn"),
                 ),
             )
             for t, s in self.pairs
         ]
-        id_col = rows.columns[0]
-        asked = (
-            asked.select(id_col, "grp", "key", F.explode(F.array_compact(F.array(*wanted))).alias("e"))
-            .select(id_col, "grp", "e.target", "e.source", "e.donors",
-                    _position(F.col("key"), F.col("e.donors"), seed).alias("at"))
-            .withColumn("slot", _slot(F.col("at"), F.col("donors")))
-        )
-        return (
-            asked.join(hinted(self.ranges, self.small_ranges), [*_PAIR, "slot"])
-            .where((F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi")))
-            .select(id_col, *_PAIR, "gap")
-        )
+        asked = rows.join(hinted(tables, small), "grp")
+        exploded = asked.select(id_col, "grp", F.explode(F.array_compact(F.array(*wanted))).alias("e"))
+        return exploded.select(id_col, "grp", "e.target", "e.source", "e.gap", "e.drawn")
 
-    def ranks(self, rows: DataFrame, seed: int) -> DataFrame:
+    def ranks(self, rows: DataFrame, tables: DataFrame, small: bool, seed: int) -> DataFrame:
         """Usable pairs ordered by the spread (95th less 5th percentile) of the filled gaps."""
-        drawn = self.draw_missing(rows, seed).groupBy(*_PAIR, "gap").agg(F.count(F.lit(1)).alias("n"))
-        known = self.hist.where(F.col("gap").isNotNull()).join(self.usable, _PAIR)
-        filled = known.select(*_PAIR, "gap", "n").unionByName(drawn)
+        drawn = self.drawn(rows, tables, small, seed).where("drawn")
+        filled = self.known.select(*_PAIR, "gap", "n").unionByName(
+            drawn.groupBy(*_PAIR, "gap").agg(F.count(F.lit(1)).alias("n"))
+        )
         q = F.percentile("gap", F.array(F.lit(0.05), F.lit(0.95)), F.col("n"))
-        spread = filled.groupBy(*_PAIR).agg(q.alias("q"), F.count(F.lit(1)).alias("gaps"))
-        spread = spread.select(*_PAIR, (F.col("q")[1] - F.col("q")[0]).alias("spread"))
+        spread = filled.groupBy(*_PAIR).agg(q.alias("q")).select(*_PAIR, (F.col("q")[1] - F.col("q")[0]).alias("spread"))
         order = Window.partitionBy("grp", "target").orderBy("spread", "source")
-        return spread.withColumn("rank", F.row_number().over(order)).join(self.usable, _PAIR)
+        ranked = spread.withColumn("rank", F.row_number().over(order))
+        picked = [
+            F.max(F.when((F.col("target") == t) & (F.col("source") == s), F.col("rank"))).alias(f"r_{t}_{s}")
+            for t, s in self.pairs
+        ]
+        return ranked.groupBy("grp").agg(*picked)
 
 
 def date_deltas(
     df: DataFrame, target: str, sources: list[str], *, group: str | None = None, id_col: str = "phacid",
     key: Column | None = None, seed: int = 0, min_frac: float = 0.5,
 ) -> DataFrame:
-    """Gaps of each usable source to the target, the missing ones filled by draws."""
+    """Gaps of each usable source to the target, the missing ones filled by draws.
+
+    Runs the jobs of the histogram before it returns.
+    """
     rows = _prepared(df, [target, *sources], group, id_col, key)
-    model = _Model(rows, [target], sources, min_frac, group is not None)
-    gaps = F.array(
-        *[F.struct(F.lit(s).alias("source"), F.datediff(s, target).alias("gap")) for _, s in model.pairs]
-    )
-    usable = hinted(model.usable.select("grp", "source"), model.small)
-    known = (
-        rows.select(id_col, "grp", F.explode(gaps).alias("e"))
-        .select(id_col, "grp", "e.source", "e.gap")
-        .where("gap is not null")
-        .join(usable, ["grp", "source"])
-    )
-    drawn = model.draw_missing(rows, seed).select(id_col, "grp", "source", "gap")
-    out = known.select(id_col, "grp", "source", "gap", F.lit(False).alias("drawn")).unionByName(
-        drawn.withColumn("drawn", F.lit(True))
-    )
+    model = _Model(rows, [target], sources, min_frac)
+    tables = materialise(model.histograms())
+    out = model.drawn(rows, tables, is_small(tables), seed).select(id_col, "grp", "source", "gap", "drawn")
     return out.withColumnRenamed("grp", group) if group else out.drop("grp")
 
 
@@ -228,88 +199,43 @@ def impute_dates(
 ) -> DataFrame:
     """Add an imputed copy of each target date; dates that are present are kept.
 
-    The input is read three times: gap histogram, spread of the filled gaps, result. Small
-    learnt tables are written to the checkpoint folder between the passes, so a retry does
-    not start over. The result adds columns row by row: no shuffle while the learnt tables
-    pass their size check.
+    The input is read three times: gap histogram, spread of the filled gaps, result; the first two run before
+    the call returns, and their small results are written to the checkpoint folder, so a retry does not start over. The
+    result adds columns row by row. The histograms are broadcast while their bytes pass the check; beyond it the table is
+    joined to them once, by region, in a shuffle that adaptive execution may split.
     """
     rows = _prepared(df, [*targets, *sources], group, id_col, key)
-    model = _Model(rows, targets, sources, min_frac, group is not None)
-    ranked = model.ranks(rows, seed)
-
-    cells = []
-    for t, s in model.pairs:
-        here = (F.col("target") == t) & (F.col("source") == s)
-        cells += [
-            F.max(F.when(here, F.col("rank"))).alias(f"r_{t}_{s}"),
-            F.max(F.when(here, F.col("donors"))).alias(f"d_{t}_{s}"),
-        ]
-    limits = []
-    for t in targets:
-        here = F.col("target") == t
-        limits += [
-            F.max(F.when(here, F.col("first_day"))).alias(f"lo_{t}"),
-            F.max(F.when(here, F.col("last_day"))).alias(f"hi_{t}"),
-        ]
-    per_group = (
-        model.bounds.groupBy("grp").agg(*limits)
-        .join(ranked.groupBy("grp").agg(*cells), "grp", "left")
-    )
-    per_group = materialise(per_group)
-    ranges = model.ranges.withColumnsRenamed(
-        {"grp": "__rgrp", "source": "__rsource", "slot": "__rslot", "gap": "__gap", "lo": "__lo", "hi": "__hi"}
-    )
-
-    k = (key if key is not None else row_key(id_col)).cast("long")
-    own_group = F.col(group) if group else None
-    out = _with_group_columns(df.withColumn("__key", k), own_group, per_group, is_small(per_group))
+    model = _Model(rows, targets, sources, min_frac)
+    tables = materialise(model.histograms())
+    small = is_small(tables)
+    if any(sum(1 for t, _ in model.pairs if t == own) > 1 for own in targets):
+        ranked = tables.join(model.ranks(rows, tables, small, seed), "grp", "left")
+    else:
+        # one source needs no ranking
+        ranked = tables.withColumns({f"r_{t}_{s}": F.when(F.col(f"h_{t}_{s}").isNotNull(), 1) for t, s in model.pairs})
+    per_group = materialise(ranked).withColumnRenamed("grp", "__grp")
+
+    out = df.withColumn("__key", (key if key is not None else row_key(id_col)).cast("long"))
+    out = out.withColumn("__own", _group(group, id_col))
+    out = out.join(hinted(per_group, small), F.col("__own") == F.col("__grp"), "left")
+    added = []
     for t in targets:
         own = F.col(t).cast("date")
         options = [
             F.when(
-                own.isNull() & F.col(s).isNotNull(),
-                F.when(
-                    F.col(f"r_{t}_{s}").isNotNull(),
-                    F.struct(
-                        F.col(f"r_{t}_{s}").alias("rank"), F.lit(s).alias("source"),
-                        F.col(s).cast("date").alias("day"), F.col(f"d_{t}_{s}").alias("donors"),
-                    ),
+                own.isNull() & F.col(s).isNotNull() & F.col(f"r_{t}_{s}").isNotNull(),
+                F.struct(
+                    F.col(f"r_{t}_{s}").alias("rank"),
+                    F.date_sub(F.col(s).cast("date"), _gap(F.col("__key"), seed, t, s)).alias("day"),
                 ),
             )
             for _, s in ((a, b) for a, b in model.pairs if a == t)
         ]
-        nothing = F.lit(None).cast("struct<rank:int,source:string,day:date,donors:bigint>")
-        best = F.array_min(F.array(*options)) if options else nothing
-        out = out.withColumn("__best", best)
-        out = out.withColumn("__at", _position(F.col("__key"), F.col("__best.donors"), seed))
-        # rows that need no draw get one of many slots that match nothing: they stay spread out
-        out = out.withColumns(
-            {
-                "__source": F.coalesce(F.col("__best.source"), F.lit("")),
-                "__slot": F.coalesce(
-                    _slot(F.col("__at"), F.col("__best.donors")),
-                    (-1 - F.pmod(F.col("__key"), F.lit(_IDLE_SLOTS))).cast("int"),
-                ),
-            }
-        )
-        side = hinted(ranges.where(F.col("target") == t).drop("target"), model.small_ranges)
-        hit = (
-            (F.col("__grp") == F.col("__rgrp"))
-            & (F.col("__source") == F.col("__rsource"))
-            & (F.col("__slot") == F.col("__rslot"))
-            & (F.col("__at") >= F.col("__lo"))
-            & (F.col("__at") < F.col("__hi"))
-        )
-        out = out.join(side, hit, "left")
-        value = F.coalesce(own, F.date_sub(F.col("__best.day"), F.col("__gap")))
+        value = F.coalesce(own, F.array_min(F.array(*options))["day"]) if options else own
         if suppress_out_of_range:
-            inside = value.between(F.col(f"lo_{t}"), F.col(f"hi_{t}"))
-            value = F.when(inside, value)
-        out = out.withColumn(f"{t}{suffix}", F.when(F.col("__grp").isNotNull(), value))
-        out = out.drop(
-            "__best", "__at", "__source", "__slot", "__gap", "__lo", "__hi", "__rgrp", "__rsource", "__rslot"
-        )
-    return out.select(*df.columns, *[f"{t}{suffix}" for t in targets])
+            value = F.when(value.between(F.col(f"lo_{t}"), F.col(f"hi_{t}")), value)
+        added.append(F.when(F.col("__own").isNotNull(), value).alias(f"{t}{suffix}"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *added)
 
 
 def imputed_date(df: DataFrame, target: str, sources: list[str], **kw) -> DataFrame:

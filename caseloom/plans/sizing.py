@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a few short columns: some tens of megabytes at most.
-BROADCAST_ROWS = 1_000_000
+#: Most bytes of a table that is sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -31,9 +32,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has few enough rows to be sent to every executor; counts a small result."""
-    return df.count() <= max_rows
+def _width(x: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return 16 + F.coalesce(F.octet_length(x), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType):
+            return F.aggregate(x, F.lit(16), lambda n, e: n + 16 + F.coalesce(F.octet_length(e), F.lit(0)))
+        return 16 + 16 * F.greatest(F.size(x), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((_width(x[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """About how many bytes a table takes in memory: one aggregation, one row to the driver."""
+    row = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
+    return df.agg(F.sum(F.coalesce(row, F.lit(64)).cast("long"))).first()[0] or 0
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table has few enough bytes to be sent to every executor."""
+    return size_in_bytes(df) <= most
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:
@@ -45,8 +65,23 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return hinted(df, is_small(df, max_rows))
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    return hinted(df, is_small(df, most))
+
+
+def bounded_rows(df: DataFrame, most: int, what: str) -> list[Row]:
+    """Rows of a small table on the driver; more than ``most`` are an error, not a risk."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} {what}")
+    return rows
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete intermediate files, wherever they are."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:

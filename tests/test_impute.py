@@ -14,6 +14,13 @@ SOURCES = [c for c in impute.SOURCES if c != "earliestdate"]
 IMPUTED = [f"{t}_imputed" for t in impute.TARGETS]
 
 
+def place(k, seed, target, source):
+    p, c = 2147483647, impute.pair_number(target, source)
+    x = (k % p * 2654435761 + seed + c) % p
+    x = (x * x + c) % p
+    return (x * x + 1) % p
+
+
 def run(df, **kw):
     out = impute.impute_dates(df, sources=SOURCES, key=F.col("k"), **kw)
     return sorted(values(out, "phacid", *IMPUTED), key=lambda r: r[0])
@@ -68,7 +75,7 @@ def test_draws_follow_the_observed_gaps(spark):
     got = dict(values(out, "phacid", "onsetdate_imputed"))
     donors = sorted((r[4] - r[3]).days for r in rows if r[3])
     for pid, _, k, onset, reported in rows:
-        gap = donors[(k * 2654435761 + 4) % len(donors)]
+        gap = donors[place(k, 4, "onsetdate", "reporteddate") % len(donors)]
         assert got[pid] == (onset or reported - dt.timedelta(days=gap))
 
 
@@ -88,7 +95,7 @@ def test_missing_region_gets_no_imputed_date(spark):
 
 
 def test_one_region_holding_most_rows(spark):
-    """A hot region is spread by slots; each of its draws is found exactly once."""
+    """Each row comes back exactly once."""
     df = fx.cases(spark, SF).withColumn("pt", F.when(F.col("k") % 10 == 0, F.col("pt")).otherwise(F.lit("BIG")))
     out = impute.impute_dates(df, sources=SOURCES, key=F.col("k"))
     assert out.count() == df.count()
@@ -115,3 +122,51 @@ def test_every_usable_gap_is_filled(spark, target):
     counts = set(values(out.groupBy("pt", "source").count(), "pt", "count"))
     sizes = set(values(df.groupBy("pt").count(), "pt", "count"))
     assert counts and counts <= sizes
+
+
+def two_unrelated(spark):
+    """4,000 cases with two unrelated dates; either is missing on a third."""
+    d = F.lit("2020-06-01").cast("date")
+    k = F.col("k")
+
+    def part(seed, n):
+        return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(n)).cast("int")
+
+    return spark.range(4000).withColumnRenamed("id", "k").select(
+        "k", k.cast("string").alias("phacid"), F.lit("x").alias("pt"), d.alias("reporteddate"),
+        F.when(part(1, 3) > 0, F.date_sub(d, part(2, 40))).alias("onsetdate"),
+        F.when(part(3, 3) > 0, F.date_sub(d, part(4, 40))).alias("episodedate"),
+    )
+
+
+def test_draws_for_two_dates_are_unrelated(spark):
+    df = two_unrelated(spark)
+    out = impute.impute_dates(df, ["onsetdate", "episodedate"], ["reporteddate"], key=F.col("k"))
+    both = out.where("onsetdate IS NULL AND episodedate IS NULL")
+    gaps = both.select(F.datediff("reporteddate", "onsetdate_imputed").alias("a"), F.datediff("reporteddate", "episodedate_imputed").alias("b"))
+    assert gaps.count() > 300
+    assert abs(gaps.corr("a", "b")) < 0.15
+
+
+def test_draws_are_uniform_over_the_donors(spark):
+    df = two_unrelated(spark)
+    out = impute.date_deltas(df, "onsetdate", ["reporteddate"], key=F.col("k"))
+    shares = {}
+    for drawn in (False, True):
+        rows = out.where(F.col("drawn") == drawn).groupBy((F.col("gap") / 8).cast("int").alias("g")).count().collect()
+        total = sum(r["count"] for r in rows)
+        shares[drawn] = {r["g"]: r["count"] / total for r in rows}
+    assert all(abs(shares[True].get(g, 0) - p) < 0.05 for g, p in shares[False].items())
+
+
+def test_shuffled_histograms_move_the_table_once(spark, monkeypatch):
+    monkeypatch.setattr(impute, "is_small", lambda t: False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = fx.cases(spark, SF)
+        plan = impute.impute_dates(df, sources=SOURCES, key=F.col("k"))._jdf.queryExecution().executedPlan().toString()
+        own = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") - own.count("SortMergeJoin") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from .fixture import CASES_SQL, SECOND_SQL, SYMPTOMS_SQL
 
 WITH_CASES = f"WITH cases AS (\n{CASES_SQL}\n)"
@@ -282,7 +284,7 @@ def impute_sql(
     pairs = [(t, s) for t in targets for s in sources if t not in s]
     long = "\n  UNION ALL ".join(
         f"SELECT phacid, {group} AS grp, k, '{t}' AS target, '{s}' AS source, {s} AS sday, {t} AS tday, "
-        f"{s} - {t} AS gap FROM {base}"
+        f"{s} - {t} AS gap, {zlib.crc32(f'{t} from {s}'.encode()) % 2147483647} AS c FROM {base}"
         for t, s in pairs
     )
     joins = "".join(
@@ -296,8 +298,12 @@ def impute_sql(
         if suppress:
             v = f"CASE WHEN {v} BETWEEN b_{t}.first_day AND b_{t}.last_day THEN {v} END"
         out.append(f"{v} AS {t}_imputed")
-    return f"""{cte}, long AS (
+    prime = 2147483647
+    return f"""{cte}, raw AS (
   {long}
+), once AS (SELECT *, (k % {prime} * 2654435761 + {seed} + c) % {prime} AS x FROM raw
+), twice AS (SELECT *, (x * x + c) % {prime} AS y FROM once
+), long AS (SELECT *, (y * y + 1) % {prime} AS place FROM twice
 ), stats AS (
   SELECT grp, target, source, count(gap) AS donors FROM long GROUP BY grp, target, source
   HAVING (count(*) - count(gap)) * 2 < count(*)
@@ -309,7 +315,7 @@ def impute_sql(
   SELECT l.phacid, l.grp, l.target, l.source, l.sday, l.tday, l.gap, coalesce(l.gap, d.gap) AS fgap
   FROM long l JOIN stats s USING (grp, target, source)
   LEFT JOIN donor d ON d.grp = l.grp AND d.target = l.target AND d.source = l.source AND l.gap IS NULL
-       AND d.rn = (l.k * 2654435761 + {seed}) % s.donors + 1
+       AND d.rn = l.place % s.donors + 1
 ), ranked AS (
   SELECT grp, target, source, row_number() OVER (PARTITION BY grp, target ORDER BY
          quantile_cont(fgap, 0.95) - quantile_cont(fgap, 0.05), source) AS rnk
