@@ -95,17 +95,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, modulo 2 to the 64."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        size = max(n, 4096)
+        with np.errstate(over="ignore"):
+            up, down = (np.cumprod(np.array([1] + [x] * (size - 1), np.uint64)) for x in (base, pow(base, -1, 1 << 64)))
+        _POWERS[base] = up, down
+    return _POWERS[base][0][:n], _POWERS[base][1][:n]
+
+
 def window_hashes(words: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
-    """Hash of every run of ``width`` words, from the hashes of the words."""
+    """Hash of every run of ``width`` words, from the hashes of the words: a polynomial by prefix sums."""
     n = len(words) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.full(n, salt, np.uint64)
+    up, down = powers((0x9E3779B97F4A7C15 + 2 * salt * 0xD1B54A32D192ED03) % (1 << 64) | 1, len(words))
     with np.errstate(over="ignore"):
-        for j in range(width):
-            out = (out ^ words[j : j + n]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j + 1)
-            out ^= out >> np.uint64(29)
-        return mixed(out)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up)))
+        return mixed((sums[width:] - sums[:n]) * down[:n] + np.uint64(salt))
 
 
 def pack(values: np.ndarray) -> bytes:

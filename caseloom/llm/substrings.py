@@ -2,11 +2,11 @@
 
 A run of ``width`` words holds a whole block of ``(width + 1) // 2`` words wherever blocks are cut. So every document's
 non-overlapping blocks are the index, and the rolling windows of all documents probe it. Windows of full width around
-hits are compared by 96 bits of hash; the windows found to repeat, joined where they overlap, are the maximal repeats.
+hits are compared by 95 bits of hash; the windows found to repeat, joined where they overlap, are the maximal repeats.
 
 Texts are dealt once into groups of bounded size by a hash of the row. A group sends its probes, sorted and packed, to
 ranges of hash values and gets back which of them hit; then it sends its windows around hits and gets back which of
-them start in a smaller document. No pair of documents is ever made, and a passage costs a group one entry however
+them repeat, and whether the first is elsewhere. No pair of documents is ever made, and a passage costs a group one entry however
 many copies of it the group holds.
 """
 
@@ -32,6 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 KEY_BITS = 46
 KEY_SPAN = 1 << (KEY_BITS + 2)
 ANCHOR, SEVERAL = 1, 2
+#: The free bit of a window's second hash.
+FLAG = np.uint32(1)
 LAST = np.iinfo(np.int64).max
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _HASHES = Hashes()
@@ -91,16 +93,15 @@ def bucket_hits(probes: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def full_windows(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of every window: 64 and 32 bits."""
-    return window_hashes(words, width, salt=13), (window_hashes(words, width, salt=31) >> np.uint64(32)).astype(np.uint32)
+    """Two hashes of every window: 64 bits, and 31 bits above a free one."""
+    return window_hashes(words, width, salt=13), (window_hashes(words, width, salt=31) >> np.uint64(32)).astype(np.uint32) & ~FLAG
 
 
-def sorted_windows(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Order by both hashes and document, and the starts of equal windows."""
-    order = np.lexsort((doc, b, a))
+def equal_windows(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal windows side by side, and where each new one starts."""
+    order = np.lexsort((b, a))
     a, b = a[order], b[order]
-    new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.empty(0, int)
-    return order, new
+    return order, np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.empty(0, int)
 
 
 def near_hits(words: np.ndarray, hits: np.ndarray, width: int, block: int) -> np.ndarray:
@@ -116,7 +117,7 @@ def near_hits(words: np.ndarray, hits: np.ndarray, width: int, block: int) -> np
 
 
 def group_windows(group: pa.Table, hits: np.ndarray, width: int, block: int) -> tuple[np.ndarray, ...]:
-    """Distinct windows of a group around hits, sorted: both hashes and the smallest doc_id."""
+    """Distinct windows of a group around hits, sorted: both hashes (flagged: in several documents), smallest doc_id."""
     parts = []
     for doc, text in documents(group):
         words = word_hashes(text)
@@ -127,20 +128,28 @@ def group_windows(group: pa.Table, hits: np.ndarray, width: int, block: int) ->
     if not parts:
         return np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)
     a, b, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, new = sorted_windows(a, b, doc)
-    first = order[new]
-    return a[first], b[first], doc[first]
+    order, new = equal_windows(a, b)
+    doc = doc[order]
+    least = np.minimum.reduceat(doc, new)
+    several = least != np.maximum.reduceat(doc, new)
+    return a[order][new], b[order][new] | several.astype(np.uint32), least
 
 
-def bucket_smaller(windows: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    """For the windows of each group in one range, which start in a document smaller than all of the group's."""
+def bucket_repeats(windows: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each group in one range, its windows that repeat, flagged if they start in a smaller document elsewhere."""
     a, b, doc = (np.concatenate(x) for x in zip(*windows, strict=True))
-    order, new = sorted_windows(a, b, doc)
+    several, b = b & FLAG > 0, b & ~FLAG
+    order, new = equal_windows(a, b)
     least = np.empty(len(a), np.int64)
-    least[order] = np.repeat(doc[order][new], np.diff(np.append(new, len(a))))
+    least[order] = np.repeat(np.minimum.reduceat(doc[order], new), np.diff(np.append(new, len(a))))
     smaller = least < doc
-    edges = np.cumsum([0, *(len(w[0]) for w in windows)])
-    return [smaller[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+    told = smaller | several
+    out, at = [], 0
+    for x in windows:
+        own = slice(at, at + len(x[0]))
+        out.append((a[own][told[own]], (b | smaller)[own][told[own]].astype(np.uint32)))
+        at += len(x[0])
+    return out
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -153,33 +162,41 @@ def from_planes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def repeated(group: pa.Table, smaller: tuple[np.ndarray, np.ndarray], width: int) -> Iterator[np.ndarray]:
-    """For each row of a group which of its words a repeated window covers."""
-    parts, sizes = [], []
+def repeated(group: pa.Table, known: tuple[np.ndarray, np.ndarray], width: int) -> Iterator[np.ndarray]:
+    """For each row of a group which of its words a repeated window covers, from the group's repeating windows."""
+    order = np.lexsort((known[1], known[0]))
+    a, b = known[0][order], known[1][order]
+    keys, elsewhere = b & ~FLAG, b & FLAG > 0
+    first = np.full(len(a), LAST)
+    found, sizes = [], []
     for doc, text in documents(group):
         words = word_hashes(text)
+        at, which = places(words, a, keys, width)
+        np.minimum.at(first, which, doc)
+        found.append((doc, at, which))
         sizes.append(len(words))
-        parts.append((*full_windows(words, width), np.full(max(0, len(words) - width + 1), doc, np.int64)))
-    a, b, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, new = sorted_windows(a, b, doc)
-    count = np.diff(np.append(new, len(a)))
-    gone = np.zeros(len(a), bool)
-    # within the group all but the smallest document, and everything that starts in a smaller document elsewhere
-    gone[order] = doc[order] > np.repeat(doc[order][new], count)
-    if len(smaller[0]) and len(a):
-        keys = pair_keys(a[order][new], b[order][new])
-        gone[order] |= np.repeat(np.isin(keys, pair_keys(*smaller)), count)
-    at = 0
-    for n in sizes:
-        starts = np.flatnonzero(gone[at : at + max(0, n - width + 1)])
-        at += max(0, n - width + 1)
-        yield marked(starts, n, width)
-
-
-def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty(len(a), [("a", "<u8"), ("b", "<u4")])
-    out["a"], out["b"] = a, b
-    return out
+    for (doc, at, which), n in zip(found, sizes, strict=True):
+        yield marked(at[elsewhere[which] | (first[which] < doc)], n, width)
+
+
+def places(words: np.ndarray, a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows of a text are among given ones (sorted by both hashes), and which these are."""
+    own_a, own_b = full_windows(words, width)
+    if not len(a) or not len(own_a):
+        return np.empty(0, int), np.empty(0, int)
+    spot = np.minimum(np.searchsorted(a, own_a), len(a) - 1)
+    at = np.flatnonzero(a[spot] == own_a)
+    which, out_at, out_which = spot[at], [], []
+    # windows that share the first hash stand side by side; nearly always the first one is meant
+    while len(at):
+        same = b[which] == own_b[at]
+        out_at.append(at[same])
+        out_which.append(which[same])
+        left = ~same & (which + 1 < len(a))
+        at, which = at[left], which[left] + 1
+        still = a[which] == own_a[at]
+        at, which = at[still], which[still]
+    return (np.concatenate(out_at), np.concatenate(out_which)) if out_at else (at, which)
 
 
 def without(text: bytes, gone: np.ndarray) -> bytes:
@@ -242,19 +259,19 @@ def dedup(docs: DataFrame, width: int = 13, group_bytes: int = 4 << 20, bucket_b
             for a, b, d in zip(col["a"], col["b"], col["doc"], strict=True)
         ]
         rows = [
-            (g, pack(a[s]), b[s].tobytes())
-            for g, (a, b, _), s in zip(col["_grp"], sent, bucket_smaller(sent), strict=True)
-            if s.any()
+            (g, pack(a), b.tobytes())
+            for g, (a, b) in zip(col["_grp"], bucket_repeats(sent), strict=True)
+            if len(a)
         ]
         return as_table(rows, {"_grp": pa.int32(), "a": pa.binary(), "b": pa.binary()})
 
     def cut(key: tuple, group: pa.Table, answer: pa.Table) -> pa.Table:
         a = [unpack(x) for x in answer.column("a").to_pylist()]
         b = [np.frombuffer(x, np.uint32) for x in answer.column("b").to_pylist()]
-        smaller = (np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.uint64), np.empty(0, np.uint32))
+        known = np.concatenate([np.empty(0, np.uint64), *a]), np.concatenate([np.empty(0, np.uint32), *b])
         texts, counts, removed, digests = [], [], [], []
         originals = group.column("text").cast(pa.binary()).to_pylist()
-        for text, gone in zip(originals, repeated(group, smaller, width), strict=True):
+        for text, gone in zip(originals, repeated(group, known, width), strict=True):
             n = int(gone.sum())
             left = text if not n else without(text, gone)
             digest = hashlib.sha256()
