@@ -106,7 +106,7 @@ WEEKLY_COLUMNS = [
 ]
 DATA_HUB_COLUMNS = [
     "phacid", "pt", "episodedate", "classification", "sexgender2", "agegroup10", "age", "occupation2",
-    "healthcare_worker2", "ltc_resident2", "asymptomatic2", "onsetdate", "reporteddate", "symcough",
+    "healthcare_worker2", "ltc_resident", "asymptomatic2", "onsetdate", "reporteddate", "symcough",
     "symfever", "symchills", "symsorethroat", "symrunnynose", "symshortnessofbreath", "symnausea",
     "symheadache", "symweakness", "sympain", "symirritability", "symdiarrhea", "symother",
     "symotherspec", "hospstatus", "disposition2", "resolutiondate2", "exposure_cat2",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_col
 from ..functions.text import UNKNOWN, clean_str
-from ..plans.sizing import materialise, with_totals
+from ..plans.sizing import materialise
 
 CLASSIFICATIONS = ("probable", "confirmed")
 OTHER = "Other"
@@ -28,27 +28,25 @@ DEFAULT_LAG = 14
 def lump_rare(counts: DataFrame, level: str, by: list[str], min_share: float, n: str = "n") -> DataFrame:
     """Rename levels with at most ``min_share`` of the rows of a group to ``Other``.
 
-    A single rare level is left alone, and a null level stays null.
+    A single rare level is left alone, and a null level stays null. ``counts`` is an aggregate: with groups all of
+    it happens in windows over one exchange by the group.
     """
-    sizes = counts.groupBy(*by, level).agg(F.sum(n).alias("__n"))
-    totals = sizes.groupBy(*by).agg(F.sum("__n").alias("__total"))
-    shares = sizes.join(totals, by) if by else sizes.withColumn(
-        "__total", totals.select("__total").scalar()
-    )
-    rare = shares.where(F.col(level).isNotNull() & (F.col("__n") / F.col("__total") <= min_share))
-    number = rare.groupBy(*by).agg(F.count(F.lit(1)).alias("__rare"))
+    x = F.col(level)
     if by:
-        several = rare.join(number.where("__rare > 1"), by).select(*by, F.col(level).alias("__level"))
-        cond = F.col(f"c.{level}") == F.col("r.__level")
-        for k in by:
-            cond = cond & (F.col(f"c.{k}") == F.col(f"r.{k}"))
-    else:
-        several = rare.where(number.select("__rare").scalar() > 1).select(F.col(level).alias("__level"))
-        cond = F.col(f"c.{level}") == F.col("r.__level")
-    joined = counts.alias("c").join(several.alias("r"), cond, "left")
+        whole = Window.partitionBy(*by)
+        sized = counts.withColumn("__n", F.sum(n).over(Window.partitionBy(*by, level))).withColumn("__total", F.sum(n).over(whole))
+        rare = F.when(x.isNotNull() & (F.col("__n") / F.col("__total") <= min_share), x)
+        several = sized.withColumn("__rare", rare).withColumn("__several", F.size(F.collect_set("__rare").over(whole)) > 1)
+        lumped = F.when(F.col("__several") & F.col("__rare").isNotNull(), F.lit(OTHER)).otherwise(x)
+        return several.select(*[c for c in counts.columns if c != level], lumped.alias(level))
+    sizes = counts.groupBy(level).agg(F.sum(n).alias("__n"))
+    shares = sizes.withColumn("__total", sizes.agg(F.sum("__n").alias("t")).select("t").scalar())
+    rare = shares.where(x.isNotNull() & (F.col("__n") / F.col("__total") <= min_share))
+    number = rare.agg(F.count(F.lit(1)).alias("__rare"))
+    several = rare.where(number.select("__rare").scalar() > 1).select(x.alias("__level"))
+    joined = counts.alias("c").join(several.alias("r"), F.col(f"c.{level}") == F.col("r.__level"), "left")
     lumped = F.when(F.col("r.__level").isNotNull(), F.lit(OTHER)).otherwise(F.col(f"c.{level}"))
-    keep = [F.col(f"c.{c}") for c in counts.columns if c != level]
-    return joined.select(*keep, lumped.alias(level))
+    return joined.select(*[F.col(f"c.{c}") for c in counts.columns if c != level], lumped.alias(level))
 
 
 def _daily(
@@ -78,50 +76,73 @@ def _daily(
     )
 
 
-def epi_curve_batch(
+def curve_counts_batch(
     df: DataFrame,
     pairs: list[tuple[str, str]] | None = None,
     *,
     facet: str = "pt",
     classifications: tuple[str, ...] | None = CLASSIFICATIONS,
     min_share: float = 0.02,
-    since: object | None = None,
 ) -> DataFrame:
-    """Epi-curve counts of several (date, colour) pairs from one scan of the cases.
+    """Counts per series, date, facet (rare ones lumped) and colour of several (date, colour) pairs.
 
-    Shares and peaks are those of the whole period; ``since`` only trims the rows shown.
+    One scan of the cases, whose counts are written out before the call returns.
     """
     pairs = pairs or [("onsetdate_imputed", c) for c in CHART_COLORS]
     counts = materialise(_daily(df, pairs, facet, classifications))
     lumped = lump_rare(counts, "facet", SERIES, min_share)
-    cells = lumped.groupBy(*SERIES, "date", "facet", "color").agg(F.sum("n").alias("n"))
-    n = F.col("n")
-    out = with_totals(cells, SERIES, total=F.sum(n))
-    out = with_totals(out, [*SERIES, "color"], color_total=F.sum(n))
-    out = with_totals(out, [*SERIES, "facet"], facet_total=F.sum(n), facet_max=F.max(n))
-    out = out.withColumns(
-        {
-            "color_percent": 100 * F.col("color_total") / F.col("total"),
-            "facet_percent": 100 * F.col("facet_total") / F.col("total"),
-        }
-    )
-    if since is not None:
-        out = out.where(F.col("date") >= as_col(since))
+    return lumped.groupBy(*SERIES, "date", "facet", "color").agg(F.sum("n").alias("n"))
+
+
+def with_shares(cells: DataFrame) -> DataFrame:
+    """Add totals, shares and peaks to curve counts, by windows over the exchange of the series."""
+    n, whole = F.col("n"), Window.partitionBy(*SERIES)
+    color, facet = Window.partitionBy(*SERIES, "color"), Window.partitionBy(*SERIES, "facet")
+    out = cells.withColumn("total", F.sum(n).over(whole))
+    out = out.withColumn("color_percent", 100 * F.sum(n).over(color) / F.col("total"))
+    out = out.withColumns({"facet_total": F.sum(n).over(facet), "facet_max": F.max(n).over(facet)})
+    out = out.withColumn("facet_percent", 100 * F.col("facet_total") / F.col("total"))
     return out.select(
         *SERIES, "date", "color", "facet", "n", "total", "color_percent", "facet_percent", "facet_max",
         "facet_total",
     )
 
 
+def epi_curve_batch(
+    df: DataFrame, pairs: list[tuple[str, str]] | None = None, *, since: object | None = None, **kw
+) -> DataFrame:
+    """Epi-curve counts with shares of several (date, colour) pairs from one scan of the cases.
+
+    Shares and peaks are those of the whole period; ``since`` only trims the rows shown.
+    """
+    out = with_shares(curve_counts_batch(df, pairs, **kw))
+    return out if since is None else out.where(F.col("date") >= as_col(since))
+
+
+def curve_counts(df: DataFrame, date_col: str, color_col: str, **kw) -> DataFrame:
+    """Counts of one series: what rolling means and shares of a day need."""
+    return curve_counts_batch(df, [(date_col, color_col)], **kw).drop(*SERIES)
+
+
 def epi_curve_counts(df: DataFrame, date_col: str, color_col: str, **kw) -> DataFrame:
     return epi_curve_batch(df, [(date_col, color_col)], **kw).drop(*SERIES)
 
 
+def two_digits(x: Column) -> Column:
+    """A percentage with two significant digits and no trailing zeros: ``33``, ``5.7``, ``0.12``, ``100``."""
+    out = F.round(x, 0).cast("bigint").cast("string")
+    # the digit count is that of the rounded number: 9.96 prints as 10
+    for limit, places in ((9.95, 1), (0.995, 2), (0.0995, 3), (0.00995, 4), (0.000995, 5)):
+        short = F.round(x, places).cast(f"decimal(12,{places})").cast("string")
+        out = F.when(x < limit, F.regexp_replace(short, r"\.?0+$", "")).otherwise(out)
+    return F.when(x == 0, F.lit("0")).otherwise(out)
+
+
 def with_labels(curve: DataFrame) -> DataFrame:
     """Add the colour and facet captions; percent, peak and total are part of the text."""
-    color = F.concat("color", F.lit(" ("), F.format_number("color_percent", 1), F.lit("%)"))
+    color = F.concat("color", F.lit(" ("), two_digits(F.col("color_percent")), F.lit("%)"))
     facet = F.concat(
-        "facet", F.lit("\n"), F.format_number("facet_percent", 1),
+        "facet", F.lit("\n"), two_digits(F.col("facet_percent")),
         F.lit("%\nPeak:"), F.format_number("facet_max", 0),
         F.lit("\nTotal:"), F.format_number("facet_total", 0),
     )
@@ -156,8 +177,7 @@ def rolling_mean(
 
 def percent_fill(counts: DataFrame, *, by: list[str] = ()) -> DataFrame:
     """Share of each colour in the counts of its day and facet."""
-    out = with_totals(counts, [*by, "date", "facet"], day_total=F.sum("n"))
-    return out.withColumn("share", F.col("n") / F.col("day_total")).drop("day_total")
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by, "date", "facet")))
 
 
 def six_months_before(asof: object) -> Column:
@@ -182,7 +202,7 @@ def reporting_lag_ribbon(
     start = reported.where("facet is not null").groupBy("facet").agg(
         F.date_sub(F.max("last_report"), lag).alias("start")
     )
-    curve = epi_curve_counts(df, date_col, color_col, facet=facet, min_share=min_share, since=since)
+    curve = curve_counts(df, date_col, color_col, facet=facet, min_share=min_share).where(F.col("date") >= since)
     daily = materialise(curve.groupBy("date", "facet").agg(F.sum("n").alias("n")))
     peak = daily.groupBy("facet").agg(F.max("n").cast("long").alias("ymax"))
     last = daily.agg(F.max("date").alias("last_day")).select("last_day").scalar()

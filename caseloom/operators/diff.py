@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_str, lower_names
-from ..plans.sizing import null_safe
+from ..plans.sizing import bounded_rows, hinted, is_small, materialise, null_safe
 from .derive import age_group10
 
 KEYS = ["pt", "ptcaseid"]
@@ -19,38 +19,45 @@ REPORT = ["phacid", "pt", "ptcaseid", "phacreporteddate", "classification"]
 # The symptom and diagnosis names used by the widened tables.
 SYMPTOM_NAMES = {
     1: "asymptomatic", 2: "cough", 3: "fever", 4: "chills", 5: "sorethroat", 6: "runnynose",
-    7: "shortnessofbreath",
+    7: "shortnessofbreath", 8: "nausea", 9: "headache", 10: "weakness", 11: "pain", 12: "irritability",
+    13: "diarrhea", 35: "other",
 }
 
 
 def long_to_wide(
-    df: DataFrame, names: dict[int, str], *, id_col: str, value_col: str, prefix: str,
-    key: str = "phacid",
+    df: DataFrame, names: dict[int, str] | DataFrame, *, id_col: str, value_col: str, prefix: str,
+    key: str = "phacid", unnamed: str = "na",
 ) -> DataFrame:
-    """One row per case, one column per named item.
+    """One row per case, one column per named item, and one for all items without a name.
 
-    The names are known, so there is no job to discover them, no lookup join and no
-    pivot: conditional maxima that combine before the shuffle.
+    ``names`` are numbers and their names, or a lookup table whose first two columns are these. With known names there
+    is no job to discover them, no lookup join and no pivot: conditional maxima that combine before the
+    shuffle. Items that the names miss share the column ``<prefix>na``, so nothing is dropped.
     """
+    if isinstance(names, DataFrame):
+        names = names_from_lookup(names, *names.columns[:2])
+    number = F.col(id_col)
     picked = []
-    for number, name in names.items():
+    for item, name in names.items():
         label = re.sub(r"[^0-9a-z]+", "_", f"{prefix}{name}".lower())
-        picked.append(F.max(F.when(F.col(id_col) == number, F.col(value_col))).alias(label))
-    return df.groupBy(key).agg(*picked)
+        picked.append(F.max(F.when(number == item, F.col(value_col))).alias(label))
+    missed = ~F.coalesce(number.isin(*names), F.lit(False)) if names else F.lit(True)
+    return df.groupBy(key).agg(*picked, F.max(F.when(missed, F.col(value_col))).alias(f"{prefix}{unnamed}"))
 
 
-def symptoms_wide(df: DataFrame, names: dict[int, str] = SYMPTOM_NAMES) -> DataFrame:
+def symptoms_wide(df: DataFrame, names: dict[int, str] | DataFrame = SYMPTOM_NAMES) -> DataFrame:
     out = long_to_wide(df, names, id_col="symptomid", value_col="symptomvalue", prefix="sym")
     return out.withColumnRenamed("symasymptomatic", "asymptomatic")
 
 
-def diagnoses_wide(df: DataFrame, names: dict[int, str]) -> DataFrame:
+def diagnoses_wide(df: DataFrame, names: dict[int, str] | DataFrame) -> DataFrame:
     return long_to_wide(df, names, id_col="diagnosisid", value_col="diagnosisvalue", prefix="dx")
 
 
-def names_from_lookup(df: DataFrame, id_col: str, name_col: str) -> dict[int, str]:
-    """Names from a lookup table; one row per output column, so it fits a schema."""
-    return dict(df.select(id_col, name_col).orderBy(id_col).collect())
+def names_from_lookup(df: DataFrame, id_col: str, name_col: str, *, most: int = 2000) -> dict[int, str]:
+    """Names from a lookup table. Each becomes a column, so more than ``most`` are an error."""
+    rows = bounded_rows(df.select(id_col, name_col).where(F.col(id_col).isNotNull() & F.col(name_col).isNotNull()), most, "names in a lookup")
+    return dict(sorted((r[0], r[1]) for r in rows))
 
 
 def normalise_second(df: DataFrame) -> DataFrame:
@@ -75,33 +82,58 @@ def normalise_first(df: DataFrame) -> DataFrame:
 
 def missing_rows(df: DataFrame, other: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``; missing key parts match each other."""
-    a, b = df.select(*REPORT), other.select(*keys).distinct()
+    a, b = df.select(*REPORT), other.select(*keys)
     return a.join(b, null_safe(a, b, keys), "left_anti")
 
 
-def columns_diff(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Where each column name occurs, and how many rows of either source fill it."""
+def columns_diff(first: DataFrame, second: DataFrame, *, counts: bool = True) -> DataFrame:
+    """Where each column name occurs, and, if asked for, how many rows of either source fill it.
+
+    Without ``counts`` only the schemas are read.
+    """
     a, b = set(first.columns), set(second.columns)
+    where = {c: "both" if c in a and c in b else "first only" if c in a else "second only" for c in [*first.columns, *second.columns]}
+    if not counts:
+        return first.sparkSession.createDataFrame(list(where.items()), "colname string, found_in string")
 
     def filled(df: DataFrame, side: str) -> DataFrame:
         row = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
         cells = F.array(*[F.struct(F.lit(c).alias("colname"), F.col(c).alias(side)) for c in df.columns])
         return row.select(F.explode(cells).alias("e")).select("e.*")
 
-    where = F.when(F.col("colname").isin(*(a & b)), F.lit("both")).when(
+    found = F.when(F.col("colname").isin(*(a & b)), F.lit("both")).when(
         F.col("colname").isin(*a), F.lit("first only")
     )
     both = filled(first, "filled_first").join(filled(second, "filled_second"), "colname", "full")
     return both.select(
-        "colname", where.otherwise(F.lit("second only")).alias("found_in"), "filled_first", "filled_second"
+        "colname", found.otherwise(F.lit("second only")).alias("found_in"), "filled_first", "filled_second"
     )
 
 
 def repeated_keys(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
+    """Keys that occur more than once, with their number of rows; missing parts count as a value."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def ambiguous_keys(first: DataFrame, second: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Keys that repeat in either source, with their rows in both: what :func:`cell_diff` leaves out.
+
+    Only keys are read, and they are counted before the shuffle, so a key that holds most rows costs no more.
+    """
+    sides = [
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_first" if k == 0 else "n_second"))
+        for k, df in enumerate((first, second))
+    ]
+    # missing key parts are told apart by a flag, as an outer join on null-safe keys would not be an equi-join
+    a, b = (s.select(*[F.col(k).alias(f"{k}_{i}") for k in keys], s.columns[-1]) for i, s in enumerate(sides))
+    on = reduce(lambda x, y: x & y, [a[f"{k}_0"].eqNullSafe(b[f"{k}_1"]) for k in keys])
+    either = a.join(b, on, "full").select(
+        *[F.when(F.col("n_first").isNotNull(), F.col(f"{k}_0")).otherwise(F.col(f"{k}_1")).alias(k) for k in keys],
+        *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in ("n_first", "n_second")],
+    )
+    return either.where("n_first > 1 OR n_second > 1")
+
+
 def common_columns(first: DataFrame, second: DataFrame) -> list[str]:
     return sorted(set(first.columns) & set(second.columns))
 
@@ -112,10 +144,18 @@ def cell_diff(
     """Cells that both sources fill with different values, cleaned for display.
 
     One join on the key whatever the number of columns; the differing cells of a row are
-    picked from an array in place. Keys are meant to be unique in each source: see
-    :func:`repeated_keys`, as a repeated key compares each pair of its rows. Rows whose key has
-    a missing part are compared with each other unless ``match_missing`` is off.
+    picked from an array in place. A row is compared with the one row that has its key: keys that repeat in either
+    source, and so do not say which rows belong together, are left out and listed by :func:`ambiguous_keys`.
+    Missing key parts match each other unless ``match_missing`` is off. Counts the repeated keys before it returns.
     """
+    ambiguous = materialise(ambiguous_keys(first, second, keys).select(*[F.col(k).alias(f"{k}__x") for k in keys]))
+    if not ambiguous.isEmpty():
+        few = hinted(ambiguous, is_small(ambiguous))
+
+        def unique(df: DataFrame) -> DataFrame:
+            return df.join(few, reduce(lambda x, y: x & y, [df[k].eqNullSafe(few[f"{k}__x"]) for k in keys]), "left_anti")
+
+        first, second = unique(first), unique(second)
     skip = {"phacid", *keys}
     cols = [c for c in common_columns(first, second) if c not in skip]
     a_types, b_types = dict(first.dtypes), dict(second.dtypes)
@@ -160,7 +200,8 @@ def cell_diff(
     )
 
 
-
+# Fixed value: the symptom whose text is shown.
+OTHER_SYMPTOM = 35
 
 # Travel locations that are not abroad.
 NOT_ABROAD = ["canada", "unclassifiable", "pei", "not collected"]
@@ -177,6 +218,7 @@ def case_view(
     """
     ids = symptom_ids or {f"sym{v}": k for k, v in SYMPTOM_NAMES.items() if k > 1}
     value, number = F.col("symptomvalue"), F.col("symptomid")
+    spec = F.col("symptomspec") if "symptomspec" in symptoms.columns else F.lit(None).cast("string")
 
     def any_row(cond: Column) -> Column:
         return F.max(F.when(cond, 1)) == 1
@@ -186,7 +228,9 @@ def case_view(
         any_row(number == 1).alias("s_asked"),
         F.max(F.when(number == 1, value)).alias("s_own"),
         *[F.max(F.when(number == n, value)).alias(c) for c, n in ids.items()],
+        F.max(F.when(number == OTHER_SYMPTOM, spec)).alias("symotherspec"),
     )
+    severe = severity.groupBy("phacid").agg(*[F.max(c).alias(c) for c in severity.columns if c != "phacid"])
     tested = lab.groupBy("phacid").agg(
         F.min("labspecimencollectiondate").alias("l_taken"), F.min("labtestresultdate").alias("l_result")
     )
@@ -194,8 +238,8 @@ def case_view(
     travelled = travel.groupBy("phacid").agg(
         any_row(~place.isin(NOT_ABROAD)).alias("t_abroad"), any_row(place == "canada").alias("t_home")
     )
-    contact = exposures.select(
-        "phacid", F.col("closecontacttravel").alias("e_travel"), F.col("closecontactcase").alias("e_case")
+    contact = exposures.groupBy("phacid").agg(
+        F.max("closecontacttravel").alias("e_travel"), F.max("closecontactcase").alias("e_case")
     )
 
     def stated(c: str) -> Column:
@@ -230,7 +274,7 @@ def case_view(
         .when(F.col("pt") == "on", F.lit("information pending"))
     )
     joined = cases.where(F.col("classification") == "confirmed")
-    for side in (wide, severity, contact, tested, travelled):
+    for side in (wide, severe, contact, tested, travelled):
         joined = joined.join(side, "phacid", "left")
     return joined.select(
         "phacid", "pt", F.coalesce("onsetdate", "l_taken", "l_result").alias("episodedate"),
@@ -238,6 +282,7 @@ def case_view(
         age_group10("age", "agegrouping").alias("agegroup10"), "age",
         stated("occupation").alias("occupation2"), stated("occupationhcw").alias("healthcare_worker2"),
         stated("ltc_resident").alias("ltc_resident2"), asymptomatic.alias("asymptomatic2"), "onsetdate", *ids,
+        "symotherspec",
         hospital.alias("hospstatus"), outcome.alias("disposition2"),
         F.when(d == "recovered", F.col("recoverydate")).alias("recoverydate2"),
         exposure.alias("exposure_cat2"),

@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_col, date_columns
-from ..functions.text import YES, clean_str, matching, na_text
+from ..functions.dates import NOT_DATES, as_col, date_columns
+from ..functions.text import clean_str, matching, na_text
 from ..plans.session import small_methods
+from ..plans.sizing import assert_unique
 from .derive import episode_date
 
 Hit = tuple[Column, Column]
@@ -44,16 +45,30 @@ class Wording:
     early: str
     early_typ: str
     blank_unit: bool
+    disposition: str
+    death: str
+    death_text: Callable[[str], Column]
+    episode: Callable[[], Column]
+    before_episode: str
+    not_dates: str | None
+    reported: str
+    age: str
+    region: str
 
 
 # Texts of the report for either source layout.
 RECOVERY = Wording(
-    "recoverydate", "recovered", "Recovery date", "Recovery date listed but not recovered",
-    "recovery date", "Recovered before Onset", "Early Recovered", blank_unit=True,
+    date="recoverydate", value="recovered", listed="Recovery date", listed_typ="Recovery date listed but not recovered",
+    both="recovery date", early="Recovered before Onset", early_typ="Early Recovered", blank_unit=True,
+    disposition="Disposition", death="COVIDDeath", death_text=clean_str, episode=episode_date,
+    before_episode="PHACReported before EpisodeDate", not_dates=None, reported="ReportedDate", age="Age", region="PT",
 )
 RESOLUTION = Wording(
-    "resolutiondate", "resolved", "Resolution date", "Resolution date listed but not resolved",
-    "resolution date", "Resolved before Onset", "Early resolution", blank_unit=False,
+    date="resolutiondate", value="resolved", listed="Resolution date", listed_typ="Resolution date listed but not resolved",
+    both="resolution date", early="Resolved before Onset", early_typ="Early resolution", blank_unit=False,
+    # this layout holds lower-case text and has an episode date of its own
+    disposition="disposition", death="coviddeath", death_text=F.col, episode=lambda: F.col("episodedate"),
+    before_episode="PHACReported before episodedate", not_dates=NOT_DATES, reported="reporteddate", age="age", region="pt",
 )
 
 
@@ -82,11 +97,11 @@ def _date_without_status(status: str, value: str, dates: list[str], err: str):
     return hits
 
 
-def _outcome_date(status: str, value: str, date: str, label: str):
+def _outcome_date(status: str, value: str, date: str, label: str, named: str):
     def hits(df: DataFrame) -> list[Hit]:
         err = F.concat(
             F.lit(f"{label} of '"), F.col(date).cast("string"),
-            F.lit("' is listed but Disposition is '"), na_text(status), F.lit("'"),
+            F.lit(f"' is listed but {named} is '"), na_text(status), F.lit("'"),
         )
         return [(~_lower_is(status, value) & F.col(date).isNotNull(), err)]
 
@@ -154,28 +169,35 @@ def _testing_reason(df: DataFrame) -> list[Hit]:
     return [(cond, err)]
 
 
-def _death_disposition(df: DataFrame) -> list[Hit]:
-    death, disposition = clean_str("coviddeath"), clean_str("disposition")
-    err = F.concat(
-        F.lit("COVIDDeath '"), death, F.lit("' disagrees with  Disposition '"), disposition, F.lit("'")
-    )
-    # a cheap necessary condition first: cleaning runs on the few rows that pass
-    likely = F.lower("coviddeath").contains("yes")
-    return [(likely & (death == YES) & (disposition != "Deceased"), err)]
+def _death_disposition(words: Wording):
+    def hits(df: DataFrame) -> list[Hit]:
+        death, disposition = words.death_text("coviddeath"), words.death_text("disposition")
+        err = F.concat(
+            F.lit(f"{words.death} '"), death, F.lit(f"' disagrees with  {words.disposition} '"), disposition, F.lit("'")
+        )
+        # a cheap necessary condition first: cleaning runs on the few rows that pass
+        likely = F.lower("coviddeath").contains("yes")
+        return [(likely & (F.lower(death) == "yes") & (F.lower(disposition) != "deceased"), err)]
 
+    return hits
 
-def _report_before_episode(df: DataFrame) -> list[Hit]:
-    a, b = F.col("phacreporteddate"), episode_date()
-    err = F.concat(
-        F.lit("PHACReported before EpisodeDate '"), a.cast("string"),
-        F.lit("' < '"), b.cast("string"), F.lit("'"),
-    )
-    return [(a < b, err)]
 
+def _report_before_episode(words: Wording):
+    def hits(df: DataFrame) -> list[Hit]:
+        a, b = F.col("phacreporteddate"), words.episode()
+        err = F.concat(
+            F.lit(f"{words.before_episode} '"), a.cast("string"), F.lit("' < '"), b.cast("string"), F.lit("'")
+        )
+        return [(a < b, err)]
+
+    return hits
 
-def _each_date(test: Callable[[Column], Column], ending: str):
+
+def _each_date(test: Callable[[Column], Column], ending: str, words: Wording):
     def hits(df: DataFrame) -> list[Hit]:
-        return [(test(F.col(c)), F.lit(f"{c}{ending}")) for c in date_columns(df)]
+        names = date_columns(df)
+        skipped = set(matching(names, words.not_dates)) if words.not_dates else set()
+        return [(test(F.col(c)), F.lit(f"{c}{ending}")) for c in names if c not in skipped]
 
     return hits
 
@@ -191,16 +213,19 @@ def _open_long(date: str, opening: str, asof: Column, days: int, words: Wording)
         )
         err = F.concat(
             F.lit(f"{opening} "), d.cast("string"), F.lit(" is "), F.datediff(asof, d).cast("string"),
-            F.lit(" days ago....Thats a lot, maybe verify this with the PT?"),
+            F.lit(f" days ago....Thats a lot, maybe verify this with the {words.region}?"),
         )
         return [(cond, err)]
 
     return hits
 
 
-def _age_range(df: DataFrame) -> list[Hit]:
-    age = F.col("age")
-    return [((age < 0) | (age > 113), F.concat(F.lit("Age  "), age.cast("string"), F.lit(" is  wrong")))]
+def _age_range(words: Wording):
+    def hits(df: DataFrame) -> list[Hit]:
+        age = F.col("age")
+        return [((age < 0) | (age > 113), F.concat(F.lit(f"{words.age}  "), age.cast("string"), F.lit(" is  wrong")))]
+
+    return hits
 
 
 def rules(
@@ -283,12 +308,12 @@ def rules(
         Rule(
             "recovered_date",
             words.listed_typ,
-            _outcome_date("disposition", words.value, words.date, words.listed),
+            _outcome_date("disposition", words.value, words.date, words.listed, words.disposition),
         ),
         Rule(
             "death_date",
             "Death date listed but not dead.",
-            _outcome_date("disposition", "deceased", "deathdate", "Death date"),
+            _outcome_date("disposition", "deceased", "deathdate", "Death date", words.disposition),
         ),
         Rule("travel_details", "Travel", _details("travel", "travel is not yes but ")),
         Rule(
@@ -305,17 +330,17 @@ def rules(
             _before(words.date, "onsetdate", words.early),
         ),
         Rule("testing_reason", "Contact Testing Reason", _testing_reason),
-        Rule("covid_death_disposition", "Covid Death but not Deceased", _death_disposition),
-        Rule("reported_before_episode", "Early PHACReported", _report_before_episode),
+        Rule("covid_death_disposition", "Covid Death but not Deceased", _death_disposition(words)),
+        Rule("reported_before_episode", "Early PHACReported", _report_before_episode(words)),
         Rule(
             "future_dates",
             "Future Date",
-            _each_date(lambda d: d > today, " is in the future? spooky!"),
+            _each_date(lambda d: d > today, " is in the future? spooky!", words),
         ),
         Rule(
             "dates_before_min",
             f"Before {min_date} Date",
-            _each_date(lambda d: d < earliest, f" is before {min_date}"),
+            _each_date(lambda d: d < earliest, f" is before {min_date}", words),
         ),
         Rule(
             "sick_long_time",
@@ -325,9 +350,9 @@ def rules(
         Rule(
             "reported_long_ago",
             "Reported Long time ago.",
-            _open_long("reporteddate", "ReportedDate", today, open_days, words),
+            _open_long("reporteddate", words.reported, today, open_days, words),
         ),
-        Rule("age_range", "age out of range", _age_range),
+        Rule("age_range", "age out of range", _age_range(words)),
     ]
 
 
@@ -369,16 +394,21 @@ REPORT_COLUMNS = ["phacid", "pt", "ptcaseid", "classification", "phacreporteddat
 
 def error_report(
     df: DataFrame, *, asof, min_date="2020-01-01", ordered: bool = True, names: list[str] | None = None,
-    words: Wording = RECOVERY,
+    words: Wording = RECOVERY, check_unique: bool = False,
 ) -> DataFrame:
-    """All errors of the default rules, or of the named ones, newest reports first."""
+    """All errors of the default rules, or of the named ones, newest reports first.
+
+    With ``check_unique`` a repeated id raises an error, by a job before the call returns.
+    """
+    if check_unique:
+        assert_unique(df, "phacid")
     catalogue = rules(asof, min_date, words=words)
     chosen = [r for r in catalogue if (r.default if names is None else r.name in names)]
-    out = with_errors(df, chosen, REPORT_COLUMNS).select(
-        "phacid", "pt", "ptcaseid", "typ", "classification", "phacreporteddate", "err"
-    )
+    columns = ["phacid", "pt", "ptcaseid", "typ", "classification", "phacreporteddate", "err"]
     if not ordered:
-        return out
-    # a global sort samples its input first; behind this exchange the sample reads
-    # shuffled errors and the rules are not evaluated a second time
-    return out.repartition("phacid").orderBy(F.desc("phacreporteddate"), "phacid", "typ")
+        return with_errors(df, chosen, REPORT_COLUMNS).select(*columns)
+    # the cases are dealt in order and the messages made where they belong: no message crosses the network, and the
+    # sample that finds the ranges evaluates no rule
+    dealt = df.repartitionByRange(F.desc("phacreporteddate"), "phacid")
+    out = with_errors(dealt, chosen, REPORT_COLUMNS).select(*columns)
+    return out.sortWithinPartitions(F.desc("phacreporteddate"), "phacid", "typ")

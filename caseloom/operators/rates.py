@@ -56,15 +56,20 @@ def value_counts_by_age(
     return counts.select("pt", "age_group", "min_age", "nm", "n")
 
 
+# The columns that tell the series of a batch apart.
+SERIES = ["column", "age_col"]
+
+
 def recorded_by_region(
-    counts: DataFrame, *, min_fraction: float = 0.9, min_sample: int = 100, include_canada: bool = True
+    counts: DataFrame, *, min_fraction: float = 0.9, min_sample: int = 100, include_canada: bool = True,
+    by: list[str] = (),
 ) -> DataFrame:
     """Regions that record the value often enough; the national row may be kept regardless."""
-    sized = counts.groupBy("pt").agg(
+    sized = counts.groupBy(*by, "pt").agg(
         F.sum("n").alias("total"), F.sum(F.when(F.col("is_recorded"), F.col("n")).otherwise(0)).alias("yes")
     )
     out = sized.select(
-        "pt",
+        *by, "pt",
         (F.col("yes") / F.col("total")).alias("is_recorded_fraction"),
         F.col("yes").cast("double").alias("sample_size"),
     )
@@ -79,23 +84,19 @@ def recorded_counts(df: DataFrame, series: list[tuple[str, str, str]], **kw) ->
     return materialise(counts.withColumn("is_recorded", F.col("nm") != ""))
 
 
-def with_national(counts: DataFrame) -> DataFrame:
-    """Counts of one series with the national rows, whose values are Yes for the positive value and No for the rest.
+def with_national(counts: DataFrame, by: list[str] = SERIES) -> DataFrame:
+    """Counts of each series with the national rows, whose values are Yes for the positive value and No for the rest.
 
-    Yes is positive wherever it occurs, otherwise the most frequent recorded value is.
+    Yes is positive wherever it occurs, otherwise the most frequent recorded value is. ``by`` names the series.
     """
-    positive = (
-        counts.where("is_recorded")
-        .groupBy("nm")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc(F.col("nm") == YES), F.desc("n"), "nm")
-        .limit(1)
-        .select("nm")
-        .scalar()
-    )
+    sizes = counts.where("is_recorded").groupBy(*by, "nm").agg(F.sum("n").alias("n"))
+    best = F.min(F.struct(F.col("nm") != YES, -F.col("n"), "nm"))["nm"]
+    # one row for each series that was asked for
+    positive = F.broadcast(sizes.groupBy(*by).agg(best.alias("positive")))
     national = (
-        counts.withColumn("nm", F.when(F.col("nm") == positive, F.lit(YES)).otherwise(F.lit(NO)))
-        .groupBy("nm", "age_group", "min_age", "is_recorded")
+        counts.join(positive, list(by), "left")
+        .withColumn("nm", F.when(F.col("nm") == F.col("positive"), F.lit(YES)).otherwise(F.lit(NO)))
+        .groupBy(*by, "nm", "age_group", "min_age", "is_recorded")
         .agg(F.sum("n").alias("n"))
         .withColumn("pt", F.lit(NATIONAL))
     )
@@ -124,24 +125,41 @@ def exact_binomial_ci(df: DataFrame, x: str, n: str, *, alpha: float = 0.05, dig
     ).drop("__ci")
 
 
-def _positivity(
-    counts: DataFrame, description: str, *, min_fraction: float, min_sample: int, include_canada: bool, alpha: float
+def positivity_batch(
+    df: DataFrame,
+    series: list[tuple[str, str, str]] | None = None,
+    *,
+    descriptions: dict[str, str] | None = None,
+    min_fraction: float = 0.9,
+    min_sample: int = 100,
+    include_canada: bool = False,
+    alpha: float = 0.05,
 ) -> DataFrame:
-    total = with_national(counts)
+    """Share of positive values by region and age group for several columns and age groupings.
+
+    Regions that record a value too seldom are left out. The cases are read once, before the call returns; what
+    follows is one plan over small counts, with the series as a key.
+    """
+    series = series or [(c, age, na) for c, na in CHARTED for age in AGE_GROUPS]
+    names = descriptions or {}
+    total = with_national(recorded_counts(df, series))
     kept = recorded_by_region(
-        total, min_fraction=min_fraction, min_sample=min_sample, include_canada=include_canada
+        total, min_fraction=min_fraction, min_sample=min_sample, include_canada=include_canada, by=SERIES
     )
-    overall = _yes_no(total, "pt").select(
-        "pt", _ratio(F.col("nm_yes"), F.col("nm_yes") + F.col("nm_no")).alias("overall")
+    overall = _yes_no(total, *SERIES, "pt").select(
+        *SERIES, "pt", _ratio(F.col("nm_yes"), F.col("nm_yes") + F.col("nm_no")).alias("overall")
     )
+    named = F.lit(None).cast("string")
+    for column in dict.fromkeys(c for c, _, _ in series):
+        named = F.when(F.col("column") == column, F.lit(names.get(column, column.upper()))).otherwise(named)
     label = F.concat(
         F.col("pt"), F.lit(" recorded="), percent_label("is_recorded_fraction"),
-        F.lit(f"\n{description}="), percent_label("overall"), F.lit("\nN="), thousands("sample_size"),
+        F.lit("\n"), named, F.lit("="), percent_label("overall"), F.lit("\nN="), thousands("sample_size"),
     )
-    labels = kept.join(overall, "pt", "left").select("pt", label.alias("lbl"))
+    labels = kept.join(overall, [*SERIES, "pt"], "left").select(*SERIES, "pt", label.alias("lbl"))
     by_age = (
-        _yes_no(total.where("age_group <> 'Unknown'"), "age_group", "min_age", "pt")
-        .join(labels, "pt")
+        _yes_no(total.where("age_group <> 'Unknown'"), *SERIES, "age_group", "min_age", "pt")
+        .join(labels, [*SERIES, "pt"])
         .withColumn("nm_total", F.col("nm_yes") + F.col("nm_no"))
         .withColumn("nm_frac_yes", _ratio(F.col("nm_yes"), F.col("nm_total")))
     )
@@ -150,40 +168,11 @@ def _positivity(
         F.lit(" ("), percent_label("lower_ci"), F.lit("-"), percent_label("upper_ci"), F.lit(")")
     )
     return out.select(
-        "pt", "age_group", "min_age", "nm_yes", "nm_no", "nm_total", "nm_frac_yes", "mean_ci", "lower_ci",
+        *SERIES, "pt", "age_group", "min_age", "nm_yes", "nm_no", "nm_total", "nm_frac_yes", "mean_ci", "lower_ci",
         "upper_ci", span.alias("nm_per_yes"), "lbl",
     )
 
 
-def positivity_batch(
-    df: DataFrame,
-    series: list[tuple[str, str, str]] | None = None,
-    *,
-    descriptions: dict[str, str] | None = None,
-    min_fraction: float = 0.9,
-    min_sample: int = 100,
-    include_canada: bool = False,
-    alpha: float = 0.05,
-) -> DataFrame:
-    """Share of positive values by region and age group for several columns and age groupings.
-
-    Regions that record a value too seldom are left out. The cases are read once for all series;
-    what follows is a loop over series on small counts.
-    """
-    series = series or [(c, age, na) for c, na in CHARTED for age in AGE_GROUPS]
-    names = descriptions or {}
-    counts = recorded_counts(df, series)
-    result = None
-    for column, age, _ in series:
-        own = counts.where((F.col("column") == column) & (F.col("age_col") == age)).drop("column", "age_col")
-        part = _positivity(
-            own, names.get(column, column.upper()), min_fraction=min_fraction, min_sample=min_sample,
-            include_canada=include_canada, alpha=alpha,
-        ).select(F.lit(column).alias("column"), F.lit(age).alias("age_col"), "*")
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
 def positivity_by_age(
     df: DataFrame, column: str, *, description: str | None = None, age_group: str = "agegroup10",
     na_replace: str = "", **kw,

@@ -6,13 +6,16 @@ distinct value; whatever follows the first aggregation works on small tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import NOT_DATES, as_col, to_date, week_of_year
 from ..functions.text import clean_str, matching, thousands
-from ..plans.sizing import broadcast_if_small, materialise
+from ..plans.sizing import bounded_rows, broadcast_if_small, materialise
+from .clean import Cleaning, final_clean
 from .derive import EPISODE_DATES, EPISODE_LABELS, episode_date, episode_type
 
 # Fixed value: how the summary prints a missing value.
@@ -33,18 +36,21 @@ def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
     """Columns that may have at most ``max_unique`` cleaned values.
 
     Occupied hash slots are a lower bound of the distinct count, so a column dropped here
-    surely has too many values; survivors are counted exactly later. Each check is one
-    global aggregate of fixed-size buffers that returns a single row, so a column of
-    free text never reaches a shuffle. Only columns with many raw values are cleaned.
+    surely has too many values; survivors are counted exactly later. One scan and one global
+    aggregate of fixed-size buffers, which returns a single row, so a column of free text never reaches a
+    shuffle. Only text is cleaned: cleaning merges numbers in pairs at the most, by their sign.
     """
     if not cols:
         return []
-    raw = df.agg(*[_occupancy(F.col(c)).alias(c) for c in cols]).first()
-    wide = [c for c in cols if raw[c] > max_unique]
-    if not wide:
-        return cols
-    cleaned = df.agg(*[_occupancy(clean_str(c)).alias(c) for c in wide]).first()
-    return [c for c in cols if c not in wide or cleaned[c] <= max_unique]
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    raw = [_occupancy(F.col(c)).alias(f"raw_{i}") for i, c in enumerate(cols)]
+    cleaned = [_occupancy(clean_str(c)).alias(f"clean_{i}") for i, c in enumerate(cols) if c in text]
+    row = df.agg(*raw, *cleaned).first()
+
+    def few(i: int, c: str) -> bool:
+        return row[f"raw_{i}"] <= 2 * max_unique if c not in text else min(row[f"raw_{i}"], row[f"clean_{i}"]) <= max_unique
+
+    return [c for i, c in enumerate(cols) if few(i, c)]
 
 
 def count_summary(
@@ -120,12 +126,22 @@ def _missing(c: str) -> Column:
     return F.col(c).isNull() | (F.length(F.col(c).cast("string")) == 0)
 
 
+# Fixed value: the name under which the configuration cleans this report.
+COMPLETENESS = "Completness"
+
+
 def completeness(
-    df: DataFrame, *, region: str = "pt", skip: tuple[str, ...] = ("phacid",), only_classified: bool = True
+    df: DataFrame, *, region: str = "pt", skip: tuple[str, ...] = ("phacid",), only_classified: bool = True,
+    config: Iterable[Cleaning] = (),
 ) -> DataFrame:
-    """Filled and empty cells per column and region: one aggregation, then a reshape."""
+    """Filled and empty cells per column and region: one aggregation, then a reshape.
+
+    Cells are cleaned as the report's configuration says before they are tested, so a lone full stop is no data
+    where punctuation is removed. Column names come out in lower case.
+    """
     if only_classified:
         df = df.where(F.lower("classification").isin(_CONFIRMED_OR_PROBABLE))
+    df = final_clean(df, COMPLETENESS, df.columns, config)
     cols = [c for c in df.columns if c != region and c not in skip]
     wide = df.groupBy(region).agg(
         F.count(F.lit(1)).alias("total"),
@@ -142,15 +158,18 @@ def completeness(
 
 
 def completeness_wide(
-    df: DataFrame, levels: list[str] | None = None, *, region: str = "pt", **kw
+    df: DataFrame, levels: list[str] | None = None, *, region: str = "pt", max_levels: int = 1000, **kw
 ) -> DataFrame:
     """One row per column, four columns per region.
 
-    Without ``levels`` one small job finds the regions, as any pivot needs them by name.
+    Without ``levels`` the regions are those of the long form, which is written out before the call returns, as any
+    pivot needs them by name; each becomes four columns, so more than ``max_levels`` are an error.
     """
     long = completeness(df, region=region, **kw)
     if levels is None:
-        levels = sorted(r[0] for r in df.select(region).where(F.col(region).isNotNull()).distinct().collect())
+        long = materialise(long)
+        found = bounded_rows(long.select(region).where(F.col(region).isNotNull()).distinct(), max_levels, "regions")
+        levels = sorted(r[0] for r in found)
     measures = ["has_data", "no_data", "total", "fraction_complete"]
     picked = [
         F.max(F.when(F.col(region) == lv, F.col(m))).alias(f"{m}_{lv}") for m in measures for lv in levels
@@ -265,8 +284,8 @@ _ID_COLUMNS = ["phacid", "pt", "ptcaseid", "phacreporteddate"]
 def suggest_value_fixes(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Cells whose spelling differs from the most frequent spelling of the same cleaned value.
 
-    Spellings are counted once; only the ones to be replaced are joined back, broadcast when
-    their counted size allows. Of equally frequent spellings the first in order is kept.
+    Spellings are counted once, before the call returns; only the ones to be replaced are joined back, to cells of
+    the columns that have any, broadcast when their bytes allow. Of equally frequent spellings the first in order is kept.
     """
     if cols is None:
         cols = [
@@ -294,12 +313,16 @@ def suggest_value_fixes(df: DataFrame, cols: list[str] | None = None) -> DataFra
         .where("old_value <> new_value and new_value <> ''")
         .select("varname", "old_value", "new_value")
     )
-    fixes = broadcast_if_small(materialise(fixes))
+    fixes = materialise(fixes)
+    # one row for each column at the most
+    fixed = {r[0] for r in fixes.select("varname").distinct().collect()}
     keep = [c for c in df.columns if c.lower() in _ID_COLUMNS]
+    left = F.array(
+        *[F.struct(F.lit(c).alias("varname"), F.col(c).alias("old_value")) for c in cols if c in fixed]
+    ).cast("array<struct<varname:string,old_value:string>>")
     return (
-        df.select(*keep, F.explode(cells).alias("e"))
+        df.select(*keep, F.explode(left).alias("e"))
         .select(*keep, "e.varname", "e.old_value")
-        .join(fixes, ["varname", "old_value"])
+        .join(broadcast_if_small(fixes), ["varname", "old_value"])
         .select(*keep, "varname", "old_value", "new_value", F.lit("").alias("approved"))
     )
-

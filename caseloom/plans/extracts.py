@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from ..functions.dates import as_col
 from ..functions.categories import clean_constant
 from ..functions.text import NA_TEXT, clean_names, clean_str, snake_case
 from ..operators import clean, quality, reports, summary
-from ..sources.sinks import SAVERS, Saver, save_csv
+from ..sources.sinks import SAVERS, Saver, save_csv, save_parquet, save_table, save_truncated, saved
 from ..sources.tables import SqlExtracts
-from .sizing import scratch_path
 
 Adjust = Callable[[DataFrame], DataFrame]
 
+READABLE = (save_csv, save_parquet, save_table, save_truncated)
+
 # The weekday columns of the schedule.
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 
@@ -46,12 +48,15 @@ def by_name[T](registry: dict[str, T], name: str | None, default: T) -> T:
     return registry.get(name, default) if name else default
 
 
+Source = Callable[[SparkSession], DataFrame]
+
+
 @dataclass(frozen=True)
 class Extract:
-    """One configured extract: SQL, adjustment, writer, target and weekdays."""
+    """One configured extract: SQL text or a function that makes the table, adjustment, writer, target and weekdays."""
 
     nm: str
-    sql_str: str
+    sql_str: str | Source
     path: str
     adjust_func: str | None = None
     saving_func: str | None = None
@@ -78,19 +83,25 @@ def is_due(extract: Extract, asof: dt.date) -> bool:
 def write_twice(df: DataFrame, save: Saver, path: str, copy_path: str | None) -> None:
     """Write the result, and a copy in a second place if one is configured.
 
-    With a copy the result goes to the shared scratch folder first: it is computed once,
-    both copies are equal, and a lost executor costs no recomputation.
+    The copy is made from the first files, so the result is computed once and both are equal. For a writer of
+    one's own, whose files cannot be read here, the result is kept in executor storage meanwhile.
     """
-    if copy_path is not None:
-        scratch = scratch_path(df.sparkSession, "extract")
-        df.write.parquet(scratch)
-        df = df.sparkSession.read.schema(df.schema).parquet(scratch)
-        save(df, copy_path)
-    save(df, path)
+    if copy_path is None:
+        save(df, path)
+        return
+    kept = None if save in READABLE else df.persist()
+    try:
+        save(df, path)
+        save(saved(df.sparkSession, save, path) if kept is None else kept, copy_path)
+    finally:
+        if kept is not None:
+            kept.unpersist()
 
 
 def run_extract(extracts: SqlExtracts, extract: Extract) -> DataFrame:
-    adjusted = extracts.get(extract.sql_str).transform(by_name(ADJUSTERS, extract.adjust_func, do_nothing))
+    source = extract.sql_str
+    df = extracts.get(source) if isinstance(source, str) else source(extracts.spark)
+    adjusted = df.transform(by_name(ADJUSTERS, extract.adjust_func, do_nothing))
     write_twice(adjusted, by_name(SAVERS, extract.saving_func, save_csv), extract.path, extract.copy_path)
     return adjusted
 
@@ -106,31 +117,55 @@ def report_extracts(out: str, days: dict[str, dict[str, str]] | None = None) ->
     return made
 
 
-def run_due(spark: SparkSession, config: Iterable[Extract], asof: dt.date) -> list[Extract]:
-    """Run every extract that is due; equal SQL texts share one DataFrame."""
-    extracts = SqlExtracts(spark)
-    done = []
-    for e in config:
-        if is_due(e, asof):
-            run_extract(extracts, e)
-            done.append(e)
-    return done
+def run_due(spark: SparkSession, config: Iterable[Extract], asof: dt.date, *, share: bool = True) -> list[Extract]:
+    """Run every extract that is due.
+
+    A SQL text that several due extracts use is computed once and kept in executor storage until the end; switch
+    ``share`` off where it would not fit.
+    """
+    due_now = [e for e in config if is_due(e, asof)]
+    uses = Counter(SqlExtracts.key(e.sql_str) for e in due_now if isinstance(e.sql_str, str))
+    several = {k for k, n in uses.items() if n > 1}
+    alone, shared = SqlExtracts(spark), SqlExtracts(spark, persist=True)
+    try:
+        for e in due_now:
+            both = share and isinstance(e.sql_str, str) and SqlExtracts.key(e.sql_str) in several
+            run_extract(shared if both else alone, e)
+    finally:
+        shared.clear()
+    return due_now
+
+
+def daily_reports(
+    cases: DataFrame, out: str, *, asof: dt.date, min_date: object = "2020-01-01",
+    config: Iterable[clean.Cleaning] = (),
+) -> dict[str, Extract]:
+    """The reports that are made by functions, by name; each may have its own weekdays like any extract."""
+    made: dict[str, Source] = {
+        "daily_headline": lambda _: summary.daily_headline(cases, asof=asof),
+        "db_errs": lambda _: quality.error_report(cases, asof=asof, min_date=min_date),
+        "ijn": lambda _: summary.recent_travel_cases(cases, asof=asof),
+        "completness": lambda _: summary.completeness_wide(cases, config=config),
+        "count_summary": lambda _: summary.count_summary(cases),
+    }
+    return {name: Extract(name, source, f"{out}/{name}") for name, source in made.items()}
+
+
+# The reports of the daily batch before and after the named extracts.
+BEFORE, AFTER = ["daily_headline", "db_errs"], ["ijn"]
 
 
 def end_of_day(
     spark: SparkSession, cases: DataFrame, config: Iterable[Extract], out: str, *, asof: dt.date,
-    min_date: object = "2020-01-01",
+    min_date: object = "2020-01-01", days: dict[str, dict[str, str | None]] | None = None,
+    before: list[str] = BEFORE, after: list[str] = AFTER, cleaning: Iterable[clean.Cleaning] = (),
 ) -> dict[str, str]:
-    """The ordered daily batch: headline, error report, due extracts, travel report."""
-    written = {}
-    for name, df in (
-        ("daily_headline", summary.daily_headline(cases, asof=asof)),
-        ("db_errs", quality.error_report(cases, asof=asof, min_date=min_date)),
-    ):
-        save_csv(df, f"{out}/{name}")
-        written[name] = f"{out}/{name}"
-    for e in run_due(spark, config, asof):
-        written[e.nm] = e.path
-    save_csv(summary.recent_travel_cases(cases, asof=asof), f"{out}/ijn")
-    written["ijn"] = f"{out}/ijn"
-    return written
+    """The ordered daily batch: headline, error report, named extracts, travel report; each only if it is due.
+
+    ``days`` holds the weekdays of the reports by name; one that is not listed is due every day. Completeness and the
+    count summary are made by name too, where ``before`` or ``after`` lists them.
+    """
+    made = daily_reports(cases, out, asof=asof, min_date=min_date, config=cleaning)
+    named = {n: replace(e, days=days[n]) if days and n in days else e for n, e in made.items()}
+    batch = [*(named[n] for n in before), *config, *(named[n] for n in after)]
+    return {e.nm: e.path for e in run_due(spark, batch, asof)}

@@ -93,17 +93,6 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-def with_totals(df: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
-    """Add aggregates over groups of rows, by aggregation and a join back.
-
-    Unlike a window this combines before the shuffle and never holds a group in one task.
-    """
-    sums = df.groupBy(*keys).agg(*[t.alias(name) for name, t in totals.items()])
-    sums = sums.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    return df.join(sums, on).drop(*[f"__{k}" for k in keys])
-
-
 def assert_unique(df: DataFrame, key: str) -> None:
     """Raise when a key occurs twice: one aggregation, one row to the driver."""
     dup = df.groupBy(key).count().where("count > 1").limit(1).count()

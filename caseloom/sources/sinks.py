@@ -5,16 +5,23 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Saver = Callable[[DataFrame, str], None]
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    """CSV parts with a header; missing values and blanks are written as nothing."""
+    """CSV parts with a header; missing values and blanks are written as nothing.
+
+    A single column writes them as a quoted blank: an empty line would not be read as a row.
+    """
+    blank = '""' if len(df.columns) == 1 else ""
+    if blank:
+        df = df.select(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")).alias(df.columns[0]))
     (
         df.write.mode("overwrite").option("header", True).option("nullValue", "")
-        .option("emptyValue", "").option("escape", '"')
+        .option("emptyValue", blank).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
 
@@ -54,3 +61,15 @@ SAVERS: dict[str, Saver] = {
     "save_azure": save_csv,
     "save_azure_modelling": save_csv,
 }
+
+
+def saved(spark: SparkSession, saver: Saver, path: str) -> DataFrame | None:
+    """What a writer has left at a path, for a copy by the same writer; null if it is not known how to read it.
+
+    CSV is read as text, so a copy of it has the same cells.
+    """
+    if saver is save_csv:
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    if saver in (save_parquet, save_truncated):
+        return spark.read.parquet(path)
+    return spark.table(path) if saver is save_table else None

@@ -9,16 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dates import flat_dates
 
 
-def spread(df: DataFrame, most: int = 64) -> DataFrame:
-    """Spread a scan of few, unsplittable file parts over the cores, ``most`` at the most.
-
-    A scan that already has that many partitions is left alone, so large
-    tables are never shuffled for it. Call it on narrow columns, before wide projections.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, most)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 class Tables:
     """Tables by name under one folder, kept as lazy DataFrames and temp views.
 

@@ -48,6 +48,22 @@ def test_curve_shares(spark):
     assert values(out.agg(F.sum("n").alias("n"))) == [kept]
 
 
+def test_two_significant_digits(spark):
+    want = {33.333: "33", 100.0: "100", 5.678: "5.7", 5.0: "5", 5.04: "5", 0.123: "0.12", 9.96: "10", 9.94: "9.9", 0.5: "0.5", 99.7: "100",
+            0.0: "0", 0.0123: "0.012", 0.996: "1", 12.5001: "13"}
+    df = spark.createDataFrame([(k,) for k in want], "x double")
+    assert dict(values(df.select("x", curves.two_digits(F.col("x")).alias("t")))) == want
+
+
+def test_labels(spark):
+    rows = [("confirmed", "x", dt.date(2020, 1, 1), "a")] * 1 + [("confirmed", "x", dt.date(2020, 1, 1), "b")] * 2
+    df = spark.createDataFrame(rows, "classification string, pt string, onsetdate date, sex string")
+    out = curves.with_labels(curves.epi_curve_counts(df, "onsetdate", "sex"))
+    assert sorted(values(out, "color_lbl", "facet_lbl")) == [
+        ("A (33%)", "x\n100%\nPeak:2\nTotal:3"), ("B (67%)", "x\n100%\nPeak:2\nTotal:3"),
+    ]
+
+
 def test_six_months_before_clips_the_day(spark):
     assert values(spark.range(1).select(curves.six_months_before("2020-08-31").alias("d"))) == [dt.date(2020, 2, 29)]
 

@@ -58,6 +58,15 @@ def test_csv_keeps_text(spark, tmp_path):
     assert back == {1: rows[0][1], 2: None, 3: None, 4: "é"}
 
 
+def test_one_column_keeps_its_rows(spark, tmp_path):
+    df = spark.createDataFrame([("a",), (None,), ("",), ('q"x',)], "v string")
+    sinks.save_csv(df.coalesce(1), f"{tmp_path}/c")
+    assert values(tables.read_csv(spark, f"{tmp_path}/c", "v string"), "v") == ["a", None, None, 'q"x']
+    numbers = spark.createDataFrame([(1,), (None,)], "n int")
+    sinks.save_csv(numbers.coalesce(1), f"{tmp_path}/n")
+    assert values(tables.read_csv(spark, f"{tmp_path}/n", "n int"), "n") == [1, None]
+
+
 def test_latin1(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes("i,v\n1,Montréal\n".encode("latin-1"))
     df = tables.read_csv(spark, str(tmp_path / "x.csv"), "i int, v string", encoding="ISO-8859-1")
@@ -78,12 +87,6 @@ def test_sql_extracts_share_equal_text(spark):
     s.clear()
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    many = spark.range(100).repartition(16)
-    assert tables.spread(many) is many
-    assert tables.spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_final_clean(spark):
     config = [
         clean.Cleaning("r", "A", "yes", "$1", "none", "str_to_upper"), clean.Cleaning("r", "A", "yes", "Do Not"),
@@ -112,6 +115,70 @@ def test_end_of_day(spark, tmp_path):
     assert spark.read.option("header", True).csv(written["weekly"]).count() == cases.count()
 
 
+def test_every_report_of_the_day_follows_the_schedule(spark, tmp_path):
+    cases = fx.cases(spark, SF).limit(50)
+    saturday = dt.date.fromisoformat(fx.ASOF)
+    weekdays = dict.fromkeys(extracts.WEEKDAYS[:5], "x")
+    written = extracts.end_of_day(
+        spark, cases, [], str(tmp_path), asof=saturday, min_date=fx.MIN_DATE, after=["ijn", "completness", "count_summary"],
+        days={"db_errs": weekdays, "ijn": weekdays, "count_summary": weekdays, "completness": {"Sat": "x"}},
+    )
+    assert list(written) == ["daily_headline", "completness"]
+    assert not (tmp_path / "db_errs").exists()
+
+
+def test_a_function_is_run_only_when_due(spark, tmp_path):
+    ran = []
+
+    def source(s):
+        ran.append(1)
+        return s.range(3)
+
+    e = Extract("f", source, f"{tmp_path}/f", saving_func="save_parquet", copy_path=f"{tmp_path}/copy", days={"Mon": "x"})
+    assert extracts.run_due(spark, [e], MONDAY + dt.timedelta(days=1)) == [] and not ran
+    extracts.run_due(spark, [e], MONDAY)
+    assert len(ran) == 1 and spark.read.parquet(f"{tmp_path}/copy").count() == 3
+
+
+def test_copies_are_made_from_the_first_files(spark, tmp_path):
+    """The result is computed once, whatever the writer, and nothing stays in storage."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(10).coalesce(1).mapInPandas(count, "id long")
+
+    def own(d, path):
+        d.write.json(path)
+
+    for k, save in enumerate((sinks.save_csv, sinks.save_parquet, own)):
+        before = seen.value
+        extracts.write_twice(df, save, f"{tmp_path}/{k}", f"{tmp_path}/{k}copy")
+        assert seen.value - before == 10
+        assert not df.is_cached
+    assert spark.read.json(f"{tmp_path}/2copy").count() == 10
+    assert sorted(values(spark.read.option("header", True).csv(f"{tmp_path}/0copy"), "id")) == sorted(map(str, range(10)))
+
+
+def test_equal_sql_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    spark.range(10).coalesce(1).mapInPandas(count, "id long").createOrReplaceTempView("t_counted")
+    config = [Extract(n, "select * from t_counted", f"{tmp_path}/{n}") for n in ("a", "b", "c")]
+    extracts.run_due(spark, config, MONDAY)
+    assert seen.value == 10
+    extracts.run_due(spark, config, MONDAY, share=False)
+    assert seen.value == 40
+
+
 def test_rules_on_a_stream(spark, tmp_path):
     cases = fx.cases(spark, SF)
     cases.write.parquet(f"{tmp_path}/in")

@@ -10,9 +10,14 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+# these select regions of a thousand cases, which the smallest tables do not have
+MAY_BE_EMPTY = {"report_delay_hist"}
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, "/root/testdata/sf0.001", name) in ("", "both empty")
+    problem = compare(spark, con, "/root/testdata/sf0.001", name)
+    assert problem == ("both empty" if name in MAY_BE_EMPTY else "")
 
 
 def test_fixture_text_matches_document():

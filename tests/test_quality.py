@@ -125,6 +125,49 @@ def test_resolution_layout(spark, cases):
         ("No Age units", "Exact Age is given but Age units are not."),
         (
             "Resolution date listed but not resolved",
-            "Resolution date of '2020-03-01' is listed but Disposition is 'ill'",
+            "Resolution date of '2020-03-01' is listed but disposition is 'ill'",
         ),
     ]
+
+
+def resolution(spark, cases, **change):
+    df = one(spark, cases, ageunit="years", **change).withColumnRenamed("recoverydate", "resolutiondate")
+    return df.withColumn("classification", F.lower("classification"))
+
+
+def texts(df):
+    return sorted(values(quality.error_report(df, asof="2021-01-01", words=quality.RESOLUTION), "err"))
+
+
+def test_resolution_layout_skips_columns_that_hold_no_date(spark, cases):
+    df = resolution(spark, cases, onsetdate="2021-02-01")
+    for c in ("detectedatentry", "weekdate", "earliestdatetype"):
+        df = df.withColumn(c, F.lit("2030-01-01").cast("date"))
+    assert texts(df) == ["onsetdate is in the future? spooky!"]
+
+
+def test_resolution_layout_has_its_own_episode_date(spark, cases):
+    df = resolution(spark, cases, phacreporteddate="2020-12-05", episodedate="2020-12-09", onsetdate="2020-12-01")
+    assert texts(df) == ["PHACReported before episodedate '2020-12-05' < '2020-12-09'"]
+
+
+def test_resolution_layout_wording(spark, cases):
+    df = resolution(spark, cases, reporteddate="2020-06-01", age=200, coviddeath="yes", disposition="ill")
+    assert texts(df) == [
+        "age  200 is  wrong", "coviddeath 'yes' disagrees with  disposition 'ill'",
+        "reporteddate 2020-06-01 is 214 days ago....Thats a lot, maybe verify this with the pt?",
+    ]
+
+
+def test_repeated_ids_are_reported(spark, cases):
+    with pytest.raises(ValueError, match="not unique"):
+        quality.error_report(cases.limit(3).union(cases.limit(3)), asof=fx.ASOF, check_unique=True)
+
+
+def test_report_moves_cases_not_messages(cases):
+    df = quality.error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    own = cases._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == own.count("Exchange hashpartitioning")
+    assert plan.index("Generate explode") < plan.index("Exchange rangepartitioning")

@@ -1,8 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import summary
+from caseloom.operators import clean, summary
 from verification import fixture as fx
 
 from .conftest import values
@@ -49,6 +50,36 @@ def test_completeness_wide_levels(spark):
     assert (row.has_data_a, row.no_data_a, row.total_b, row.fraction_complete_b) == (0, 1, 1, 1.0)
 
 
+def test_completeness_cleans_first(spark):
+    schema = "PHACID string, pt string, classification string, v string, w string"
+    df = spark.createDataFrame([("1", "a", "confirmed", " . ", " . "), ("2", "a", "confirmed", "x", None)], schema)
+    config = [clean.Cleaning(summary.COMPLETENESS, "V", "yes", " ")]
+    out = summary.completeness(df, config=config)
+    assert sorted(values(out.where("colnm IN ('v', 'w')"), "colnm", "has_data", "no_data")) == [("v", 1, 1), ("w", 1, 1)]
+
+
+def test_regions_without_kept_cases_get_no_columns(spark):
+    df = spark.createDataFrame(
+        [("1", "a", "confirmed", "x"), ("2", "b", "suspect", "x")], "phacid string, pt string, classification string, v string"
+    )
+    assert summary.completeness_wide(df).columns == ["colnm", "has_data_a", "no_data_a", "total_a", "fraction_complete_a"]
+    with pytest.raises(ValueError, match="regions"):
+        summary.completeness_wide(df, only_classified=False, max_levels=1)
+
+
+def test_occupancy_is_one_scan(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(5000).mapInPandas(count, "id long")
+    df = df.select(F.col("id").cast("string").alias("wide"), (F.col("id") % 3).alias("few"), (F.col("id") - 2500).alias("number"))
+    assert summary.few_valued(df, df.columns, 60) == ["few"] and seen.value == 5000
+
+
 def test_report_delay_counts_all_rows_of_a_region(spark):
     d = dt.date(2020, 1, 1)
     rows = [("big", d, d, "0-19")] * 3 + [("big", None, d, "0-19"), ("big", d, d, "Unknown"), ("small", d, d, "0-19")]
@@ -86,3 +117,20 @@ def test_spelling_suggestions(spark):
     df = spark.createDataFrame(rows, "phacid string, pt string, classification string, sex string")
     out = summary.suggest_value_fixes(df, ["sex"])
     assert sorted(values(out, "old_value", "new_value")) == [("MALE", "male"), ("Male.", "male")]
+
+
+def test_suggestions_join_by_shuffle_too(spark, monkeypatch):
+    df = fx.cases(spark, SF)
+    first = sorted(values(summary.suggest_value_fixes(df)), key=str)
+    monkeypatch.setattr(summary, "broadcast_if_small", lambda t: t)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(values(summary.suggest_value_fixes(df)), key=str) == first
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_nothing_to_suggest(spark):
+    df = spark.createDataFrame([("1", "x", "confirmed", "a")], "phacid string, pt string, classification string, sex string")
+    assert summary.suggest_value_fixes(df).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from caseloom.functions import categories as cat
 from caseloom.functions import dates, text
 from caseloom.operators import clean, curves, derive, diff, impute, quality, rates, reports, summary
 from caseloom.plans import extracts
-from caseloom.plans.sizing import scratch_path
+from caseloom.plans.sizing import materialise, remove_path, scratch_path
 from caseloom.sources import sinks, tables
 
 from . import fixture as fx
@@ -20,6 +21,15 @@ from .registry import ORACLES, QUERIES, add
 ASOF, MIN_DATE = fx.ASOF, fx.MIN_DATE
 W = S.WITH_CASES
 
+_TEXT_COLS = [
+    "phacid", "pt", "ptcaseid", "classification", "ageunit", "agegroup20", "agegroup10", "sex", "asymptomatic",
+    "symcough", "symfever", "symother", "symotherspec", "rfdiabetes", "rfcardiacdisease", "hosp", "icu",
+    "mechanicalvent", "isolation", "disposition", "coviddeath", "travel", "travelfromcountry1",
+    "traveltocountry1", "exposure_cat", "closecontactcase", "closecontactcasespec", "testingreason", "residency",
+    "residencecountry", "indigenous", "indigenousgroup", "occupationspec", "healthcare_worker", "ltc_resident",
+]
+_FIRST_COLS = ["k", "age", *_TEXT_COLS, *S.DATES]
+
 
 def row_query(name: str, out: str, column, sql: str, *inputs: str) -> None:
     """A column derived row by row."""
@@ -35,10 +45,14 @@ def row_query(name: str, out: str, column, sql: str, *inputs: str) -> None:
 # ---- sources and sinks ------------------------------------------------------------
 
 def _load_cases(spark, sf):
-    return tables.Tables(spark, sf).get("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    """The whole table, through the cache: read, read again from it, and read anew."""
+    t = tables.Tables(spark, sf)
+    first = t.get("orders")
+    assert t.get("orders") is first and t.get("orders", refresh=True) is not first
+    return t.get("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
-add("load_cases", _load_cases, "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+add("load_cases", _load_cases, "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders")
 
 
 def _serial(spark, sf):
@@ -93,16 +107,18 @@ _CSV = ["phacid", "pt", "sex", "occupationspec", "onsetdate", "age"]
 
 def _csv(spark, sf):
     path = scratch_path(spark, "csv")
-    sinks.save_csv(fx.cases(spark, sf).select(*_CSV), path)
-    schema = "phacid string, pt string, sex string, occupationspec string, onsetdate date, age int"
-    return tables.read_csv(spark, path, schema)
+    df = fx.cases(spark, sf)
+    try:
+        sinks.save_csv(df, path)
+        return materialise(tables.read_csv(spark, path, df.schema))
+    finally:
+        remove_path(spark, path)
 
 
 add(
     "csv_roundtrip",
     _csv,
-    f"{W} SELECT phacid, pt, nullif(sex, '') AS sex, nullif(occupationspec, '') AS occupationspec, onsetdate, age "
-    "FROM cases",
+    f"{W} SELECT " + ", ".join(f"nullif({c}, '') AS {c}" if c in _TEXT_COLS else c for c in _FIRST_COLS) + " FROM cases",
 )
 
 
@@ -119,17 +135,24 @@ add("truncate_names", _truncated, f"{W} SELECT phacid, age AS age_of_the_case_in
 def _table(spark, sf):
     path = scratch_path(spark, "table")
     name = "caseloom_" + path.rsplit("-", 1)[1]
-    sinks.save_table(fx.cases(spark, sf).select("phacid", "pt", "onsetdate", "age"), name, path=path)
-    return spark.table(name)
+    try:
+        sinks.save_table(fx.cases(spark, sf), name, path=path)
+        return materialise(spark.table(name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_path(spark, path)
 
 
-add("table_roundtrip", _table, f"{W} SELECT phacid, pt, onsetdate, age FROM cases")
+add("table_roundtrip", _table, f"{W} SELECT * FROM cases")
 
 
 def _parquet(spark, sf):
     path = scratch_path(spark, "parquet")
-    sinks.save_parquet(fx.cases(spark, sf), path)
-    return spark.read.parquet(path)
+    try:
+        sinks.save_parquet(fx.cases(spark, sf), path)
+        return materialise(spark.read.parquet(path))
+    finally:
+        remove_path(spark, path)
 
 
 add("parquet_roundtrip", _parquet, f"{W} SELECT * FROM cases")
@@ -153,6 +176,16 @@ add(
 )
 
 
+_MODEL_COLS = ["phacid", "hospstatus", "sexgender2", "occupation2"]
+
+
+def _contents(df, name):
+    """Rows and a sum over the rows' digests: columns by name, missing cells as blanks."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.lit(name).alias("nm"), F.count(F.lit(1)).alias("n_rows"), F.sum(digest).alias("checksum"))
+
+
 def _run_extract(spark, sf):
     cases = fx.cases(spark, sf)
     cases.createOrReplaceTempView("caseloom_run_cases")
@@ -161,28 +194,27 @@ def _run_extract(spark, sf):
     reports.publish_views(
         published(spark, sf),
         {"all_cases": _CSV, "all_cases_web": clean.WEB_COLUMNS, "data_hub": HUB_COLS, "who": clean.TREND_COLUMNS,
-         "statscan": clean.WEEKLY_COLUMNS, "modelling_data": ["phacid", "hospstatus", "death", "comorbidity"]},
+         "statscan": clean.WEEKLY_COLUMNS, "modelling_data": _MODEL_COLS},
     )
     config = [
         *extracts.report_extracts(out, {"WHO": {"Mon": "x"}}),
         extracts.Extract("all", sql, f"{out}/all", saving_func="save_parquet", copy_path=f"{out}/copy"),
-        extracts.Extract("no_ids", sql, f"{out}/no_ids", adjust_func="remove_pt_cols"),
+        extracts.Extract("no_ids", sql, f"{out}/no_ids", adjust_func="remove_pt_cols", copy_path=f"{out}/no_ids_copy"),
+        extracts.Extract("regions", lambda s: cases.select("pt").distinct(), f"{out}/regions"),
         extracts.Extract("weekdays_only", sql, f"{out}/never", days={"Mon": "x", "Sat": " "}),
     ]
-    written = extracts.end_of_day(
-        spark, cases, config, out, asof=dt.date.fromisoformat(ASOF), min_date=MIN_DATE
-    )
-    frames = []
-    for name, path in written.items():
-        reader = spark.read.option("header", True)
-        df = spark.read.parquet(path) if name == "all" else reader.option("multiLine", True).csv(path)
-        frames.append(df.agg(F.lit(name).alias("nm"), F.count(F.lit(1)).alias("n_rows")))
-    copy = spark.read.parquet(f"{out}/copy")
-    frames.append(copy.agg(F.lit("copy").alias("nm"), F.count(F.lit(1)).alias("n_rows")))
-    result = frames[0]
-    for f in frames[1:]:
-        result = result.unionByName(f)
-    return result
+    try:
+        written = extracts.end_of_day(
+            spark, cases, config, out, asof=dt.date.fromisoformat(ASOF), min_date=MIN_DATE,
+            after=["ijn", "count_summary"], days={"count_summary": {"Fri": "x"}},
+        )
+        frames = []
+        for name, path in [*written.items(), ("copy", f"{out}/copy"), ("no_ids_copy", f"{out}/no_ids_copy")]:
+            reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            frames.append(_contents(spark.read.parquet(path) if name in ("all", "copy") else reader.csv(path), name))
+        return materialise(reduce(lambda a, b: a.unionByName(b), frames))
+    finally:
+        remove_path(spark, out)
 
 
 _DEFAULT_RULES = [n for n in S.RULE_SQL if n != "close_contact_details"]
@@ -202,17 +234,6 @@ _TRAVEL_SQL = f"""
     AND CASE WHEN travelstartdate1 IS NULL AND travelenddate1 IS NULL THEN {S.EPISODE} >= phacreporteddate - 16
         ELSE travelstartdate1 >= phacreporteddate - 16 OR travelenddate1 >= phacreporteddate - 16 END"""
 
-add(
-    "run_extract",
-    _run_extract,
-    f"""{S.WITH_RULES}, errs AS ({_ALL_ERRORS}), ijn AS ({_TRAVEL_SQL.format(asof=ASOF, reported=7, episode=14)})
-SELECT 'daily_headline' AS nm, CAST(1 AS BIGINT) AS n_rows UNION ALL SELECT 'db_errs', count(*) FROM errs
-UNION ALL SELECT 'all', count(*) FROM cases UNION ALL SELECT 'no_ids', count(*) FROM cases
-UNION ALL SELECT 'ijn', count(*) FROM ijn UNION ALL SELECT 'copy', count(*) FROM cases
-UNION ALL SELECT unnest(['stats_can', 'data_hub', 'hc_daily', 'domestic_surveillance', 'qry_allcases_web',
-  'qry_allcases']), (SELECT count(*) FROM cases)""",
-)
-
 REPORT_CONFIG = [
     clean.Cleaning("weekly", "PHACID", "no"),
     clean.Cleaning("weekly", "PT", "Yes", "Do Not", "", "str_to_lower"),
@@ -261,12 +282,16 @@ def published(spark, sf):
     return df.selectExpr("*", *[f"{v} AS {k}" for k, v in _PUBLISHED_EXTRA.items()])
 
 
-# data_hub columns that the given tables can fill
+# data_hub columns that the given tables can fill; the SQL lists them on its own
 HUB_COLS = [c for c in clean.DATA_HUB_COLUMNS if c not in (
     "symchills", "symsorethroat", "symrunnynose", "symshortnessofbreath", "symnausea", "symheadache",
     "symweakness", "sympain", "symirritability", "symdiarrhea",
 )]
-_HUB_SQL = ", ".join(HUB_COLS)
+_HUB_SQL = (
+    "phacid, pt, episodedate, classification, sexgender2, agegroup10, age, occupation2, healthcare_worker2, ltc_resident, "
+    "asymptomatic2, onsetdate, reporteddate, symcough, symfever, symother, symotherspec, hospstatus, disposition2, "
+    "resolutiondate2, exposure_cat2"
+)
 
 
 def _hcdaily(spark, sf):
@@ -276,7 +301,46 @@ def _hcdaily(spark, sf):
 add(
     "report_hcdaily",
     _hcdaily,
-    f"{WITH_PUBLISHED} SELECT {', '.join(c for c in HUB_COLS if c != 'pt')} FROM published",
+    f"{WITH_PUBLISHED} SELECT {_HUB_SQL.replace('pt, ', '', 1)} FROM published",
+)
+_HUB_LIST = _HUB_SQL.split(", ")
+_KEPT = [c for c in _FIRST_COLS if c not in clean.IDENTIFIER_COLUMNS]
+_IJN = [
+    "phacreporteddate", "pt", "ptcaseid", "phacid", "episodedate", "episodetype", "age", "sex", "residency",
+    "travelfromcountry1", "traveltocountry1", "travelstartdate1", "travelenddate1", "exposure_cat", "classification",
+]
+
+
+def _written() -> dict[str, str]:
+    """What the batch of 30 June 2001, a Saturday, writes: the count summary and WHO are not due."""
+    head = (
+        f"(SELECT DATE '{ASOF}' AS asof, c AS n_cases, d AS n_deaths, 'Total Confirmed & Probable cases in database on "
+        f"{ASOF} EOD is ''' || format('{{:,}}', c) || ''' while Deaths are ''' || format('{{:,}}', d) || '''' AS message "
+        "FROM (SELECT count(*) AS c, count(*) FILTER (lower(coviddeath) = 'yes') AS d FROM cases "
+        "WHERE classification <> 'Suspect'))"
+    )
+    return {
+        "daily_headline": S.checksum(["asof", "n_cases", "n_deaths", "message"], head),
+        "db_errs": S.checksum(["phacid", "pt", "ptcaseid", "typ", "classification", "phacreporteddate", "err"], "errs"),
+        "stats_can": S.checksum(clean.WEEKLY_COLUMNS, "published"),
+        "data_hub": S.checksum(_HUB_LIST, "published"),
+        "hc_daily": S.checksum([c for c in _HUB_LIST if c != "pt"], "published"),
+        "domestic_surveillance": S.checksum(_MODEL_COLS, "published"),
+        "qry_allcases_web": S.checksum(clean.WEB_COLUMNS, "published"),
+        "qry_allcases": S.checksum(_CSV, "published"),
+        "all": S.checksum(_FIRST_COLS, "cases"), "copy": S.checksum(_FIRST_COLS, "cases"),
+        "no_ids": S.checksum(_KEPT, "cases"), "no_ids_copy": S.checksum(_KEPT, "cases"),
+        "regions": S.checksum(["pt"], "(SELECT DISTINCT pt FROM cases)"),
+        "ijn": S.checksum(_IJN, "ijn"),
+    }
+
+
+add(
+    "run_extract",
+    _run_extract,
+    f"""{S.WITH_RULES}, published AS (SELECT *, {_EXTRA_SQL}, {_DERIVED_SQL} FROM cases),
+errs AS ({_ALL_ERRORS}), ijn AS ({_TRAVEL_SQL.format(asof=ASOF, reported=7, episode=14)})
+""" + " UNION ALL ".join(f"SELECT '{n}' AS nm, {body}" for n, body in _written().items()),
 )
 
 # ---- text and categories ----------------------------------------------------------
@@ -449,13 +513,6 @@ add(
     .transform(extracts.by_name(extracts.ADJUSTERS, "", text.clean_names)),
     f"{WITH_PUBLISHED} SELECT phacid, age AS age_years FROM published",
 )
-_TEXT_COLS = [
-    "phacid", "pt", "ptcaseid", "classification", "ageunit", "agegroup20", "agegroup10", "sex", "asymptomatic",
-    "symcough", "symfever", "symother", "symotherspec", "rfdiabetes", "rfcardiacdisease", "hosp", "icu",
-    "mechanicalvent", "isolation", "disposition", "coviddeath", "travel", "travelfromcountry1",
-    "traveltocountry1", "exposure_cat", "closecontactcase", "closecontactcasespec", "testingreason", "residency",
-    "residencecountry", "indigenous", "indigenousgroup", "occupationspec", "healthcare_worker", "ltc_resident",
-]
 
 
 def _one_time_sql() -> str:
@@ -545,11 +602,11 @@ add(
 
 add(
     "missing_fraction",
-    lambda spark, sf: summary.missing_fraction(fx.cases(spark, sf), [*S.DATES, "age", "sex", "pt"]),
+    lambda spark, sf: summary.missing_fraction(fx.cases(spark, sf), _FIRST_COLS),
     f"{W}, m AS ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS colnm, (count(*) - count({c})) / count(*) AS missing_fraction FROM cases"
-        for c in [*S.DATES, "age", "sex", "pt"]
+        for c in _FIRST_COLS
     )
     + ") SELECT * FROM m WHERE missing_fraction > 0",
 )
@@ -583,29 +640,39 @@ add(
     f"{W} {_TRAVEL_SQL.format(asof=ASOF, reported=400, episode=410)}",
 )
 
-_COMPLETE = ["onsetdate", "age", "sex", "hosp", "occupationspec", "residencecountry", "deathdate"]
+# punctuation is removed where the configuration says so, and a cell that holds nothing else is empty
+_COMPLETE_CONFIG = [clean.Cleaning(summary.COMPLETENESS, c, "yes", " ") for c in ("symcough", "ltc_resident", "Sex")]
 
 
 def _complete_input(spark, sf):
-    return fx.cases(spark, sf).select("phacid", "pt", "classification", *_COMPLETE)
+    return fx.cases(spark, sf).withColumnRenamed("sex", "Sex")
+
+
+def _complete_long(where: str = "") -> str:
+    cells = {c: f"coalesce(CAST({c} AS VARCHAR), '')" for c in _FIRST_COLS if c not in ("phacid", "pt")}
+    for c in ("symcough", "ltc_resident", "sex"):
+        cells[c] = f"regexp_replace({cells[c]}, '[[:punct:] ]', '', 'g')"
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS colnm, pt, count(*) FILTER ({v} <> '') AS has_data, count(*) FILTER ({v} = '') AS no_data, "
+        "count(*) AS total FROM kept GROUP BY pt"
+        for c, v in cells.items()
+    )
+    return f"{W}, kept AS (SELECT * FROM cases WHERE classification IN ('Confirmed', 'Probable'){where}), long AS ({long})"
 
 
-_COMPLETE_LONG = f"{W}, long AS (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS colnm, pt, count(*) FILTER (coalesce(CAST({c} AS VARCHAR), '') <> '') AS has_data, "
-    f"count(*) FILTER (coalesce(CAST({c} AS VARCHAR), '') = '') AS no_data, count(*) AS total FROM cases "
-    "WHERE classification IN ('Confirmed', 'Probable') GROUP BY pt"
-    for c in ["classification", *_COMPLETE]
-) + ")"
 add(
     "completeness_long",
-    lambda spark, sf: summary.completeness(_complete_input(spark, sf)),
-    f"{_COMPLETE_LONG} SELECT *, has_data / total AS fraction_complete FROM long",
+    lambda spark, sf: summary.completeness(_complete_input(spark, sf), config=_COMPLETE_CONFIG),
+    f"{_complete_long()} SELECT *, has_data / total AS fraction_complete FROM long",
 )
-_PTS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# AFRICA has suspects only here, and so no columns
+_PTS = ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 add(
     "completeness_wide",
-    lambda spark, sf: summary.completeness_wide(_complete_input(spark, sf)),
-    f"{_COMPLETE_LONG} SELECT colnm, "
+    lambda spark, sf: summary.completeness_wide(
+        _complete_input(spark, sf).where("pt <> 'AFRICA' OR classification = 'Suspect'"), config=_COMPLETE_CONFIG
+    ),
+    _complete_long(" AND pt <> 'AFRICA'") + " SELECT colnm, "
     + ", ".join(
         f'max({v}) FILTER (pt = \'{p}\') AS "{m}_{p}"'
         for m, v in (("has_data", "has_data"), ("no_data", "no_data"), ("total", "total"),
@@ -677,30 +744,32 @@ add(
     lambda spark, sf: diff.symptoms_wide(fx.symptoms(spark, sf)),
     f"{S.WITH_SYMPTOMS} SELECT phacid, "
     + ", ".join(
-        f"max(symptomvalue) FILTER (symptomid = {i}) AS {'asymptomatic' if i == 1 else 'sym' + n}"
-        for i, n in diff.SYMPTOM_NAMES.items()
+        f"max(symptomvalue) FILTER (symptomid = {i}) AS {n}"
+        for i, n in (
+            (1, "asymptomatic"), (2, "symcough"), (3, "symfever"), (4, "symchills"), (5, "symsorethroat"),
+            (6, "symrunnynose"), (7, "symshortnessofbreath"), (8, "symnausea"), (9, "symheadache"), (10, "symweakness"),
+            (11, "sympain"), (12, "symirritability"), (13, "symdiarrhea"), (35, "symother"), (-1, "symna"),
+        )
     )
     + " FROM symptoms GROUP BY phacid",
 )
-DIAGNOSES = {1: "Pneumonia", 2: "Abnormal lung", 3: "ARDS", 4: "Other"}
 
 
 def _diagnoses(spark, sf):
-    """Names come from a lookup derived from the parts' sizes, as a lookup table would give them."""
+    """Names come from a lookup table, which has none for the numbers 6 and 7."""
     long = fx.symptoms(spark, sf).select(
         "phacid", F.col("symptomid").alias("diagnosisid"), F.col("symptomvalue").alias("diagnosisvalue")
     )
-    return diff.diagnoses_wide(long, DIAGNOSES)
+    lookup = fx.table(spark, sf, "nation").where("n_nationkey BETWEEN 1 AND 5")
+    return diff.diagnoses_wide(long, lookup.selectExpr("n_nationkey AS diagnosisid", "replace(n_name, '_', ' ') AS diagnosisname"))
 
 
 add(
     "diagnoses_wide",
     _diagnoses,
     f"{S.WITH_SYMPTOMS} SELECT phacid, "
-    + ", ".join(
-        f"max(symptomvalue) FILTER (symptomid = {i}) AS dx{n.lower().replace(' ', '_')}" for i, n in DIAGNOSES.items()
-    )
-    + " FROM symptoms GROUP BY phacid",
+    + ", ".join(f"max(symptomvalue) FILTER (symptomid = {i}) AS dxnation_{i}" for i in range(1, 6))
+    + ", max(symptomvalue) FILTER (symptomid > 5) AS dxna FROM symptoms GROUP BY phacid",
 )
 _REPORT = "phacid, pt, ptcaseid, phacreporteddate, classification"
 add(
@@ -708,6 +777,14 @@ add(
     lambda spark, sf: diff.repeated_keys(fx.symptoms(spark, sf), ["phacid", "symptomid"]),
     f"{S.WITH_SYMPTOMS} SELECT phacid, symptomid, count(*) AS n FROM symptoms GROUP BY ALL HAVING count(*) > 1",
 )
+add(
+    "ambiguous_keys",
+    lambda spark, sf: diff.ambiguous_keys(
+        fx.symptoms(spark, sf), fx.symptoms(spark, sf).where("symptomvalue <> 'no'"), ["phacid", "symptomid"]
+    ),
+    f"{S.WITH_SYMPTOMS} SELECT phacid, symptomid, count(*) AS n_first, count(*) FILTER (symptomvalue <> 'no') AS n_second "
+    "FROM symptoms GROUP BY ALL HAVING count(*) > 1",
+)
 add(
     "rows_missing_right",
     lambda spark, sf: diff.missing_rows(fx.first_source(spark, sf), fx.second_source(spark, sf)),
@@ -724,7 +801,6 @@ _SECOND_COLS = [
     "phacid", "pt", "ptcaseid", "k", "classification", "phacreporteddate", "reporteddate", "onsetdate", "episodedate",
     "age", "agegroup20", "sex", "disposition", "symcough", "symfever", "coviddeath",
 ]
-_FIRST_COLS = ["k", "age", *_TEXT_COLS, *S.DATES]
 add(
     "columns_diff",
     lambda spark, sf: diff.columns_diff(
@@ -772,7 +848,6 @@ add(
 FROM a JOIN b USING (phacid)""",
 )
 
-_VIEW_SYM = [(i, f"sym{n}") for i, n in diff.SYMPTOM_NAMES.items() if i > 1]
 # the normalised tables, cut from the wide fixture; the same text runs in both engines
 _NORMAL = {
     "cases_n": "SELECT phacid, pt, lower(classification) AS classification, lower(sex) AS sex, age, "
@@ -788,60 +863,62 @@ _NORMAL = {
     "travelfromcountry1 IS NOT NULL UNION ALL SELECT phacid, lower(traveltocountry1) FROM {cases} WHERE "
     "traveltocountry1 IS NOT NULL",
 }
+# numbers above seven, and the text of number 35, are made from the last digit of the id
+_VIEW_SYMPTOMS = (
+    "SELECT phacid, CASE WHEN symptomid = 5 THEN 5 + CAST(right(phacid, 1) AS INT) % 9 WHEN symptomid = 6 THEN 35 "
+    "WHEN symptomid = 7 THEN 6 ELSE symptomid END AS symptomid, symptomvalue, CASE WHEN symptomid = 6 AND symptomvalue = 'yes' "
+    "THEN concat('spec ', right(phacid, 1)) END AS symptomspec FROM {symptoms}"
+)
 
 
 def _case_view(spark, sf):
     cases = fx.cases(spark, sf)
     t = {name: spark.sql(sql, cases=cases) for name, sql in _NORMAL.items()}
-    return diff.case_view(
-        t["cases_n"], fx.symptoms(spark, sf), t["severity_n"], t["exposures_n"], t["lab_n"], t["travel_n"]
-    )
-
+    symptoms = spark.sql(_VIEW_SYMPTOMS, symptoms=fx.symptoms(spark, sf))
+    return diff.case_view(t["cases_n"], symptoms, t["severity_n"], t["exposures_n"], t["lab_n"], t["travel_n"])
 
-def _stated(c: str) -> str:
-    return f"CASE WHEN {c} IS NULL OR {c} = '' THEN 'not stated' ELSE {c} END"
 
-
-_BANDS = " ".join(
-    f"WHEN age <= {n + 9} OR agegrouping = '{n}-{n + 9}' THEN '{n} to {n + 9}'" for n in range(20, 80, 10)
-)
+_VIEW_NAMES = {
+    2: "symcough", 3: "symfever", 4: "symchills", 5: "symsorethroat", 6: "symrunnynose", 7: "symshortnessofbreath",
+    8: "symnausea", 9: "symheadache", 10: "symweakness", 11: "sympain", 12: "symirritability", 13: "symdiarrhea",
+    35: "symother",
+}
 add(
     "case_view_sql",
     _case_view,
-    f"""{S.WITH_BOTH}, {', '.join(f'{n} AS ({q.format(cases="cases")})' for n, q in _NORMAL.items())}
-SELECT c.phacid, c.pt, CASE WHEN c.onsetdate IS NOT NULL THEN c.onsetdate
-    WHEN min(l.labspecimencollectiondate) IS NOT NULL THEN min(l.labspecimencollectiondate)
-    ELSE min(l.labtestresultdate) END AS episodedate,
-  c.classification, {_stated('c.sex')} AS sex2,
-  CASE WHEN age <= 19 OR agegrouping = '0-19' THEN '0 to 19' {_BANDS}
-    WHEN age >= 80 OR agegrouping = '80+' THEN '80 or plus' ELSE 'unknown' END AS agegroup10, c.age,
-  {_stated('c.occupation')} AS occupation2, {_stated('c.occupationhcw')} AS healthcare_worker2,
-  {_stated('c.ltc_resident')} AS ltc_resident2,
-  CASE WHEN c.phacid IN (SELECT phacid FROM symptoms WHERE symptomid > 1 AND symptomid < 35 AND symptomvalue = 'yes')
-       THEN 'no'
-       WHEN c.phacid NOT IN (SELECT phacid FROM symptoms WHERE symptomid = 1) THEN 'unknown'
-       ELSE (SELECT max(symptomvalue) FROM symptoms o WHERE symptomid = 1 AND o.phacid = c.phacid) END AS asymptomatic2,
-  c.onsetdate,
-  {', '.join(f'max(CASE WHEN s.symptomid = {i} THEN s.symptomvalue END) AS {n}' for i, n in _VIEW_SYM)},
-  CASE WHEN icu = 'yes' OR icustartdate IS NOT NULL OR mechanicalvent = 'yes' OR ventstartdate IS NOT NULL
-       THEN 'hospitalized - icu'
-       WHEN hosp = 'yes' OR hospstartdate IS NOT NULL THEN 'hospitalized - non-icu'
-       WHEN hosp = 'no' THEN 'not hospitalized' ELSE 'unknown' END AS hospstatus,
-  CASE WHEN disposition IN ('ill', 'self isolation') THEN 'stable'
-       WHEN disposition IN ('not reported', 'other', 'pending', '') THEN 'unknown' ELSE disposition END AS disposition2,
-  CASE WHEN disposition = 'recovered' THEN recoverydate END AS recoverydate2,
-  CASE WHEN c.phacid IN (SELECT phacid FROM travel_n WHERE travel_international_loc NOT IN
-         ('canada', 'unclassifiable', 'pei', 'not collected')) OR c.pt = 'repatriate' THEN 'international travel'
-       WHEN e.closecontacttravel = 'yes' OR e.closecontactcase = 'yes' THEN 'domestic acquisition'
-       WHEN e.closecontactcase IS NOT NULL OR c.phacid IN
-         (SELECT phacid FROM travel_n WHERE travel_international_loc IN ('canada')) THEN 'domestic acquisition'
-       WHEN c.pt = 'on' THEN 'information pending' END AS exposure_cat2
-FROM cases_n c LEFT JOIN symptoms s ON s.phacid = c.phacid LEFT JOIN severity_n v ON v.phacid = c.phacid
-LEFT JOIN exposures_n e ON e.phacid = c.phacid LEFT JOIN lab_n l ON l.phacid = c.phacid
-WHERE c.classification = 'confirmed'
-GROUP BY c.phacid, c.pt, c.onsetdate, c.classification, c.sex, c.age, c.agegrouping, c.occupation, c.occupationhcw,
-  c.ltc_resident, hosp, hospstartdate, icu, icustartdate, mechanicalvent, ventstartdate, disposition, recoverydate,
-  e.closecontacttravel, e.closecontactcase""",
+    # every table is brought to one row per case before anything is joined
+    f"""{S.WITH_BOTH}, {', '.join(f'{n} AS ({q.format(cases="cases")})' for n, q in _NORMAL.items())},
+seen AS ({_VIEW_SYMPTOMS.format(symptoms="symptoms")}),
+per_case AS (SELECT phacid, list(symptomid) FILTER (symptomvalue = 'yes') AS yes, list(symptomid) AS asked,
+  max(symptomvalue) FILTER (symptomid = 1) AS none_said, max(symptomspec) FILTER (symptomid = 35) AS symotherspec,
+  {', '.join(f'max(symptomvalue) FILTER (symptomid = {i}) AS {n}' for i, n in _VIEW_NAMES.items())}
+  FROM seen GROUP BY phacid),
+tested AS (SELECT phacid, min(labspecimencollectiondate) AS taken, min(labtestresultdate) AS result FROM lab_n GROUP BY phacid),
+places AS (SELECT phacid, list(DISTINCT travel_international_loc) AS locs FROM travel_n GROUP BY phacid),
+aged AS (SELECT *, least(CASE WHEN age >= 80 THEN 80 WHEN age >= 20 THEN age - age % 10 WHEN age < 20 THEN 10 ELSE 99 END,
+  CASE agegrouping WHEN '0-19' THEN 10 WHEN '80+' THEN 80
+  ELSE coalesce(TRY_CAST(string_split(agegrouping, '-')[1] AS INT), 99) END) AS band FROM cases_n),
+sick AS (SELECT *, coalesce('yes' IN (icu, mechanicalvent), false) OR coalesce(icustartdate, ventstartdate) IS NOT NULL AS care,
+  MAP {{'yes': 'hospitalized - non-icu', 'no': 'not hospitalized'}}[hosp] AS stay FROM severity_n)
+SELECT c.phacid, c.pt, coalesce(onsetdate, taken, result) AS episodedate, c.classification,
+  coalesce(nullif(sex, ''), 'not stated') AS sex2,
+  if(band = 99, 'unknown', if(band = 80, '80 or plus', if(band = 10, '0 to 19', format('{{}} to {{}}', band, band + 9)))) AS agegroup10,
+  age, coalesce(nullif(occupation, ''), 'not stated') AS occupation2,
+  coalesce(nullif(occupationhcw, ''), 'not stated') AS healthcare_worker2,
+  coalesce(nullif(ltc_resident, ''), 'not stated') AS ltc_resident2,
+  if(len(list_filter(coalesce(yes, []), lambda i: i > 1 AND i < 35)) > 0, 'no',
+    if(list_contains(asked, 1), none_said, 'unknown')) AS asymptomatic2,
+  onsetdate, {', '.join(_VIEW_NAMES.values())}, symotherspec,
+  if(care, 'hospitalized - icu', if(hospstartdate IS NOT NULL, 'hospitalized - non-icu', coalesce(stay, 'unknown'))) AS hospstatus,
+  coalesce(MAP {{'ill': 'stable', 'self isolation': 'stable', 'not reported': 'unknown', 'other': 'unknown',
+    'pending': 'unknown', '': 'unknown'}}[disposition], disposition) AS disposition2,
+  if(disposition = 'recovered', recoverydate, NULL) AS recoverydate2,
+  CASE WHEN len(list_filter(coalesce(locs, []), lambda z: z NOT IN ('canada', 'unclassifiable', 'pei', 'not collected'))) > 0
+      OR pt = 'repatriate' THEN 'international travel'
+    WHEN closecontacttravel = 'yes' OR closecontactcase IS NOT NULL OR list_contains(locs, 'canada') THEN 'domestic acquisition'
+    WHEN pt = 'on' THEN 'information pending' END AS exposure_cat2
+FROM aged c LEFT JOIN per_case USING (phacid) LEFT JOIN sick USING (phacid) LEFT JOIN exposures_n USING (phacid)
+LEFT JOIN tested USING (phacid) LEFT JOIN places USING (phacid) WHERE c.classification = 'confirmed'""",
 )
 
 # ---- quality rules ----------------------------------------------------------------
@@ -878,38 +955,31 @@ def dq_report(spark, sf):
 add("dq_report", dq_report, f"{S.WITH_RULES}\n{_ALL_ERRORS}")
 
 
+# the other source layout: lower-case values, resolution instead of recovery, an episode date of its own, and columns
+# that are named like dates but are not checked as such
+_LAYOUT = {
+    "disposition": "CASE WHEN disposition = 'Recovered' THEN 'resolved' ELSE lower(disposition) END",
+    "ageunit": "nullif(ageunit, '')", "classification": "lower(classification)",
+    "episodedate": "CASE WHEN k % 9 = 0 THEN episodedate + 5 ELSE episodedate END",
+}
+_NOT_CHECKED = {"detectedatentry": "DATE '2030-01-01'", "weekdate": "DATE '1950-01-01'"}
+
+
 def _resolution_report(spark, sf):
-    """The other source layout: lower-case values, resolution instead of recovery."""
-    df = fx.cases(spark, sf).withColumnRenamed("recoverydate", "resolutiondate")
-    df = df.withColumns(
-        {
-            "disposition": F.expr("CASE WHEN disposition = 'Recovered' THEN 'resolved' ELSE lower(disposition) END"),
-            "ageunit": F.expr("nullif(ageunit, '')"),
-            "classification": F.lower("classification"),
-        }
-    )
-    return quality.error_report(df, asof=ASOF, min_date=MIN_DATE, words=quality.RESOLUTION)
-
-
-_RESOLUTION_SQL = _ALL_ERRORS
-for _old, _new in (
-    ("Recovery date listed but not recovered", "Resolution date listed but not resolved"),
-    ("'Recovery date of", "'Resolution date of"), ("and recovery date", "and resolution date"),
-    ("Recovered before Onset", "Resolved before Onset"), ("Early Recovered", "Early resolution"),
-    ("recoverydate", "resolutiondate"),
-    ("<> 'recovered'", "<> 'resolved'"), ("('Deceased', 'Recovered')", "('deceased', 'resolved')"),
-    ("('Confirmed', 'Probable')", "('confirmed', 'probable')"), ("ageunit = ''", "ageunit IS NULL"),
-):
-    assert _old in _RESOLUTION_SQL, _old
-    _RESOLUTION_SQL = _RESOLUTION_SQL.replace(_old, _new)
+    df = fx.cases(spark, sf).withColumns({c: F.expr(v) for c, v in _LAYOUT.items()})
+    df = df.withColumnRenamed("recoverydate", "resolutiondate").withColumns({c: F.expr(v) for c, v in _NOT_CHECKED.items()})
+    return quality.error_report(df, asof=ASOF, min_date=MIN_DATE, words=quality.RESOLUTION, check_unique=True)
+
+
 add(
     "dq_report_resolution",
     _resolution_report,
-    f"""{S.WITH_RULES}, r3 AS (SELECT * REPLACE (nullif(ageunit, '') AS ageunit, lower(classification) AS classification,
-  CASE WHEN disposition = 'Recovered' THEN 'resolved' ELSE lower(disposition) END AS disposition),
-  recoverydate AS resolutiondate FROM r)
-"""
-    + _RESOLUTION_SQL.replace("FROM r ", "FROM r3 "),
+    f"{S.WITH_RULES}, r3 AS (SELECT * REPLACE ({', '.join(f'{v} AS {c}' for c, v in _LAYOUT.items())}), "
+    "recoverydate AS resolutiondate FROM r)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT phacid, pt, ptcaseid, classification, phacreporteddate, {message} AS err, {S.q(typ)} AS typ FROM r3 WHERE {cond}"
+        for typ, cond, message in S.resolution_rules(ASOF, MIN_DATE)
+    ),
 )
 
 # ---- curves and rates -------------------------------------------------------------
@@ -937,14 +1007,19 @@ def _curve(spark, sf, **kw):
     return curves.epi_curve_counts(fx.cases(spark, sf), "onsetdate", "exposure_cat", min_share=_LUMP, **kw)
 
 
+def _counts(spark, sf):
+    return curves.curve_counts(fx.cases(spark, sf), "onsetdate", "exposure_cat", min_share=_LUMP)
+
+
 _CURVE = f"{W}, {_curve_sql('onsetdate', 'exposure_cat', _LUMP)}"
 add("epi_curve_counts", lambda spark, sf: _curve(spark, sf, since=SINCE),
     f"{_CURVE} SELECT * FROM curve WHERE date >= DATE '{SINCE}'")
+_DIGITS = "CASE WHEN {0} >= 99.5 THEN '100' ELSE printf('%.2g', {0}) END"
 add(
     "epi_curve_labels",
     lambda spark, sf: curves.with_labels(_curve(spark, sf)).select("color_lbl", "facet_lbl").distinct(),
-    f"{_CURVE} SELECT DISTINCT color || ' (' || format('{{:,.1f}}', color_percent) || '%)' AS color_lbl, "
-    "facet || chr(10) || format('{:,.1f}', facet_percent) || '%' || chr(10) || 'Peak:' || format('{:,}', facet_max) || "
+    f"{_CURVE} SELECT DISTINCT color || ' (' || {_DIGITS.format('color_percent')} || '%)' AS color_lbl, "
+    f"facet || chr(10) || {_DIGITS.format('facet_percent')} || '%' || chr(10) || 'Peak:' || format('{{:,}}', facet_max) || "
     "chr(10) || 'Total:' || format('{:,}', facet_total) AS facet_lbl FROM curve",
 )
 
@@ -966,18 +1041,18 @@ rolled AS (SELECT facet, date, n, CASE WHEN count(*) OVER w = 7 THEN avg(n) OVER
   WINDOW w AS (PARTITION BY facet ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
 add(
     "epi_rolling_mean",
-    lambda spark, sf: curves.rolling_mean(_curve(spark, sf), since=SINCE),
+    lambda spark, sf: curves.rolling_mean(_counts(spark, sf), since=SINCE),
     f"{_ROLL} SELECT * FROM rolled WHERE date >= DATE '{SINCE}'",
 )
 add(
     "epi_rolling_mean_scaled",
-    lambda spark, sf: curves.rolling_mean(_curve(spark, sf), normalise=True),
+    lambda spark, sf: curves.rolling_mean(_counts(spark, sf), normalise=True),
     f"{_ROLL} SELECT facet, date, n / max(n) OVER (PARTITION BY facet) AS n, "
     "roll_mean / max(roll_mean) OVER (PARTITION BY facet) AS roll_mean FROM rolled",
 )
 add(
     "epi_percent_fill",
-    lambda spark, sf: curves.percent_fill(_curve(spark, sf)).select("date", "color", "facet", "n", "share"),
+    lambda spark, sf: curves.percent_fill(_counts(spark, sf)).select("date", "color", "facet", "n", "share"),
     f"{_CURVE} SELECT date, color, facet, n, n / sum(n) OVER (PARTITION BY date, facet) AS share FROM curve",
 )
 add(
@@ -1013,7 +1088,7 @@ _BATCH_CTE = W + ", " + ", ".join(
 add(
     "epi_batch_rolling",
     lambda spark, sf: curves.rolling_mean(
-        curves.epi_curve_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
+        curves.curve_counts_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
     ),
     f"""{_BATCH_CTE}, daily AS (SELECT date_col, color_col, facet, date, CAST(sum(n) AS BIGINT) AS n FROM every GROUP BY ALL)
 SELECT date_col, color_col, facet, date, n, CASE WHEN count(*) OVER w = 7 THEN avg(n) OVER w END AS roll_mean FROM daily
@@ -1022,7 +1097,7 @@ WINDOW w AS (PARTITION BY date_col, color_col, facet ORDER BY date ROWS BETWEEN
 add(
     "epi_batch_percent",
     lambda spark, sf: curves.percent_fill(
-        curves.epi_curve_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
+        curves.curve_counts_batch(fx.cases(spark, sf), _BATCH, min_share=_LUMP), by=curves.SERIES
     ).select(*curves.SERIES, "date", "facet", "color", "share"),
     f"{_BATCH_CTE} SELECT date_col, color_col, date, facet, color, "
     "n / sum(n) OVER (PARTITION BY date_col, color_col, date, facet) AS share FROM every",

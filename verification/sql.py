@@ -330,3 +330,72 @@ def impute_sql(
   SELECT c.*, {", ".join(out)} FROM {base} c{joins}
 )
 {final}"""
+
+
+def resolution_rules(asof: str, min_date: str) -> list[tuple[str, str, str]]:
+    """(type, condition, message) of the report over the source layout with resolution dates, in lower-case text."""
+    lines = []
+
+    def add(typ: str, cond: str, message: str) -> None:
+        lines.append((typ, cond, message))
+
+    def fixed(typ: str, cond: str, text: str) -> None:
+        add(typ, cond, q(text))
+
+    fixed("Residency is unspecified, yet ResidenceCountry is not blank.", "residency = '' AND residencecountry <> ''",
+          "Residency is unspecified, yet ResidenceCountry is not blank.")
+    fixed("Residency is Canadian, yet ResidenceCountry is not.",
+          "residency ILIKE 'canadian resident' AND residencecountry NOT ILIKE 'canada'",
+          "Residency is Canadian, yet ResidenceCountry is not.")
+    fixed("Age group unkown, but known age", "age IS NOT NULL AND 'Unknown' IN (agegroup10, agegroup20)",
+          "Exact Age is given but Agegroup is listed as unkown.")
+    fixed("No Age units", "age IS NOT NULL AND ageunit IS NULL", "Exact Age is given but Age units are not.")
+    add("Asymptomatic but not", "asymptomatic ILIKE 'yes' AND len(sym) > 0",
+        "concat('Asymptomatic is ''yes'' but ', array_to_string(sym, ' + '))")
+    for flag, dates, typ, text in (
+        ("hosp", "hospstartdate, hospenddate", "A hospital date is listed but Hosp is not Yes", "A hospital date is listed but Hosp is not Yes"),
+        ("icu", "icustartdate, icuenddate", "ICU", "A ICU date is listed but ICU is not Yes"),
+        ("isolation", "isolationstartdate, isolationenddate", "Isolation", "A Isolation date is listed but Isolation is not Yes"),
+        ("mechanicalvent", "ventstartdate, ventenddate", "vent", "A vent date is listed but MechanicalVent is not Yes"),
+    ):
+        fixed(typ, f"{flag} NOT ILIKE 'yes' AND coalesce({dates}) IS NOT NULL", text)
+    add("Resolution date listed but not resolved", "disposition <> 'resolved' AND resolutiondate IS NOT NULL",
+        "format('Resolution date of ''{}'' is listed but disposition is ''{}''', resolutiondate, disposition)")
+    add("Death date listed but not dead.", "disposition <> 'deceased' AND deathdate IS NOT NULL",
+        "format('Death date of ''{}'' is listed but disposition is ''{}''', deathdate, disposition)")
+    add("Travel", "travel NOT ILIKE 'yes' AND len(trav) > 0", "concat('travel is not yes but ', array_to_string(trav, ' and '))")
+    add("Both Death date and resolution date listed.", "deathdate IS NOT NULL AND resolutiondate IS NOT NULL",
+        "format('Both Death date ''{}'' and resolution date ''{}'' listed.', deathdate, resolutiondate)")
+    add("Early Dead", "deathdate < onsetdate", "format('Dead before Onset ''{}'' < ''{}''', deathdate, onsetdate)")
+    add("Early resolution", "resolutiondate < onsetdate",
+        "format('Resolved before Onset ''{}'' < ''{}''', resolutiondate, onsetdate)")
+    add("Contact Testing Reason", "testingreason ILIKE 'contact of a case' AND closecontactcase NOT ILIKE 'yes'",
+        "format('TestingReason ''{}'' disagrees with  CloseContactCase ''{}''', testingreason, closecontactcase)")
+    add("Covid Death but not Deceased", "coviddeath ILIKE 'yes' AND disposition <> 'deceased'",
+        "format('coviddeath ''{}'' disagrees with  disposition ''{}''', coviddeath, disposition)")
+    add("Early PHACReported", "phacreporteddate < episodedate",
+        "format('PHACReported before episodedate ''{}'' < ''{}''', phacreporteddate, episodedate)")
+    for day in (
+        "phacreporteddate", "reporteddate", "onsetdate", "earliestlabcollectiondate", "earliestlabtestresultdate",
+        "episodedate", "hospstartdate", "hospenddate", "icustartdate", "icuenddate", "ventstartdate", "ventenddate",
+        "isolationstartdate", "isolationenddate", "deathdate", "resolutiondate", "travelstartdate1", "travelenddate1",
+    ):
+        fixed("Future Date", f"{day} > DATE '{asof}'", f"{day} is in the future? spooky!")
+        fixed(f"Before {min_date} Date", f"{day} < DATE '{min_date}'", f"{day} is before {min_date}")
+    open_case = "classification IN ('confirmed', 'probable') AND coalesce(disposition NOT IN ('deceased', 'resolved'), true)"
+    ending = "days ago....Thats a lot, maybe verify this with the pt?"
+    add("Sick Long time", f"{open_case} AND date_diff('day', onsetdate, DATE '{asof}') >= 150",
+        f"format('Onset Date {{}} is {{}} {ending}', onsetdate, date_diff('day', onsetdate, DATE '{asof}'))")
+    add("Reported Long time ago.", f"{open_case} AND date_diff('day', reporteddate, DATE '{asof}') >= 150",
+        f"format('reporteddate {{}} is {{}} {ending}', reporteddate, date_diff('day', reporteddate, DATE '{asof}'))")
+    add("age out of range", "age NOT BETWEEN 0 AND 113", "format('age  {} is  wrong', age)")
+    return lines
+
+
+def checksum(cols: list[str], relation: str) -> str:
+    """Row count and a sum over the rows' digests; columns by name, missing cells as blanks."""
+    cells = ", ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '')" for c in sorted(cols))
+    return (
+        f"count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {cells})), 1, 8) AS BIGINT)) AS BIGINT) "
+        f"AS checksum FROM {relation}"
+    )
