@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from caseloom.llm import decontaminate, language, mixing, simhash, substrings
 from caseloom.llm.common import part_of, prepare, table
-from caseloom.plans.sizing import scratch_path
+from caseloom.plans.sizing import remove_path, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -82,10 +82,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; what a stage has read is removed when its result is written."""
+    docs, read = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read is not None:
+            remove_path(spark, read)
+        docs, read = spark.read.parquet(path), path
     return docs
