@@ -39,52 +39,102 @@ def vocabulary(path: str) -> dict[str, int]:
     return {p: i for i, p in enumerate(dict.fromkeys(names), 1) if len(p) <= STRETCH}
 
 
-def words_of(data: bytes) -> Iterator[str]:
-    """Words in lower case, each after a begin mark, the long ones in stretches."""
-    for w in data.decode("utf-8", "replace").lower().split():
-        if len(w) < STRETCH:
-            yield BEGIN + w
-        else:
-            w = BEGIN + w
-            yield from (w[i : i + STRETCH] for i in range(0, len(w), STRETCH))
+def words_of(data: bytes) -> list[str]:
+    """Words in lower case."""
+    return data.decode("utf-8", "replace").lower().split()
+
+
+def stretches(word: str) -> list[str]:
+    """A word after its begin mark, the long ones in stretches."""
+    w = BEGIN + word
+    return [w] if len(w) <= STRETCH else [w[i : i + STRETCH] for i in range(0, len(w), STRETCH)]
+
+
+class Pieces:
+    """All prefixes of the pieces in hash tables, to look up many places of a text at once."""
+
+    SLOTS = 20
+    STEP = 0x100000001B3
+
+    def __init__(self, pieces: dict[str, int]):
+        number = {p[:i]: 0 for p in pieces for i in range(1, len(p))} | pieces
+        hashes = []
+        for p in number:
+            h = 0
+            for c in p:
+                h = (h * self.STEP + ord(c) + 1) % (1 << 64)
+            hashes.append(h)
+        self.hash = np.array(hashes, np.uint64)
+        #: Number of the piece, 0 for what is only the start of some.
+        self.number = np.array(list(number.values()), np.int64)
+        self.tables: list[tuple[np.uint64, np.ndarray]] = []
+        left = np.arange(len(self.hash))
+        # what finds its slot taken goes to the next table
+        while len(left):
+            factor = np.uint64((0x9E3779B97F4A7C15 * (2 * len(self.tables) + 1)) % (1 << 64) | 1)
+            table = np.zeros(1 << self.SLOTS, np.int32)
+            slot = self.slots(self.hash[left], factor)
+            table[slot] = left
+            self.tables.append((factor, table))
+            left = left[table[slot] != left]
+
+    def slots(self, h: np.ndarray, factor: np.uint64) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (((h ^ (h >> np.uint64(29))) * factor) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Entry of each hash, or -1."""
+        out = np.full(len(h), -1, np.int64)
+        open_ = np.arange(len(h))
+        for factor, table in self.tables:
+            entry = table[self.slots(h[open_], factor)]
+            hit = self.hash[entry] == h[open_]
+            out[open_[hit]] = entry[hit]
+            open_ = open_[~hit]
+        return out
 
 
 class Lattice:
     """All segmentations of some words: an edge for every piece at every place."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int):
-        word, start, end, piece = [], [], [], []
-        for k, w in enumerate(words):
-            n = len(w)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = pieces.get(w[i:j])
-                    if p is None:
-                        if j > i + 1:
-                            continue
-                        p = 0
-                    word.append(k)
-                    start.append(i)
-                    end.append(j)
-                    piece.append(p)
+    def __init__(self, words: list[str], pieces: Pieces):
         self.lengths = np.array([len(w) for w in words], np.int64)
-        arrays = [np.array(x, np.int32) for x in (word, start, end, piece)]
-        order = np.lexsort((arrays[0], arrays[2]))
-        self.word, self.start, self.end, self.piece = (x[order] for x in arrays)
+        code = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64) + np.uint64(1)
+        owner = np.repeat(np.arange(len(words)), self.lengths)
+        first = np.concatenate(([0], np.cumsum(self.lengths)))[:-1]
+        place = np.arange(len(code)) - first[owner] if len(code) else np.empty(0, np.int64)
+        left = self.lengths[owner] - place
+        at, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
+        found: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        while len(at):
+            size += 1
+            with np.errstate(over="ignore"):
+                h = h * np.uint64(Pieces.STEP) + code[at + size - 1]
+            entry = pieces.find(h) if len(pieces.hash) else np.full(len(h), -1)
+            number = np.where(entry >= 0, pieces.number[np.maximum(entry, 0)] if len(pieces.hash) else 0, 0)
+            # a single character without a piece is an unknown one
+            use = np.ones(len(at), bool) if size == 1 else number > 0
+            found.append((owner[at[use]], place[at[use]], place[at[use]] + size, number[use]))
+            on = (entry >= 0) & (left[at] > size)
+            at, h = at[on], h[on]
+        word, start, end, piece = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 4
+        order = np.argsort(end.astype(np.uint8), kind="stable")
+        self.word, self.start, self.end, self.piece = word[order], start[order], end[order], piece[order]
         self.most = int(self.lengths.max(initial=0))
         self.at = np.searchsorted(self.end, np.arange(self.most + 2))
 
     def forward(self, probability: np.ndarray) -> np.ndarray:
         """alpha[place, word, language]: probability of the first characters, over all segmentations."""
-        alpha = np.zeros((self.most + 1, len(self.lengths), probability.shape[1]))
+        n = len(self.lengths)
+        alpha = np.zeros((self.most + 1, n, probability.shape[1]))
         alpha[0] = 1
         for e in range(1, self.most + 1):
             own = slice(self.at[e], self.at[e + 1])
             w = self.word[own]
-            if len(w):
-                flow = alpha[self.start[own], w] * probability[self.piece[own]]
-                first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
-                alpha[e, w[first]] = np.add.reduceat(flow, first, axis=0)
+            flow = alpha[self.start[own], w] * probability[self.piece[own]]
+            for k in range(probability.shape[1]):
+                alpha[e, :, k] = np.bincount(w, flow[:, k], minlength=n)
         return alpha
 
     def log_probability(self, probability: np.ndarray) -> np.ndarray:
@@ -104,62 +154,101 @@ class Lattice:
         return np.bincount(self.piece, use / total[self.word] * counts[self.word], minlength=len(probability))
 
 
+class Known(dict):
+    """Numbers of words; those not met before are noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        n = self[word] = len(self)
+        return n
+
+
 class Model:
-    def __init__(self, languages: list[str], pieces: dict[str, int], probability: np.ndarray, least: float):
-        self.languages, self.pieces, self.probability, self.least = languages, pieces, probability, least
-        self.longest = max(map(len, pieces), default=1)
-        self.known: dict[str, int] = {}
-        self.values = np.empty((0, len(languages)))
+    def __init__(self, languages: list[str], pieces: dict[str, int], probability: np.ndarray):
+        self.languages, self.pieces, self.probability = languages, pieces, probability
+        self.forget()
+        self.found: Pieces | None = None
+
+    def forget(self) -> None:
+        self.known, self.values = Known(), np.empty((0, len(self.languages)))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}, "values": np.empty((0, len(self.languages)))}
-
-    def learn_words(self, words: Iterable[str], most: int = 300_000) -> None:
-        """Score words that were not met before, all at once."""
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return
-        if len(self.known) > most:
-            self.known, self.values = {}, np.empty((0, len(self.languages)))
-            new = list(dict.fromkeys(words))
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            found = Lattice(part, self.pieces, self.longest).log_probability(self.probability)
-            self.known.update(zip(part, range(len(self.values), len(self.values) + len(part)), strict=True))
-            self.values = np.concatenate([self.values, found])
-
-    def totals(self, data: bytes) -> np.ndarray:
-        """Log probability of a whole text in each language."""
-        out = np.zeros(len(self.languages))
-        for part in slices(data):
-            words = list(words_of(part))
-            self.learn_words(dict.fromkeys(words))
-            if words:
-                out += self.values[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(axis=0)
+        return self.__dict__ | {"known": Known(), "values": np.empty((0, len(self.languages))), "found": None}
+
+    def learn_words(self) -> None:
+        """Score the words that were not met before, many at once."""
+        self.found = self.found or Pieces(self.pieces)
+        parts = [self.values]
+        for a in range(0, len(self.known.new), 20_000):
+            new = self.known.new[a : a + 20_000]
+            cut = [stretches(w) for w in new]
+            owner = np.repeat(np.arange(len(new)), [len(c) for c in cut])
+            z = Lattice([s for c in cut for s in c], self.found).log_probability(self.probability)
+            parts.append(np.stack([np.bincount(owner, z[:, k], minlength=len(new)) for k in range(z.shape[1])], axis=1))
+        self.values = np.concatenate(parts)
+        self.known.new = []
+
+    def totals(self, texts: list[bytes], most: int = 300_000) -> np.ndarray:
+        """Log probability of whole texts in each language; words are scored once for many texts."""
+        out = np.zeros((len(texts), len(self.languages)))
+        held: list[tuple[int, np.ndarray]] = []
+
+        def settle() -> None:
+            self.learn_words()
+            for k, ids in held:
+                out[k] += self.values[ids].sum(axis=0)
+            held.clear()
+            if len(self.known) > most:
+                self.forget()
+
+        size = 0
+        for k, text in enumerate(texts):
+            for part in slices(text):
+                words = words_of(part)
+                held.append((k, np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))))
+                size += len(words)
+                if size > 1 << 20:
+                    settle()
+                    size = 0
+        settle()
         return out
 
-    def predict(self, data: bytes | None) -> tuple[str, float]:
-        if data is None or not self.languages or not _LETTER.search(data.decode("utf-8", "replace")):
-            return UNKNOWN, 0.0
-        z = self.totals(data)
-        best = int(np.argmax(z))
-        return self.languages[best], float(1 / np.exp(z - z[best]).sum())
+    def predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
+        told = [t is not None and bool(self.languages) and _LETTER.search(t.decode("utf-8", "replace")) is not None for t in texts]
+        z = iter(self.totals([t for t, ok in zip(texts, told, strict=True) if ok]) if any(told) else ())
+        out = []
+        for ok in told:
+            if not ok:
+                out.append((UNKNOWN, 0.0))
+                continue
+            row = next(z)
+            best = int(np.argmax(row))
+            out.append((self.languages[best], float(1 / np.exp(row - row[best]).sum())))
+        return out
 
 
 def fit(counts: dict[str, Counter], pieces: dict[str, int], rounds: int = 4, prior: float = 0.05) -> Model:
     """Piece probabilities of each language from its word counts, by expectation maximisation."""
-    names, longest, n = sorted(counts), max(map(len, pieces), default=1), len(pieces) + 1
+    names, n, found = sorted(counts), len(pieces) + 1, Pieces(pieces)
     out = np.empty((n, len(names)))
     for k, name in enumerate(names):
-        words = sorted(counts[name])
-        often = np.array([counts[name][w] for w in words], float)
+        cut: Counter = Counter()
+        for w, c in counts[name].items():
+            for s in stretches(w):
+                cut[s] += c
+        words = sorted(cut)
+        often = np.array([cut[w] for w in words], float)
         p = np.full(n, 1 / n)
-        blocks = [(Lattice(words[a : a + 50_000], pieces, longest), often[a : a + 50_000]) for a in range(0, len(words), 50_000)]
+        blocks = [(Lattice(words[a : a + 50_000], found), often[a : a + 50_000]) for a in range(0, len(words), 50_000)]
         for _ in range(rounds):
             uses = sum((lattice.expected(p, o) for lattice, o in blocks), np.zeros(n)) + prior
             p = uses / uses.sum()
         out[:, k] = p
-    return Model(names, pieces, out, float(out.min()) if names else 0.0)
+    return Model(names, pieces, out)
 
 
 def learn(docs: DataFrame, vocabulary_path: str, per_language: int = 600, max_bytes: int = 32_768, max_languages: int = 500) -> Model:
@@ -213,7 +302,7 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in batches:
-            found = [m.predict(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            found = m.predict(b.column("text").cast(pa.binary()).to_pylist())
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), *added], [*kept, "lang_pred", "score"])
 

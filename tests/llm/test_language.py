@@ -31,9 +31,9 @@ def segmentations(word, pieces):
 
 
 def test_forward_sums_all_segmentations(pieces):
-    words = ["▁thatth", "▁ción", "▁日本x", "a", "▁"]
+    words = ["▁thatth", "▁ción", "▁日本x", "a", "▁", "▁the", "𝒳ab"]
     p = np.random.default_rng(1).random((len(pieces) + 1, 2)) / 100
-    lattice = language.Lattice(words, pieces, max(map(len, pieces)))
+    lattice = language.Lattice(words, language.Pieces(pieces))
     want = [np.log(sum(np.prod(p[s], axis=0) for s in segmentations(w, pieces))) for w in words]
     assert np.allclose(lattice.log_probability(p), want)
     uses = np.zeros(len(p))
@@ -42,17 +42,15 @@ def test_forward_sums_all_segmentations(pieces):
         weight = np.array([np.prod(p[s, 0]) for s in cuts])
         for s, x in zip(cuts, weight / weight.sum(), strict=True):
             np.add.at(uses, s, x * (k + 1))
-    assert np.allclose(lattice.expected(p[:, 0], np.arange(1, 6.0)), uses)
+    assert np.allclose(lattice.expected(p[:, 0], np.arange(1, 8.0)), uses)
 
 
 def test_learning_raises_the_likelihood(pieces):
-    counts = {"x": Counter({"▁abcab": 5, "▁cab": 2, "▁zz": 1})}
-    words = sorted(counts["x"])
+    counts = {"x": Counter({"abcab": 5, "cab": 2, "zz": 1})}
 
     def likelihood(rounds):
         m = language.fit(counts, pieces, rounds, prior=1e-9)
-        z = language.Lattice(words, pieces, m.longest).log_probability(m.probability)[:, 0]
-        return sum(counts["x"][w] * v for w, v in zip(words, z, strict=True))
+        return m.totals([b" ".join(w.encode() for w in counts["x"].elements())])[0, 0]
 
     found = [likelihood(r) for r in range(1, 5)]
     assert found == sorted(found) and language.fit(counts, pieces).probability.sum() == pytest.approx(1)
@@ -69,7 +67,7 @@ def test_query_on_held_out_rows(spark):
 
 
 def test_awkward_rows(spark, pieces):
-    counts = {"en": Counter({"▁the": 50, "▁model": 5, "▁one": 9, "▁river": 3}), "fr": Counter({"▁casa": 9, "▁éte": 9})}
+    counts = {"en": Counter({"the": 50, "model": 5, "one": 9, "river": 3}), "fr": Counter({"casa": 9, "éte": 9})}
     m = language.fit(counts, pieces)
     docs = documents(spark)
     got = language.identify(docs, m)
@@ -82,7 +80,18 @@ def test_awkward_rows(spark, pieces):
     assert rows[3]["lang_pred"] == "en"
     assert language.identify(empty(spark), m).count() == 0
     # the whole text counts: a long tail outvotes the start
-    assert m.predict(b"the " * 3 + "casa éte ".encode() * 200_000)[0] == "fr"
+    assert m.predict([b"the " * 3 + "casa éte ".encode() * 200_000])[0][0] == "fr"
+
+
+def test_forgetting_and_long_words_change_nothing(pieces):
+    counts = {"en": Counter({"the": 50, "model": 5}), "fr": Counter({"casa": 9, "éte": 9})}
+    texts = [f"the model {i} casa {'x' * (i % 90)}".encode() for i in range(300)]
+    m = language.fit(counts, pieces)
+    want = np.concatenate([m.totals([t]) for t in texts])
+    assert np.allclose(m.totals(texts, most=10), want) and np.allclose(language.fit(counts, pieces).totals(texts), want)
+    long = "x" * 60
+    parts = language.Lattice(language.stretches(long), language.Pieces(pieces)).log_probability(m.probability)
+    assert np.allclose(m.totals([long.encode()])[0], parts.sum(axis=0))
 
 
 def test_nothing_to_learn_from(spark):
