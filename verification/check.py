@@ -72,10 +72,11 @@ def compare(spark: SparkSession, con, folder: str, name: str) -> str:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--cores", type=int, default=8)
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
-    spark, con = session(), database(folder)
+    spark, con = session(args.cores), database(folder)
     failed = 0
     for name in args.names or QUERIES:
         t = time.time()
