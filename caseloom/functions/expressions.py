@@ -15,7 +15,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def first_above(values: Column, at: Column, most: int = 1 << 20) -> Column:
     """Index of the first of some sorted values that exceeds ``at``, by halving; ``most`` values at the most."""
-    steps = F.array(*[F.lit(1 << k) for k in range(most.bit_length() - 1, -1, -1)])
+    steps = F.expr(f"array({', '.join(str(1 << k) for k in range(most.bit_length() - 1, -1, -1))})")
 
     def search(a: Column) -> Column:
         # beyond the end get gives null, and the step is not taken

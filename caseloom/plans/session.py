@@ -13,8 +13,12 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# Only settable when the session is made: without it every column call inspects the Python stack.
-START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Only settable when the session is made: without the first every column call inspects the Python stack.
+START_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # files of intermediate results go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
