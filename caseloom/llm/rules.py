@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.functions.expressions import let
+
 from .common import SPACE, others, prepare
 
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -32,11 +34,6 @@ RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
 BASE = ("too_few_words", "repeated_windows")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once for each row, within one projection."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def words_of(text: Column) -> Column:
     parts = F.split(text, f"{SPACE}+")
     return F.filter(parts, lambda w: w != "")
