@@ -98,7 +98,9 @@ def crowded(fps: DataFrame, bits: int, blocks: int) -> DataFrame:
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(signed)]))
     keyed = fps.select("fp", keys.alias("x")).select("fp", "x.k", "x.part")
     shared = keyed.groupBy("k", "part").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("k", "part")
-    return keyed.join(materialise(shared), ["k", "part"], "left_semi").select("fp").distinct()
+    # each row becomes a thousand next, so few bytes must not end up in one task
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.join(materialise(shared), ["k", "part"], "left_semi").select("fp").repartition(parts, "fp").distinct()
 
 
 def links(fps: DataFrame, bits: int = 3, blocks: int = 6) -> DataFrame:
