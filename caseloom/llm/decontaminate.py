@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.plans.sizing import BROADCAST_ROWS, hinted, is_small, materialise
+from caseloom.plans.sizing import hinted, is_small, materialise
 
 from .common import lower_ascii_word, prepare
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Most bytes of benchmark terms that are sent to every executor; beyond it they are joined by shuffles.
+#: Most bytes of terms or keys that are sent to every executor; beyond it they are joined by shuffles.
 BROADCAST_BYTES = 32 << 20
 KEY = ["_k", "_j"]
 
@@ -80,9 +80,10 @@ def shifts(docs: DataFrame, items: DataFrame, probes: int, slack: int) -> DataFr
     # at most as many places as the item has words
     agreed = found.groupBy(*KEY, "item", "shift").agg(F.collect_set("place").alias("places"))
     needed = probe.groupBy("item", "window").agg(F.collect_set("place").alias("need"))
-    needed = needed.groupBy("item").agg(F.collect_set("need").alias("windows"))
+    needed = materialise(needed.groupBy("item").agg(F.collect_set("need").alias("windows")))
     whole = F.exists("windows", lambda w: F.size(F.array_except(w, F.col("places"))) == 0)
-    return agreed.join(needed, "item").where(whole).select(*KEY, "item", "shift")
+    small = is_small(needed, BROADCAST_BYTES)
+    return agreed.join(hinted(needed, small), "item").where(whole).select(*KEY, "item", "shift")
 
 
 def near_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, probes: int = 2, slack: int = 2) -> DataFrame:
@@ -106,7 +107,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, probe
     found = shifts(docs, items, probes, 0).join(items, "item")
     per_doc = materialise(found.groupBy(*KEY).agg(F.collect_set(F.struct("item", "shift", "len", "words")).alias("tries")))
     keys = per_doc.select(*KEY)
-    texts = docs.join(hinted(keys, is_small(keys, BROADCAST_ROWS)), KEY, "left_semi")
+    texts = docs.join(hinted(keys, is_small(keys, BROADCAST_BYTES)), KEY, "left_semi")
     lowered = F.transform(split_words(F.col("_text")), lower_ascii_word)
     tried = texts.select(*KEY, lowered.alias("_words")).dropDuplicates(KEY).join(per_doc, KEY)
 

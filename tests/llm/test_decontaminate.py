@@ -68,7 +68,6 @@ def test_terms_that_are_not_broadcast(spark, monkeypatch):
     bench = spark.createDataFrame([(1, prose(2, 40))], "item_id long, text string")
     want = result(decontaminate.contamination(docs, bench))
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
     assert result(decontaminate.contamination(docs, bench)) == want
 
 
