@@ -74,7 +74,7 @@ def rows(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
 class Hashes(dict):
     """XXH64 of words, kept for words seen before; emptied when it holds too many."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, seed: int = 0, most: int = 200_000):
         super().__init__()
         self.seed, self.most = seed, most
 

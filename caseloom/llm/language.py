@@ -192,7 +192,7 @@ class Model:
         self.values = np.concatenate(parts)
         self.known.new = []
 
-    def totals(self, texts: list[bytes], most: int = 300_000) -> np.ndarray:
+    def totals(self, texts: list[bytes], most: int = 150_000) -> np.ndarray:
         """Log probability of whole texts in each language; words are scored once for many texts."""
         out = np.zeros((len(texts), len(self.languages)))
         held: list[tuple[int, np.ndarray]] = []
