@@ -3,7 +3,7 @@
 A word's vector is the sum of the hashed vectors of the word and of its first bytes, so inflected forms share what they
 know. Filters of several widths run over the words; each keeps its highest value in the text, wherever it is, and a
 logistic layer weighs these. Scores are calibrated for each language, as told from the text alone, so that one
-threshold serves all.
+threshold serves all; the cuts come from counts over all labelled rows, at their own rate of toxic ones.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.plans.sizing import hinted, is_small, materialise
+
 from .common import others, prepare, rows, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,6 +31,10 @@ DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 PAD = max(WIDTHS) - 1
 #: Where languages are calibrated to: predicted toxic from here on.
 THRESHOLD = 0.7
+#: Logits are counted in steps of this width, up to so many either way.
+STEP, STEPS = 0.01, 4000
+#: Most bytes of labels that are sent to every executor.
+BROADCAST_BYTES = 32 << 20
 #: A-Z in lower case; ASCII signs and white space part words.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -125,17 +131,22 @@ class Model:
         return self.__dict__ | {"tables": {}}
 
 
+def kept_out_of(n: int) -> np.ndarray:
+    """Which of the labelled texts are not trained on: every fourth."""
+    return np.arange(n) % 4 == 3
+
+
 def fit(texts: list[np.ndarray], toxic: np.ndarray, langs: list[str | None], epochs: int = 6, seed: int = 5) -> Model:
     """Train on three quarters of the labelled texts (packed features) and calibrate on the rest."""
     rng, model = np.random.default_rng(seed), Model()
     if not len(texts) or toxic.min() == toxic.max():
         return model
-    kept_out = np.arange(len(texts)) % 4 == 3
+    kept_out = kept_out_of(len(texts))
     train = np.flatnonzero(~kept_out)
     _begin(model, [texts[i] for i in train], toxic[train], rng)
     _train(model, [buckets(t) for t in texts], toxic.astype(np.float32), train, epochs, rng)
     _tell_languages(model, [texts[i] for i in train], [langs[i] for i in train])
-    _calibrate(model, [texts[i] for i in np.flatnonzero(kept_out)], toxic[kept_out])
+    _calibrate(model, texts, toxic, ~kept_out)
     return model
 
 
@@ -220,42 +231,68 @@ def _tell_languages(model: Model, texts: list[np.ndarray], langs: list[str | Non
         model.told[:, k] = np.log(n / n.sum())
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray, least: int = 8) -> None:
-    """Put each language's cut where it separates best; a language with few examples takes the common one."""
+def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray, trained: np.ndarray) -> None:
+    """Calibrate on texts that each count once."""
     model.tables = {}
     found = [model.logit([t]) for t in texts]
-    z, lang = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-    spread = max(1e-3, float(np.std(z))) if len(z) else 1.0
-    common = [best_cut(z, toxic), 2 / spread]
+    z, lang = np.array([f[0] for f in found], float), np.array([f[1] for f in found], int)
+    calibrate(model, z, lang, toxic, trained, np.ones(len(z)))
+
+
+def calibrate(model: Model, z: np.ndarray, lang: np.ndarray, toxic: np.ndarray, trained: np.ndarray, n: np.ndarray, least: int = 8) -> None:
+    """Put each language's cut where it separates best; one with few labelled rows takes the common one.
+
+    ``n`` rows have the logit, language and label, and were trained on or not. Logits of rows trained on lie too far
+    apart, so the others stand for them, label by label, and the rate of toxic rows stays that of all; only where there
+    are fewer than ``least`` others of a label do all rows count.
+    """
+
+    def weights(own: np.ndarray) -> np.ndarray:
+        w = np.where(own, n, 0.0)
+        fresh = np.where(trained, 0.0, w)
+        labels = [toxic == y for y in (0, 1)]
+        if min(fresh[y].sum() for y in labels) < least:
+            return w
+        return sum(np.where(y, fresh * w[y].sum() / fresh[y].sum(), 0.0) for y in labels)
+
+    w = weights(np.ones(len(z), bool))
+    middle = np.average(z, weights=w) if len(z) else 0.0
+    spread = max(1e-3, float(np.sqrt(np.average((z - middle) ** 2, weights=w)))) if len(z) else 1.0
+    common = [best_cut(z, toxic, w), 2 / spread]
     cuts = []
     for k in range(len(model.languages)):
         own = lang == k
-        enough = min((toxic[own] == 1).sum(), (toxic[own] == 0).sum()) >= least
-        cuts.append([best_cut(z[own], toxic[own]), common[1]] if enough else common)
+        enough = min(n[own & (toxic == y)].sum() for y in (0, 1)) >= least
+        cuts.append([best_cut(z, toxic, weights(own)), common[1]] if enough else common)
     model.cuts = np.array([*cuts, common])
 
 
-def best_cut(z: np.ndarray, toxic: np.ndarray) -> float:
+def best_cut(z: np.ndarray, toxic: np.ndarray, weight: np.ndarray | None = None) -> float:
     """The middle of the gap with the highest F1; of equal ones the widest."""
+    weight = np.ones(len(z)) if weight is None else weight
+    z, toxic, weight = z[weight > 0], toxic[weight > 0], weight[weight > 0]
     if not len(z):
         return 0.0
-    order = np.argsort(z)
-    z, y = z[order], toxic[order]
-    right = y[::-1].cumsum()[::-1]
-    f1 = 2 * right / (np.arange(len(z), 0, -1) + y.sum())
+    z, at = np.unique(z, return_inverse=True)
+    right = np.bincount(at, weight * toxic)[::-1].cumsum()[::-1]
+    called = np.bincount(at, weight)[::-1].cumsum()[::-1]
+    f1 = 2 * right / (called + right[0])
     gap = np.diff(z, prepend=z[0] - 1.0)
     k = max(np.flatnonzero(f1 >= f1.max() - 1e-9), key=lambda i: gap[i])
     return float(z[k] - gap[k] / 2)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 32_768) -> Model:
-    """Fit on a bounded sample: of each label at most ``per_class`` rows with texts of at most ``max_bytes``.
+    """Fit on a bounded sample: of each label at most ``per_class`` ids with texts of at most ``max_bytes``.
 
-    The rows are those first by a hash of the id. Rows without doc_id, text or label teach nothing; an id with
-    several labels counts as toxic. At most 2 * per_class * max_bytes bytes of features reach the driver.
+    The ids are those first by a hash; three quarters of them are trained on. The cuts of the languages are then chosen
+    from the logits of all labelled texts, counted in steps. Rows without doc_id, text or label teach nothing; an id with
+    several labels counts as toxic. At most 2 * per_class * max_bytes bytes of features reach the driver, and a
+    count for every language, label and step.
     """
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = materialise(known)
     fits = docs.where(F.octet_length("text") <= max_bytes).select("doc_id", "text", "lang")
     ids = known.join(fits.select("doc_id").distinct(), "doc_id").withColumn("_h", F.xxhash64("doc_id"))
     picked = [ids.where(F.col("toxic") == y).orderBy("_h", "doc_id").limit(per_class).select("doc_id", "toxic") for y in (0, 1)]
@@ -272,7 +309,45 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes:
     order = np.argsort([xxhash.xxh64_intdigest(f"{i} {k}") for i, k in zip(found["doc_id"].to_pylist(), map(len, found["words"].to_pylist()), strict=True)], kind="stable")
     words = [np.frombuffer(x, np.int64) for x in found["words"].to_pylist()]
     langs, toxic = found["lang"].to_pylist(), (np.array(found["toxic"].to_pylist(), np.int64) > 0).astype(np.int64)
-    return fit([words[i] for i in order], toxic[order], [langs[i] for i in order])
+    model = fit([words[i] for i in order], toxic[order], [langs[i] for i in order])
+    if not len(toxic) or toxic.min() == toxic.max():
+        return model
+    names = found["doc_id"].to_pylist()
+    taught = sorted({names[i] for i in order[~kept_out_of(len(order))]})
+    taught = spark.createDataFrame([(x,) for x in taught], "id string")
+    counts = logit_counts(docs, known, taught, model, max_bytes).toArrow()
+    step, lang, label, trained, n = (counts[c].to_numpy() for c in ("step", "language", "label", "trained", "n"))
+    calibrate(model, (step + 0.5) * STEP, lang, label, trained.astype(bool), n.astype(float))
+    return model
+
+
+def logit_counts(docs: DataFrame, known: DataFrame, taught: DataFrame, model: Model, max_bytes: int) -> DataFrame:
+    """Number of labelled rows for every language, label, step of the logit, and whether they were trained on.
+
+    Texts do not move: few labels are sent to them, of many only the logits go to the labels.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for b in batches:
+            (texts,) = next(rows([b], "text"))
+            found = [m.logit(features(t)) for t in texts]
+            steps = np.clip(np.floor(np.array([z for z, _ in found], float) / STEP), -STEPS, STEPS - 1).astype(np.int32)
+            short = [len(t) <= max_bytes for t in texts]
+            arrays = [b.column(0), pa.array(steps), pa.array([k for _, k in found], pa.int32()), pa.array(short, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "step", "language", "short"])
+
+    small = is_small(known, BROADCAST_BYTES)
+    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("text"))
+    if small:
+        texts = texts.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    told = texts.mapInArrow(run, f"doc_id {kind}, step int, language int, short boolean").join(hinted(known, small), "doc_id")
+    told = told.join(F.broadcast(taught), F.col("doc_id").cast("string") == F.col("id"), "left")
+    trained = (F.col("id").isNotNull() & F.col("short")).cast("int").alias("trained")
+    label = (F.col("toxic") > 0).cast("int").alias("label")
+    return told.groupBy("step", "language", label, trained).agg(F.count("*").alias("n"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

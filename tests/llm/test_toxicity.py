@@ -91,3 +91,46 @@ def test_labels_with_gaps(spark):
     assert toxicity.score(docs, toxicity.learn(docs, labels)).count() == docs.count()
     none = toxicity.learn(empty(spark), labels)
     assert all(0 <= r["score"] <= 1 for r in toxicity.score(docs, none).collect())
+
+
+def test_cuts_come_from_all_labels_and_not_from_the_capped_sample(spark):
+    """One word that a tenth of the clean texts have too: at the true rate of toxic texts it must not be enough."""
+    rng = np.random.default_rng(3)
+    docs, labels = [], []
+    for i in range(3000):
+        words = [f"w{k}" for k in rng.integers(0, 200, 20)]
+        toxic = i % 30 == 0
+        if toxic or i % 6 == 1:
+            words[3] = "doubtful"
+        if toxic and i % 60:
+            words[7] = "nasty"
+        docs.append((i, " ".join(words), "en"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    # the sample has as many toxic texts as clean ones, the corpus one in thirty
+    model = toxicity.learn(docs, labels, per_class=100)
+    got = toxicity.score(docs, model).join(labels, "doc_id").collect()
+    hit = sum(r["predicted"] and r["toxic"] for r in got)
+    assert hit >= 40 and hit / sum(r["predicted"] for r in got) > 0.8
+
+
+def test_all_labelled_rows_are_counted(spark, model):
+    docs, labels = documents(spark), spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id long, toxic int")
+    taught = spark.createDataFrame([("5",), ("8",)], "id string")
+    got = toxicity.logit_counts(docs, labels, taught, model[0], 1000).collect()
+    # ids 1 to 15, 10 twice; the text of 8 is too long to be trained on
+    assert sum(r["n"] for r in got) == 16 and sum(r["n"] for r in got if r["trained"]) == 1
+
+
+def test_calibration_keeps_the_rate_of_all_rows():
+    m = toxicity.Model()
+    m.languages = ["en"]
+    # 20 toxic rows of 30 were trained on: the other 10 stand for all 30
+    z = np.array([0.0, 1.0, 1.0, 2.0, 9.0])
+    toxic, trained = np.array([0, 0, 1, 1, 1]), np.array([False, False, False, False, True])
+    n = np.array([500.0, 12, 5, 5, 20])
+    toxicity.calibrate(m, z, np.zeros(5, int), toxic, trained, n)
+    assert m.cuts[0, 0] == 0.5
+    toxicity.calibrate(m, z, np.zeros(5, int), toxic, trained, np.array([500.0, 100, 5, 5, 20]))
+    assert m.cuts[0, 0] == 1.5
