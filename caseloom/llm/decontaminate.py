@@ -26,10 +26,15 @@ def split_words(text: Column) -> Column:
     return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SEPARATOR}+", ""), f"{SEPARATOR}+")
 
 
+def row_key() -> list[Column]:
+    """128 bits that stand for a row; rows alike in id and text have the same matches."""
+    # a hash passes over nulls, so it is told where they are
+    null = [F.col("doc_id").isNull(), F.col("text").isNull()]
+    return [F.xxhash64("doc_id", "text", *null).alias("_k"), F.xxhash64(F.lit(1), "text", "doc_id", *null).alias("_j")]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """128 bits stand for a row; rows alike in id and text have the same matches."""
-    keys = [F.xxhash64("doc_id", "text").alias("_k"), F.xxhash64(F.lit(1), "text", "doc_id").alias("_j")]
-    return docs.select("doc_id", F.col("text").alias("_text"), *keys)
+    return docs.select("doc_id", F.col("text").alias("_text"), *row_key())
 
 
 def tokens(docs: DataFrame) -> DataFrame:
@@ -145,6 +150,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, probes
     counts for n_hit but is not listed; rows that repeat are judged alike; empty tables give no rows or no hits. Only
     doc_id, text and item_id, text are read. The terms of the benchmark are broadcast up to ``BROADCAST_BYTES``.
     """
+    return row_contamination(docs, benchmark, width, probes).drop(*KEY)
+
+
+def row_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, probes: int = 2) -> DataFrame:
+    """As ``contamination``, with the key of the row."""
     prepare(docs.sparkSession)
     held = keyed(docs)
     hits = phrase_matches(held, benchmark, width, probes).select(*KEY, covered(F.col("spans")).alias("n_hit"), "items")
@@ -156,4 +166,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, probes
     out = held.select("doc_id", *KEY, n_words.alias("n_words")).join(found, KEY, "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     none = F.array().cast("array<string>")
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", *KEY, "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), (n_hit > 0).alias("contaminated"))

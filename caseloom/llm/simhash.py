@@ -57,19 +57,20 @@ def fingerprint(data: bytes | None, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp (signed long) of every row; a text without words (null too) has fingerprint zero."""
+def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, carried columns and fp (signed long) of every row; a text without words (null too) has fingerprint zero."""
     prepare(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType
+    kept = ["doc_id", *carried]
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             (texts,) = next(rows([b], "text"))
             fps = pa.array([fingerprint(t, width, seed) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], fps], [*kept, "fp"])
 
-    bare = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return bare.mapInArrow(run, f"doc_id {kind.simpleString()}, fp long")
+    bare = docs.select(*kept, F.col("text").cast("binary").alias("text"))
+    return bare.mapInArrow(run, f"{kinds}fp long")
 
 
 def flips(bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,11 +137,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, bits: int = 3, seed: int =
     null component. An empty table gives no rows; other columns are not read. Copies collapse to one fingerprint
     before any join, and ``blocks`` sets how selective the search for lone fingerprints is (more for more rows).
     """
-    rows_ = materialise(fingerprints(docs, width, seed))
+    return components(docs, width, bits, seed, blocks).drop("root")
+
+
+def components(
+    docs: DataFrame, width: int = 3, bits: int = 3, seed: int = 42, blocks: int = 6, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """As ``near_duplicates``, with carried columns and root, a fingerprint that names the row's component."""
+    rows_ = materialise(fingerprints(docs, width, seed, carried))
     firsts = materialise(rows_.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = connected(links(firsts.select("fp"), bits, blocks))
     merged = firsts.join(materialise(found), F.col("fp") == F.col("node"), "left")
     merged = materialise(merged.select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = materialise(merged.groupBy("root").agg(F.min("first").alias("component_id")))
-    labels = materialise(merged.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"))
+    labels = materialise(merged.join(least, "root").select(F.col("fp").alias("_fp"), "component_id", "root"))
     return rows_.join(labels, F.col("fp") == F.col("_fp"), "left").drop("_fp")

@@ -7,12 +7,13 @@ next stage's documents. All but the last return the columns of documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import decontaminate, language, mixing, simhash, substrings
 from caseloom.llm.common import part_of, prepare, table
-from caseloom.plans.sizing import remove_path, scratch_path
+from caseloom.llm.decontaminate import KEY
+from caseloom.plans.sizing import broadcast_if_small, materialise, remove_path, scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,21 +30,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id; one row of each id.
+    """One row of each group of near duplicates: the one with the smallest id (none counts as largest), then text.
 
-    Of rows without an id one stays in all, and only if some of them are near no row with an id.
+    Rows are judged one by one: those that share an id, or have none, stay apart unless their texts are near.
     """
     prepare(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key().alias("_key")).distinct()
-    stay = docs.select(key().alias("_key"), *COLUMNS).join(first, "_key", "left_semi")
-    # rows that share an id are in one group or none; the smallest row stays, without another exchange
-    return stay.groupBy("_key").agg(F.min(F.struct("text", "doc_id", "lang", "source", "n_chars")).alias("row")).select("row.*").select(*COLUMNS)
-
-
-def key() -> Column:
-    """The id, or the smallest long for none."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    keyed = docs.select(*decontaminate.row_key(), *COLUMNS)
+    groups = simhash.components(keyed.select("doc_id", "text", *KEY), carried=tuple(KEY)).select(*KEY, "doc_id", "root", "component_id")
+    # usually one row has the smallest id; texts are compared where several do
+    least = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("root", *KEY).distinct()
+    one = least.groupBy("root").agg(F.count("*").alias("n"), *(F.min(k).alias(k) for k in KEY))
+    one, least = materialise(one), materialise(least)
+    open_ = materialise(least.join(one.where("n > 1").select("root"), "root", "left_semi"))
+    first = one.where("n = 1").select(*KEY)
+    if not open_.isEmpty():
+        tied = keyed.select(*KEY, "text").join(broadcast_if_small(open_), KEY)
+        first = first.unionByName(tied.groupBy("root").agg(F.min(F.struct("text", *KEY)).alias("row")).select("row._k", "row._j"))
+    # the rows of a key share id and text; one stays, without another exchange
+    stay = keyed.join(first, KEY, "left_semi")
+    return stay.groupBy(*KEY).agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +61,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Rows without a passage of the benchmark; others of the same id, or of none, stay."""
     prepare(spark)
-    judged = decontaminate.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    bad = judged.where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    judged = decontaminate.row_contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    bad = judged.where("contaminated").select(*KEY).distinct()
+    return docs.select(*COLUMNS, *decontaminate.row_key()).join(bad, KEY, "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,25 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in got) == want
 
 
+def table_of(spark, data):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_rows_without_or_with_repeated_ids_are_judged_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    data = [(None, a), (None, b), (None, b), (7, c), (7, d), (3, d), (8, c), (9, "one two"), (9, "ONE two"), (None, "one two")]
+    got = stage("near_duplicates")(spark, table_of(spark, data).repartition(4), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(None, a), (None, b), (7, c), (3, d), (9, "ONE two")], key=str)
+
+
+def test_clean_rows_of_a_shared_id_stay(spark, tmp_path):
+    item = prose(2, 40)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    data = [(None, item), (None, "clean here"), (5, "x " + item), (5, "clean too"), (6, "and this")]
+    got = stage("decontamination")(spark, table_of(spark, data), str(tmp_path)).collect()
+    assert sorted(r["text"] for r in got) == ["and this", "clean here", "clean too"]
+
+
 def test_repeats_are_cut(spark):
     passage = prose(2, 60)
     data = [(1, passage), (2, "before it " * 3 + passage + " after"), (3, passage), (4, "nothing here"), (5, "")]
