@@ -2,11 +2,12 @@
 
 The model is a trie of byte contexts up to a given order. A byte seen in its context costs its share there; one unseen
 costs the context's escape (as many counts as distinct successors) and is predicted by the next shorter context, without
-the bytes that the longer one has seen. A context, its successors and all its suffixes of two bytes or more lie in one
-hash range, so ranges are solved on their own; single bytes and pairs are one table of 65,536 counts.
+the bytes that the longer one has seen. Sequences of up to three bytes are one table of counts; a context, its successors
+and all its suffixes of three bytes or more are solved together, on their own.
 
 Texts are dealt once into groups of bounded size. A group sends its distinct words and byte sequences with their counts
-in training texts, and gets the corpus counts and probabilities back.
+in training texts, dealt by a hash of the whole sequence. Each hash range sums the counts of all groups; distinct
+sequences go on to be solved, and their probabilities come back to the range, which answers the groups.
 """
 
 from __future__ import annotations
@@ -106,15 +107,17 @@ def group_counts(texts: list[bytes], train: np.ndarray, order: int) -> tuple[tup
 
 
 def gram_bucket(keys: np.ndarray, order: int, buckets: int) -> np.ndarray:
-    """Sequences that end their context in the same two bytes go together."""
-    pair = keys >> np.uint64(8 * (order - 1))
+    """Sequences that end their context in the same three bytes (two, if it has no more) go together."""
+    return sequence_bucket(keys >> np.uint64(8 * max(1, order - 2)), buckets)
+
+
+def sequence_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return (mixed(pair + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+        return (mixed(keys + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
-def dealt_grams(keys: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def dealt(b: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of sorted sequences by bucket, and the buckets' edges in it."""
-    b = gram_bucket(keys, order, buckets)
     return np.argsort(b, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(b, minlength=buckets))))
 
 
@@ -125,17 +128,36 @@ def pair_counts(texts: Iterable[bytes]) -> np.ndarray:
     return out
 
 
+def triple_counts(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two bytes of context, nearest first, and the byte: distinct numbers and their counts."""
+    return merged([counted(grams(data, lengths, 2)) for data, _, lengths in pieces(list(texts), 2)])
+
+
+def pairs_of(triples: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    pair = ((triples[0] >> np.uint64(16)) << np.uint64(8)) | (triples[0] & np.uint64(255))
+    return np.bincount(pair.astype(np.int64), triples[1], minlength=1 << 16).astype(np.int64)
+
+
+def whole_contexts(own: np.ndarray, triples: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The given triples and all others of the corpus in the same contexts, and their counts."""
+    at = np.isin(triples[0] >> np.uint64(8), np.unique(own >> np.uint64(8)))
+    keys = np.union1d(own, triples[0][at])
+    counts = np.zeros(len(keys))
+    counts[np.searchsorted(keys, triples[0][at])] = triples[1][at]
+    return keys, counts
+
+
 def share(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, below: np.ndarray) -> np.ndarray:
     """Probability by counts where there are some, else the escape times what shorter contexts give."""
     whole = np.maximum(total + kinds, 1)
     return np.where(n > 0, n / whole, np.where(kinds > 0, kinds / whole, 1.0) * below)
 
 
-def log_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, order: int) -> np.ndarray:
+def log_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, order: int, triples: tuple | None = None) -> np.ndarray:
     """log10 of the probability of the last byte of each sequence after its context.
 
-    ``keys`` are distinct and sorted, and hold all sequences of the corpus that share the last two context bytes;
-    ``pairs`` are the corpus counts of byte pairs.
+    ``keys`` are distinct and sorted, and hold all sequences of the corpus that share the last two context bytes; with
+    the corpus counts of ``triples``, for an order over two, the last three. ``pairs`` are the corpus counts of byte pairs.
     """
     two = pairs.reshape(SYMBOLS, SYMBOLS).astype(float)
     one = two.sum(axis=0)
@@ -143,6 +165,10 @@ def log_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, o
     levels = []
     k, n = keys, counts
     for j in range(order, 1, -1):
+        if j == 2 and levels and triples is not None:
+            own = k
+            k, n = whole_contexts(own, triples)
+            levels[-1] = (*levels[-1][:4], np.searchsorted(k, own)[levels[-1][4]])
         contexts, at = np.unique(k >> np.uint64(8), return_inverse=True)
         lower = ((k >> np.uint64(16)) << np.uint64(8)) | (k & np.uint64(255))
         short, down = np.unique(lower, return_inverse=True)
@@ -197,7 +223,8 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
     empty table gives no rows; without training rows all words are unknown (counted as one token) and all bytes alike.
     Columns named like an added one are replaced.
 
-    Only 65,536 pair counts and two totals reach the driver. ``order`` is 2 to 6.
+    Only the counts of the distinct triples of bytes (at most 2 to the 24, some hundred thousand in prose) and two totals
+    reach the driver, and every executor. No task depends on how many groups have a frequent context. ``order`` is 2 to 6.
     """
     if not 2 <= order <= 6:
         raise ValueError("order must be 2 to 6")
@@ -208,20 +235,21 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
     groups, buckets = max(1, math.ceil(total / group_bytes)), max(1, math.ceil(total / bucket_bytes))
     spot = F.pmod(F.xxhash64("text", *kept[:1]), F.lit(groups)).cast("int")
     learn = F.coalesce(train, F.lit(False))
-    dealt = docs.select(spot.alias("_grp"), *kept, learn.alias("_train"), F.col("text").cast("binary").alias("text"))
+    grouped = docs.select(spot.alias("_grp"), *kept, learn.alias("_train"), F.col("text").cast("binary").alias("text"))
 
-    def pair_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << 16, np.int64)
+    def triple_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            sums += pair_counts([(t or b"").lower() for t in b.column(0).to_pylist()])
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["pair", "n"])
+            sums.append(triple_counts([(t or b"").lower() for t in b.column(0).to_pylist()]))
+            if len(sums) >= 16:
+                sums = [merged(sums)]
+        at, n = merged(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.astype(np.int64))], ["triple", "n"])
 
     taught = docs.where(learn).select(F.col("text").cast("binary").alias("text"))
-    found = taught.mapInArrow(pair_rows, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    pairs = np.zeros(1 << 16, np.int64)
-    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
-    sent_pairs = spark.sparkContext.broadcast(pairs)
+    found = taught.mapInArrow(triple_rows, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n")).toArrow().sort_by("triple")
+    triples = found["triple"].to_numpy().astype(np.uint64), found["n"].to_numpy()
+    sent = spark.sparkContext.broadcast((pairs_of(triples), triples))
 
     def read(group: pa.Table) -> list[bytes]:
         return [(t or b"").lower() for t in group.column("text").to_pylist()]
@@ -231,7 +259,7 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
 
     def places(words: np.ndarray, sequences: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Buckets, and the numbers of a group's keys there: sequences first, then words."""
-        turn, edges = dealt_grams(sequences, order, buckets)
+        turn, edges = dealt(sequence_bucket(sequences, buckets), buckets)
         yield from ((i, turn[edges[i] : edges[i + 1]]) for i in range(buckets))
         cuts = [0, *split_sorted(words, buckets).tolist(), len(words)]
         yield from ((buckets + i, np.arange(cuts[i], cuts[i + 1])) for i in range(buckets))
@@ -247,28 +275,57 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "_grp", "keys", "counts"])
 
-    def answer(key: tuple, bucket: pa.Table) -> pa.Table:
+    def merge(key: tuple, bucket: pa.Table) -> pa.Table:
+        """Distinct sequences of all groups in a hash range, for those who solve them."""
+        number, out = key[0].as_py(), []
+        if number < buckets:
+            flat = np.concatenate([unpack(x) for x in bucket.column("keys").to_pylist()])
+            counts = np.concatenate([from_planes(x, "<u4") for x in bucket.column("counts").to_pylist()])
+            distinct, sums = counted(flat, counts)
+            turn, edges = dealt(gram_bucket(distinct, order, buckets), buckets)
+            for i in range(buckets):
+                if len(at := turn[edges[i] : edges[i + 1]]):
+                    out.append((i, number, pack(distinct[at]), planes(sums[at].astype("<i8"))))
+        columns = list(zip(*out, strict=True)) or [[]] * 4
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["solver", "bucket", "keys", "counts"])
+
+    def solve(key: tuple, parts: pa.Table) -> pa.Table:
+        keys = [unpack(x) for x in parts.column("keys").to_pylist()]
+        flat = np.concatenate(keys)
+        counts = np.concatenate([from_planes(x, "<i8") for x in parts.column("counts").to_pylist()])
+        turn = np.argsort(flat)
+        values = np.empty(len(flat), "<f4")
+        values[turn] = log_probabilities(flat[turn], counts[turn].astype(float), sent.value[0], order, sent.value[1])
+        edges = np.cumsum([0, *map(len, keys)])
+        data = pa.array([planes(values[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+        return pa.table([parts.column("bucket"), parts.column("keys"), data], ["bucket", "keys", "data"])
+
+    def answer(key: tuple, bucket: pa.Table, solved: pa.Table) -> pa.Table:
         number, who = key[0].as_py(), bucket.column("_grp").to_pylist()
         keys = [unpack(x) for x in bucket.column("keys").to_pylist()]
-        flat = np.concatenate(keys)
-        counts = np.concatenate([from_planes(x, "<u4") for x in bucket.column("counts").to_pylist()])
-        distinct, at = np.unique(flat, return_inverse=True)
-        sums = np.bincount(at, counts, minlength=len(distinct))
         if number >= buckets:
-            values = sums.astype("<i8")[at]
+            counts = np.concatenate([from_planes(x, "<u4") for x in bucket.column("counts").to_pylist()])
+            distinct, sums = counted(np.concatenate(keys), counts)
+            values = sums.astype("<i8")
             totals = (int(sums.sum()), int((sums > 0).sum()))
         else:
-            values = log_probabilities(distinct, sums, sent_pairs.value, order).astype("<f4")[at]
-            totals = (0, 0)
-        edges = np.cumsum([0, *map(len, keys)])
-        data = [planes(values[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            distinct = np.concatenate([unpack(x) for x in solved.column("keys").to_pylist()])
+            values = np.concatenate([from_planes(x, "<f4") for x in solved.column("data").to_pylist()])
+            turn = np.argsort(distinct)
+            distinct, values, totals = distinct[turn], values[turn], (0, 0)
+        data = [planes(values[np.searchsorted(distinct, k)]) for k in keys]
         n = len(who)
         columns = [[*who, -1], [number] * (n + 1), [*data, b""], [0] * n + [totals[0]], [0] * n + [totals[1]]]
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["_grp", "bucket", "data", "tokens", "distinct"])
 
-    asked = dealt.groupBy("_grp").applyInArrow(ask, "bucket int, _grp int, keys binary, counts binary")
-    answers = materialise(asked.groupBy("bucket").applyInArrow(answer, "_grp int, bucket int, data binary, tokens long, distinct long"))
+    asked = grouped.groupBy("_grp").applyInArrow(ask, "bucket int, _grp int, keys binary, counts binary")
+    # both sides read one exchange of what was asked
+    merges = asked.groupBy("bucket").applyInArrow(merge, "solver int, bucket int, keys binary, counts binary")
+    solved = merges.groupBy("solver").applyInArrow(solve, "bucket int, keys binary, data binary")
+    answers = asked.groupBy("bucket").cogroup(solved.groupBy("bucket"))
+    answers = materialise(answers.applyInArrow(answer, "_grp int, bucket int, data binary, tokens long, distinct long"))
     n, v = answers.where("_grp = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = n or 0, v or 0
     unit = math.log10(max(1, n) * (v + 1))
@@ -293,5 +350,5 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
         return pa.table(columns)
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*kept).schema)
-    out = dealt.groupBy("_grp").cogroup(answers.where("_grp >= 0").groupBy("_grp"))
+    out = grouped.groupBy("_grp").cogroup(answers.where("_grp >= 0").groupBy("_grp"))
     return out.applyInArrow(results, f"{kinds}n_tokens long, n_known long, train_tokens long, base_score double, score double")

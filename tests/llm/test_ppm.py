@@ -84,6 +84,23 @@ def test_probabilities_sum_to_one():
         assert (10 ** p[np.searchsorted(keys, asked)]).sum() == pytest.approx(1)
 
 
+@pytest.mark.parametrize("order", [3, 4, 6])
+def test_contexts_are_solved_apart_by_three_bytes(order):
+    """Sequences of one pair of bytes go to several buckets, and the buckets' results are those of the whole."""
+    texts = [b"the tree there", b"see the sea", b"he hears the bees", "öde äther".encode()] * 3
+    found = [ppm.counted(ppm.grams(d, n, order)) for d, _, n in ppm.pieces(texts, order)]
+    keys, counts = ppm.merged(found)
+    pairs, triples = ppm.pair_counts(texts), ppm.triple_counts(texts)
+    assert (ppm.pairs_of(triples) == pairs).all()
+    whole = ppm.log_probabilities(keys, counts, pairs, order)
+    bucket = ppm.gram_bucket(keys, order, 16)
+    pair = keys >> np.uint64(8 * (order - 1))
+    assert any(len(set(bucket[pair == p])) > 1 for p in set(pair))
+    for b in set(bucket):
+        own = bucket == b
+        assert np.allclose(ppm.log_probabilities(keys[own], counts[own], pairs, order, triples), whole[own])
+
+
 def test_long_texts_in_pieces():
     text = b"abcabcabd" * 50
     for size in (7, 64, 1 << 21):
