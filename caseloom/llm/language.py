@@ -252,7 +252,7 @@ def fit(counts: dict[str, Counter], pieces: dict[str, int], rounds: int = 4, pri
 
 
 def learn(docs: DataFrame, vocabulary_path: str, per_language: int = 600, max_bytes: int = 32_768, max_languages: int = 500) -> Model:
-    """Fit on a bounded sample: of each language at most ``per_language`` texts of at most ``max_bytes``, by a hash of the text.
+    """Fit on a bounded sample: of each language at most ``per_language`` distinct texts of at most ``max_bytes``, by a hash of the text.
 
     Rows without text or lang teach nothing. More than ``max_languages`` raise an error; so the driver gets at most
     the word counts of per_language * max_bytes bytes for each language.
@@ -260,7 +260,8 @@ def learn(docs: DataFrame, vocabulary_path: str, per_language: int = 600, max_by
     prepare(docs.sparkSession)
     fits = docs.where("lang IS NOT NULL AND text IS NOT NULL").where(F.octet_length("text") <= max_bytes)
     fits = fits.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text", F.lit(3)).alias("_h"))
-    sizes = fits.groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
+    # copies count once, or a text with many would fill the places of its language
+    sizes = fits.select("lang", "_h").distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(max_languages + 1).collect()
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     if not sizes:
@@ -268,7 +269,7 @@ def learn(docs: DataFrame, vocabulary_path: str, per_language: int = 600, max_by
     # a share of the hashes that holds a little more than wanted, so no language is ranked whole
     share = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 1.5 * per_language / r["n"])) for r in sizes], "lang string, share double")
     near = F.shiftrightunsigned("_h", 11).cast("double") / float(1 << 53) <= F.col("share")
-    few = fits.join(F.broadcast(share), "lang").where(near)
+    few = fits.join(F.broadcast(share), "lang").where(near).groupBy("lang", "_h").agg(F.min("text").alias("text"))
     ranked = few.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text")))
     sample = ranked.where(F.col("_rank") <= per_language).select("lang", F.col("text").cast("binary").alias("text"))
 

@@ -102,3 +102,13 @@ def test_nothing_to_learn_from(spark):
     assert some.languages == ["en", "fr"]
     with pytest.raises(ValueError, match="languages"):
         language.learn(docs, PATH, max_languages=1)
+
+
+def test_copies_take_one_place_of_the_sample(spark, monkeypatch):
+    texts = ["alpha beta"] * 500 + [f"word{i} other{i}" for i in range(40)]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(4)
+    seen = {}
+    monkeypatch.setattr(language, "vocabulary", lambda path: {})
+    monkeypatch.setattr(language, "fit", lambda counts, pieces: seen.update(counts))
+    language.learn(docs, "", per_language=100)
+    assert len(seen["en"]) == 82 and set(seen["en"].values()) == {1}
