@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mixing, ppm, rules, simhash, substrings, tokens, toxicity
+from . import chat, decontaminate, language, mixing, negatives, ppm, rules, simhash, substrings, tokens, toxicity
 from .common import part_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,27 @@ def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document, learnt from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", part_of("doc_id", 7) == 2)
     return ppm.score(docs, ~F.col("held_out"))
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query(OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive, after some labels were changed."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
