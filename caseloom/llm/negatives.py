@@ -87,6 +87,7 @@ def _cell(width: int, scale: float, k: int, slots: int, step: int):
         a, a_row = matrix(anchors["a_vector"], scale, width), anchors["_a"].to_numpy()
         limits = np.full((len(anchors), max(slots, 1)), NONE)
         if slots:
+            least = anchors["least"].to_numpy()
             flat = anchors["limits"].combine_chunks()
             n = np.diff(flat.offsets.to_numpy())
             limits[np.arange(slots) < n[:, None]] = flat.flatten().to_numpy()
@@ -100,7 +101,7 @@ def _cell(width: int, scale: float, k: int, slots: int, step: int):
                 x, y = best(s, k)
                 found.append((x, np.zeros(len(x), int), s[x, y], y + at))
                 continue
-            s[same] = NONE
+            s[same | (s < least[:, None])] = NONE
             slot = (limits[:, :, None] >= s[:, None, :]).sum(axis=1) - 1
             for j in range(slots):
                 mine = np.where(slot == j, s, NONE)
@@ -165,7 +166,7 @@ def mine(
     anchors = rows.where("_is").select(F.col("_row").alias("_a"), F.col("id").alias("anchor_id"), F.col("label").alias("a_label"), F.col("vector").alias("a_vector"))
     rows = rows.drop("_is")
     blocks = (
-        max(-(-n // block_rows), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // 64)), 1),
+        max(-(-n // block_rows), min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // 256)), 1),
         max(-(-n_anchors // block_anchors), 1),
     )
     step = max(1, min(2048, (1 << 22) // block_anchors))
@@ -173,7 +174,9 @@ def mine(
     found = _top(found, ["_a"], positives).groupBy("_a")
     entry = F.struct("_n", F.col("score").alias("positive_score"), F.col("id").alias("positive_id"), upper.alias("upper"))
     found = materialise(found.agg(F.array_sort(F.collect_list(entry)).alias("found")))
-    asked = anchors.join(found, "_a").select("_a", "a_label", "a_vector", F.col("found.upper").alias("limits"))
+    # nothing below the lowest window is asked for
+    least = F.ceil(F.array_min("found.positive_score").cast("decimal(38,0)") * low / 100).cast("long")
+    asked = anchors.join(found, "_a").select("_a", "a_label", "a_vector", F.col("found.upper").alias("limits"), least.alias("least"))
     slots = _grid(rows, asked, _cell(width or 0, scale, negatives, positives, step), cells, *blocks)
     slots = _top(slots, ["_a", "slot"], negatives).groupBy("_a")
     # in the order of the answer: best first, then small ids, none last

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mixing, negatives, ppm, rules, simhash, substrings, tokens, toxicity
+from . import chat, collocations, decontaminate, language, mixing, negatives, packing, ppm, rules, simhash, substrings, tokens, toxicity
 from .common import part_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,44 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
+@query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k))),
+f AS (SELECT lang, phrase, k, count(*) AS a FROM g GROUP BY lang, phrase, k HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, a, k, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inner_ AS (SELECT DISTINCT s.lang, s.phrase FROM (SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < len(w))) x JOIN c s USING (lang, phrase) WHERE x.a >= s.a),
+cut AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS lp, array_to_string(w[j + 1:], ' ') AS rp
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c ANTI JOIN inner_ USING (lang, phrase))),
+s AS (SELECT cut.lang, cut.phrase, cut.a, x.a AS l, y.a AS r, n, j,
+        CAST(1000 AS HUGEINT) * cut.a * n // (CAST(x.a AS HUGEINT) * y.a) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp
+      JOIN n ON n.lang = cut.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+WHERE rank <= 2000
+"""
+
+
+@query(OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of every language, with the counts behind their scores."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
