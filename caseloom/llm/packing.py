@@ -80,10 +80,10 @@ class Encoder:
     """Ids of a byte-level vocabulary of the tokenizers library; every distinct word is encoded once.
 
     Words are found and told apart with numpy, over many texts at once; the library encodes the words it has not seen.
-    At most ``most_words`` are remembered.
+    At most ``most_words`` are remembered, in some 60 bytes each.
     """
 
-    def __init__(self, spec: str, most_words: int = 400_000):
+    def __init__(self, spec: str, most_words: int = 2_000_000):
         from tokenizers import Tokenizer
 
         from .tokens import byte_letters
@@ -101,21 +101,50 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.at, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        """No word is known: sorted hashes, a second hash of each to be sure, and where the ids of each word are."""
+        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
-    def learn(self, word: str) -> int:
-        ids = [t.id for t in self.library.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        k = len(self.known)
-        if k == len(self.at):
-            self.at, self.size = np.resize(self.at, 2 * k), np.resize(self.size, 2 * k)
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of new words are from now on, and how many each has."""
+        ids, size = [], []
+        for w in words:
+            found = [t.id for t in self.library.model.tokenize(w.encode().decode("latin-1").translate(self.letters))]
+            ids += found
+            size.append(len(found))
         while self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.known[word], self.at[k], self.size[k] = k, self.used, len(ids)
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.ids[self.used : self.used + len(ids)] = ids
+        size = np.array(size, np.int64)
+        at = self.used + np.cumsum(size) - size
         self.used += len(ids)
-        return k
+        return at, size
+
+    def look_up(self, key: np.ndarray, check: np.ndarray, word) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids of words, from their hashes in order; ``word`` gives the i-th word itself."""
+        place = np.searchsorted(self.key, key)
+        near = np.minimum(place, max(0, len(self.key) - 1))
+        known = (self.key[near] == key) & (self.check[near] == check) if len(self.key) else np.zeros(len(key), bool)
+        at, size = np.empty(len(key), np.int64), np.empty(len(key), np.int64)
+        at[known], size[known] = self.at[near[known]], self.size[near[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            at[new], size[new] = self.learn([word(i) for i in new.tolist()])
+            # one hash never stands for two words
+            fresh = new[np.concatenate(([True], key[new][1:] != key[new][:-1]))]
+            if len(self.key):
+                fresh = fresh[self.key[near[fresh]] != key[fresh]]
+            if len(self.key) + len(fresh) > self.most_words:
+                # what was learnt stays valid for this call
+                ids = self.ids
+                self.forget()
+                self.spare = ids
+                return at, size
+            for name, values in (("key", key), ("check", check), ("at", at), ("size", size)):
+                setattr(self, name, np.insert(getattr(self, name), place[fresh], values[fresh]))
+        self.spare = self.ids
+        return at, size
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -123,7 +152,7 @@ class Encoder:
     def plain(self, text: str) -> bool:
         return (text.isascii() or _LATER.search(text) is None) and not any(s in text for s in self.special)
 
-    def encode(self, texts: list[str], most: int = 1 << 18) -> list[np.ndarray]:
+    def encode(self, texts: list[str], most: int = 1 << 20) -> list[np.ndarray]:
         """Ids of every text, without special tokens around them."""
         out: list[list[np.ndarray]] = [[] for _ in texts]
         waiting: list[tuple[int, str]] = []
@@ -146,8 +175,6 @@ class Encoder:
         waiting = [(i, t) for i, t in waiting if t]
         if not waiting:
             return
-        if len(self.known) >= self.most_words:
-            self.forget()
         joined = "".join(t for _, t in waiting)
         chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         begins = np.concatenate(([0], np.cumsum([len(t) for _, t in waiting])))
@@ -163,16 +190,12 @@ class Encoder:
         _, first, which = np.unique(hashes[0], return_index=True, return_inverse=True)
         if (hashes[1] != hashes[1][first][which]).any():
             _, first, which = np.unique(np.stack(hashes, 1), axis=0, return_index=True, return_inverse=True)
-        known = self.known
-        codes = np.empty(len(first), np.int64)
-        for k, (a, b) in enumerate(zip(start[first].tolist(), edge[first + 1].tolist(), strict=True)):
-            word = joined[a:b]
-            code = known.get(word)
-            codes[k] = self.learn(word) if code is None else code
-        codes = codes[which.ravel()]
-        size = self.size[codes]
+        begin, stop = start[first].tolist(), edge[first + 1].tolist()
+        at, size = self.look_up(hashes[0][first], hashes[1][first], lambda i: joined[begin[i] : stop[i]])
+        which = which.ravel()
+        at, size = at[which], size[which]
         ends = np.cumsum(size)
-        ids = self.ids[np.repeat(self.at[codes] - (ends - size), size) + np.arange(ends[-1])]
+        ids = self.spare[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
         cuts = np.concatenate(([0], ends))[np.searchsorted(start, begins)]
         for (i, _), a, b in zip(waiting, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             out[i].append(ids[a:b])
