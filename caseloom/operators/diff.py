@@ -138,27 +138,82 @@ def common_columns(first: DataFrame, second: DataFrame) -> list[str]:
     return sorted(set(first.columns) & set(second.columns))
 
 
-def cell_diff(
-    first: DataFrame, second: DataFrame, keys: list[str] = KEYS, *, match_missing: bool = True
+def _alike(first: DataFrame, second: DataFrame, columns: list[str]) -> list[str]:
+    """Columns that both sources hold in the same type, in which equal values have equal digests."""
+    a, b = dict(first.dtypes), dict(second.dtypes)
+    return [c for c in columns if a[c] == b[c] and a[c] not in ("float", "double") and not a[c].startswith(("map", "variant"))]
+
+
+def _key_digest(keys: list[str]) -> Column:
+    """Digest of a key; a missing part is told from others."""
+    return F.xxhash64(F.lit(0), *[x for k in keys for x in (F.col(k), F.col(k).isNull())])
+
+
+def changed_keys(
+    first: DataFrame, second: DataFrame, keys: list[str] = KEYS, cols: list[str] | None = None, *, ranges: int = 4096
 ) -> DataFrame:
-    """Cells that both sources fill with different values, cleaned for display.
+    """Digests of the keys whose rows are not the same in both sources: ``_key``, and their rows in either.
 
-    One join on the key whatever the number of columns; the differing cells of a row are
-    picked from an array in place. A row is compared with the one row that has its key: keys that repeat in either
-    source, and so do not say which rows belong together, are left out and listed by :func:`ambiguous_keys`.
-    Missing key parts match each other unless ``match_missing`` is off. Counts the repeated keys before it returns.
+    Two levels: the digests of all rows are summed by range of the key on both sides, and only within ranges that differ
+    do row digests meet. Wide rows are not moved. A key in one source only, or whose repeated rows cancel out, is left
+    out, as is a difference of two rows that share 96 bits. Keys whose types differ take no part in the digest.
     """
-    ambiguous = materialise(ambiguous_keys(first, second, keys).select(*[F.col(k).alias(f"{k}__x") for k in keys]))
-    if not ambiguous.isEmpty():
-        few = hinted(ambiguous, is_small(ambiguous))
+    cols = cols if cols is not None else [c for c in common_columns(first, second) if c not in {"phacid", *keys}]
+    known, native = _alike(first, second, keys), set(_alike(first, second, cols))
+
+    def digests(df: DataFrame, side: int) -> DataFrame:
+        cells = [x for c in cols for v in [F.col(c) if c in native else F.col(c).cast("string")] for x in (v, v.isNull())]
+        row = df.select(_key_digest(known).alias("_key"), F.xxhash64(F.lit(1), *cells).alias("x"), F.hash(F.lit(2), *cells).alias("y"))
+        # the key is part of the digest: rows that change places do not cancel out
+        return row.select("_key", F.xxhash64("_key", "x").alias("x"), F.hash("_key", "y").alias("y"), F.lit(side).alias("side"))
 
-        def unique(df: DataFrame) -> DataFrame:
-            return df.join(few, reduce(lambda x, y: x & y, [df[k].eqNullSafe(few[f"{k}__x"]) for k in keys]), "left_anti")
+    def apart(df: DataFrame, *by: Column | str) -> DataFrame:
+        sums = df.groupBy(*by).agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), *[F.count_if(F.col("side") == k).alias(f"n_{k}") for k in (0, 1)])
+        return sums.where("x <> 0 OR y <> 0")
 
-        first, second = unique(first), unique(second)
+    rows = materialise(digests(first, 0).unionByName(digests(second, 1)))
+    spot = F.pmod("_key", F.lit(ranges)).alias("_range")
+    # at most as many rows as ranges
+    differ = materialise(apart(rows, spot).select("_range"))
+    inside = rows.withColumn("_range", spot).join(F.broadcast(differ), "_range", "left_semi")
+    return apart(inside, "_key").where("n_0 > 0 AND n_1 > 0").select("_key", "n_0", "n_1")
+
+
+def cell_diff(
+    first: DataFrame, second: DataFrame, keys: list[str] = KEYS, *, match_missing: bool = True, ranges: int = 4096
+) -> DataFrame:
+    """Cells that both sources fill with different values, cleaned for display.
+
+    Digests find the keys whose rows differ (see :func:`changed_keys`), before the call returns; only their wide rows are
+    joined, once, whatever the number of columns, and the differing cells of a row are picked from an array in place. A
+    row is compared with the one row that has its key: keys that repeat in either source, and so do not say which rows
+    belong together, are left out and listed by :func:`ambiguous_keys`. Missing key parts match each other unless
+    ``match_missing`` is off.
+    """
     skip = {"phacid", *keys}
     cols = [c for c in common_columns(first, second) if c not in skip]
     a_types, b_types = dict(first.dtypes), dict(second.dtypes)
+    changed = materialise(changed_keys(first, second, keys, cols, ranges=ranges)) if cols else None
+    if changed is not None and not changed.isEmpty():
+        of = _key_digest(_alike(first, second, keys))
+
+        def only(df: DataFrame, found: DataFrame) -> DataFrame:
+            few = hinted(found.select(F.col("_key").alias("_found")), is_small(found))
+            return df.join(few, of == F.col("_found"), "left_semi")
+
+        twice = changed.where("n_0 > 1 OR n_1 > 1")
+        if not twice.isEmpty():
+            parts = only(first, twice), only(second, twice)
+            ambiguous = materialise(ambiguous_keys(*parts, keys).select(*[F.col(k).alias(f"{k}__x") for k in keys]))
+            few = hinted(ambiguous, is_small(ambiguous))
+            first, second = (
+                df.join(few, reduce(lambda x, y: x & y, [df[k].eqNullSafe(few[f"{k}__x"]) for k in keys]), "left_anti")
+                for df in (first, second)
+            )
+        first, second = only(first, changed), only(second, changed)
+    elif changed is not None:
+        # nothing is read again
+        first, second = first.where(F.lit(False)), second.where(F.lit(False))
     a = first.select(*[F.col(k).alias(k) for k in keys], F.col("phacid").alias("phacid_orig"),
                      *[F.col(c).alias(f"{c}_orig") for c in cols])
     b = second.select(*[F.col(k).alias(f"{k}__b") for k in keys], F.col("phacid").alias("phacid_meta"),

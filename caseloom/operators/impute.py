@@ -4,7 +4,8 @@ For a target date t and a source date s the gap s - t is known on some rows. A m
 gap is drawn from the known gaps of the same region, and a missing t becomes s minus the
 drawn gap, taking the source whose gaps vary least.
 
-A draw picks position ``i`` among the sorted known gaps. Gaps are whole days, so the
+A draw picks position ``i`` among the sorted known gaps, from 62 bits scaled to their number: any
+number of donors is drawn from alike. Gaps are whole days, so the
 sorted list is fully described by a histogram: the drawn gap is the one whose
 cumulative range holds ``i``. Rows are therefore never sorted or numbered within a
 region; a region with a third of all cases costs no more than its few distinct gaps.
@@ -17,12 +18,12 @@ lost executor gives the same result, and the gaps drawn for one case are unrelat
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import first_above
+from ..functions.expressions import first_above, let
 from ..plans.sizing import hinted, is_small, materialise
 
 # The dates that are imputed and the dates used for it.
@@ -32,8 +33,7 @@ SOURCES = [
     "earliestlabtestresultdate", "episodedate", "earliestdate",
 ]
 
-# Multiplier of the row key, and the prime that keeps products in 64 bits.
-_MULTIPLIER = 2654435761
+# The prime that keeps products in 64 bits.
 _PRIME = 2147483647
 
 _PAIR = ["grp", "target", "source"]
@@ -48,16 +48,37 @@ def row_key(id_col: str) -> Column:
     return F.xxhash64(F.col(id_col))
 
 
-def pair_number(target: str, source: str) -> int:
-    """A fixed number that tells the draws of one pair of dates from those of another."""
-    return zlib.crc32(f"{target} from {source}".encode()) % _PRIME
+def round_numbers(seed: int, target: str, source: str) -> list[int]:
+    """Fixed numbers that tell the draws of one seed and pair of dates from those of others."""
+    digest = hashlib.sha256(f"{seed} {target} from {source}".encode()).digest()
+    return [int.from_bytes(digest[8 * i : 8 * i + 8], "big") % _PRIME for i in range(4)]
 
 
-def _position(key: Column, n: Column, seed: int, pair: int) -> Column:
-    """A position below ``n``: two squarings modulo a prime break up the order of the keys."""
-    x = F.pmod(F.pmod(key, F.lit(_PRIME)) * F.lit(_MULTIPLIER) + F.lit(seed + pair), F.lit(_PRIME))
-    x = F.pmod(x * x + F.lit(pair), F.lit(_PRIME))
-    return F.pmod(F.pmod(x * x + F.lit(1), F.lit(_PRIME)), n)
+def _bits(key: Column, numbers: list[int]) -> Column:
+    """62 bits for a row, as two numbers below the prime: four rounds that each add a square of one half to the other.
+
+    Every round can be undone, so rows with other keys get other bits, and all bits occur.
+    """
+    low = F.pmod(key.bitwiseAND(0x7FFFFFFF), F.lit(_PRIME))
+    start = F.struct(F.pmod(F.shiftright(key, 31), F.lit(_PRIME)).alias("lo"), low.alias("hi"))
+
+    def mix(s: Column, c: Column) -> Column:
+        x = (s["hi"] + c) % F.lit(_PRIME)
+        return F.struct(s["hi"].alias("lo"), ((s["lo"] + x * x) % F.lit(_PRIME)).alias("hi"))
+
+    return F.aggregate(F.array(*[F.lit(c).cast("long") for c in numbers]), start, mix)
+
+
+def _position(key: Column, n: Column, numbers: list[int]) -> Column:
+    """A position below ``n`` (up to 2**62): the high part of the product of n and the row's bits, in 64-bit steps."""
+    n = n.cast("long")
+    n_hi, n_lo = F.shiftright(n, 31), n.bitwiseAND(0x7FFFFFFF)
+
+    def scaled(x: Column) -> Column:
+        middle = x["hi"] * n_lo + x["lo"] * n_hi
+        return x["hi"] * n_hi + F.shiftright(middle + F.shiftright(x["lo"] * n_lo, 31), 31)
+
+    return let(_bits(key, numbers), scaled)
 
 
 def _pairs(targets: list[str], sources: list[str]) -> list[tuple[str, str]]:
@@ -81,7 +102,7 @@ def _prepared(df: DataFrame, names: list[str], group: str | None, id_col: str, k
 def _gap(key: Column, seed: int, target: str, source: str) -> Column:
     """The gap drawn for a row from the histogram of its region."""
     h = F.col(f"h_{target}_{source}")
-    at = _position(key, h["donors"], seed, pair_number(target, source))
+    at = _position(key, h["donors"], round_numbers(seed, target, source))
     return F.get(h["gaps"], first_above(h["ends"], at))
 
 

@@ -129,3 +129,47 @@ def test_view_reduces_every_side(spark):
     assert (r.symother, r.symotherspec, r.symdiarrhea, r.hospstatus, r.disposition2, r.exposure_cat2) == (
         "yes", "rash", "no", "hospitalized - icu", "stable", "domestic acquisition",
     )
+
+
+def wide(spark, rows, change):
+    """Rows with 40 columns of text; ``change`` is SQL for which of them differ."""
+    cells = [F.concat(F.lit(f"c{j} "), F.col("id")).alias(f"c{j:02}") for j in range(40)]
+    first = spark.range(rows).select(F.concat(F.lit("p"), "id").alias("phacid"), F.lit("x").alias("pt"), F.col("id").cast("string").alias("ptcaseid"), "id", *cells)
+    return first, first.withColumn("c07", F.when(F.expr(change), F.lit("other")).otherwise(F.col("c07")))
+
+
+def test_equal_sources_send_digests_only(spark):
+    a, b = wide(spark, 5000, "false")
+    plan = diff.cell_diff(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Range" not in plan
+    # what meets in a shuffle is as narrow as a digest
+    plan = diff.changed_keys(a, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert "c07" not in plan and diff.changed_keys(a, b).count() == 0
+
+
+def test_only_changed_rows_are_joined(spark):
+    a, b = wide(spark, 5000, "id % 1000 = 1")
+    changed = diff.changed_keys(a, b, ranges=64)
+    assert sorted(values(changed, "n_0", "n_1")) == [(1, 1)] * 5
+    got = diff.cell_diff(a, b, ranges=64)
+    assert sorted(values(got, "colname", "phacid_orig")) == [("c07", f"p{i}001" if i else "p1") for i in range(5)]
+
+
+def test_swapped_rows_types_and_missing_values_differ(spark):
+    """Values that change places between keys, numbers against text, floats, and nulls in several columns."""
+    a = spark.createDataFrame(
+        [("1", "x", "1", "u", "v", 1, 0.5), ("2", "x", "2", "v", "u", 2, 1.5), ("3", "x", "3", None, "w", 3, None), ("4", "x", "4", "k", "k", 4, 2.0)],
+        "phacid string, pt string, ptcaseid string, p string, q string, n int, f double",
+    )
+    b = spark.createDataFrame(
+        [("1", "x", "1", "v", "u", "1", 0.5), ("2", "x", "2", "u", "v", "7", 1.25), ("3", "x", "3", "w", None, "3", 9.0), ("4", "x", "4", "k", "k", "4", 2.0)],
+        "phacid string, pt string, ptcaseid string, p string, q string, n string, f double",
+    )
+    got = sorted(values(diff.cell_diff(a, b), "colname", "ptcaseid"))
+    assert got == [("f", "2"), ("n", "2"), ("p", "1"), ("p", "2"), ("q", "1"), ("q", "2")]
+
+
+def test_keys_of_other_types_still_match(spark):
+    a = spark.createDataFrame([("1", "x", 1, "a"), ("2", "x", 2, "a"), ("3", "x", None, "a")], "phacid string, pt string, ptcaseid int, v string")
+    b = spark.createDataFrame([("1", "x", "01", "b"), ("2", "x", "2", "a"), ("3", "x", None, "c")], "phacid string, pt string, ptcaseid string, v string")
+    assert sorted(values(diff.cell_diff(a, b), "phacid_orig")) == ["1", "3"]

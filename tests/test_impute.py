@@ -14,11 +14,13 @@ SOURCES = [c for c in impute.SOURCES if c != "earliestdate"]
 IMPUTED = [f"{t}_imputed" for t in impute.TARGETS]
 
 
-def place(k, seed, target, source):
-    p, c = 2147483647, impute.pair_number(target, source)
-    x = (k % p * 2654435761 + seed + c) % p
-    x = (x * x + c) % p
-    return (x * x + 1) % p
+def place(k, seed, target, source, n):
+    """The draw by hand: 62 mixed bits times n, whole sequences of bits above the lowest 62."""
+    p, (lo, hi) = 2147483647, (k >> 31, k & 0x7FFFFFFF)
+    lo, hi = lo % p, hi % p
+    for c in impute.round_numbers(seed, target, source):
+        lo, hi = hi, (lo + ((hi + c) % p) ** 2) % p
+    return (hi << 31 | lo) * n >> 62
 
 
 def run(df, **kw):
@@ -75,7 +77,7 @@ def test_draws_follow_the_observed_gaps(spark):
     got = dict(values(out, "phacid", "onsetdate_imputed"))
     donors = sorted((r[4] - r[3]).days for r in rows if r[3])
     for pid, _, k, onset, reported in rows:
-        gap = donors[place(k, 4, "onsetdate", "reporteddate") % len(donors)]
+        gap = donors[place(k, 4, "onsetdate", "reporteddate", len(donors))]
         assert got[pid] == (onset or reported - dt.timedelta(days=gap))
 
 
@@ -170,3 +172,31 @@ def test_shuffled_histograms_move_the_table_once(spark, monkeypatch):
         assert plan.count("SortMergeJoin") - own.count("SortMergeJoin") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_positions_among_billions_of_donors(spark):
+    """Every part of 6e9 donors, and of far more, is drawn from alike; the arithmetic is exact."""
+    numbers = impute.round_numbers(0, "onsetdate", "reporteddate")
+    for n in (1, 7, 6_000_000_000, (1 << 62) - 1):
+        at = impute._position(F.col("id"), F.lit(n), numbers).alias("at")
+        rows = values(spark.range(-1000, 19_000).select("id", at), "id", "at")
+        assert all(at == place(k, 0, "onsetdate", "reporteddate", n) for k, at in rows)
+        if n > 1000:
+            parts = Counter(at * 16 // n for _, at in rows)
+            assert set(parts) == set(range(16)) and all(abs(c - 1250) < 180 for c in parts.values())
+            assert len({at for _, at in rows}) > 19_990
+
+
+def test_gaps_from_a_histogram_of_six_billion_donors(spark):
+    """Gaps are drawn in proportion, also those that only positions beyond 2**32 reach."""
+    gaps = [(g, 600_000_000 * (g + 1)) for g in range(10)]
+    h = F.struct(F.lit(6_000_000_000).alias("donors"), F.array(*[F.lit(e) for _, e in gaps]).alias("ends"), F.array(*[F.lit(g) for g, _ in gaps]).alias("gaps"))
+    got = spark.range(20_000).select(h.alias("h_a_b"), F.xxhash64("id").alias("key")).select(impute._gap(F.col("key"), 3, "a", "b").alias("g"))
+    counts = dict(values(got.groupBy("g").count(), "g", "count"))
+    assert set(counts) == set(range(10)) and all(abs(c - 2000) < 250 for c in counts.values())
+
+
+def test_keys_above_31_bits_have_draws_of_their_own(spark):
+    at = impute._position(F.col("id"), F.lit(1 << 60), impute.round_numbers(0, "a", "b"))
+    shifted = spark.range(2000).select(F.explode(F.array(F.col("id"), F.col("id") + 2147483647, F.col("id") + (1 << 40))).alias("id"))
+    assert shifted.select(at.alias("at")).distinct().count() > 5900

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 from .fixture import CASES_SQL, SECOND_SQL, SYMPTOMS_SQL
 
@@ -276,6 +276,11 @@ def rule_sql(name: str, cols: str = "phacid") -> str:
     )
 
 
+def _round_numbers(seed: int, target: str, source: str) -> list[int]:
+    text = hashlib.sha256(f"{seed} {target} from {source}".encode()).hexdigest()
+    return [int(text[i : i + 16], 16) % 2147483647 for i in range(0, 64, 16)]
+
+
 def impute_sql(
     targets: list[str], sources: list[str], *, cte: str, base: str, group: str = "pt", final: str,
     seed: int = 0, suppress: bool = True,
@@ -284,7 +289,7 @@ def impute_sql(
     pairs = [(t, s) for t in targets for s in sources if t not in s]
     long = "\n  UNION ALL ".join(
         f"SELECT phacid, {group} AS grp, k, '{t}' AS target, '{s}' AS source, {s} AS sday, {t} AS tday, "
-        f"{s} - {t} AS gap, {zlib.crc32(f'{t} from {s}'.encode()) % 2147483647} AS c FROM {base}"
+        f"{s} - {t} AS gap, {', '.join(f'{c} AS c{i}' for i, c in enumerate(_round_numbers(seed, t, s)))} FROM {base}"
         for t, s in pairs
     )
     joins = "".join(
@@ -301,9 +306,12 @@ def impute_sql(
     prime = 2147483647
     return f"""{cte}, raw AS (
   {long}
-), once AS (SELECT *, (k % {prime} * 2654435761 + {seed} + c) % {prime} AS x FROM raw
-), twice AS (SELECT *, (x * x + c) % {prime} AS y FROM once
-), long AS (SELECT *, (y * y + 1) % {prime} AS place FROM twice
+), r0 AS (SELECT *, CAST(k >> 31 AS BIGINT) % {prime} AS a0, CAST(k & 2147483647 AS BIGINT) % {prime} AS a1 FROM raw
+), r1 AS (SELECT *, (a0 + (a1 + c0) % {prime} * ((a1 + c0) % {prime})) % {prime} AS a2 FROM r0
+), r2 AS (SELECT *, (a1 + (a2 + c1) % {prime} * ((a2 + c1) % {prime})) % {prime} AS a3 FROM r1
+), r3 AS (SELECT *, (a2 + (a3 + c2) % {prime} * ((a3 + c2) % {prime})) % {prime} AS a4 FROM r2
+), r4 AS (SELECT *, (a3 + (a4 + c3) % {prime} * ((a4 + c3) % {prime})) % {prime} AS a5 FROM r3
+), long AS (SELECT *, CAST(a5 AS HUGEINT) * 2147483648 + a4 AS bits FROM r4
 ), stats AS (
   SELECT grp, target, source, count(gap) AS donors FROM long GROUP BY grp, target, source
   HAVING (count(*) - count(gap)) * 2 < count(*)
@@ -315,7 +323,7 @@ def impute_sql(
   SELECT l.phacid, l.grp, l.target, l.source, l.sday, l.tday, l.gap, coalesce(l.gap, d.gap) AS fgap
   FROM long l JOIN stats s USING (grp, target, source)
   LEFT JOIN donor d ON d.grp = l.grp AND d.target = l.target AND d.source = l.source AND l.gap IS NULL
-       AND d.rn = l.place % s.donors + 1
+       AND d.rn = CAST(l.bits * s.donors // 4611686018427387904 AS BIGINT) + 1
 ), ranked AS (
   SELECT grp, target, source, row_number() OVER (PARTITION BY grp, target ORDER BY
          quantile_cont(fgap, 0.95) - quantile_cont(fgap, 0.05), source) AS rnk
