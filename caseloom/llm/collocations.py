@@ -76,7 +76,7 @@ class Words:
         return b" ".join(self.bytes[self.start[i] : self.end[i + n - 1]].tobytes().split()).decode()
 
 
-def chunks(batches: Iterable[pa.RecordBatch], longest: int, size: int = 1 << 21) -> Iterator[tuple[Words, list[str]]]:
+def chunks(batches: Iterable[pa.RecordBatch], longest: int, size: int = 1 << 19) -> Iterator[tuple[Words, list[str]]]:
     """Words of a stream of texts, some MB at a time; a long text goes on with its last words as context."""
     langs: dict[str, int] = {}
     waiting: list[tuple[bytes, int, int]] = []
@@ -281,21 +281,38 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = 5, part_
             bitmap = Bitmap(found, found.count())
             maps = maps | dict.fromkeys(orders, bitmap)
     sent = spark.sparkContext.broadcast(maps)
+    first = min(parts, fan)
+    second = -(-parts // first)
+    kind = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("phrases", pa.string()), ("counts", pa.binary())])
+
+    def spot(phrase: str) -> int:
+        return xxhash.xxh64_intdigest(phrase.encode(), 3)
+
+    def listed(counts: dict[tuple, int], part) -> pa.RecordBatch:
+        lists: dict[tuple, tuple[list, list]] = {}
+        for (lang, phrase), n in counts.items():
+            at = lists.setdefault((lang, part(phrase)), ([], []))
+            at[0].append(phrase)
+            at[1].append(n)
+        columns = [[k[0] for k in lists], [k[1] for k in lists], ["\n".join(p) for p, _ in lists.values()]]
+        columns.append([_counts_out(np.array(n, np.int64)) for _, n in lists.values()])
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
+
+    def added(lists: pa.Table) -> dict[str, int]:
+        sums: dict[str, int] = {}
+        for phrases, c in zip(lists["phrases"], lists["counts"], strict=True):
+            for p, n in zip(phrases.as_py().split("\n"), _counts_in(c.as_py()).tolist(), strict=True):
+                sums[p] = sums.get(p, 0) + n
+        return sums
 
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lists of phrases and their counts, by language and range of the hash: few rows, however many phrases."""
         counts: dict[tuple, int] = {}
 
-        def flush() -> pa.RecordBatch:
-            lang, phrase, n = zip(*counts, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int32()), pa.array(list(counts.values()), pa.int64())],
-                ["lang", "phrase", "words", "f"],
-            )
-
         for w, langs in chunks(batches, longest):
             cache: dict = {}
             for code, c in enumerate(np.bincount(w.lang[w.fresh], minlength=len(langs)).tolist()):
-                counts[langs[code], None, 0] = counts.get((langs[code], None, 0), 0) + c
+                counts[langs[code], ""] = counts.get((langs[code], ""), 0) + c
             for n in range(1, longest + 1):
                 at = np.flatnonzero(alive(w, n, sent.value, cache))
                 h = gram_hashes(w, n, cache)[at]
@@ -303,22 +320,38 @@ def phrase_counts(docs: DataFrame, threshold: int = 100, longest: int = 5, part_
                 at, h = at[keep], h[keep]
                 if not len(at):
                     continue
-                _, first, which, c = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                _, one, which, c = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
                 other = gram_hashes(w, n, cache, 1)[at]
-                if (other != other[first][which]).any():
-                    both = np.stack((h, other), 1)
-                    _, first, c = np.unique(both, axis=0, return_index=True, return_counts=True)
-                for i, m in zip(at[first].tolist(), c.tolist(), strict=True):
-                    key = langs[w.lang[i]], w.text(i, n), n
+                if (other != other[one][which]).any():
+                    _, one, c = np.unique(np.stack((h, other), 1), axis=0, return_index=True, return_counts=True)
+                for i, m in zip(at[one].tolist(), c.tolist(), strict=True):
+                    key = langs[w.lang[i]], w.text(i, n)
                     counts[key] = counts.get(key, 0) + m
             if len(counts) > 300_000:
-                yield flush()
+                yield listed(counts, lambda p: spot(p) % first)
                 counts = {}
         if counts:
-            yield flush()
+            yield listed(counts, lambda p: spot(p) % first)
 
-    found = docs.mapInArrow(exact, "lang string, phrase string, words int, f long")
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where((F.col("f") >= threshold) | (F.col("words") == 0))
+    def split(key: tuple, lists: pa.Table) -> pa.Table:
+        """Lists of one language and coarse part, merged and cut into its fine parts."""
+        lang, own = key[0].as_py(), key[1].as_py()
+        sums = {(lang, p): n for p, n in added(lists).items()}
+        return pa.Table.from_batches([listed(sums, lambda p: own + first * (spot(p) // first % second))], kind)
+
+    def total(lists: pa.Table) -> pa.Table:
+        found = [(p, p.count(" ") + 1 if p else 0, n) for p, n in added(lists).items() if n >= threshold or not p]
+        lang = [lists["lang"][0].as_py()] * len(found)
+        columns = [lang, [p or None for p, _, _ in found], [w for _, w, _ in found], [n for _, _, n in found]]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "phrase", "words", "f"])
+
+    kinds = "lang string, part long, phrases string, counts binary"
+    found = docs.mapInArrow(exact, kinds)
+    if second > 1:
+        groups = F.pmod(F.xxhash64("phrases"), F.lit(max(1, second // 8)))
+        found = found.withColumn("group", groups).groupBy("lang", "part", "group").applyInArrow(split, kinds)
+    return found.groupBy("lang", "part").applyInArrow(total, "lang string, phrase string, words int, f long")
 
 
 def _whole(x: Column) -> Column:
@@ -360,6 +393,10 @@ def collocations(
     cuts = cuts.withColumns({"_up": _whole(F.col("a")) * F.col("n") * 1000, "_down": _whole(F.col("l")) * F.col("r")})
     cuts = cuts.withColumn("score", F.expr("_up div _down"))
     lowest = cuts.groupBy("lang", "phrase", "words", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("c"))
-    order = Window.partitionBy("lang").orderBy(F.col("c.score").desc(), F.col("a").desc(), "phrase")
-    ranked = lowest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    order = F.col("c.score").desc(), F.col("a").desc(), F.col("phrase")
+    # the best of some parts of a language first, so that its last task reads a bounded number of rows
+    salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*order)
+    lowest = lowest.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= most)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = lowest.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= most)
     return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "c.l", "c.r", "n", "c.score", "words")
