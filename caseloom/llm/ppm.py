@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching over bytes, pretrained on the corpus.
 
-The model is a trie of byte contexts up to a given order. A byte seen in its context costs its share there; one unseen
-costs the context's escape (as many counts as distinct successors) and is predicted by the next shorter context, without
-the bytes that the longer one has seen. Sequences of up to three bytes are one table of counts; a context, its successors
+The model is a trie of byte contexts up to a given order. A byte seen in its context costs its share there, less half a
+count; one unseen costs the context's escape (half a count for each distinct successor) and is predicted by the next
+shorter context, without the bytes that the longer one has seen. Sequences of up to three bytes are one table of counts; a context, its successors
 and all its suffixes of three bytes or more are solved together, on their own.
 
 Texts are dealt once into groups of bounded size. A group sends its distinct words and byte sequences with their counts
@@ -148,9 +148,9 @@ def whole_contexts(own: np.ndarray, triples: tuple[np.ndarray, np.ndarray]) -> t
 
 
 def share(n: np.ndarray, total: np.ndarray, kinds: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Probability by counts where there are some, else the escape times what shorter contexts give."""
-    whole = np.maximum(total + kinds, 1)
-    return np.where(n > 0, n / whole, np.where(kinds > 0, kinds / whole, 1.0) * below)
+    """Probability by counts less a half where there are some, else the escape times what shorter contexts give."""
+    whole = np.maximum(total, 1)
+    return np.where(n > 0, (n - 0.5) / whole, np.where(kinds > 0, 0.5 * kinds / whole, 1.0) * below)
 
 
 def log_probabilities(keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, order: int, triples: tuple | None = None) -> np.ndarray:
@@ -328,7 +328,7 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
     answers = materialise(answers.applyInArrow(answer, "_grp int, bucket int, data binary, tokens long, distinct long"))
     n, v = answers.where("_grp = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
     n, v = n or 0, v or 0
-    unit = math.log10(max(1, n) * (v + 1))
+    unit = math.log10(n + v + 1)
 
     def results(key: tuple, group: pa.Table, reply: pa.Table) -> pa.Table:
         texts = read(group)
