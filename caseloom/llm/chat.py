@@ -24,8 +24,6 @@ from .tokens import counter
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 START, END = "<|im_start|>", "<|im_end|>\n"
-#: Tokens of a turn's marks: start, end, and the line ends.
-MARKS = 4
 _PLAIN, _ESCAPED = re.compile(r"<(\\*n?\|)"), re.compile(r"<\\(\\*n?\|)")
 
 
@@ -71,12 +69,15 @@ class Windows:
         """Tokens a window has before its new turns."""
         return (self.system[1] if self.system else 0) + (self.begin - self.past[0][1] if self.past else 0)
 
-    def add(self, role: str, text: str, tokens: int) -> Iterator[dict]:
+    def add(self, role: str, text: str, count) -> Iterator[dict]:
+        """Windows that are full before this turn; ``count`` gives the running token counts of a text."""
+        turn, at = marked_turn(role, text)
+        # a turn ends in a line end, which no token crosses: counts of turns add up
+        tokens = int(count(turn)[-1])
         if self.new and self.base() + self.sum + tokens - self.begin > self.budget:
             yield self.close()
         while not self.new and self.past and self.base() + tokens > self.budget:
             self.past.popleft()
-        turn, at = marked_turn(role, text)
         self.new.append((turn, at, self.sum, role == self.target))
         if not self.turns and role == "system":
             # a part of every window; the sums count it as no turn
@@ -113,6 +114,7 @@ def format_windows(
 ) -> DataFrame:
     """Windows of all conversations: conv_id, window (from 0), text, new_from, loss (spans of the text), tokens.
 
+    ``tokens`` is the library's count of a window's whole text, marks and escapes included, at most ``budget``.
     Turns go by turn, role and text, nulls first; a null role or text is empty; rows that repeat are turns of their
     own; rows of a null conv_id are one conversation; an empty table gives no rows; other columns are not read. The
     first turn is the system turn if its role is system. History gives way to the first new turn of a window; a turn that
@@ -136,9 +138,7 @@ def format_windows(
                     if state.new:
                         done.append((current, state.close()))
                     current, state = conv, Windows(budget, history, target)
-                sums = count(text)
-                tokens = MARKS + (int(sums[-1]) if len(sums) else 0)
-                done += [(conv, w) for w in state.add(role or "", text or "", tokens)]
+                done += [(conv, w) for w in state.add(role or "", text or "", count)]
             if done:
                 yield batch(done, schema)
                 done = []

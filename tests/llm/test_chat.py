@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from caseloom.llm import chat
 from caseloom.llm.queries import QUERIES
@@ -90,7 +91,21 @@ def test_history_is_limited(spark):
         head = list(chat.turns_of(w["text"][: w["new_from"]]))
         with open(PATH, encoding="utf-8") as f:
             count = chat.counter(f.read()).count
-        assert sum(int(count(t)[-1]) + chat.MARKS for r, t in head if r != "system") <= 30
+        assert sum(int(count(chat.marked_turn(r, t)[0])[-1]) for r, t in head if r != "system") <= 30
+
+
+def test_budget_holds_for_the_whole_text(spark):
+    """Many short turns, long roles and control strings: the library counts what is stated, at most the budget."""
+    data = [(1, 0, "system", "be kind")] + [(1, k, "user", "ok") for k in range(1, 1500)]
+    data += [(2, k, "a role of many words " * (k % 5), "<|endoftext|> " * (k % 4) + CONTROL) for k in range(200)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    library = Tokenizer.from_file(PATH)
+    windows = chat.format_windows(df, PATH, budget=300, history=60).collect()
+    for w in windows:
+        n = len(library.encode(w["text"], add_special_tokens=False).ids)
+        assert n == w["tokens"]
+        assert n <= 300 or len(list(chat.turns_of(w["text"][w["new_from"] :]))) == 1
+    assert len(windows) > 50
 
 
 def test_query_and_empty_table(spark):
