@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -356,13 +357,42 @@ def rules(
     ]
 
 
-def with_errors(df: DataFrame, chosen: list[Rule], keep: list[str]) -> DataFrame:
+def _checks(df: DataFrame, chosen: list[Rule]) -> list[tuple[str, Column, Column]]:
+    """Type, condition and message of everything the rules check."""
+    return [(rule.typ, cond, err) for rule in chosen for cond, err in rule.hits(df)]
+
+
+#: Conditions in one number of a bit mask; few enough for one compiled method.
+_BITS = 16
+
+
+def marked_cases(df: DataFrame, chosen: list[Rule]) -> tuple[DataFrame, list[tuple[str, Column, Column]]]:
+    """Cases with a hit, with bit masks of what they hit in ``__hits``; and the checks, now conditions on these bits.
+
+    The conditions are evaluated where the cases are read, and cases without a hit go no further.
+    """
+    checks = _checks(df, chosen)
+    masks, tests = [], []
+    for k in range(0, len(checks), _BITS):
+        part = checks[k : k + _BITS]
+        bits = [F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, cond, _) in enumerate(part)]
+        name = f"m{k // _BITS}"
+        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).alias(name))
+        own = F.col("__hits").getField(name)
+        tests += [(typ, own.bitwiseAND(F.lit(1 << i)) != 0, err) for i, (typ, _, err) in enumerate(part)]
+    if not masks:
+        return df.withColumn("__hits", F.lit(None)).where(F.lit(False)), []
+    names = [f"m{k}" for k in range(len(masks))]
+    # a projection of its own computes the masks once; the filter that follows cannot be moved before it
+    listed = df.withColumn("__hits", F.array(F.struct(*masks)))
+    some = F.filter("__hits", lambda m: reduce(lambda a, b: a.bitwiseOR(b), [m[n] for n in names]) != 0)
+    marked = listed.select(*[F.col(f"`{c}`") for c in df.columns], F.explode_outer(some).alias("__hits"))
+    return marked.where("__hits IS NOT NULL"), tests
+
+
+def with_errors(df: DataFrame, checks: list[tuple[str, Column, Column]], keep: list[str]) -> DataFrame:
     """One row per (input row, hit): the kept columns plus ``typ`` and ``err``."""
-    hits = [
-        F.when(cond, F.struct(F.lit(rule.typ).alias("typ"), err.alias("err")))
-        for rule in chosen
-        for cond, err in rule.hits(df)
-    ]
+    hits = [F.when(cond, F.struct(F.lit(typ).alias("typ"), err.alias("err"))) for typ, cond, err in checks]
     if not hits:
         return df.select(*keep, F.lit("").alias("typ"), F.lit("").alias("err")).where(F.lit(False))
     if not small_methods(df.sparkSession):
@@ -385,7 +415,7 @@ def rule_errors(
     if len(hits) == 1:
         cond, err = hits[0]
         return df.where(cond).select(id_col, err.alias("err"), F.lit(rule.typ).alias("typ"))
-    return with_errors(df, [rule], [id_col]).select(id_col, "err", "typ")
+    return with_errors(df, _checks(df, [rule]), [id_col]).select(id_col, "err", "typ")
 
 
 # The case columns of the report.
@@ -406,9 +436,9 @@ def error_report(
     chosen = [r for r in catalogue if (r.default if names is None else r.name in names)]
     columns = ["phacid", "pt", "ptcaseid", "typ", "classification", "phacreporteddate", "err"]
     if not ordered:
-        return with_errors(df, chosen, REPORT_COLUMNS).select(*columns)
-    # the cases are dealt in order and the messages made where they belong: no message crosses the network, and the
-    # sample that finds the ranges evaluates no rule
-    dealt = df.repartitionByRange(F.desc("phacreporteddate"), "phacid")
-    out = with_errors(dealt, chosen, REPORT_COLUMNS).select(*columns)
+        return with_errors(df, _checks(df, chosen), REPORT_COLUMNS).select(*columns)
+    # cases with a hit are dealt in order, with the values that messages name; the messages are made where they belong
+    marked, tests = marked_cases(df, chosen)
+    dealt = marked.repartitionByRange(F.desc("phacreporteddate"), "phacid")
+    out = with_errors(dealt, tests, REPORT_COLUMNS).select(*columns)
     return out.sortWithinPartitions(F.desc("phacreporteddate"), "phacid", "typ")

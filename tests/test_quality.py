@@ -171,3 +171,32 @@ def test_report_moves_cases_not_messages(cases):
     assert plan.count("Exchange rangepartitioning") == 1
     assert plan.count("Exchange hashpartitioning") == own.count("Exchange hashpartitioning")
     assert plan.index("Generate explode") < plan.index("Exchange rangepartitioning")
+
+
+def test_cases_without_a_hit_do_not_move(spark, cases):
+    """Only marked cases reach the exchange, with the columns of the report and of the messages."""
+    chosen = [r for r in quality.rules(fx.ASOF, fx.MIN_DATE) if r.default and r.name in ("age_range", "future_dates")]
+    marked, tests = quality.marked_cases(cases, chosen)
+    hit = quality.error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE, ordered=False, names=[r.name for r in chosen])
+    want = {r.phacid for r in hit.select("phacid").distinct().collect()}
+    assert 0 < len(want) < cases.count()
+    assert sorted(values(marked, "phacid")) == sorted(want)
+    plan = quality.error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange rangepartitioning") :]
+    assert "__hits" in below and "Filter isnotnull(__hits" in below
+
+
+def test_more_conditions_than_bits_of_a_mask(spark, cases):
+    """Hits in every mask, alone and together, give the messages of the rules."""
+    chosen = [r for r in quality.rules(fx.ASOF, fx.MIN_DATE) if r.default]
+    marked, tests = quality.marked_cases(cases, chosen)
+    assert len(tests) > 2 * quality._BITS
+    n = len({f for f in marked.schema["__hits"].dataType.names})
+    assert n == -(-len(tests) // quality._BITS)
+    got = quality.with_errors(marked, tests, ["phacid"])
+    want = quality.error_report(cases, asof=fx.ASOF, min_date=fx.MIN_DATE, ordered=False)
+    assert sorted(values(got, "phacid", "typ", "err")) == sorted(values(want, "phacid", "typ", "err"))
+
+
+def test_report_of_no_rules_is_empty(cases):
+    assert quality.error_report(cases, asof=fx.ASOF, names=[]).count() == 0
