@@ -15,7 +15,9 @@ from ..functions.categories import clean_constant
 from ..functions.text import NA_TEXT, clean_names, clean_str, snake_case
 from ..operators import clean, quality, reports, summary
 from ..sources.sinks import SAVERS, Saver, save_csv, save_parquet, save_table, save_truncated, saved
+from ..sources.store import ResultStore
 from ..sources.tables import SqlExtracts
+from .publish import Manifest, publish_table, staged
 
 Adjust = Callable[[DataFrame], DataFrame]
 
@@ -98,12 +100,34 @@ def write_twice(df: DataFrame, save: Saver, path: str, copy_path: str | None) ->
             kept.unpersist()
 
 
-def run_extract(extracts: SqlExtracts, extract: Extract) -> DataFrame:
-    source = extract.sql_str
-    df = extracts.get(source) if isinstance(source, str) else source(extracts.spark)
-    adjusted = df.transform(by_name(ADJUSTERS, extract.adjust_func, do_nothing))
-    write_twice(adjusted, by_name(SAVERS, extract.saving_func, save_csv), extract.path, extract.copy_path)
-    return adjusted
+def run_extract(
+    extracts: SqlExtracts, extract: Extract, *, manifest: Manifest | None = None, asof: dt.date | None = None,
+    refresh: bool = False,
+) -> DataFrame | None:
+    """Make, adjust and write one extract. With a manifest it is published whole, and null if it was done before."""
+    source, save = extract.sql_str, by_name(SAVERS, extract.saving_func, save_csv)
+
+    def adjusted() -> DataFrame:
+        df = extracts.get(source, refresh=refresh) if isinstance(source, str) else source(extracts.spark)
+        return df.transform(by_name(ADJUSTERS, extract.adjust_func, do_nothing))
+
+    if manifest is None:
+        out = adjusted()
+        write_twice(out, save, extract.path, extract.copy_path)
+        return out
+    made: list[DataFrame] = []
+
+    def write(stage: Callable[[str], str]) -> None:
+        made.append(adjusted())
+        if staged(save):
+            write_twice(made[0], save, stage(extract.path), stage(extract.copy_path) if extract.copy_path else None)
+        else:
+            write_twice(made[0], publish_table if save is save_table else save, extract.path, extract.copy_path)
+
+    what = source if isinstance(source, str) else getattr(source, "__qualname__", "function")
+    digest = manifest.digest(asof, what, extract.adjust_func, extract.saving_func, extract.path, extract.copy_path)
+    manifest.publish(extract.nm, digest, write)
+    return made[0] if made else None
 
 
 def report_extracts(out: str, days: dict[str, dict[str, str]] | None = None) -> list[Extract]:
@@ -117,20 +141,31 @@ def report_extracts(out: str, days: dict[str, dict[str, str]] | None = None) ->
     return made
 
 
-def run_due(spark: SparkSession, config: Iterable[Extract], asof: dt.date, *, share: bool = True) -> list[Extract]:
+def run_due(
+    spark: SparkSession, config: Iterable[Extract], asof: dt.date, *, share: bool = True,
+    manifest: Manifest | None = None, store: ResultStore | None = None, refresh: bool = False,
+) -> list[Extract]:
     """Run every extract that is due.
 
     A SQL text that several due extracts use is computed once and kept in executor storage until the end; switch
-    ``share`` off where it would not fit.
+    ``share`` off where it would not fit. With a ``store``, results of earlier sessions are read again while their inputs
+    are the same, unless ``refresh`` asks for new ones. With a ``manifest``, a batch that died goes on where it was:
+    extracts that are done for the same day and settings are not made again.
     """
     due_now = [e for e in config if is_due(e, asof)]
     uses = Counter(SqlExtracts.key(e.sql_str) for e in due_now if isinstance(e.sql_str, str))
     several = {k for k, n in uses.items() if n > 1}
-    alone, shared = SqlExtracts(spark), SqlExtracts(spark, persist=True)
+    # what is stored needs no place in executor storage
+    alone = SqlExtracts(spark, store=store)
+    shared = alone if store is not None else SqlExtracts(spark, persist=True)
+    fresh: set[str] = set()
     try:
         for e in due_now:
-            both = share and isinstance(e.sql_str, str) and SqlExtracts.key(e.sql_str) in several
-            run_extract(shared if both else alone, e)
+            key = SqlExtracts.key(e.sql_str) if isinstance(e.sql_str, str) else None
+            # once for each SQL text, however many extracts use it
+            again = refresh and key not in fresh
+            run_extract(shared if share and key in several else alone, e, manifest=manifest, asof=asof, refresh=again)
+            fresh.add(key)
     finally:
         shared.clear()
     return due_now
@@ -159,13 +194,16 @@ def end_of_day(
     spark: SparkSession, cases: DataFrame, config: Iterable[Extract], out: str, *, asof: dt.date,
     min_date: object = "2020-01-01", days: dict[str, dict[str, str | None]] | None = None,
     before: list[str] = BEFORE, after: list[str] = AFTER, cleaning: Iterable[clean.Cleaning] = (),
+    manifest: Manifest | None = None, store: ResultStore | None = None, refresh: bool = False,
 ) -> dict[str, str]:
     """The ordered daily batch: headline, error report, named extracts, travel report; each only if it is due.
 
     ``days`` holds the weekdays of the reports by name; one that is not listed is due every day. Completeness and the
-    count summary are made by name too, where ``before`` or ``after`` lists them.
+    count summary are made by name too, where ``before`` or ``after`` lists them. ``manifest``, ``store`` and ``refresh``
+    as in :func:`run_due`.
     """
     made = daily_reports(cases, out, asof=asof, min_date=min_date, config=cleaning)
     named = {n: replace(e, days=days[n]) if days and n in days else e for n, e in made.items()}
     batch = [*(named[n] for n in before), *config, *(named[n] for n in after)]
-    return {e.nm: e.path for e in run_due(spark, batch, asof)}
+    done = run_due(spark, batch, asof, manifest=manifest, store=store, refresh=refresh)
+    return {e.nm: e.path for e in done}

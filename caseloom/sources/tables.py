@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import flat_dates
+from .store import ResultStore
 
 
 class Tables:
@@ -40,20 +41,22 @@ class Tables:
 
 
 class SqlExtracts:
-    """Results of extract SQL, one per distinct text."""
+    """Results of extract SQL, one per distinct text; with a ``store``, results of earlier sessions are read again."""
 
-    def __init__(self, spark: SparkSession, *, persist: bool = False):
-        self.spark, self.persist = spark, persist
+    def __init__(self, spark: SparkSession, *, persist: bool = False, store: ResultStore | None = None):
+        self.spark, self.persist, self.store = spark, persist, store
         self._known: dict[str, DataFrame] = {}
 
     @staticmethod
     def key(sql: str) -> str:
         return hashlib.sha256(sql.encode()).hexdigest()
 
-    def get(self, sql: str) -> DataFrame:
+    def get(self, sql: str, *, refresh: bool = False) -> DataFrame:
         k = self.key(sql)
+        if refresh and k in self._known:
+            self._known.pop(k).unpersist()
         if k not in self._known:
-            df = self.spark.sql(sql.strip().rstrip(";"))
+            df = self.spark.sql(sql.strip().rstrip(";")) if self.store is None else self.store.get(sql, refresh=refresh)
             self._known[k] = df.persist() if self.persist else df
         return self._known[k]
 

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from caseloom.operators import clean, reports
 from caseloom.plans import extracts
 from caseloom.plans.extracts import Extract
+from caseloom.plans.publish import Manifest, publish_table
 from caseloom.sources import sinks, tables
+from caseloom.sources.files import Files
+from caseloom.sources.store import ResultStore
 from caseloom.streaming.quality import stream_errors
 from verification import fixture as fx
 
@@ -200,3 +203,174 @@ def test_named_reports(spark, tmp_path):
     assert spark.read.option("header", True).csv(done["hc_daily"].path).columns == ["n"]
     assert spark.read.option("header", True).csv(done["data_hub"].path).columns == ["pt", "n"]
     assert spark.read.option("header", True).csv(done["qry_allcases_web"].path).columns == ["n"]
+
+
+def stored(spark, tmp_path):
+    fx.cases(spark, SF).select("phacid", "pt", "age").write.mode("overwrite").parquet(f"{tmp_path}/in")
+    spark.read.parquet(f"{tmp_path}/in").createOrReplaceTempView("store_in")
+    return ResultStore(spark, f"{tmp_path}/kept")
+
+
+def test_results_outlive_a_session(spark, tmp_path):
+    store, sql = stored(spark, tmp_path), "SELECT pt, count(*) AS n FROM store_in WHERE age > 40 GROUP BY pt;"
+    first = sorted(values(store.get(sql)))
+    (key,) = store.files.names(store.folder)
+    assert len(store.versions(key)) == 1
+    # another session, with views of its own
+    other = spark.newSession()
+    other.read.parquet(f"{tmp_path}/in").createOrReplaceTempView("store_in")
+    again = ResultStore(other, f"{tmp_path}/kept").get("  " + sql.replace(" WHERE", "\n WHERE"))
+    assert sorted(values(again)) == first
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and len(store.versions(key)) == 1
+    # a refresh is a new version; the old one stays until it is pruned
+    assert sorted(values(store.get(sql, refresh=True))) == first and len(store.versions(key)) == 2
+    assert store.prune() == 1 and len(store.versions(key)) == 1
+
+
+def test_changed_inputs_views_and_days_are_misses(spark, tmp_path):
+    store, sql = stored(spark, tmp_path), "SELECT count(*) AS n FROM store_in"
+    n = values(store.get(sql))[0]
+    spark.read.parquet(f"{tmp_path}/in").limit(5).write.parquet(f"{tmp_path}/more")
+    spark.read.parquet(f"{tmp_path}/more").write.mode("append").parquet(f"{tmp_path}/in")
+    spark.read.parquet(f"{tmp_path}/in").createOrReplaceTempView("store_in")
+    assert values(store.get(sql)) == [n + 5]
+    spark.read.parquet(f"{tmp_path}/in").where("age > 40").createOrReplaceTempView("store_in")
+    assert values(store.get(sql))[0] < n
+    spark.read.parquet(f"{tmp_path}/more").createOrReplaceTempView("store_in")
+    assert values(store.get(sql)) == [5]
+    assert len(store.files.names(store.folder)) == 4
+    today = spark.sql("SELECT current_date() AS d, * FROM store_in")
+    day = spark.sql("SELECT date_add(current_date(), 1) AS d, * FROM store_in")
+    assert store.key(today, "same") != store.key(day, "same")
+
+
+def test_what_cannot_be_known_again_is_not_stored(spark, tmp_path):
+    store = stored(spark, tmp_path)
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("store_local")
+    assert values(store.get("SELECT * FROM store_local")) == [1]
+    assert store.get("SELECT rand() AS r, * FROM store_in").count() > 0
+    assert store.files.names(store.folder) == []
+    # both sides of a difference have the same columns: which is which matters
+    spark.read.parquet(f"{tmp_path}/in").limit(3).write.parquet(f"{tmp_path}/few")
+    spark.read.parquet(f"{tmp_path}/few").createOrReplaceTempView("store_few")
+    a, b = ("SELECT * FROM {} EXCEPT SELECT * FROM {}".format(*x) for x in (("store_in", "store_few"), ("store_few", "store_in")))
+    assert store.get(a).count() > 0 and store.get(b).count() == 0
+
+
+def test_a_died_writer_leaves_no_result(spark, tmp_path):
+    store, sql = stored(spark, tmp_path), "SELECT pt FROM store_in"
+    key = store.key(spark.sql(sql), sql)
+    spark.range(1).write.parquet(f"{store.folder}/{key}/.part-dead")
+    assert store.versions(key) == []
+    assert store.get(sql).columns == ["pt"]
+    # version and leftover alike go when nothing is kept
+    assert store.prune(0) == 2
+
+
+class Dies(Exception):
+    pass
+
+
+def batch(spark, tmp_path, fails):
+    """Four reports; the third fails while ``fails`` holds something. Returns the batch and what was made."""
+    made = []
+
+    def report(name, value):
+        def source(s):
+            made.append(name)
+            if name == "c" and fails:
+                fails.pop()
+                raise Dies(name)
+            return s.createDataFrame([(name, value)], "nm string, v int")
+
+        return Extract(name, source, f"{tmp_path}/{name}", saving_func="save_parquet", copy_path=f"{tmp_path}/{name}_copy")
+
+    def run(value, day=MONDAY):
+        manifest = Manifest(spark, f"{tmp_path}/manifest")
+        extracts.run_due(spark, [report(n, value) for n in "abcd"], day, manifest=manifest)
+        return manifest
+
+    return run, made
+
+
+def test_a_batch_that_died_goes_on(spark, tmp_path):
+    run, made = batch(spark, tmp_path, ["once"])
+    with pytest.raises(Dies):
+        run(1)
+    assert made == ["a", "b", "c"]
+    assert Manifest(spark, f"{tmp_path}/manifest").finished() == ["a", "b"]
+    assert not (tmp_path / "c").exists()
+    assert run(1).finished() == ["a", "b", "c", "d"]
+    # what was done is not made again
+    assert made == ["a", "b", "c", "c", "d"]
+    for n in "abcd":
+        assert values(spark.read.parquet(f"{tmp_path}/{n}_copy")) == [(n, 1)]
+    run(1)
+    assert len(made) == 5
+    # another day makes all of them, and readers see the old ones until then
+    run(2, MONDAY + dt.timedelta(days=1))
+    assert len(made) == 9 and values(spark.read.parquet(f"{tmp_path}/a"), "v") == [2]
+    assert not [p.name for p in tmp_path.iterdir() if "__" in p.name]
+
+
+@pytest.mark.parametrize("at", range(1, 5))
+def test_dying_between_the_renames(spark, tmp_path, monkeypatch, at):
+    """A report is replaced in two renames for each of its places; the batch may die before any of them."""
+    run, made = batch(spark, tmp_path, [])
+    run(1)
+    moves, move = [], Files.move
+
+    def dies(self, source, target):
+        if "__staged_" in source or "__replaced_" in target:
+            moves.append(source)
+            if len(moves) == at:
+                raise Dies(source)
+        return move(self, source, target)
+
+    day = MONDAY + dt.timedelta(days=1)
+    monkeypatch.setattr(Files, "move", dies)
+    with pytest.raises(Dies):
+        run(2, day)
+    monkeypatch.setattr(Files, "move", move)
+    before = made.count("a")
+    run(2, day)
+    # the files were ready: the report is put in place and not computed again
+    assert made.count("a") == before
+    for place in ("a", "a_copy", "d"):
+        assert values(spark.read.parquet(f"{tmp_path}/{place}"), "v") == [2]
+    assert not [p.name for p in tmp_path.iterdir() if "__" in p.name]
+
+
+def test_half_written_files_are_not_seen(spark, tmp_path):
+    """A writer that dies leaves its files aside; the next run removes them."""
+    manifest = Manifest(spark, f"{tmp_path}/manifest")
+
+    def write(stage):
+        spark.range(3).write.parquet(stage(f"{tmp_path}/r"))
+        raise Dies
+
+    with pytest.raises(Dies):
+        manifest.publish("r", "x", write)
+    assert not (tmp_path / "r").exists()
+    assert manifest.publish("r", "x", lambda stage: spark.range(4).write.parquet(stage(f"{tmp_path}/r")))
+    assert spark.read.parquet(f"{tmp_path}/r").count() == 4
+    assert not manifest.publish("r", "x", write)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["manifest", "r"]
+
+
+def test_tables_are_replaced_whole(spark, tmp_path):
+    for n in (3, 5):
+        publish_table(spark.range(n), "caseloom_published")
+        assert spark.table("caseloom_published").count() == n
+    spark.sql("DROP TABLE caseloom_published")
+    assert not [t for t in spark.catalog.listTables() if "staged" in t.name]
+
+
+def test_refresh_and_store_in_a_batch(spark, tmp_path):
+    store = stored(spark, tmp_path)
+    config = [Extract(n, "SELECT pt, count(*) AS n FROM store_in GROUP BY pt", f"{tmp_path}/{n}") for n in "ab"]
+    for refresh, versions in ((False, 1), (False, 1), (True, 2)):
+        extracts.run_due(spark, config, MONDAY, store=store, refresh=refresh)
+        (key,) = store.files.names(store.folder)
+        assert len(store.versions(key)) == versions
