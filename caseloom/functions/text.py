@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The title-cased category words the reports use.
 YES = "Yes"
@@ -174,3 +175,17 @@ def matching(names: list[str], pattern: str, *, ignore_case: bool = True) -> lis
     """Column names matching a pattern, in column order; case is ignored by default."""
     rx = re.compile(pattern, re.IGNORECASE if ignore_case else 0)
     return [n for n in names if rx.search(n)]
+
+
+def latin1_text(df: DataFrame) -> DataFrame:
+    """Text whose bytes are not UTF-8 read as ISO-8859-1, in all text columns; other text stays as it is.
+
+    Old databases store accents in one byte each; every byte is a letter there, so nothing is lost.
+    """
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(F.is_valid_utf8(c), c).otherwise(F.decode(c.cast("binary"), "ISO-8859-1"))
+        out.append(c.alias(f.name))
+    return df.select(*out)

@@ -35,6 +35,13 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def save_jdbc(df: DataFrame, url: str, table: str, *, batch: int = 10_000, connections: int = 8, properties: dict[str, str] | None = None) -> None:
+    """Replace the rows of a database table, over at most so many connections; its definition and grants stay."""
+    writer = df.write.format("jdbc").mode("overwrite").option("truncate", True)
+    writer = writer.option("url", url).option("dbtable", table).option("batchsize", batch).option("numPartitions", connections)
+    writer.options(**(properties or {})).save()
+
+
 def truncate_names(df: DataFrame, max_chars: int = 32) -> DataFrame:
     """Cut column names to a length; two names that become equal are an error."""
     names = [c[:max_chars] for c in df.columns]

@@ -374,3 +374,47 @@ def test_refresh_and_store_in_a_batch(spark, tmp_path):
         extracts.run_due(spark, config, MONDAY, store=store, refresh=refresh)
         (key,) = store.files.names(store.folder)
         assert len(store.versions(key)) == versions
+
+
+def ranges(df, partitions, column="k"):
+    cuts = tables.balanced_predicates(df.groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("n")), partitions, column)
+    met = [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in cuts]
+    times = values(df.select(sum(met[1:], met[0]).alias("times")).distinct())
+    sizes = df.agg(*[F.sum(m).alias(f"r{i}") for i, m in enumerate(met)]).first()
+    return cuts, times, list(sizes)
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "decimal(20,4)", "date", "timestamp", "string"])
+def test_ranges_of_equal_rows(spark, kind):
+    """A skewed key of any type, with rows that have none: every row meets one condition, shares are alike."""
+    k = F.when(F.col("id") % 10 > 0, F.floor(F.pow(F.col("id") / 50, 2)))
+    day = F.date_add(F.lit("2020-01-01"), k.cast("int"))
+    df = spark.range(6000).select((day.cast(kind) if kind in ("date", "timestamp") else k.cast(kind)).alias("k")).repartition(5)
+    cuts, times, sizes = ranges(df, 8)
+    assert len(cuts) == 8 and times == [1]
+    # the first also has the 600 rows without a key
+    assert max(sizes[1:]) < 1.3 * 675 and sizes[0] < 1.3 * 675 + 600
+
+
+def test_ranges_of_hot_few_and_no_keys(spark):
+    hot = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    cuts, times, sizes = ranges(hot, 4)
+    assert times == [1] and sizes[0] == 3000 and len(cuts) == 2
+    quoted = spark.createDataFrame([("it's",), ("b",), (None,), ("z'z",)], "k string")
+    assert ranges(quoted, 3)[1] == [1]
+    for rows in ([], [(None,)], [(5,)]):
+        df = spark.createDataFrame(rows, "k long")
+        cuts, times, _ = ranges(df, 3)
+        assert cuts == ["1 = 1"] and times in ([], [1])
+    with pytest.raises(ValueError, match="range"):
+        tables.range_starts(spark.createDataFrame([], "key long, n long"), 0)
+    with pytest.raises(ValueError, match="no ranges"):
+        tables.balanced_predicates(spark.createDataFrame([(True, 1), (False, 1)], "key boolean, n long"), 2, "k")
+
+
+def test_old_accents_of_a_table(spark, tmp_path):
+    rows = [(1, "Québec Çà".encode("latin-1"), 3), (2, "déjà vu".encode(), 4), (3, None, 5), (4, b"plain", 6)]
+    df = spark.createDataFrame(rows, "id int, b binary, n int").select("id", F.col("b").cast("string").alias("v"), "n")
+    df.write.parquet(f"{tmp_path}/old.parquet")
+    got = dict(values(tables.Tables(spark, str(tmp_path)).flat("old").select("id", "v")))
+    assert got == {1: "Québec Çà", 2: "déjà vu", 3: None, 4: "plain"}
