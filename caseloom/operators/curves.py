@@ -49,10 +49,15 @@ def lump_rare(counts: DataFrame, level: str, by: list[str], min_share: float, n:
     return joined.select(*[F.col(f"c.{c}") for c in counts.columns if c != level], lumped.alias(level))
 
 
-def _daily(
-    df: DataFrame, pairs: list[tuple[str, str]], facet: str, classifications: tuple[str, ...] | None
+def curve_parts(
+    df: DataFrame, pairs: list[tuple[str, str]] | None = None, *, facet: str = "pt",
+    classifications: tuple[str, ...] | None = CLASSIFICATIONS, by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Counts per (series, date, cleaned colour, facet) for several series in one scan."""
+    """Counts per (series, date, cleaned colour, facet) for several series in one scan; ``by`` splits them in parts.
+
+    Counts of several parts add up in :func:`curve_of`.
+    """
+    pairs = pairs or [("onsetdate_imputed", c) for c in CHART_COLORS]
     if classifications is not None:
         df = df.where(F.lower("classification").isin(*classifications))
     entries = [
@@ -65,10 +70,10 @@ def _daily(
         )
         for d, c in pairs
     ]
-    keys = [*SERIES, "date", "facet"]
+    keys = [*by, *SERIES, "date", "facet"]
     return (
-        df.select(F.col(facet).alias("facet"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("facet", "e.date_col", "e.color_col", "e.date", "e.raw")
+        df.select(*by, F.col(facet).alias("facet"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy(*by, "facet", "e.date_col", "e.color_col", "e.date", "e.raw")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("color", clean_str("raw", blank_replace=UNKNOWN))
         .groupBy(*keys, "color")
@@ -88,9 +93,12 @@ def curve_counts_batch(
 
     One scan of the cases, whose counts are written out before the call returns.
     """
-    pairs = pairs or [("onsetdate_imputed", c) for c in CHART_COLORS]
-    counts = materialise(_daily(df, pairs, facet, classifications))
-    lumped = lump_rare(counts, "facet", SERIES, min_share)
+    return curve_of(curve_parts(df, pairs, facet=facet, classifications=classifications), min_share=min_share)
+
+
+def curve_of(counts: DataFrame, *, min_share: float = 0.02) -> DataFrame:
+    """Curve counts, rare facets lumped, from :func:`curve_parts` of one or several parts."""
+    lumped = lump_rare(materialise(counts), "facet", SERIES, min_share)
     return lumped.groupBy(*SERIES, "date", "facet", "color").agg(F.sum("n").alias("n"))
 
 

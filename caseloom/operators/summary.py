@@ -53,15 +53,15 @@ def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
     return [c for i, c in enumerate(cols) if few(i, c)]
 
 
-def count_summary(
-    df: DataFrame, strats: tuple[str, ...] = ("pt", "agegroup10"), *, max_unique: int = 60
+def summary_counts(
+    df: DataFrame, strats: tuple[str, ...] = ("pt", "agegroup10"), *, max_unique: int = 60, by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Value counts of every low-cardinality column by strata.
+    """Counts of every low-cardinality column by strata, and by columns ``by`` that split the rows in parts.
 
-    Date columns are replaced by their month, week and weekday, which have few values: the
-    partial counts of a task stay small however many days or cases it sees.
+    Counts of several parts add up in :func:`summary_of`. With ``by``, a column that has too many values has a row
+    without a count in each part instead, by which it is left out of the whole as well.
     """
-    strats = list(strats)
+    strats = [*by, *strats]
     dated = matching(df.columns, "date")
     dates = [c for c in dated if c not in matching(dated, NOT_DATES)]
     skip = {"phacid", "ptcaseid", "comments", *strats}
@@ -69,7 +69,7 @@ def count_summary(
         c for c in df.columns
         if c not in dated and c not in skip and not c.endswith("spec") and "comment" not in c
     ]
-    plain = few_valued(df, plain, max_unique)
+    candidates, plain = plain, few_valued(df, plain, max_unique)
     types = {f.name: f.dataType for f in df.schema.fields}
 
     # (name, text, number): names travel as their position, numbers as numbers
@@ -99,8 +99,34 @@ def count_summary(
         .groupBy("name", "value", *strats)
         .agg(F.sum("n").alias("n"))
     )
+    dropped = [c for c in candidates if c not in plain]
+    if not by or not dropped:
+        return cells
+    gone = df.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(c) for c in dropped])).alias("name"))
+    return cells.unionByName(gone, allowMissingColumns=True)
+
+
+def count_summary(
+    df: DataFrame, strats: tuple[str, ...] = ("pt", "agegroup10"), *, max_unique: int = 60
+) -> DataFrame:
+    """Value counts of every low-cardinality column by strata.
+
+    Date columns are replaced by their month, week and weekday, which have few values: the
+    partial counts of a task stay small however many days or cases it sees.
+    """
+    return summary_of(summary_counts(df, strats, max_unique=max_unique), strats, max_unique=max_unique)
+
+
+def summary_of(
+    counts: DataFrame, strats: tuple[str, ...] = ("pt", "agegroup10"), *, max_unique: int = 60, merge: bool = False
+) -> DataFrame:
+    """The count summary from :func:`summary_counts`; with ``merge`` from those of several parts."""
+    strats = list(strats)
+    if merge:
+        gone = counts.where("n IS NULL").select("name").distinct()
+        counts = counts.join(F.broadcast(gone), "name", "left_anti").groupBy("name", "value", *strats).agg(F.sum("n").alias("n"))
     # small and read several times from here on: the cases are not scanned again
-    cells = materialise(cells)
+    cells = materialise(counts)
 
     # at most one row per reported column, so this side is bounded by the schema
     few = (
@@ -130,31 +156,44 @@ def _missing(c: str) -> Column:
 COMPLETENESS = "Completness"
 
 
-def completeness(
+def completeness_counts(
     df: DataFrame, *, region: str = "pt", skip: tuple[str, ...] = ("phacid",), only_classified: bool = True,
-    config: Iterable[Cleaning] = (),
+    config: Iterable[Cleaning] = (), by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Filled and empty cells per column and region: one aggregation, then a reshape.
-
-    Cells are cleaned as the report's configuration says before they are tested, so a lone full stop is no data
-    where punctuation is removed. Column names come out in lower case.
-    """
+    """Empty cells and rows per column and region, and by columns ``by`` that split the rows in parts; these add up."""
     if only_classified:
         df = df.where(F.lower("classification").isin(_CONFIRMED_OR_PROBABLE))
     df = final_clean(df, COMPLETENESS, df.columns, config)
-    cols = [c for c in df.columns if c != region and c not in skip]
-    wide = df.groupBy(region).agg(
+    cols = [c for c in df.columns if c != region and c not in skip and c not in by]
+    wide = df.groupBy(*by, region).agg(
         F.count(F.lit(1)).alias("total"),
         *[F.sum(F.when(_missing(c), 1).otherwise(0)).alias(f"m_{i}") for i, c in enumerate(cols)],
     )
     cells = F.array(
         *[F.struct(F.lit(c).alias("colnm"), F.col(f"m_{i}").alias("no_data")) for i, c in enumerate(cols)]
     )
-    has = F.col("total") - F.col("e.no_data")
-    return wide.select(region, "total", F.explode(cells).alias("e")).select(
-        "e.colnm", region, has.alias("has_data"), "e.no_data", "total",
-        (has / F.col("total")).alias("fraction_complete"),
-    )
+    return wide.select(*by, region, "total", F.explode(cells).alias("e")).select(*by, "e.colnm", region, "e.no_data", "total")
+
+
+def completeness_of(counts: DataFrame, *, region: str = "pt", merge: bool = False) -> DataFrame:
+    """Completeness from :func:`completeness_counts`; with ``merge`` from those of several parts."""
+    if merge:
+        counts = counts.groupBy("colnm", region).agg(F.sum("no_data").alias("no_data"), F.sum("total").alias("total"))
+    has = F.col("total") - F.col("no_data")
+    return counts.select("colnm", region, has.alias("has_data"), "no_data", "total", (has / F.col("total")).alias("fraction_complete"))
+
+
+def completeness(
+    df: DataFrame, *, region: str = "pt", skip: tuple[str, ...] = ("phacid",), only_classified: bool = True,
+    config: Iterable[Cleaning] = (),
+) -> DataFrame:
+    """Filled and empty cells per column and region: one aggregation, then a reshape.
+
+    Cells are cleaned as the report's configuration says before they are tested, so a lone full stop is no data
+    where punctuation is removed. Column names come out in lower case.
+    """
+    counts = completeness_counts(df, region=region, skip=skip, only_classified=only_classified, config=config)
+    return completeness_of(counts, region=region)
 
 
 def completeness_wide(
