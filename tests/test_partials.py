@@ -62,10 +62,25 @@ def test_merged_equals_recomputed(spark, tmp_path, kind):
     assert min(d for d in counted if d != "none") > (a - dt.timedelta(days=7)).isoformat()
     kept.update(first, c)
     assert rows(finish(kept.merged())) == rows(whole(first))
+    kept.compact()
     kept.prune()
+    assert len([n for n in kept.files.names(kept.folder) if n.startswith("run=")]) == 1
     assert rows(finish(kept.merged())) == rows(whole(first))
 
 
+def test_days_in_the_middle_and_many_runs(spark, tmp_path):
+    """Days before the last run are counted again without losing those after them; runs are written together at times."""
+    df, days = cases(spark), days_of(cases(spark))
+    kept = DayCounts(spark, f"{tmp_path}/counts", KINDS["completeness"][0], most_runs=3)
+    for upto in (days[10], days[40], days[-1]):
+        kept.update(df, upto)
+    gone = df.where(~F.coalesce(F.col("phacreporteddate") == F.lit(days[20]), F.lit(False)))
+    kept.update(gone, days[25], again=(days[-1] - days[15]).days)
+    assert len({r["run"] for r in kept.state()["runs"]}) == 1
+    assert rows(summary.completeness_of(kept.merged(), merge=True)) == rows(summary.completeness(gone))
+    assert kept.state()["upto"] == days[-1].isoformat()
+
+
 def test_a_run_reads_new_days_only(spark, tmp_path):
     df = cases(spark)
     df.select("phacid", "pt", "classification", "age", "phacreporteddate").write.parquet(f"{tmp_path}/in")

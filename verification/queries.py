@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caseloom.functions import categories as cat
 from caseloom.functions import dates, text
 from caseloom.operators import clean, curves, derive, diff, impute, quality, rates, reports, summary
-from caseloom.plans import extracts, publish
+from caseloom.plans import extracts, partials, publish
 from caseloom.plans.sizing import materialise, remove_path, scratch_path
 from caseloom.sources import sinks, store, tables
 
@@ -1342,3 +1342,46 @@ add(
 )
 
 __all__ = ["ORACLES", "QUERIES"]
+
+
+# ---- counts kept by day ------------------------------------------------------------
+
+
+def _by_day(df, count, finish):
+    """A report from counts of three runs, of which the second counts a month again."""
+    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "days")
+    first, last = df.agg(F.min("phacreporteddate"), F.max("phacreporteddate")).first()
+    try:
+        kept = partials.DayCounts(spark, folder, count)
+        for part, again in ((3, 0), (2, 30), (1, 0)):
+            kept.update(df, last - (last - first) * (part - 1) // 3, again=again)
+        kept.prune()
+        return materialise(finish(kept.merged()))
+    finally:
+        remove_path(spark, folder)
+
+
+add(
+    "count_summary_by_day",
+    lambda spark, sf: _by_day(
+        fx.cases(spark, sf), lambda df, by: summary.summary_counts(df, by=tuple(by)), lambda c: summary.summary_of(c, merge=True)
+    ),
+    ORACLES["count_summary"],
+)
+add(
+    "completeness_by_day",
+    lambda spark, sf: _by_day(
+        _complete_input(spark, sf).withColumn("phacreporteddate", F.to_date("phacreporteddate")),
+        lambda df, by: summary.completeness_counts(df, config=_COMPLETE_CONFIG, by=tuple(by)),
+        lambda c: summary.completeness_of(c, merge=True),
+    ),
+    ORACLES["completeness_long"],
+)
+add(
+    "epi_curve_by_day",
+    lambda spark, sf: _by_day(
+        fx.cases(spark, sf), lambda df, by: curves.curve_parts(df, _BATCH, by=tuple(by)),
+        lambda c: curves.with_shares(curves.curve_of(c, min_share=_LUMP)),
+    ),
+    ORACLES["epi_curve_batch"],
+)
