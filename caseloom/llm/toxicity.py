@@ -55,7 +55,7 @@ class Features(dict):
 _FEATURES = Features()
 
 
-def features(text: bytes | None, piece: int = 1 << 20) -> Iterator[np.ndarray]:
+def features(text: bytes | None, piece: int = 1 << 17) -> Iterator[np.ndarray]:
     """Bucket numbers of a text's words, a bounded number at a time."""
     for words in word_chunks((text or b"").translate(LETTERS), piece):
         yield np.fromiter(map(_FEATURES.__getitem__, words), np.int64, len(words))
@@ -65,6 +65,13 @@ def buckets(packed: np.ndarray) -> np.ndarray:
     return np.stack([(packed >> (BITS * k)) & (BUCKETS - 1) for k in range(len(PREFIXES) + 1)], axis=1)
 
 
+def settled(z):
+    """A logit as it is up to 4, beyond that only its logarithm counts: how certain a certain case is follows its length
+    and the training, and must not push the cut away from the doubtful ones."""
+    size = np.abs(z)
+    return np.sign(z) * (np.minimum(size, 4.0) + np.log1p(np.maximum(size - 4.0, 0.0)))
+
+
 class Model:
     """Weights and calibration; what a task needs to score."""
 
@@ -77,17 +84,18 @@ class Model:
         self.bias = np.float32(-2)
         self.languages: list[str] = []
         self.told = np.zeros((BUCKETS, 0), np.float32)
-        #: For each language, then for all: logit at the threshold, and slope.
+        #: For each language, then for all: settled logit at the threshold, and slope.
         self.cuts = np.array([[0.0, 1.0]])
-        self.tables: dict[tuple[int, int], np.ndarray] = {}
+        self.table: np.ndarray | None = None
 
     def vectors(self, ids: np.ndarray) -> np.ndarray:
         return self.words[ids].sum(axis=1)
 
     def pooled(self, parts: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Highest value of each filter over a whole text, and the log weight of each language."""
-        if not self.tables:
-            self.tables = {(w, j): self.words @ self.filters[w][j] for w in WIDTHS for j in range(w)}
+        if self.table is None:
+            # what a bucket adds to every place of every filter, side by side: one look-up for each bucket of a word
+            self.table = np.concatenate([self.words @ self.filters[w][j] for w in WIDTHS for j in range(w)], axis=1)
         best = np.full(len(WIDTHS) * FILTERS, -np.inf, np.float32)
         told = np.zeros(len(self.languages))
         end = np.full((PAD, len(PREFIXES) + 1), BUCKETS)
@@ -104,16 +112,19 @@ class Model:
         return best, told
 
     def raise_to(self, best: np.ndarray, ids: np.ndarray) -> None:
+        words = self.table[ids[:, 0]]
+        for c in range(1, ids.shape[1]):
+            words += self.table[ids[:, c]]
+        at = 0
         for k, w in enumerate(WIDTHS):
             n = len(ids) - w + 1
             if n > 0:
-                total = np.zeros((n, FILTERS), np.float32)
-                for j in range(w):
-                    table = self.tables[w, j]
-                    for c in range(ids.shape[1]):
-                        total += table[ids[j : j + n, c]]
-                at = slice(k * FILTERS, (k + 1) * FILTERS)
-                np.maximum(best[at], total.max(axis=0), out=best[at])
+                total = words[:n, at : at + FILTERS].copy()
+                for j in range(1, w):
+                    total += words[j : j + n, at + j * FILTERS : at + (j + 1) * FILTERS]
+                own = slice(k * FILTERS, (k + 1) * FILTERS)
+                np.maximum(best[own], total.max(axis=0), out=best[own])
+            at += w * FILTERS
 
     def logit(self, parts: Iterable[np.ndarray]) -> tuple[float, int]:
         """Raw logit, and the number of the text's language (-1: cannot be told)."""
@@ -125,10 +136,10 @@ class Model:
         z, language = self.logit(features(text))
         cut, slope = self.cuts[language]
         at = np.log(THRESHOLD / (1 - THRESHOLD))
-        return float(1 / (1 + np.exp(-np.clip(slope * (z - cut) + at, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(slope * (settled(z) - cut) + at, -30, 30))))
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"tables": {}}
+        return self.__dict__ | {"table": None}
 
 
 def kept_out_of(n: int) -> np.ndarray:
@@ -162,7 +173,10 @@ def _begin(model: Model, texts: list[np.ndarray], toxic: np.ndarray, rng: np.ran
     model.words[:BUCKETS, 0] = np.clip(odds, -2, 4) / 2
     for w in WIDTHS:
         model.filters[w] = rng.normal(0, 0.1, (w, DIM, FILTERS)).astype(np.float32)
-        model.filters[w][:, 0, :] += rng.uniform(0.2, 1.0, (w, FILTERS)).astype(np.float32)
+        if w == 1:
+            # single words speak first; wider filters learn what these leave open, so that a word weighs the same
+            # whatever stands beside it
+            model.filters[w][:, 0, :] += rng.uniform(0.2, 1.0, (w, FILTERS)).astype(np.float32)
     model.out[:] = rng.uniform(0.1, 0.4, len(model.out))
     model.shift[:] = -0.5
 
@@ -177,15 +191,29 @@ def _train(model: Model, ids: list[np.ndarray], y: np.ndarray, train: np.ndarray
     weight = np.where(y > 0, len(train) / (2 * max(1, y[train].sum())), len(train) / (2 * max(1, (1 - y[train]).sum()))).astype(np.float32)
     pad = np.full((PAD, len(PREFIXES) + 1), BUCKETS)
     step = 0
+    # the word of each text that looks most toxic at the start; crops keep it, so that their label still holds
+    peaks = [int(model.words[x][:, :, 0].sum(axis=1).argmax()) if len(x) else 0 for x in ids]
+
+    def crop(i: int) -> np.ndarray:
+        """Half of the texts in part, from one word to all: the logit must not depend on the length."""
+        x = ids[i]
+        if len(x) < 2 or rng.random() < 0.5:
+            return x
+        n = int(np.exp(rng.uniform(0, np.log(len(x) + 1))))
+        low, high = max(0, peaks[i] - n + 1), min(peaks[i], len(x) - n)
+        at = int(rng.integers(low, high + 1))
+        return x[at : at + n]
+
     for _ in range(epochs):
         order = rng.permutation(train)
         for at in range(0, len(order), size):
             chosen = order[at : at + size]
             step += 1
             # every text followed by padding: windows begin at its words, or at the padding of an empty text
-            flat = np.concatenate([x for i in chosen for x in (ids[i], pad)] + [pad])
-            lens = np.array([max(1, len(ids[i])) for i in chosen])
-            places = np.concatenate(([0], np.cumsum([len(ids[i]) + PAD for i in chosen])))[:-1]
+            used = [crop(i) for i in chosen]
+            flat = np.concatenate([x for t in used for x in (t, pad)] + [pad])
+            lens = np.array([max(1, len(t)) for t in used])
+            places = np.concatenate(([0], np.cumsum([len(t) + PAD for t in used])))[:-1]
             starts = np.concatenate([p + np.arange(n) for p, n in zip(places, lens, strict=True)])
             bounds = np.concatenate(([0], np.cumsum(lens)))[:-1]
             v = model.vectors(flat)
@@ -233,20 +261,23 @@ def _tell_languages(model: Model, texts: list[np.ndarray], langs: list[str | Non
 
 def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray, trained: np.ndarray) -> None:
     """Calibrate on texts that each count once."""
-    model.tables = {}
+    model.table = None
     found = [model.logit([t]) for t in texts]
     z, lang = np.array([f[0] for f in found], float), np.array([f[1] for f in found], int)
     calibrate(model, z, lang, toxic, trained, np.ones(len(z)))
 
 
 def calibrate(model: Model, z: np.ndarray, lang: np.ndarray, toxic: np.ndarray, trained: np.ndarray, n: np.ndarray, least: int = 8) -> None:
-    """Put each language's cut where it separates best; one with few labelled rows takes the common one.
+    """Put each language's cut where it separates best its own labelled rows and, as ``least`` more, those of all languages:
+    the fewer rows a language has, the nearer its cut is to the common one.
 
     ``n`` rows have the logit, language and label, and were trained on or not. Logits of rows trained on lie too far
     apart, so the others stand for them, label by label, and the rate of toxic rows stays that of all; only where there
     are fewer than ``least`` others of a label do all rows count.
     """
 
+    z = settled(z)
+
     def weights(own: np.ndarray) -> np.ndarray:
         w = np.where(own, n, 0.0)
         fresh = np.where(trained, 0.0, w)
@@ -260,10 +291,11 @@ def calibrate(model: Model, z: np.ndarray, lang: np.ndarray, toxic: np.ndarray,
     spread = max(1e-3, float(np.sqrt(np.average((z - middle) ** 2, weights=w)))) if len(z) else 1.0
     common = [best_cut(z, toxic, w), 2 / spread]
     cuts = []
+    # rows of all languages count as ``least`` more rows of each
+    others = w * (least / max(1.0, w.sum()))
     for k in range(len(model.languages)):
         own = lang == k
-        enough = min(n[own & (toxic == y)].sum() for y in (0, 1)) >= least
-        cuts.append([best_cut(z, toxic, weights(own)), common[1]] if enough else common)
+        cuts.append([best_cut(z, toxic, weights(own) + others), common[1]])
     model.cuts = np.array([*cuts, common])
 
 
@@ -287,8 +319,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes:
 
     The ids are those first by a hash; three quarters of them are trained on. The cuts of the languages are then chosen
     from the logits of all labelled texts, counted in steps. Rows without doc_id, text or label teach nothing; an id with
-    several labels counts as toxic. At most 2 * per_class * max_bytes bytes of features reach the driver, and a
-    count for every language, label and step.
+    several labels counts as toxic. Eight bytes for each word of the sample reach the driver, at most
+    8 * per_class * max_bytes (786 MB by default, if all texts are as long as they may be and of one letter a word), and
+    a count for every language, label and step. Languages are not named to the scorer: it tells them from the text.
     """
     spark = prepare(docs.sparkSession)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
