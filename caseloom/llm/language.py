@@ -24,8 +24,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BEGIN = "▁"
 UNKNOWN = "und"
-#: Longer words are scored in stretches of this many characters; probabilities of one stay far from underflow.
-STRETCH = 24
+#: Probabilities of words up to this length stay far from underflow; those of longer ones are rescaled on the way.
+SHORT = 24
+#: Longer words than this are read in blocks of so many characters.
+BLOCK = 50_000
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -36,7 +38,7 @@ def vocabulary(path: str) -> dict[str, int]:
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     special = [sp.is_unknown, sp.is_control, sp.is_byte, sp.is_unused]
     names = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not any(f(i) for f in special)]
-    return {p: i for i, p in enumerate(dict.fromkeys(names), 1) if len(p) <= STRETCH}
+    return {p: i for i, p in enumerate(dict.fromkeys(names), 1)}
 
 
 def words_of(data: bytes) -> list[str]:
@@ -44,12 +46,6 @@ def words_of(data: bytes) -> list[str]:
     return data.decode("utf-8", "replace").lower().split()
 
 
-def stretches(word: str) -> list[str]:
-    """A word after its begin mark, the long ones in stretches."""
-    w = BEGIN + word
-    return [w] if len(w) <= STRETCH else [w[i : i + STRETCH] for i in range(0, len(w), STRETCH)]
-
-
 class Pieces:
     """All prefixes of the pieces in hash tables, to look up many places of a text at once."""
 
@@ -58,6 +54,7 @@ class Pieces:
 
     def __init__(self, pieces: dict[str, int]):
         number = {p[:i]: 0 for p in pieces for i in range(1, len(p))} | pieces
+        self.longest = max(map(len, pieces), default=1)
         hashes = []
         for p in number:
             h = 0
@@ -119,7 +116,7 @@ class Lattice:
             on = (entry >= 0) & (left[at] > size)
             at, h = at[on], h[on]
         word, start, end, piece = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 4
-        order = np.argsort(end.astype(np.uint8), kind="stable")
+        order = np.argsort(end, kind="stable")
         self.word, self.start, self.end, self.piece = word[order], start[order], end[order], piece[order]
         self.most = int(self.lengths.max(initial=0))
         self.at = np.searchsorted(self.end, np.arange(self.most + 2))
@@ -137,12 +134,54 @@ class Lattice:
                 alpha[e, :, k] = np.bincount(w, flow[:, k], minlength=n)
         return alpha
 
+    def log_forward(self, probability: np.ndarray, backward: bool = False) -> np.ndarray:
+        """Logarithm of ``forward`` for words of any length; ``backward`` of the last characters, by their number.
+
+        Only as many places as the longest piece has are needed further on; they are rescaled as a whole.
+        """
+        span = int((self.end - self.start).max(initial=1))
+        start, end, at = self.start, self.end, self.at
+        word, piece = self.word, self.piece
+        if backward:
+            start, end = self.lengths[word] - self.end, self.lengths[word] - self.start
+            order = np.argsort(end, kind="stable")
+            start, end, word, piece = start[order], end[order], word[order], piece[order]
+            at = np.searchsorted(end, np.arange(self.most + 2))
+        n, kinds = len(self.lengths), probability.shape[1]
+        alpha, scale = np.zeros((self.most + 1, n, kinds)), np.zeros((n, kinds))
+        alpha[0] = 1
+        logs = np.zeros_like(alpha)
+        for e in range(1, self.most + 1):
+            own = slice(at[e], at[e + 1])
+            w = word[own]
+            flow = alpha[start[own], w] * probability[piece[own]]
+            for k in range(kinds):
+                alpha[e, :, k] = np.bincount(w, flow[:, k], minlength=n)
+            with np.errstate(divide="ignore"):
+                logs[e] = np.log(alpha[e]) + scale
+            if e % 8 == 0:
+                near = alpha[max(0, e - span + 1) : e + 1]
+                top = near.max(axis=0)
+                top[top == 0] = 1
+                near /= top
+                scale += np.log(top)
+        return logs
+
     def log_probability(self, probability: np.ndarray) -> np.ndarray:
+        if self.most > SHORT:
+            logs = self.log_forward(probability)
+            return logs[self.lengths, np.arange(len(self.lengths))]
         alpha = self.forward(probability)
         return np.log(np.maximum(alpha[self.lengths, np.arange(len(self.lengths))], 1e-300))
 
     def expected(self, probability: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece, over all segmentations of all words (one language)."""
+        if self.most > SHORT:
+            first, last = (self.log_forward(probability[:, None], side)[:, :, 0] for side in (False, True))
+            whole = first[self.lengths, np.arange(len(self.lengths))]
+            with np.errstate(divide="ignore"):
+                use = first[self.start, self.word] + np.log(probability[self.piece]) + last[self.lengths[self.word] - self.end, self.word]
+            return np.bincount(self.piece, np.exp(use - whole[self.word]) * counts[self.word], minlength=len(probability))
         alpha = self.forward(probability[:, None])[:, :, 0]
         beta = np.zeros_like(alpha)
         beta[self.lengths, np.arange(len(self.lengths))] = 1
@@ -154,6 +193,62 @@ class Lattice:
         return np.bincount(self.piece, use / total[self.word] * counts[self.word], minlength=len(probability))
 
 
+def lattices(words: list[str], pieces: Pieces, most: int = 400_000) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Numbers of words of up to BLOCK characters and their lattices, by length: a table of places and words stays small."""
+    order = sorted((k for k in range(len(words)) if len(words[k]) <= BLOCK), key=lambda k: len(words[k]))
+    at = 0
+    while at < len(order):
+        short, to = len(words[order[at]]) <= SHORT, at + 1
+        while to < len(order) and (to - at + 1) * len(words[order[to]]) <= most and (len(words[order[to]]) <= SHORT) == short:
+            to += 1
+        yield np.array(order[at:to]), Lattice([words[k] for k in order[at:to]], pieces)
+        at = to
+
+
+def log_probability(words: list[str], pieces: Pieces, probability: np.ndarray) -> np.ndarray:
+    """Log probability of each word in each language, over all segmentations of the whole word."""
+    out = np.zeros((len(words), probability.shape[1]))
+    for own, lattice in lattices(words, pieces):
+        out[own] = lattice.log_probability(probability)
+    for k, w in enumerate(words):
+        if len(w) > BLOCK:
+            out[k] = long_log_probability(w, pieces, probability)
+    return out
+
+
+def long_log_probability(word: str, pieces: Pieces, probability: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """The same for one very long word, some characters at a time.
+
+    What edges that begin in a block give to the places after it is carried on, so no piece is cut.
+    """
+    span, kinds = pieces.longest, probability.shape[1]
+    carry, scale = np.zeros((span + 1, kinds)), np.zeros(kinds)
+    carry[0] = 1
+    for a in range(0, len(word), block):
+        part = word[a : a + block + span]
+        size = min(block, len(word) - a)
+        x = Lattice([part], pieces)
+        own = x.start < size
+        start, piece = x.start[own], x.piece[own]
+        at = np.searchsorted(x.end[own], np.arange(size + span + 2))
+        alpha = np.zeros((size + span + 1, kinds))
+        alpha[: span + 1] = carry
+        for e in range(1, size + span + 1):
+            edges = slice(at[e], at[e + 1])
+            alpha[e] += (alpha[start[edges]] * probability[piece[edges]]).sum(axis=0)
+            if e % 8 == 0 and e <= size:
+                # also what is carried to places ahead
+                near = alpha[max(0, e - span + 1) : max(e, span) + 1]
+                top = near.max(axis=0)
+                top[top == 0] = 1
+                near /= top
+                scale += np.log(top)
+        carry = alpha[size : size + span + 1]
+        top = carry.max(axis=0)
+        carry, scale = carry / top, scale + np.log(top)
+    return np.log(np.maximum(carry[0], 1e-300)) + scale
+
+
 class Known(dict):
     """Numbers of words; those not met before are noted."""
 
@@ -185,10 +280,7 @@ class Model:
         parts = [self.values]
         for a in range(0, len(self.known.new), 20_000):
             new = self.known.new[a : a + 20_000]
-            cut = [stretches(w) for w in new]
-            owner = np.repeat(np.arange(len(new)), [len(c) for c in cut])
-            z = Lattice([s for c in cut for s in c], self.found).log_probability(self.probability)
-            parts.append(np.stack([np.bincount(owner, z[:, k], minlength=len(new)) for k in range(z.shape[1])], axis=1))
+            parts.append(log_probability([BEGIN + w for w in new], self.found, self.probability))
         self.values = np.concatenate(parts)
         self.known.new = []
 
@@ -236,14 +328,10 @@ def fit(counts: dict[str, Counter], pieces: dict[str, int], rounds: int = 4, pri
     names, n, found = sorted(counts), len(pieces) + 1, Pieces(pieces)
     out = np.empty((n, len(names)))
     for k, name in enumerate(names):
-        cut: Counter = Counter()
-        for w, c in counts[name].items():
-            for s in stretches(w):
-                cut[s] += c
-        words = sorted(cut)
-        often = np.array([cut[w] for w in words], float)
+        words = sorted(counts[name])
+        often = np.array([counts[name][w] for w in words], float)
         p = np.full(n, 1 / n)
-        blocks = [(Lattice(words[a : a + 50_000], found), often[a : a + 50_000]) for a in range(0, len(words), 50_000)]
+        blocks = [(lattice, often[own]) for own, lattice in lattices([BEGIN + w for w in words], found)]
         for _ in range(rounds):
             uses = sum((lattice.expected(p, o) for lattice, o in blocks), np.zeros(n)) + prior
             p = uses / uses.sum()

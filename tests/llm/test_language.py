@@ -89,9 +89,57 @@ def test_forgetting_and_long_words_change_nothing(pieces):
     m = language.fit(counts, pieces)
     want = np.concatenate([m.totals([t]) for t in texts])
     assert np.allclose(m.totals(texts, most=10), want) and np.allclose(language.fit(counts, pieces).totals(texts), want)
-    long = "x" * 60
-    parts = language.Lattice(language.stretches(long), language.Pieces(pieces)).log_probability(m.probability)
-    assert np.allclose(m.totals([long.encode()])[0], parts.sum(axis=0))
+
+
+def plain_forward(word, pieces, probability):
+    """Log probability over all segmentations, with whole numbers for exponents."""
+    longest = max(map(len, pieces))
+    alpha = [[(1.0, 0)] * probability.shape[1]]
+    for e in range(1, len(word) + 1):
+        row = []
+        for k in range(probability.shape[1]):
+            terms = []
+            for size in range(1, min(longest, e) + 1):
+                p = pieces.get(word[e - size : e], 0 if size == 1 else None)
+                if p is not None:
+                    m, x = alpha[e - size][k]
+                    terms.append((m * probability[p, k], x))
+            top = max(x for _, x in terms)
+            m, shift = np.frexp(sum(m * 2.0 ** (x - top) for m, x in terms))
+            row.append((float(m), top + int(shift)))
+        alpha.append(row)
+    return [np.log(m) + x * np.log(2) for m, x in alpha[-1]]
+
+
+def test_long_words_are_summed_over_all_segmentations(pieces):
+    """Words of any length, without a cut: texts that know no spaces, and blocks of a very long one."""
+    p = np.random.default_rng(4).random((len(pieces) + 1, 3)) / 1000
+    words = ["▁" + "donaudampfschifffahrtsgesellschaft" * k for k in (1, 3, 40)] + ["▁" + "日本語のテキスト" * 30, "▁the", "▁" + "x" * 25]
+    found = language.Pieces(pieces)
+    want = [plain_forward(w, pieces, p) for w in words]
+    assert np.allclose(language.log_probability(words, found, p), want)
+    for block in (7, 100, 10**6):
+        assert np.allclose([language.long_log_probability(w, found, p, block) for w in words], want)
+    m = language.fit({"en": Counter({"the": 50, "model": 5}), "fr": Counter({"casa": 9})}, pieces)
+    assert np.allclose(m.totals([words[1][1:].encode()])[0], plain_forward(words[1], pieces, m.probability))
+
+
+def test_expected_uses_of_long_words(pieces):
+    """The rescaled passes give the uses of the plain ones, for the same words."""
+    p = np.random.default_rng(2).random(len(pieces) + 1) / 100
+    lattice = language.Lattice(["▁thatthing", "▁ción"], language.Pieces(pieces))
+    want = lattice.expected(p, np.array([2.0, 3.0]))
+    lattice.most, short = lattice.most, language.SHORT
+    try:
+        language.SHORT = 1
+        assert np.allclose(lattice.expected(p, np.array([2.0, 3.0])), want)
+    finally:
+        language.SHORT = short
+    long = language.Lattice(["▁" + "abcdefghij" * 60], language.Pieces(pieces))
+    uses = long.expected(p, np.ones(1))
+    sizes = np.ones(len(p))
+    sizes[list(pieces.values())] = [len(x) for x in pieces]
+    assert (uses * sizes).sum() == pytest.approx(601)
 
 
 def test_nothing_to_learn_from(spark):
