@@ -91,18 +91,42 @@ def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return counted(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
-def group_counts(texts: list[bytes], train: np.ndarray, order: int) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+#: Bytes of a group whose sequences are kept in memory between counting and scoring.
+KEPT = 16 << 20
+
+
+class Group:
+    """The texts of a group: their words and, piece by piece, numbers of their distinct byte sequences."""
+
+    def __init__(self, texts: list[bytes], order: int):
+        self.texts, self.order = texts, order
+        # a group is a few MB, unless one text alone is larger: that one is read again for each use
+        self.small = sum(map(len, texts)) <= KEPT
+        self.words = [tokens(t) for t in texts] if self.small else None
+        self.found = list(self._pieces()) if self.small else None
+
+    def _pieces(self) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        for data, owners, lengths in pieces(self.texts, self.order):
+            codes, distinct = pd.factorize(grams(data, lengths, self.order))
+            yield owners, np.array(lengths) - self.order, codes.astype(np.int32), distinct
+
+    def sequences(self) -> Iterable[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+        """Texts, numbers of places and the numbers of the sequences there, and the distinct sequences."""
+        return self._pieces() if self.found is None else self.found
+
+    def tokens(self) -> Iterable[np.ndarray]:
+        return map(tokens, self.texts) if self.words is None else self.words
+
+
+def group_counts(group: Group, train: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
     """Distinct words and byte sequences of a group, with their counts in its training texts."""
     words, seen = [], []
-    for text, learn in zip(texts, train, strict=True):
-        t = tokens(text)
+    for t, learn in zip(group.tokens(), train, strict=True):
         words.append((t, np.full(len(t), float(learn))))
         if sum(len(w[0]) for w in words[-256:]) > 1 << 20:
             words = [merged(words)]
-    for data, owners, lengths in pieces(texts, order):
-        keys = grams(data, lengths, order)
-        weights = np.repeat(train[owners].astype(float), np.array(lengths) - order)
-        seen.append(counted(keys, weights))
+    for owners, places, codes, distinct in group.sequences():
+        seen.append((distinct, np.bincount(codes, np.repeat(train[owners].astype(float), places), minlength=len(distinct))))
     return merged(words), merged(seen)
 
 
@@ -200,16 +224,13 @@ def from_planes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def text_scores(texts: list[bytes], words: tuple, sequences: tuple, order: int) -> Iterator[tuple[int, int, float, float]]:
+def text_scores(group: Group, words: tuple, sequences: tuple) -> Iterator[tuple[int, int, float, float]]:
     """For each text: tokens, known tokens, sum of log10(count + 1), log10 probability; from sorted keys and values."""
-    scores = np.zeros(len(texts))
-    for data, owners, lengths in pieces(texts, order):
-        codes, distinct = pd.factorize(grams(data, lengths, order))
+    scores = np.zeros(len(group.texts))
+    for owners, places, codes, distinct in group.sequences():
         values = sequences[1][np.searchsorted(sequences[0], distinct)][codes]
-        starts = np.concatenate(([0], np.cumsum(np.array(lengths) - order)))[:-1]
-        np.add.at(scores, owners, np.add.reduceat(values, starts))
-    for k, text in enumerate(texts):
-        t = tokens(text)
+        np.add.at(scores, owners, np.add.reduceat(values, np.cumsum(places) - places))
+    for k, t in enumerate(group.tokens()):
         count = words[1][np.searchsorted(words[0], t)]
         yield len(t), int((count > 0).sum()), float(np.log10(count + 1).sum()), float(scores[k])
 
@@ -255,7 +276,8 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
         return [(t or b"").lower() for t in group.column("text").to_pylist()]
 
     def known(group: pa.Table) -> tuple:
-        return group_counts(read(group), np.array(group.column("_train").to_pylist(), bool), order)
+        own = Group(read(group), order)
+        return own, *group_counts(own, np.array(group.column("_train").to_pylist(), bool))
 
     def places(words: np.ndarray, sequences: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Buckets, and the numbers of a group's keys there: sequences first, then words."""
@@ -265,7 +287,7 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
         yield from ((buckets + i, np.arange(cuts[i], cuts[i + 1])) for i in range(buckets))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
-        words, sequences = known(group)
+        _, words, sequences = known(group)
         out = []
         for bucket, at in places(words[0], sequences[0]):
             if len(at):
@@ -331,15 +353,14 @@ def score(docs: DataFrame, train: Column, order: int = 4, group_bytes: int = 4 <
     unit = math.log10(n + v + 1)
 
     def results(key: tuple, group: pa.Table, reply: pa.Table) -> pa.Table:
-        texts = read(group)
-        words, sequences = known(group)
+        own, words, sequences = known(group)
         data = dict(zip(reply.column("bucket").to_pylist(), reply.column("data").to_pylist(), strict=True))
         counts, logs = np.zeros(len(words[0]), np.int64), np.zeros(len(sequences[0]))
         for bucket, at in places(words[0], sequences[0]):
             if len(at):
                 into, kind = (counts, "<i8") if bucket >= buckets else (logs, "<f4")
                 into[at] = from_planes(data[bucket], kind)
-        found = list(text_scores(texts, (words[0], counts), (sequences[0], logs), order))
+        found = list(text_scores(own, (words[0], counts), (sequences[0], logs)))
         columns = {c: group.column(c) for c in kept} | {
             "n_tokens": pa.array([f[0] for f in found], pa.int64()),
             "n_known": pa.array([f[1] for f in found], pa.int64()),
