@@ -43,9 +43,25 @@ def targets(sizes: dict[str | None, int], weights=(5, 2, 1), most: float = 3.0)
 OWN = ["size", "source_size", "target", "taken", "served", "finish"]
 
 
-def _order(docs: DataFrame, seed: int) -> Column:
-    """The shuffled place of a row: a hash of all its values, the same on every run."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))])
+def _order(docs: DataFrame, seed: int) -> list[Column]:
+    """The shuffled place of a row, a hash of all its values, the same on every run; and a second hash.
+
+    Both together tell rows apart at any number of them.
+    """
+    values = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    return [F.xxhash64(F.lit(seed + k), *values).alias(name) for k, name in enumerate(_KEY)]
+
+
+_KEY = ["_order", "_other"]
+
+
+def _row(names: list[str]) -> Column:
+    """The caller's columns in one, so that no name of theirs meets one of ours."""
+    return F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("row")
+
+
+def _unpacked(names: list[str]) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in names]
 
 
 def schedule(docs: DataFrame, weights=(5, 2, 1), most: float = 3.0, seed: int = 11, max_sources: int = 100_000) -> DataFrame:
@@ -55,17 +71,18 @@ def schedule(docs: DataFrame, weights=(5, 2, 1), most: float = 3.0, seed: int =
     first copy) and finish (virtual finish time of the first copy, null without a target).
 
     A null text has no words; a null source is a source of its own; rows that repeat are documents of their own; an
-    empty table gives no rows. Columns named like an added one are replaced. Only one row for each source reaches
-    the driver: more than ``max_sources`` raise an error.
+    empty table gives no rows. Texts of any length are counted whole; equal finish times go by doc_id. Columns named
+    like an added one are replaced, other names do not matter. Only one row for each source reaches the driver: more
+    than ``max_sources`` raise an error.
     """
     kept = others(docs, *OWN, "text")
-    return _schedule(docs, kept, weights, most, seed, max_sources).select(*kept, *OWN)
+    return _schedule(docs, kept, weights, most, seed, max_sources).select(*_unpacked(kept), *OWN)
 
 
 def _schedule(docs: DataFrame, kept: list[str], weights, most: float, seed: int, max_sources: int) -> DataFrame:
     spark = prepare(docs.sparkSession)
-    columns = dict.fromkeys([*kept, "doc_id", "source"])
-    base = materialise(docs.select(*columns, word_count(F.col("text")).alias("size"), _order(docs, seed).alias("_order")))
+    base = docs.select(_row(kept), "doc_id", "source", word_count(F.col("text")).alias("size"), *_order(docs, seed))
+    base = materialise(base)
     per_source = base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(max_sources + 1).collect()
     if len(per_source) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
@@ -79,7 +96,7 @@ def _schedule(docs: DataFrame, kept: list[str], weights, most: float, seed: int,
     sums = placed.groupBy("_sid", "_slice").agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("_sid").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_sid", "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_sid", "_slice").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_sid", "_slice").orderBy(*_KEY, "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("_within", F.sum("size").over(inside)).join(sums, ["_sid", "_slice"])
     served = F.col("_before") + F.col("_within")
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -103,17 +120,20 @@ def mix(docs: DataFrame, weights=(5, 2, 1), most: float = 3.0, seed: int = 11, m
     added = ["copy", "words", "finish"]
     s = _schedule(docs, [], weights, most, seed, max_sources).where("taken > 0")
     copies = F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1))
-    s = s.select("_order", "size", "taken", "source_size", "target", F.col("finish").alias("_first"), copies.alias("copy"))
+    s = s.select(*_KEY, "size", "taken", "source_size", "target", F.col("finish").alias("_first"), copies.alias("copy"))
     s = s.select(
-        "_order", F.col("size").alias("_size"), "copy",
+        *_KEY, F.col("size").alias("_size"), "copy",
         F.least("size", F.col("taken") - F.col("copy") * F.col("size")).alias("words"),
         (F.col("_first") + F.col("copy") * F.col("source_size") / F.col("target")).alias("finish"),
     )
     # rows alike in all values share a place and can stand for each other
-    texts = docs.withColumn("_order", _order(docs, seed)).drop(*added).dropDuplicates(["_order"])
-    joined = texts.join(s, "_order")
-    parts = F.split(F.regexp_replace("text", f"^{SPACE}+", ""), f"{SPACE}+")
+    names = others(docs, *added)
+    texts = docs.select(_row(names), *_order(docs, seed)).dropDuplicates(_KEY)
+    joined = texts.join(s, _KEY)
+    own = F.col("row").getField(next(c for c in names if c.lower() == "text"))
+    parts = F.split(F.regexp_replace(own, f"^{SPACE}+", ""), f"{SPACE}+")
     cut = F.array_join(F.slice(parts, 1, F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") < F.col("_size"), cut).otherwise(F.col("text"))
-    out = [text.alias(c) if c.lower() == "text" else F.col(c) for c in others(docs, *added)]
-    return joined.select(*out, *added).orderBy("finish", "doc_id", "copy")
+    text = F.when(F.col("words") < F.col("_size"), cut).otherwise(own)
+    out = [text.alias(c) if c.lower() == "text" else F.col("row").getField(c).alias(c) for c in names]
+    ids = F.col("row").getField(next(c for c in names if c.lower() == "doc_id"))
+    return joined.orderBy("finish", ids, "copy").select(*out, *added)

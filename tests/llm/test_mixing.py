@@ -100,3 +100,21 @@ def test_empty_and_bounds(spark):
 def test_order_does_not_depend_on_partitions(spark):
     docs = documents(spark)
     assert collected(mixing.schedule(docs)) == collected(mixing.schedule(docs.repartition(7, F.col("n_chars"))))
+
+
+def test_private_names_do_not_clash(spark):
+    """Columns named like anything the operator uses inside come back as they were."""
+    names = ["_order", "_other", "_sid", "_size", "_slice", "_slices", "_first", "_rounds", "_within", "_before", "row", "_source", "Copy"]
+    docs = documents(spark).select("doc_id", "text", "source", *[F.concat(F.lit(n), F.col("n_chars")).alias(n) for n in names])
+    plain = mixing.schedule(docs)
+    assert [c for c in plain.columns if c in names] == names
+    assert all(r[n] == plain_value(r, n) for r in plain.collect() for n in names)
+    copies = mixing.mix(docs)
+    kept = [n for n in names if n != "Copy"]
+    assert copies.columns == ["doc_id", "text", "source", *kept, "copy", "words", "finish"]
+    assert all(r[n] == plain_value(r, n) for r in copies.collect() for n in kept)
+
+
+def plain_value(r, n):
+    """What a column was: its name and the number of the row, which all of them share."""
+    return n + r["_order"].removeprefix("_order")
