@@ -109,20 +109,24 @@ def item_ids(benchmark: DataFrame, width: int) -> DataFrame:
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, probes: int = 2) -> DataFrame:
     """Document key, spans (start and end of every occurrence of a window) and items that have one."""
     items = materialise(items_of(benchmark, width))
-    found = shifts(docs, items, probes, 0).join(items, "item")
-    per_doc = materialise(found.groupBy(*KEY).agg(F.collect_set(F.struct("item", "shift", "len", "words")).alias("tries")))
+    # an item's words are held once for a document, however many shifts it has there
+    found = shifts(docs, items, probes, 0).groupBy(*KEY, "item").agg(F.collect_set("shift").alias("shifts")).join(items, "item")
+    per_doc = materialise(found.groupBy(*KEY).agg(F.collect_list(F.struct("item", "shifts", "len", "words")).alias("tries")))
     keys = per_doc.select(*KEY)
     texts = docs.join(hinted(keys, is_small(keys, BROADCAST_BYTES)), KEY, "left_semi")
     lowered = F.transform(split_words(F.col("_text")), lower_ascii_word)
     tried = texts.select(*KEY, lowered.alias("_words")).dropDuplicates(KEY).join(per_doc, KEY)
 
     def spans(t: Column) -> Column:
-        def same(i: Column) -> Column:
-            at = t["shift"] + i
-            return (at >= 0) & (F.slice("_words", F.greatest(at, F.lit(0)) + 1, t["len"]) == F.slice(t["words"], i + 1, t["len"]))
+        def of_shift(shift: Column) -> Column:
+            def same(i: Column) -> Column:
+                at = shift + i
+                return (at >= 0) & (F.slice("_words", F.greatest(at, F.lit(0)) + 1, t["len"]) == F.slice(t["words"], i + 1, t["len"]))
 
-        at = F.filter(F.sequence(F.lit(0), F.size(t["words"]) - t["len"]), same)
-        return F.struct(t["item"].alias("item"), F.transform(at, lambda i: F.struct((t["shift"] + i).alias("a"), (t["shift"] + i + t["len"]).alias("b"))).alias("at"))
+            at = F.filter(F.sequence(F.lit(0), F.size(t["words"]) - t["len"]), same)
+            return F.transform(at, lambda i: F.struct((shift + i).alias("a"), (shift + i + t["len"]).alias("b")))
+
+        return F.struct(t["item"].alias("item"), F.flatten(F.transform(t["shifts"], of_shift)).alias("at"))
 
     hits = tried.select(*KEY, F.filter(F.transform("tries", spans), lambda x: F.size(x["at"]) > 0).alias("hits")).where(F.size("hits") > 0)
     return hits.select(

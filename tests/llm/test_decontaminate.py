@@ -104,3 +104,13 @@ def test_query_against_sql(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLES['op7_decontaminate']}) ORDER BY doc_id").fetchall()
     assert [tuple(r) for r in df.orderBy("doc_id").collect()] == want
+
+
+def test_one_word_items_in_a_long_text(spark):
+    """A shift for each of many occurrences: the item's words are held once for the document."""
+    rows = [(1, "Omega " * 3000 + "alpha"), (2, "beta " * 500), (3, "alpha beta omega")]
+    items = [(1, "omega"), (2, "alpha"), (3, " ".join(["beta"] * 12))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (3001, 3001, ["1", "2"]), 2: (500, 500, ["3"]), 3: (3, 2, ["1", "2"])}
