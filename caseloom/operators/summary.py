@@ -24,12 +24,17 @@ MISSING_LABEL = "NULL or BLANK STRING"
 # Width of the occupancy bitmap aggregate.
 _BITS = 32768
 
+# Of so many classes of raw texts, by their hash, one is cleaned for the lower bound of the cleaned values.
+_CLASSES = 16
+
 _CONFIRMED_OR_PROBABLE = ["confirmed", "probable"]
 
 
-def _occupancy(x: Column) -> Column:
-    """Occupied hash slots: never more than the number of distinct values."""
-    return F.bitmap_count(F.bitmap_construct_agg(F.pmod(F.xxhash64(x), F.lit(_BITS))))
+def _occupancy(x: Column, where: Column | None = None) -> Column:
+    """Occupied hash slots: never more than the number of distinct values; of the rows ``where``, if it is given."""
+    slot = F.pmod(F.xxhash64(x), F.lit(_BITS))
+    # rows without a slot are passed over
+    return F.bitmap_count(F.bitmap_construct_agg(slot if where is None else F.when(where, slot)))
 
 
 def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
@@ -38,13 +43,15 @@ def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
     Occupied hash slots are a lower bound of the distinct count, so a column dropped here
     surely has too many values; survivors are counted exactly later. One scan and one global
     aggregate of fixed-size buffers, which returns a single row, so a column of free text never reaches a
-    shuffle. Only text is cleaned: cleaning merges numbers in pairs at the most, by their sign.
+    shuffle. Only text is cleaned: cleaning merges numbers in pairs at the most, by their sign. As any of the raw
+    values give a lower bound too, only those of one class of hashes are cleaned, which spares most regular expressions.
     """
     if not cols:
         return []
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     raw = [_occupancy(F.col(c)).alias(f"raw_{i}") for i, c in enumerate(cols)]
-    cleaned = [_occupancy(clean_str(c)).alias(f"clean_{i}") for i, c in enumerate(cols) if c in text]
+    chosen = {c: F.pmod(F.hash(F.col(c)), F.lit(_CLASSES)) == 0 for c in text}
+    cleaned = [_occupancy(clean_str(c), chosen[c]).alias(f"clean_{i}") for i, c in enumerate(cols) if c in text]
     row = df.agg(*raw, *cleaned).first()
 
     def few(i: int, c: str) -> bool:
@@ -53,6 +60,68 @@ def few_valued(df: DataFrame, cols: list[str], max_unique: int) -> list[str]:
     return [c for i, c in enumerate(cols) if few(i, c)]
 
 
+def _shown(x: Column) -> Column:
+    return clean_str(x, na_replace=MISSING_LABEL, blank_replace=MISSING_LABEL)
+
+
+def _day_parts(name: str, day: Column) -> list[tuple[str, Column]]:
+    return [(f"{name}_month", F.month(day)), (f"{name}_week", week_of_year(day)), (f"{name}_dow", F.dayofweek(day))]
+
+
+def _cells(df: DataFrame, strats: list[str], plain: list[str], dates: dict[str, Column]) -> DataFrame:
+    """Counts by name, value and strata of the plain columns and of the parts of the dates."""
+    # (name, text, number): names travel as their position, numbers as numbers
+    parts: list[tuple[str, Column, Column]] = [(c, F.col(c).cast("string"), F.lit(None).cast("int")) for c in plain]
+    parts += [(n, F.lit(None).cast("string"), part) for c, day in dates.items() for n, part in _day_parts(c, day)]
+    entries = [
+        F.struct(F.lit(i).alias("at"), raw.alias("raw"), part.alias("part"))
+        for i, (_, raw, part) in enumerate(parts)
+    ]
+    counted = (
+        df.select(*strats, F.explode(F.array(*entries)).alias("e"))
+        .groupBy(*strats, "e.at", "e.raw", "e.part")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    names = F.array(*[F.lit(name) for name, _, _ in parts])
+    return (
+        counted.withColumn("name", names[F.col("at")])
+        .withColumn("value", _shown(F.coalesce(F.col("raw"), F.col("part").cast("string"))))
+        .groupBy("name", "value", *strats)
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def _cells_by_part(df: DataFrame, strats: list[str], plain: list[str], dates: dict[str, Column]) -> DataFrame:
+    """The same for strata so many that a task which reads the cases meets each of them only a few times.
+
+    The rows of a stratum meet before they become cells, or nearly every cell would be shuffled by itself. Adaptive
+    execution splits strata of very many rows, whose cells the second half of the count sums. Dates are counted whole,
+    one cell instead of three for a row, and taken apart afterwards.
+    """
+    cells = [*[F.col(c).cast("string") for c in plain], *[F.unix_date(day).cast("string") for day in dates.values()]]
+    named = [f"__c{i}" for i in range(len(cells))]
+    if not cells:
+        return _cells(df, strats, plain, dates)
+    dealt = df.select(*strats, *[c.alias(n) for c, n in zip(cells, named, strict=True)]).hint("rebalance", *[F.col(c) for c in strats])
+    counted = dealt.unpivot(strats, named, "at", "raw").groupBy(*strats, "at", "raw").agg(F.count(F.lit(1)).alias("n"))
+    at, day = F.substring("at", 4, 9).cast("int"), F.date_from_unix_date(F.col("raw").cast("int"))
+    names = F.array(*[F.lit(c) for c in [*plain, *dates]])
+    missing = _shown(F.lit(None).cast("string"))
+    name = names[at]
+    taken_apart = F.array(
+        *[
+            F.struct(F.concat(name, F.lit(end)).alias("name"), F.coalesce(part.cast("string"), missing).alias("value"))
+            for end, part in _day_parts("", day)
+        ]
+    )
+    own = F.array(F.struct(name.alias("name"), _shown(F.col("raw")).alias("value")))
+    return (
+        counted.select(*strats, "n", F.explode(F.when(at < len(plain), own).otherwise(taken_apart)).alias("e"))
+        .groupBy("e.name", "e.value", *strats)
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def summary_counts(
     df: DataFrame, strats: tuple[str, ...] = ("pt", "agegroup10"), *, max_unique: int = 60, by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -72,33 +141,10 @@ def summary_counts(
     candidates, plain = plain, few_valued(df, plain, max_unique)
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    # (name, text, number): names travel as their position, numbers as numbers
-    parts: list[tuple[str, Column, Column]] = []
-    for c in plain:
-        parts.append((c, F.col(c).cast("string"), F.lit(None).cast("int")))
-    for c in dates:
-        day = to_date(F.col(c), types[c])
-        for suffix, part in (
-            ("month", F.month(day)), ("week", week_of_year(day)), ("dow", F.dayofweek(day)),
-        ):
-            parts.append((f"{c}_{suffix}", F.lit(None).cast("string"), part))
-    entries = [
-        F.struct(F.lit(i).alias("at"), raw.alias("raw"), part.alias("part"))
-        for i, (_, raw, part) in enumerate(parts)
-    ]
-    counted = (
-        df.select(*strats, F.explode(F.array(*entries)).alias("e"))
-        .groupBy(*strats, "e.at", "e.raw", "e.part")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    names = F.array(*[F.lit(name) for name, _, _ in parts])
-    shown = F.coalesce(F.col("raw"), F.col("part").cast("string"))
-    cells = (
-        counted.withColumn("name", names[F.col("at")])
-        .withColumn("value", clean_str(shown, na_replace=MISSING_LABEL, blank_replace=MISSING_LABEL))
-        .groupBy("name", "value", *strats)
-        .agg(F.sum("n").alias("n"))
-    )
+    if by:
+        cells = _cells_by_part(df, strats, plain, {c: to_date(F.col(c), types[c]) for c in dates})
+    else:
+        cells = _cells(df, strats, plain, {c: to_date(F.col(c), types[c]) for c in dates})
     dropped = [c for c in candidates if c not in plain]
     if not by or not dropped:
         return cells

@@ -134,3 +134,25 @@ def test_suggestions_join_by_shuffle_too(spark, monkeypatch):
 def test_nothing_to_suggest(spark):
     df = spark.createDataFrame([("1", "x", "confirmed", "a")], "phacid string, pt string, classification string, sex string")
     assert summary.suggest_value_fixes(df).count() == 0
+
+
+def test_occupancy_of_some_rows(spark):
+    one, none = spark.range(1000).agg(
+        summary._occupancy(F.col("id"), F.col("id") < 5), summary._occupancy(F.col("id"), F.lit(False))
+    ).first()
+    assert (one, none) == (5, 0)
+
+
+def test_rows_of_a_part_meet_before_they_become_cells(spark):
+    """Else nearly every cell of a table with many parts is shuffled by itself."""
+    d = dt.date(2021, 1, 31)
+    rows = [
+        ("1", "a", "x", "male", d, 1), ("2", "a", "x", " MALE.", None, None), ("3", None, "x", None, d, 1),
+        ("4", "b", None, "", dt.date(2020, 2, 29), 2), ("4", "b", None, "", dt.date(2020, 2, 29), 2),
+    ]
+    df = spark.createDataFrame(rows, "phacid string, pt string, agegroup10 string, sex string, onsetdate date, dose int")
+    out = summary.summary_counts(df.withColumn("part", F.col("phacid")), by=("part",))
+    assert "REBALANCE" in out._jdf.queryExecution().executedPlan().toString()
+    keys = ["name", "value", "pt", "agegroup10"]
+    summed = out.groupBy(*keys).agg(F.sum("n").alias("n"))
+    assert sorted(values(summed, *keys, "n"), key=str) == sorted(values(summary.summary_counts(df), *keys, "n"), key=str)
