@@ -13,9 +13,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def first_above(values: Column, at: Column, most: int = 1 << 20) -> Column:
-    """Index of the first of some sorted values that exceeds ``at``, by halving; ``most`` values at the most."""
+def halvings(n: Column, most: int = 1 << 20) -> Column:
+    """The steps that find a place among ``n`` sorted values, ``most`` at the most: powers of two, largest first."""
     steps = F.expr(f"array({', '.join(str(1 << k) for k in range(most.bit_length() - 1, -1, -1))})")
+    return F.filter(steps, lambda step: step <= n)
+
+
+def first_above(values: Column, at: Column, steps: Column) -> Column:
+    """Index of the first of some sorted values that exceeds ``at``, by the :func:`halvings` of their number."""
 
     def search(a: Column) -> Column:
         # beyond the end get gives null, and the step is not taken

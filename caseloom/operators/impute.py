@@ -23,7 +23,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import first_above, let
+from ..functions.expressions import first_above, halvings, let
 from ..plans.sizing import hinted, is_small, materialise
 
 # The dates that are imputed and the dates used for it.
@@ -99,11 +99,11 @@ def _prepared(df: DataFrame, names: list[str], group: str | None, id_col: str, k
     ).where(F.col("grp").isNotNull())
 
 
-def _gap(key: Column, seed: int, target: str, source: str) -> Column:
-    """The gap drawn for a row from the histogram of its region."""
+def _gap(key: Column, seed: int, target: str, source: str, steps: Column | None = None) -> Column:
+    """The gap drawn for a row from the histogram of its region, by the steps of a search if they are known."""
     h = F.col(f"h_{target}_{source}")
     at = _position(key, h["donors"], round_numbers(seed, target, source))
-    return F.get(h["gaps"], first_above(h["ends"], at))
+    return F.get(h["gaps"], first_above(h["ends"], at, halvings(F.size(h["ends"])) if steps is None else steps))
 
 
 class _Model:
@@ -140,7 +140,10 @@ class _Model:
     def histograms(self) -> DataFrame:
         """One row per region: days of each target, and donors, sorted gaps and their cumulative counts of each pair."""
         listed = self.known.groupBy(*_PAIR, "donors").agg(F.sort_array(F.collect_list(F.struct("gap", "end"))).alias("x"))
-        whole = F.struct("donors", F.transform("x", lambda e: e["end"]).alias("ends"), F.transform("x", lambda e: e["gap"]).alias("gaps"))
+        whole = F.struct(
+            "donors", F.transform("x", lambda e: e["end"]).alias("ends"), F.transform("x", lambda e: e["gap"]).alias("gaps"),
+            halvings(F.size("x")).alias("steps"),
+        )
         listed = listed.select(*_PAIR, whole.alias("h"))
         picked = [
             F.any_value(F.when((F.col("target") == t) & (F.col("source") == s), F.col("h")), True).alias(f"h_{t}_{s}")
@@ -155,16 +158,20 @@ class _Model:
         )
         return days.join(listed.groupBy("grp").agg(*picked), "grp", "left")
 
-    def drawn(self, rows: DataFrame, tables: DataFrame, small: bool, seed: int) -> DataFrame:
-        """Every gap of every usable pair, drawn where it is missing: ``id, grp, target, source, gap, drawn``."""
+    def drawn(self, rows: DataFrame, tables: DataFrame, small: bool, seed: int, *, known: bool = True) -> DataFrame:
+        """Every gap of every usable pair, drawn where it is missing: ``id, grp, target, source, gap, drawn``.
+
+        Without ``known`` the drawn ones only.
+        """
         id_col = rows.columns[0]
         own = F.datediff
         wanted = [
             F.when(
-                F.col(f"h_{t}_{s}").isNotNull(),
+                F.col(f"h_{t}_{s}").isNotNull() if known else F.col(f"h_{t}_{s}").isNotNull() & own(s, t).isNull(),
                 F.struct(
                     F.lit(t).alias("target"), F.lit(s).alias("source"),
-                    F.coalesce(own(s, t), _gap(F.col("key"), seed, t, s)).alias("gap"), own(s, t).isNull().alias("drawn"),
+                    F.coalesce(own(s, t), _gap(F.col("key"), seed, t, s, F.col(f"h_{t}_{s}")["steps"])).alias("gap"),
+                    own(s, t).isNull().alias("drawn"),
                 ),
             )
             for t, s in self.pairs
@@ -175,7 +182,7 @@ class _Model:
 
     def ranks(self, rows: DataFrame, tables: DataFrame, small: bool, seed: int) -> DataFrame:
         """Usable pairs ordered by the spread (95th less 5th percentile) of the filled gaps."""
-        drawn = self.drawn(rows, tables, small, seed).where("drawn")
+        drawn = self.drawn(rows, tables, small, seed, known=False)
         filled = self.known.select(*_PAIR, "gap", "n").unionByName(
             drawn.groupBy(*_PAIR, "gap").agg(F.count(F.lit(1)).alias("n"))
         )
@@ -239,24 +246,26 @@ def impute_dates(
     out = df.withColumn("__key", (key if key is not None else row_key(id_col)).cast("long"))
     out = out.withColumn("__own", _group(group, id_col))
     out = out.join(hinted(per_group, small), F.col("__own") == F.col("__grp"), "left")
-    added = []
-    for t in targets:
+    days, added = {}, []
+    for i, t in enumerate(targets):
         own = F.col(t).cast("date")
         options = [
             F.when(
                 own.isNull() & F.col(s).isNotNull() & F.col(f"r_{t}_{s}").isNotNull(),
                 F.struct(
                     F.col(f"r_{t}_{s}").alias("rank"),
-                    F.date_sub(F.col(s).cast("date"), _gap(F.col("__key"), seed, t, s)).alias("day"),
+                    F.date_sub(F.col(s).cast("date"), _gap(F.col("__key"), seed, t, s, F.col(f"h_{t}_{s}")["steps"])).alias("day"),
                 ),
             )
             for _, s in ((a, b) for a, b in model.pairs if a == t)
         ]
-        value = F.coalesce(own, F.array_min(F.array(*options))["day"]) if options else own
+        days[f"__day{i}"] = F.coalesce(own, F.array_min(F.array(*options))["day"]) if options else own
+        value = F.col(f"__day{i}")
         if suppress_out_of_range:
             value = F.when(value.between(F.col(f"lo_{t}"), F.col(f"hi_{t}")), value)
         added.append(F.when(F.col("__own").isNotNull(), value).alias(f"{t}{suffix}"))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], *added)
+    # drawn in a projection of their own, once for each row however often the range looks at them
+    return out.withColumns(days).select(*[F.col(f"`{c}`") for c in df.columns], *added)
 
 
 def imputed_date(df: DataFrame, target: str, sources: list[str], **kw) -> DataFrame:

@@ -1,9 +1,11 @@
+import bisect
 import datetime as dt
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom.functions.expressions import first_above, halvings
 from caseloom.operators import impute
 from verification import fixture as fx
 
@@ -200,3 +202,19 @@ def test_keys_above_31_bits_have_draws_of_their_own(spark):
     at = impute._position(F.col("id"), F.lit(1 << 60), impute.round_numbers(0, "a", "b"))
     shifted = spark.range(2000).select(F.explode(F.array(F.col("id"), F.col("id") + 2147483647, F.col("id") + (1 << 40))).alias("id"))
     assert shifted.select(at.alias("at")).distinct().count() > 5900
+
+
+def test_a_search_takes_as_many_steps_as_its_list_needs(spark):
+    sizes = [0, 1, 2, 3, 11, 64, 1000]
+    df = spark.createDataFrame([(n, [2 * i for i in range(n)], at) for n in sizes for at in (-1, 0, 1, 5, n, 2 * n)], "n int, v array<int>, at int")
+    steps = halvings(F.size("v"))
+    for n, at, found, k in values(df.select("n", "at", first_above(F.col("v"), F.col("at"), steps).alias("i"), F.size(steps).alias("k"))):
+        assert found == bisect.bisect_right([2 * i for i in range(n)], at) and k == n.bit_length()
+
+
+def test_only_missing_gaps_are_drawn_for_the_ranks(spark):
+    rows = impute._prepared(fx.cases(spark, SF), [*impute.TARGETS, *SOURCES], "pt", "phacid", F.col("k"))
+    model = impute._Model(rows, impute.TARGETS, SOURCES, 0.5)
+    tables = model.histograms()
+    every, some = model.drawn(rows, tables, True, 0), model.drawn(rows, tables, True, 0, known=False)
+    assert sorted(values(every.where("drawn")), key=str) == sorted(values(some), key=str)
