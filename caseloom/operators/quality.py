@@ -362,6 +362,9 @@ def _checks(df: DataFrame, chosen: list[Rule]) -> list[tuple[str, Column, Column
     return [(rule.typ, cond, err) for rule in chosen for cond, err in rule.hits(df)]
 
 
+#: Cases in one range of the ordered report: what a task sorts does not grow with the table.
+RANGE_CASES = 200_000
+
 #: Conditions in one number of a bit mask; few enough for one compiled method.
 _BITS = 16
 
@@ -428,6 +431,7 @@ def error_report(
 ) -> DataFrame:
     """All errors of the default rules, or of the named ones, newest reports first.
 
+    The ordered report counts the cases before the call returns: a range of them has so many that a task can sort them.
     With ``check_unique`` a repeated id raises an error, by a job before the call returns.
     """
     if check_unique:
@@ -439,6 +443,9 @@ def error_report(
         return with_errors(df, _checks(df, chosen), REPORT_COLUMNS).select(*columns)
     # cases with a hit are dealt in order, with the values that messages name; the messages are made where they belong
     marked, tests = marked_cases(df, chosen)
-    dealt = marked.repartitionByRange(F.desc("phacreporteddate"), "phacid")
+    ranges = -(-df.count() // RANGE_CASES)
+    # a table of one range is left to adaptive execution; it would also fill a range by its bytes, however many cases these hold
+    number = [max(ranges, df.sparkSession.sparkContext.defaultParallelism)] if ranges > 1 else []
+    dealt = marked.repartitionByRange(*number, F.desc("phacreporteddate"), "phacid")
     out = with_errors(dealt, tests, REPORT_COLUMNS).select(*columns)
     return out.sortWithinPartitions(F.desc("phacreporteddate"), "phacid", "typ")

@@ -200,3 +200,12 @@ def test_more_conditions_than_bits_of_a_mask(spark, cases):
 
 def test_report_of_no_rules_is_empty(cases):
     assert quality.error_report(cases, asof=fx.ASOF, names=[]).count() == 0
+
+
+def test_ranges_of_the_report_hold_so_many_cases(spark, monkeypatch):
+    monkeypatch.setattr(quality, "RANGE_CASES", 100)
+    df = fx.cases(spark, SF)
+    out = quality.error_report(df, asof=fx.ASOF, min_date=fx.MIN_DATE)
+    assert out.rdd.getNumPartitions() == -(-df.count() // 100)
+    got = values(out, "phacreporteddate", "phacid", "typ")
+    assert len(got) > 0 and got == sorted(got, key=lambda r: (r[0] is None, -r[0].toordinal() if r[0] else 0, r[1], r[2]))
