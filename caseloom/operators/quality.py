@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import NOT_DATES, as_col, date_columns
 from ..functions.text import clean_str, matching, na_text
@@ -109,15 +110,28 @@ def _outcome_date(status: str, value: str, date: str, label: str, named: str):
     return hits
 
 
+def _any(conds: list[Column]) -> Column:
+    """Whether one of the conditions holds; unknown ones do not."""
+    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conds])
+
+
+def _filled(df: DataFrame, name: str) -> Column:
+    """Whether a cell has text; only text can be blank, so others need not become text."""
+    x = F.col(name)
+    return x.isNotNull() if isinstance(df.schema[name].dataType, T.DateType | T.NumericType) else x.cast("string") != ""
+
+
 def _symptoms(df: DataFrame) -> list[Hit]:
-    parts = []
+    parts, found = [], []
     for c in matching(df.columns, "^sym"):
         v = F.col(c).cast("string")
         present = ~F.lower(v).isin("", ".", "no", "unknown")
+        found.append(present)
         parts.append(F.when(present, F.concat(F.lit(f"{c}="), v)))
     if not parts:
         return []
-    cond = _lower_is("asymptomatic", "yes") & F.coalesce(*parts).isNotNull()
+    # no text is made to find a hit
+    cond = _lower_is("asymptomatic", "yes") & _any(found)
     return [(cond, F.concat(F.lit("Asymptomatic is 'yes' but "), _joined(parts, " + ")))]
 
 
@@ -125,14 +139,15 @@ def _details(prefix: str, opening: str):
     """The flag is not yes, yet another column of the family is filled in."""
 
     def hits(df: DataFrame) -> list[Hit]:
-        parts = []
+        parts, found = [], []
         for c in matching(df.columns, f"^{prefix}"):
             if c.lower() != prefix:
-                v = F.col(c).cast("string")
-                parts.append(F.when(v != "", _quoted(c, v)))
+                filled = _filled(df, c)
+                found.append(filled)
+                parts.append(F.when(filled, _quoted(c, F.col(c).cast("string"))))
         if not parts:
             return []
-        cond = ~_lower_is(prefix, "yes") & F.coalesce(*parts).isNotNull()
+        cond = ~_lower_is(prefix, "yes") & _any(found)
         return [(cond, F.concat(F.lit(opening), _joined(parts, " and ")))]
 
     return hits

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import save_parquet
 from . import derive
 from .clean import DATA_HUB_COLUMNS, Cleaning, final_clean, report_columns
 from .impute import SOURCES, impute_dates
@@ -46,11 +49,22 @@ def all_cases(df: DataFrame) -> DataFrame:
     )
 
 
+def keep_columns(df: DataFrame, columns: Iterable[str], path: str) -> DataFrame:
+    """Columns of a table, computed once and stored, for a batch whose reports read a few of them each.
+
+    A name that comes twice is stored once. The caller removes the folder after the batch.
+    """
+    names = list({c.lower(): c for c in columns}.values())
+    kept = df.select(*[F.col(f"`{c}`") for c in names])
+    save_parquet(kept, path)
+    return df.sparkSession.read.schema(kept.schema).parquet(path)
+
+
 def publish_views(cases: DataFrame, columns: dict[str, list[str]]) -> dict[str, DataFrame]:
     """Register the published views as projections of the derived case table.
 
     A view that is not listed has every column. Views are lazy: each extract reads only its
-    columns.
+    columns, and derives them anew unless the table was stored by :func:`keep_columns`.
     """
     views = {}
     for name in dict.fromkeys(v for v, _ in REPORT_VIEWS.values()):

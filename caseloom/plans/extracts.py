@@ -193,17 +193,17 @@ BEFORE, AFTER = ["daily_headline", "db_errs"], ["ijn"]
 def end_of_day(
     spark: SparkSession, cases: DataFrame, config: Iterable[Extract], out: str, *, asof: dt.date,
     min_date: object = "2020-01-01", days: dict[str, dict[str, str | None]] | None = None,
-    before: list[str] = BEFORE, after: list[str] = AFTER, cleaning: Iterable[clean.Cleaning] = (),
+    before: list[str] = BEFORE, after: list[str] = AFTER, cleaning: Iterable[clean.Cleaning] = (), share: bool = True,
     manifest: Manifest | None = None, store: ResultStore | None = None, refresh: bool = False,
 ) -> dict[str, str]:
     """The ordered daily batch: headline, error report, named extracts, travel report; each only if it is due.
 
     ``days`` holds the weekdays of the reports by name; one that is not listed is due every day. Completeness and the
-    count summary are made by name too, where ``before`` or ``after`` lists them. ``manifest``, ``store`` and ``refresh``
-    as in :func:`run_due`.
+    count summary are made by name too, where ``before`` or ``after`` lists them. ``share``, ``manifest``, ``store`` and
+    ``refresh`` as in :func:`run_due`; over stored tables a scan costs less than a place in executor storage.
     """
     made = daily_reports(cases, out, asof=asof, min_date=min_date, config=cleaning)
     named = {n: replace(e, days=days[n]) if days and n in days else e for n, e in made.items()}
     batch = [*(named[n] for n in before), *config, *(named[n] for n in after)]
-    done = run_due(spark, batch, asof, manifest=manifest, store=store, refresh=refresh)
+    done = run_due(spark, batch, asof, share=share, manifest=manifest, store=store, refresh=refresh)
     return {e.nm: e.path for e in done}

@@ -211,6 +211,45 @@ def stored(spark, tmp_path):
     return ResultStore(spark, f"{tmp_path}/kept")
 
 
+def test_columns_of_several_reports_are_computed_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def slow(x):
+        made.add(1)
+        return None if x is None else f"{x}!"
+
+    rows = [("1", "a", None), ("2", None, 3), ("2", None, 3)]
+    df = spark.createDataFrame(rows, "phacid string, pt string, `odd.name` int").withColumn("derived", slow("pt"))
+    kept = reports.keep_columns(df, ["phacid", "derived", "PHACID", "odd.name", "derived"], f"{tmp_path}/kept")
+    assert kept.columns == ["PHACID", "derived", "odd.name"]
+    reports.publish_views(kept, {"who": ["phacid", "derived"], "statscan": ["derived"]})
+    config = [e for e in extracts.report_extracts(str(tmp_path)) if e.nm in ("who", "stats_can")]
+    assert len(extracts.run_due(spark, config, MONDAY)) == 2
+    assert made.value == 3
+    assert sorted(kept.collect()) == sorted([("1", "a!", None), ("2", None, 3), ("2", None, 3)], key=lambda r: r[0])
+    assert values(tables.read_csv(spark, f"{tmp_path}/who", "phacid string, derived string").orderBy("phacid")) == [
+        ("1", "a!"), ("2", None), ("2", None),
+    ]
+
+
+@pytest.mark.parametrize("share", [True, False])
+def test_a_batch_need_not_keep_shared_sql(spark, tmp_path, monkeypatch, share):
+    spark.range(3).createOrReplaceTempView("t_twice")
+    config = [Extract(n, "select id from t_twice", f"{tmp_path}/{n}", saving_func="save_parquet") for n in ("a", "b")]
+    kept, get = [], tables.SqlExtracts.get
+
+    def noting(self, sql, **kw):
+        df = get(self, sql, **kw)
+        kept.append(df.storageLevel.useMemory)
+        return df
+
+    monkeypatch.setattr(tables.SqlExtracts, "get", noting)
+    extracts.end_of_day(spark, fx.cases(spark, SF), config, str(tmp_path), asof=MONDAY, before=[], after=[], share=share)
+    assert kept == [share, share]
+    assert [spark.read.parquet(f"{tmp_path}/{n}").count() for n in ("a", "b")] == [3, 3]
+
+
 def test_results_outlive_a_session(spark, tmp_path):
     store, sql = stored(spark, tmp_path), "SELECT pt, count(*) AS n FROM store_in WHERE age > 40 GROUP BY pt;"
     first = sorted(values(store.get(sql)))

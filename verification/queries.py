@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import functions as F
 
@@ -289,16 +290,28 @@ def _contents(df, name):
     return df.agg(F.lit(name).alias("nm"), F.count(F.lit(1)).alias("n_rows"), F.sum(digest).alias("checksum"))
 
 
+_BATCH_VIEWS = {
+    "all_cases": _CSV, "all_cases_web": clean.WEB_COLUMNS, "who": clean.TREND_COLUMNS, "statscan": clean.WEEKLY_COLUMNS,
+    "modelling_data": _MODEL_COLS,
+}
+
+
 def _run_extract(spark, sf):
-    cases = fx.cases(spark, sf)
-    cases.createOrReplaceTempView("caseloom_run_cases")
     out = scratch_path(spark, "extracts")
+    try:
+        return _batch(spark, sf, out)
+    finally:
+        remove_path(spark, out)
+
+
+def _batch(spark, sf, out):
+    line_list, views = fx.cases(spark, sf).columns, _BATCH_VIEWS | {"data_hub": HUB_COLS}
+    # every extract reads some of these columns, so they are made once
+    kept = reports.keep_columns(published(spark, sf), [*line_list, *chain(*views.values())], f"{out}/published")
+    cases = kept.select(*line_list)
+    cases.createOrReplaceTempView("caseloom_run_cases")
     sql = "select * from caseloom_run_cases"
-    reports.publish_views(
-        published(spark, sf),
-        {"all_cases": _CSV, "all_cases_web": clean.WEB_COLUMNS, "data_hub": HUB_COLS, "who": clean.TREND_COLUMNS,
-         "statscan": clean.WEEKLY_COLUMNS, "modelling_data": _MODEL_COLS},
-    )
+    reports.publish_views(kept, views)
     config = [
         *extracts.report_extracts(out, {"WHO": {"Mon": "x"}}),
         extracts.Extract("all", sql, f"{out}/all", saving_func="save_parquet", copy_path=f"{out}/copy"),
@@ -306,18 +319,15 @@ def _run_extract(spark, sf):
         extracts.Extract("regions", lambda s: cases.select("pt").distinct(), f"{out}/regions"),
         extracts.Extract("weekdays_only", sql, f"{out}/never", days={"Mon": "x", "Sat": " "}),
     ]
-    try:
-        written = extracts.end_of_day(
-            spark, cases, config, out, asof=dt.date.fromisoformat(ASOF), min_date=MIN_DATE,
-            after=["ijn", "count_summary"], days={"count_summary": {"Fri": "x"}},
-        )
-        frames = []
-        for name, path in [*written.items(), ("copy", f"{out}/copy"), ("no_ids_copy", f"{out}/no_ids_copy")]:
-            reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            frames.append(_contents(spark.read.parquet(path) if name in ("all", "copy") else reader.csv(path), name))
-        return materialise(reduce(lambda a, b: a.unionByName(b), frames))
-    finally:
-        remove_path(spark, out)
+    written = extracts.end_of_day(
+        spark, cases, config, out, asof=dt.date.fromisoformat(ASOF), min_date=MIN_DATE,
+        after=["ijn", "count_summary"], days={"count_summary": {"Fri": "x"}}, share=False,
+    )
+    frames = []
+    for name, path in [*written.items(), ("copy", f"{out}/copy"), ("no_ids_copy", f"{out}/no_ids_copy")]:
+        reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        frames.append(_contents(spark.read.parquet(path) if name in ("all", "copy") else reader.csv(path), name))
+    return materialise(reduce(lambda a, b: a.unionByName(b), frames))
 
 
 _DEFAULT_RULES = [n for n in S.RULE_SQL if n != "close_contact_details"]
