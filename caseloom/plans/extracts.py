@@ -14,14 +14,14 @@ from ..functions.dates import as_col
 from ..functions.categories import clean_constant
 from ..functions.text import NA_TEXT, clean_names, clean_str, snake_case
 from ..operators import clean, quality, reports, summary
-from ..sources.sinks import SAVERS, Saver, save_csv, save_parquet, save_table, save_truncated, saved
+from ..sources.sinks import SAVERS, Saver, save_csv, save_csv_plain, save_parquet, save_table, save_truncated, saved
 from ..sources.store import ResultStore
 from ..sources.tables import SqlExtracts
 from .publish import Manifest, publish_table, staged
 
 Adjust = Callable[[DataFrame], DataFrame]
 
-READABLE = (save_csv, save_parquet, save_table, save_truncated)
+READABLE = (save_csv, save_csv_plain, save_parquet, save_table, save_truncated)
 
 # The weekday columns of the schedule.
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]

@@ -11,21 +11,26 @@ from pyspark.sql import functions as F
 Saver = Callable[[DataFrame, str], None]
 
 
-def save_csv(df: DataFrame, path: str) -> None:
+def save_csv(df: DataFrame, path: str, *, compression: str = "gzip") -> None:
     """CSV parts with a header; missing values and blanks are written as nothing.
 
-    A single column writes them as a quoted blank: an empty line would not be read as a row.
+    A single column writes them as a quoted blank: an empty line would not be read as a row. Parts are compressed, as the
+    same few words fill most cells of a line list; ``none`` is for readers that cannot unpack them.
     """
     blank = '""' if len(df.columns) == 1 else ""
     if blank:
         df = df.select(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")).alias(df.columns[0]))
     (
         df.write.mode("overwrite").option("header", True).option("nullValue", "")
-        .option("emptyValue", blank).option("escape", '"')
+        .option("emptyValue", blank).option("escape", '"').option("compression", compression)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     )
 
 
+def save_csv_plain(df: DataFrame, path: str) -> None:
+    save_csv(df, path, compression="none")
+
+
 def save_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -59,6 +64,7 @@ def save_truncated(df: DataFrame, path: str) -> None:
 # any other, and single-machine formats are written as their columnar equivalent.
 SAVERS: dict[str, Saver] = {
     "save_csv": save_csv,
+    "save_csv_plain": save_csv_plain,
     "save_parquet": save_parquet,
     "save_feather": save_parquet,
     "save_table": save_table,
@@ -75,7 +81,7 @@ def saved(spark: SparkSession, saver: Saver, path: str) -> DataFrame | None:
 
     CSV is read as text, so a copy of it has the same cells.
     """
-    if saver is save_csv:
+    if saver in (save_csv, save_csv_plain):
         return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if saver in (save_parquet, save_truncated):
         return spark.read.parquet(path)

@@ -166,6 +166,24 @@ def test_copies_are_made_from_the_first_files(spark, tmp_path):
     assert sorted(values(spark.read.option("header", True).csv(f"{tmp_path}/0copy"), "id")) == sorted(map(str, range(10)))
 
 
+def test_csv_extracts_and_copies_are_small(spark, tmp_path):
+    """Parts are compressed unless the configuration asks for plain ones; every cell is the same either way."""
+    odd = F.when(F.col("id") % 100 == 0, F.lit(' a "quoted", text\nnext line ')).when(F.col("id") % 3 > 0, F.lit("unknown"))
+    cases = spark.range(3000).repartition(2).select("id", odd.alias("odd"), *[F.lit("Not stated").alias(f"c{i}") for i in range(9)])
+    config = [
+        Extract(n, lambda _: cases, f"{tmp_path}/{n}", saving_func=save, copy_path=f"{tmp_path}/{n}_copy")
+        for n, save in (("usual", None), ("named", "save_azure"), ("plain", "save_csv_plain"))
+    ]
+    extracts.run_due(spark, config, MONDAY)
+    size = {p.name: sum(f.stat().st_size for f in p.glob("part-*")) for p in tmp_path.iterdir()}
+    assert set(size) == {f"{e.nm}{end}" for e in config for end in ("", "_copy")}
+    for name in size:
+        assert sorted(values(tables.read_csv(spark, f"{tmp_path}/{name}", cases.schema))) == sorted(values(cases))
+        kind = "*.csv" if name.startswith("plain") else "*.csv.gz"
+        assert size[name] == sum(f.stat().st_size for f in (tmp_path / name).glob(f"part-{kind}"))
+        assert name.startswith("plain") or size[name] * 4 < size["plain"]
+
+
 def test_equal_sql_is_computed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
