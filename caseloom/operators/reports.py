@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.session import shuffles_removed
 from ..sources.sinks import save_parquet
 from . import derive
 from .clean import DATA_HUB_COLUMNS, Cleaning, final_clean, report_columns
@@ -56,7 +57,8 @@ def keep_columns(df: DataFrame, columns: Iterable[str], path: str) -> DataFrame:
     """
     names = list({c.lower(): c for c in columns}.values())
     kept = df.select(*[F.col(f"`{c}`") for c in names])
-    save_parquet(kept, path)
+    with shuffles_removed(df.sparkSession):
+        save_parquet(kept, path)
     return df.sparkSession.read.schema(kept.schema).parquet(path)
 
 

@@ -18,6 +18,7 @@ from ..sources.sinks import SAVERS, Saver, save_csv, save_csv_plain, save_parque
 from ..sources.store import ResultStore
 from ..sources.tables import SqlExtracts
 from .publish import Manifest, publish_table, staged
+from .session import shuffles_removed
 
 Adjust = Callable[[DataFrame], DataFrame]
 
@@ -89,12 +90,14 @@ def write_twice(df: DataFrame, save: Saver, path: str, copy_path: str | None) ->
     one's own, whose files cannot be read here, the result is kept in executor storage meanwhile.
     """
     if copy_path is None:
-        save(df, path)
+        with shuffles_removed(df.sparkSession):
+            save(df, path)
         return
     kept = None if save in READABLE else df.persist()
     try:
-        save(df, path)
-        save(saved(df.sparkSession, save, path) if kept is None else kept, copy_path)
+        with shuffles_removed(df.sparkSession):
+            save(df, path)
+            save(saved(df.sparkSession, save, path) if kept is None else kept, copy_path)
     finally:
         if kept is not None:
             kept.unpersist()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,6 +24,9 @@ START_SETTINGS = {
 }
 
 
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
@@ -30,3 +36,17 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def small_methods(spark: SparkSession) -> bool:
     """Whether generated methods are limited to a size that the JVM compiles."""
     return int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove what the writes of this block have shuffled as each ends, not when the driver comes to collect their plans.
+
+    For results that are written and not computed again: between the reports of a long batch the files would pile up.
+    """
+    old = spark.conf.get(_SHUFFLES_GO, "false")
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLES_GO, old)

@@ -1,4 +1,6 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,6 +186,43 @@ def test_csv_extracts_and_copies_are_small(spark, tmp_path):
         assert name.startswith("plain") or size[name] * 4 < size["plain"]
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in folders for f in Path(d.getPath()).rglob("shuffle_*")}
+
+
+def test_shuffles_of_a_batch_go_with_each_write(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, old = shuffle_files(spark), spark.conf.get(setting)
+    dealt = spark.range(20_000).repartition(4, "id").withColumn("v", F.col("id") % 7)
+
+    def own(d, path):
+        assert spark.conf.get(setting) == "true"
+        d.write.json(path)
+
+    reports.keep_columns(dealt, ["id"], f"{tmp_path}/kept")
+    extracts.write_twice(dealt, sinks.save_csv, f"{tmp_path}/a", None)
+    extracts.write_twice(dealt, sinks.save_parquet, f"{tmp_path}/b", f"{tmp_path}/b_copy")
+    extracts.write_twice(dealt, own, f"{tmp_path}/c", None)
+    # files are removed after the write has returned
+    for _ in range(100):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting) == old
+    for path in ("kept", "b", "b_copy"):
+        assert spark.read.parquet(f"{tmp_path}/{path}").distinct().count() == 20_000
+    assert spark.read.json(f"{tmp_path}/c").distinct().count() == 20_000
+
+    def broken(d, path):
+        raise ValueError("no place")
+
+    with pytest.raises(ValueError, match="no place"):
+        extracts.write_twice(dealt, broken, f"{tmp_path}/d", None)
+    assert spark.conf.get(setting) == old
+
+
 def test_equal_sql_is_computed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
